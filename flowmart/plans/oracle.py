@@ -103,13 +103,19 @@ union all select 0, 'UNKNOWN', 'UNKNOWN')"""
 PREFIX = "WITH " + ",".join([RAW, STG, G1, G2])
 
 
-def xavg(expr: str) -> str:
-    """Average from an exact decimal sum (matches ``flowmart.functions.numeric.exact_avg``)."""
-    return f"round(cast(sum(cast({expr} as decimal(28,6))) as double) / count({expr}), 6)"
+def _fixed_sum(expr: str, scale: int) -> str:
+    return f"sum(cast(cast({expr} as decimal(28,{scale})) * {10**scale} as decimal(38,0)))"
 
 
-def xavg_raw(expr: str) -> str:
-    return f"(cast(sum(cast({expr} as decimal(28,6))) as double) / count({expr}))"
+def xavg(expr: str, scale: int = 6) -> str:
+    """Exact average rounded half away from zero (same formula as ``numeric.avg_parts``)."""
+    s, n = _fixed_sum(expr, scale), f"count({expr})"
+    return (f"(CASE WHEN {n} = 0 THEN NULL ELSE CAST(sign({s}) * (cast(2 * abs({s}) + {n} as hugeint) // cast(2 * {n} as hugeint)) AS DOUBLE) "
+            f"/ {10**scale} END)")
+
+
+def xavg_raw(expr: str, scale: int = 6) -> str:
+    return f"(cast({_fixed_sum(expr, scale)} as double) / nullif(cast(count({expr}) as double), 0))"
 
 
 def q(body: str) -> str:

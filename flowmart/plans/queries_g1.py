@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowmart.plans.mart import Mart
 
-from flowmart.functions.numeric import exact_avg, exact_avg_raw, pct, r6, ratio
+from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6, ratio
 
 
 def _ts(m: Mart) -> Column:
@@ -95,7 +95,8 @@ def b2_normal_duration(m: Mart) -> DataFrame:
         fact(m, "service", "attack")
         .filter(~F.col("is_attack"))
         .groupBy("service_name")
-        .agg(exact_avg("duration").alias("avg_duration"))
+        .agg(*avg_parts("duration", "avg_duration"))
+        .transform(lambda d: avg_finish(d, "avg_duration"))
     )
 
 
@@ -140,9 +141,10 @@ def c2_attack_duration(m: Mart) -> DataFrame:
         .groupBy("service_name")
         .agg(
             r6(F.min("duration")).alias("min_duration"),
-            exact_avg("duration").alias("avg_duration"),
+            *avg_parts("duration", "avg_duration"),
             r6(F.max("duration")).alias("max_duration"),
         )
+        .transform(lambda d: avg_finish(d, "avg_duration"))
         .select("service_name", F.lit("Attack").alias("traffic_type"), "min_duration", "avg_duration", "max_duration")
     )
 
@@ -183,13 +185,12 @@ def d1q_compare_literal(m: Mart) -> DataFrame:
 
 def d2q_duration_ratio(m: Mart) -> DataFrame:
     f = fact(m, "service", "attack")
-    att = exact_avg_raw(F.when(F.col("is_attack"), F.col("duration")))
-    nor = exact_avg_raw(F.when(~F.col("is_attack"), F.col("duration")))
-    return f.groupBy("service_name").agg(
-        r6(att).alias("avg_attack_duration"),
-        r6(nor).alias("avg_normal_duration"),
-        ratio(att, nor).alias("duration_ratio"),
+    agg = f.groupBy("service_name").agg(
+        *avg_parts(F.when(F.col("is_attack"), F.col("duration")), "avg_attack_duration"),
+        *avg_parts(F.when(~F.col("is_attack"), F.col("duration")), "avg_normal_duration"),
     )
+    agg = agg.withColumn("duration_ratio", ratio(mean_raw("avg_attack_duration"), mean_raw("avg_normal_duration")))
+    return avg_finish(agg, ["avg_attack_duration", "avg_normal_duration"])
 
 
 def d3q_attack_only_ports(m: Mart) -> DataFrame:
@@ -212,14 +213,15 @@ def d4q_top_attacked_services(m: Mart) -> DataFrame:
     stats = f.groupBy("service_name").agg(
         F.count(F.lit(1)).alias("total_connections"),
         F.sum(F.when(F.col("is_attack"), 1).otherwise(0)).alias("attack_count"),
-        exact_avg("duration").alias("avg_duration"),
+        *avg_parts("duration", "avg_duration"),
         F.array_join(F.sort_array(F.collect_set("dst_port")), ",").alias("common_ports"),
         F.countDistinct("hour").alias("active_hours"),
         F.countDistinct("day").alias("active_days"),
         F.countDistinct("month").alias("active_months"),
     )
     return (
-        stats.withColumn(
+        avg_finish(stats, "avg_duration")
+        .withColumn(
             "attack_percentage", r6(F.col("attack_count").cast("double") / F.col("total_connections") * 100)
         )
         .orderBy(F.col("attack_count").desc(), F.col("service_name"))
@@ -231,11 +233,12 @@ def d4q_top_attacked_services(m: Mart) -> DataFrame:
 
 def r5_hourly_service_stats(m: Mart) -> DataFrame:
     f = fact(m, "service", "attack", "time")
-    return f.groupBy("service_name", "hour", "is_attack").agg(
+    agg = f.groupBy("service_name", "hour", "is_attack").agg(
         F.count(F.lit(1)).alias("connection_count"),
         F.sum(F.col("src_bytes") + F.col("dst_bytes")).alias("total_bytes"),
-        exact_avg("duration").alias("avg_duration"),
+        *avg_parts("duration", "avg_duration"),
     )
+    return avg_finish(agg, "avg_duration")
 
 
 def _traffic_mv(m: Mart, key: Column, key_name: str) -> DataFrame:
@@ -243,15 +246,16 @@ def _traffic_mv(m: Mart, key: Column, key_name: str) -> DataFrame:
     f = f.join(m.dim("g1_dim_service"), "service_key", "left").join(
         m.dim("g1_dim_protocol"), "protocol_key", "inner"
     )
-    return f.groupBy(
+    agg = f.groupBy(
         key.alias(key_name), "service_name", "protocol_name", "protocol_state", "category_name", "is_attack"
     ).agg(
         F.count(F.lit(1)).alias("total_connections"),
         F.sum("total_bytes").alias("total_bytes"),
         F.sum("total_packets").alias("total_packets"),
-        exact_avg("duration").alias("avg_duration"),
+        *avg_parts("duration", "avg_duration"),
         r6(F.sum(F.when(F.col("is_attack"), 1).otherwise(0)).cast("double") / F.count(F.lit(1))).alias("attack_rate"),
     )
+    return avg_finish(agg, "avg_duration")
 
 
 def r6_daily_traffic(m: Mart) -> DataFrame:
