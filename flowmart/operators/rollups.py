@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
-from flowmart.functions.numeric import EXACT, pct
+from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct
 
 DEC3 = 3
 
@@ -47,9 +47,9 @@ def connections(fact: DataFrame, attack: DataFrame, t0: int | None = None, t1: i
     )
 
 
-def _avg3(col: Column) -> Column:
-    """AVG into NUMERIC(10,3): exact decimal sum / count, rounded half-up to 3 places."""
-    return F.round(F.sum(col.cast(EXACT)) / F.count(col), DEC3).cast("double")
+def _avg3(col: Column, name: str) -> list[Column]:
+    """Partials of AVG into NUMERIC(10,3) (exact; finished by ``avg_finish(.., 3)``)."""
+    return avg_parts(col, name, DEC3)
 
 
 def _z(col: Column) -> Column:
@@ -61,6 +61,10 @@ def _when_attack(col: Column, attack: bool) -> Column:
 
 
 KEYS = ["service_id", "protocol_id", "attack_id"]
+HOURLY_AVGS = [
+    "avg_duration", "avg_duration_normal", "avg_duration_attack", "avg_bytes_per_conn",
+    "avg_bytes_per_attack", "avg_load_normal", "avg_load_attack",
+]
 
 
 def hourly_traffic(conn: DataFrame) -> DataFrame:
@@ -72,20 +76,21 @@ def hourly_traffic(conn: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_connections"),
         F.count(_when_attack(F.lit(1), False)).alias("normal_connections"),
         F.count(_when_attack(F.lit(1), True)).alias("attack_connections"),
-        _z(_avg3(c("duration"))).alias("avg_duration"),
-        _z(_avg3(_when_attack(c("duration"), False))).alias("avg_duration_normal"),
-        _z(_avg3(_when_attack(c("duration"), True))).alias("avg_duration_attack"),
+        *_avg3(c("duration"), "avg_duration"),
+        *_avg3(_when_attack(c("duration"), False), "avg_duration_normal"),
+        *_avg3(_when_attack(c("duration"), True), "avg_duration_attack"),
         _z(F.sum(_when_attack(bytes_, False))).alias("total_bytes_normal"),
         _z(F.sum(_when_attack(bytes_, True))).alias("total_bytes_attack"),
         _z(F.sum(_when_attack(packets, False))).alias("total_packets_normal"),
         _z(F.sum(_when_attack(packets, True))).alias("total_packets_attack"),
-        _z(_avg3(_when_attack(bytes_, False))).alias("avg_bytes_per_conn"),
-        _z(_avg3(_when_attack(bytes_, True))).alias("avg_bytes_per_attack"),
-        _z(_avg3(_when_attack(c("source_load"), False))).alias("avg_load_normal"),
-        _z(_avg3(_when_attack(c("source_load"), True))).alias("avg_load_attack"),
+        *_avg3(_when_attack(bytes_, False), "avg_bytes_per_conn"),
+        *_avg3(_when_attack(bytes_, True), "avg_bytes_per_attack"),
+        *_avg3(_when_attack(c("source_load"), False), "avg_load_normal"),
+        *_avg3(_when_attack(c("source_load"), True), "avg_load_attack"),
         F.countDistinct("service_id").alias("distinct_services"),
         (F.countDistinct("source_port_id") + F.countDistinct("dest_port_id")).alias("distinct_ports"),
     )
+    agg = avg_finish(agg, HOURLY_AVGS, DEC3, zero_if_null=True)
     peak = F.max("total_connections").over(Window.partitionBy("service_id", "hour"))
     return agg.withColumn("peak_hour_connections", peak).drop("hour")
 
@@ -99,12 +104,13 @@ def _period_literal(conn: DataFrame, dim_time: DataFrame, period: str, sub: str,
         F.count(F.lit(1)).alias("total_connections"),
         F.count(_when_attack(F.lit(1), False)).alias("normal_connections"),
         F.count(_when_attack(F.lit(1), True)).alias("attack_connections"),
-        _avg3(c("duration")).alias("avg_duration"),
+        *_avg3(c("duration"), "avg_duration"),
         F.sum(c("source_bytes") + c("dest_bytes")).alias("total_bytes"),
         F.sum(c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")).alias("total_packets"),
         F.countDistinct(_when_attack(c("category"), True)).alias("distinct_attack_types"),
         pct(F.count(_when_attack(F.lit(1), True)), F.count(F.lit(1))).alias("attack_percentage"),
     )
+    agg = avg_finish(agg, "avg_duration", DEC3)
     agg = agg.withColumn(f"{peak_name}_connections", F.max("total_connections").over(Window.partitionBy("service_id", sub)))
     agg = agg.withColumnRenamed(sub, peak_name)
     first_hour = _first_hour_of(dim_time, period)
@@ -138,8 +144,7 @@ def _period_declared(conn: DataFrame, dim_time: DataFrame, period: str, sub: str
         F.count(F.lit(1)).alias("n"),
         F.count(_when_attack(F.lit(1), False)).alias("n_normal"),
         F.count(_when_attack(F.lit(1), True)).alias("n_attack"),
-        F.sum(c("duration").cast(EXACT)).alias("dur_sum"),
-        F.count("duration").alias("dur_n"),
+        *_avg3(c("duration"), "avg_duration"),
         F.sum(c("source_bytes") + c("dest_bytes")).alias("bytes"),
         F.sum(c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")).alias("packets"),
         F.max(F.when(c("is_attack"), c("category"))).alias("attack_category"),
@@ -148,13 +153,15 @@ def _period_declared(conn: DataFrame, dim_time: DataFrame, period: str, sub: str
         F.sum("n").alias("total_connections"),
         F.sum("n_normal").alias("normal_connections"),
         F.sum("n_attack").alias("attack_connections"),
-        F.round(F.sum("dur_sum") / F.sum("dur_n"), DEC3).cast("double").alias("avg_duration"),
+        F.sum("avg_duration__s").alias("avg_duration__s"),
+        F.sum("avg_duration__n").alias("avg_duration__n"),
         F.sum("bytes").alias("total_bytes"),
         F.sum("packets").alias("total_packets"),
         F.max_by(F.col(sub), F.struct(F.col("n"), -F.col(sub))).alias(peak_name),
         F.max("n").alias(f"{peak_name}_connections"),
         F.countDistinct("attack_category").alias("distinct_attack_types"),
     )
+    lvl2 = avg_finish(lvl2, "avg_duration", DEC3)
     lvl2 = lvl2.withColumn("attack_percentage", pct(F.col("attack_connections"), F.col("total_connections")))
     return lvl2.join(F.broadcast(_first_hour_of(dim_time, period)), period, "inner").drop(period)
 
@@ -194,22 +201,28 @@ def service_stats(conn: DataFrame) -> DataFrame:
         _z(F.sum(_when_attack(bytes_, True))).alias("total_bytes_attack"),
         _z(F.sum(_when_attack(packets, False))).alias("total_packets_normal"),
         _z(F.sum(_when_attack(packets, True))).alias("total_packets_attack"),
-        _avg3(bytes_).alias("avg_bytes_per_conn"),
-        _avg3(_when_attack(bytes_, True)).alias("avg_bytes_per_attack"),
+        *_avg3(bytes_, "avg_bytes_per_conn"),
+        *_avg3(_when_attack(bytes_, True), "avg_bytes_per_attack"),
     ).withColumn("attack_percentage", pct(F.col("attack_connections"), F.col("total_connections")))
-
-    def mean(col: Column, attack: bool) -> Column:
-        x = _when_attack(col, attack)
-        return F.sum(x.cast(EXACT)) / F.count(x)
+    grain = avg_finish(grain, ["avg_bytes_per_conn", "avg_bytes_per_attack"], DEC3)
 
     per_service = conn.groupBy("service_id").agg(
-        _dec3(mean(c("duration"), False)).alias("avg_duration_normal"),
-        _dec3(mean(c("duration"), True)).alias("avg_duration_attack"),
-        _dec3(F.try_divide(mean(c("duration"), True), F.nullif(mean(c("duration"), False), F.lit(0)))).alias("duration_ratio"),
-        _dec3(F.try_divide(mean(bytes_, True), F.nullif(mean(bytes_, False), F.lit(0)))).alias("bytes_ratio"),
-        _dec3(F.try_divide(mean(packets, True), F.nullif(mean(packets, False), F.lit(0)))).alias("packets_ratio"),
+        *_avg3(_when_attack(c("duration"), False), "avg_duration_normal"),
+        *_avg3(_when_attack(c("duration"), True), "avg_duration_attack"),
+        *_avg3(_when_attack(bytes_, False), "mb_normal"),
+        *_avg3(_when_attack(bytes_, True), "mb_attack"),
+        *_avg3(_when_attack(packets, False), "mp_normal"),
+        *_avg3(_when_attack(packets, True), "mp_attack"),
         F.countDistinct(_when_attack(c("category"), True)).alias("distinct_attack_types"),
     )
+    per_service = (
+        per_service.withColumn("duration_ratio", _dec3(F.try_divide(mean_raw("avg_duration_attack"), F.nullif(mean_raw("avg_duration_normal"), F.lit(0.0)))))
+        .withColumn("bytes_ratio", _dec3(F.try_divide(mean_raw("mb_attack"), F.nullif(mean_raw("mb_normal"), F.lit(0.0)))))
+        .withColumn("packets_ratio", _dec3(F.try_divide(mean_raw("mp_attack"), F.nullif(mean_raw("mp_normal"), F.lit(0.0)))))
+    )
+    per_service = avg_finish(per_service, ["avg_duration_normal", "avg_duration_attack"], DEC3).drop(
+        *[f"{m}__{p}" for m in ("mb_normal", "mb_attack", "mp_normal", "mp_attack") for p in ("s", "n")]
+    )
     by_hour = conn.groupBy("service_id", "is_attack", "hour").agg(F.count(F.lit(1)).alias("n"))
     peaks = by_hour.groupBy("service_id").agg(
         F.max_by(F.when(~F.col("is_attack"), F.col("hour")), F.when(~F.col("is_attack"), F.struct("n", -F.col("hour")))).alias("peak_hour_normal"),

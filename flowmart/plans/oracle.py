@@ -243,3 +243,357 @@ select cast({_expr} as int) as {_key}, service_name, protocol_name, protocol_sta
  {xavg("duration")} as avg_duration,
  round(cast(sum(case when is_attack then 1 else 0 end) as double) / count(*), 6) as attack_rate
 from g1 group by {_expr}, service_name, protocol_name, protocol_state, category_name, is_attack""")
+
+
+# ---- mart generation -------------------------------------------------------------------
+
+def _cnt(cond: str) -> str:
+    return f"count(case when {cond} then 1 end)"
+
+
+def _pct(part: str, whole: str) -> str:
+    return f"round(100.0::double * ({part}) / nullif(({whole}), 0), 2)"
+
+
+BYTES = "(source_bytes + dest_bytes)"
+PACKETS = "(cast(source_packets as bigint) + dest_packets)"
+
+# Rollups as CTEs (only evaluated when a query references them).
+ROLLUPS = f"""
+r1 AS (
+select time_id, service_name, protocol_name, category as attack_category, hour,
+ count(*) as total_connections, {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+ coalesce({xavg('duration', 3)}, 0) as avg_duration,
+ coalesce({xavg('case when not is_attack then duration end', 3)}, 0) as avg_duration_normal,
+ coalesce({xavg('case when is_attack then duration end', 3)}, 0) as avg_duration_attack,
+ coalesce(cast(sum(case when not is_attack then {BYTES} end) as bigint), 0) as total_bytes_normal,
+ coalesce(cast(sum(case when is_attack then {BYTES} end) as bigint), 0) as total_bytes_attack,
+ coalesce(cast(sum(case when not is_attack then {PACKETS} end) as bigint), 0) as total_packets_normal,
+ coalesce(cast(sum(case when is_attack then {PACKETS} end) as bigint), 0) as total_packets_attack,
+ coalesce({xavg(f'case when not is_attack then {BYTES} end', 3)}, 0) as avg_bytes_per_conn,
+ coalesce({xavg(f'case when is_attack then {BYTES} end', 3)}, 0) as avg_bytes_per_attack,
+ coalesce({xavg('case when not is_attack then source_load end', 3)}, 0) as avg_load_normal,
+ coalesce({xavg('case when is_attack then source_load end', 3)}, 0) as avg_load_attack,
+ count(distinct service_name) as distinct_services,
+ count(distinct source_port) + count(distinct dest_port) as distinct_ports,
+ max(count(*)) over (partition by service_name, hour) as peak_hour_connections
+from ft group by time_id, service_name, protocol_name, category, hour),
+ftp AS (select *, time_id - time_id % 86400 as day_start, cast(epoch(date_trunc('month', datetime)) as bigint) as month_start from ft),
+day_first AS (select time_id - time_id % 86400 as day_start, min(time_id) as first_id from dim_time group by 1),
+month_first AS (select cast(epoch(date_trunc('month', datetime)) as bigint) as month_start, min(time_id) as first_id from dim_time group by 1),
+r2 AS (
+select first_id as time_id, s.* exclude (day_start) from (
+ select day_start, service_name, protocol_name, category as attack_category, hour as peak_hour,
+  count(*) as total_connections, {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+  {xavg('duration', 3)} as avg_duration, cast(sum({BYTES}) as bigint) as total_bytes, cast(sum({PACKETS}) as bigint) as total_packets,
+  count(distinct case when is_attack then category end) as distinct_attack_types,
+  {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage,
+  max(count(*)) over (partition by service_name, hour) as peak_hour_connections
+ from ftp group by day_start, service_name, protocol_name, category, hour) s join day_first using (day_start)),
+r3 AS (
+select first_id as time_id, s.* exclude (month_start) from (
+ select month_start, service_name, protocol_name, category as attack_category, day as peak_day,
+  count(*) as total_connections, {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+  {xavg('duration', 3)} as avg_duration, cast(sum({BYTES}) as bigint) as total_bytes, cast(sum({PACKETS}) as bigint) as total_packets,
+  count(distinct case when is_attack then category end) as distinct_attack_types,
+  {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage,
+  max(count(*)) over (partition by service_name, day) as peak_day_connections
+ from ftp group by month_start, service_name, protocol_name, category, day) s join month_first using (month_start)),
+ss_grain AS (
+select service_name, time_id, protocol_name, category as attack_category,
+ count(*) as total_connections, {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+ coalesce(cast(sum(case when not is_attack then {BYTES} end) as bigint), 0) as total_bytes_normal,
+ coalesce(cast(sum(case when is_attack then {BYTES} end) as bigint), 0) as total_bytes_attack,
+ coalesce(cast(sum(case when not is_attack then {PACKETS} end) as bigint), 0) as total_packets_normal,
+ coalesce(cast(sum(case when is_attack then {PACKETS} end) as bigint), 0) as total_packets_attack,
+ {xavg(BYTES, 3)} as avg_bytes_per_conn, {xavg(f'case when is_attack then {BYTES} end', 3)} as avg_bytes_per_attack,
+ {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage
+from ft group by service_name, time_id, protocol_name, category),
+ss_service AS (
+select service_name,
+ {xavg('case when not is_attack then duration end', 3)} as avg_duration_normal,
+ {xavg('case when is_attack then duration end', 3)} as avg_duration_attack,
+ round({xavg_raw('case when is_attack then duration end', 3)} / nullif({xavg_raw('case when not is_attack then duration end', 3)}, 0), 3) as duration_ratio,
+ round({xavg_raw(f'case when is_attack then {BYTES} end', 3)} / nullif({xavg_raw(f'case when not is_attack then {BYTES} end', 3)}, 0), 3) as bytes_ratio,
+ round({xavg_raw(f'case when is_attack then {PACKETS} end', 3)} / nullif({xavg_raw(f'case when not is_attack then {PACKETS} end', 3)}, 0), 3) as packets_ratio,
+ count(distinct case when is_attack then category end) as distinct_attack_types
+from ft group by service_name),
+ss_peak AS (
+select service_name,
+ max(case when not is_attack and rn = 1 then hour end) as peak_hour_normal,
+ max(case when is_attack and rn = 1 then hour end) as peak_hour_attack
+from (select service_name, is_attack, hour, row_number() over (partition by service_name, is_attack order by count(*) desc, hour) as rn
+      from ft group by service_name, is_attack, hour) group by service_name),
+ss_excl AS (
+select service_name, count(case when only_attacks then 1 end) as exclusive_attack_ports
+from (select service_name, dest_port, bool_and(is_attack) as only_attacks from ft group by service_name, dest_port) group by service_name),
+ss AS (
+select g.*, s.* exclude (service_name), p.* exclude (service_name), e.* exclude (service_name)
+from ss_grain g left join ss_service s using (service_name) left join ss_peak p using (service_name) left join ss_excl e using (service_name)),
+pu_port AS (
+select dest_port, {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage, bool_and(is_attack) as exclusive_to_attacks,
+ min(datetime) as first_seen, max(datetime) as last_seen, count(distinct service_name) as distinct_services
+from ft group by dest_port),
+pu_primary AS (
+select dest_port, category as primary_attack_type from (
+ select dest_port, category, row_number() over (partition by dest_port order by count(*) desc, category) as rn
+ from ft where is_attack group by dest_port, category) where rn = 1),
+pu AS (
+select g.dest_port as port_number, g.service_name, g.protocol_name, g.attack_category, g.time_id,
+ g.total_usage, g.normal_usage, g.attack_usage, {_pct('g.total_usage', 'h.hour_total')} as usage_percentage,
+ p.attack_percentage, p.exclusive_to_attacks, p.first_seen, p.last_seen, p.distinct_services, pr.primary_attack_type
+from (select dest_port, service_name, protocol_name, category as attack_category, time_id,
+       count(*) as total_usage, {_cnt('not is_attack')} as normal_usage, {_cnt('is_attack')} as attack_usage
+      from ft group by dest_port, service_name, protocol_name, category, time_id) g
+join (select time_id, count(*) as hour_total from ft group by time_id) h using (time_id)
+join pu_port p using (dest_port) left join pu_primary pr using (dest_port))"""
+
+PREFIX = PREFIX + "," + ROLLUPS
+
+
+def ts_fmt(expr: str) -> str:
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+oracle("r1_hourly_traffic", "select * exclude (hour) from r1")
+oracle("r2_daily_traffic_literal", "select * from r2")
+oracle("r3_monthly_traffic_literal", "select * from r3")
+
+for _name, _period, _sub, _peak, _first in (
+    ("r2i_daily_traffic", "day_start", "hour", "peak_hour", "day_first"),
+    ("r3i_monthly_traffic", "month_start", "day", "peak_day", "month_first"),
+):
+    oracle(_name, f"""
+select fi.first_id as time_id, t.service_name, t.protocol_name, t.attack_category,
+ t.total_connections, t.normal_connections, t.attack_connections, t.avg_duration, t.total_bytes, t.total_packets,
+ p.{_sub} as {_peak}, p.n as {_peak}_connections, t.distinct_attack_types, t.attack_percentage
+from (select {_period}, service_name, protocol_name, category as attack_category,
+       count(*) as total_connections, {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+       {xavg('duration', 3)} as avg_duration, cast(sum({BYTES}) as bigint) as total_bytes, cast(sum({PACKETS}) as bigint) as total_packets,
+       count(distinct case when is_attack then category end) as distinct_attack_types,
+       {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage
+      from ftp group by {_period}, service_name, protocol_name, category) t
+join (select * from (select {_period}, service_name, protocol_name, category as attack_category, {_sub}, count(*) as n,
+        row_number() over (partition by {_period}, service_name, protocol_name, category order by count(*) desc, {_sub}) as rn
+      from ftp group by {_period}, service_name, protocol_name, category, {_sub}) where rn = 1) p
+ using ({_period}, service_name, protocol_name, attack_category)
+join {_first} fi using ({_period})""")
+
+oracle("f6_service_stats", "select * from ss")
+oracle("f7_port_usage", f"select * replace ({ts_fmt('first_seen')} as first_seen, {ts_fmt('last_seen')} as last_seen) from pu")
+
+oracle("r8_hourly_service_performance", f"""
+select r1.service_name, s.service_type, s.risk_level, r1.hour, t.is_business_hour,
+ cast(sum(total_connections) as bigint) as total_connections, cast(sum(attack_connections) as bigint) as attack_connections,
+ {_pct('sum(attack_connections)', 'sum(total_connections)')} as avg_attack_percentage,
+ cast(sum(total_bytes_normal + total_bytes_attack) as bigint) as total_bytes, {xavg('avg_duration')} as avg_duration
+from r1 join svc s on s.name = r1.service_name join dim_time t using (time_id)
+group by r1.service_name, s.service_type, s.risk_level, r1.hour, t.is_business_hour""")
+
+oracle("r9_daily_attack_patterns", f"""
+select service_name, attack_category, t.day_type, peak_hour, cast(sum(attack_connections) as bigint) as total_attacks,
+ {xavg('attack_percentage')} as avg_attack_percentage, count(distinct distinct_attack_types) as attack_varieties
+from r2 join dim_time t using (time_id) group by service_name, attack_category, t.day_type, peak_hour""")
+
+R10 = f"""
+select ss.service_name, s.service_type, s.risk_level, count(distinct ss.distinct_attack_types) as total_attack_types,
+ {xavg('ss.attack_percentage')} as avg_attack_percentage, max(ss.peak_hour_attack) as common_attack_hour,
+ cast(sum(ss.exclusive_attack_ports) as bigint) as exclusive_attack_ports,
+ {xavg('ss.duration_ratio')} as avg_duration_ratio, {xavg('ss.bytes_ratio')} as avg_bytes_ratio
+from ss join svc s on s.name = ss.service_name group by ss.service_name, s.service_type, s.risk_level"""
+oracle("r10_service_risk_profile", R10)
+
+R11 = f"""
+select pu.port_number, p.range_type, pu.service_name, count(distinct pu.primary_attack_type) as attack_types,
+ cast(sum(case when pu.exclusive_to_attacks then 1 else 0 end) as bigint) as exclusive_attack_count,
+ {xavg('pu.attack_percentage')} as avg_attack_percentage, {ts_fmt('max(pu.last_seen)')} as last_attack_seen
+from pu join prt p using (port_number) group by pu.port_number, p.range_type, pu.service_name"""
+oracle("r11_port_security_analysis", R11)
+
+oracle("r4_aggregate_facts", """
+select 'HOURLY' as aggregation_level, 'COMPLETED' as status, count(*) as records_processed from r1
+union all select 'DAILY', 'COMPLETED', count(*) from r2
+union all select 'MONTHLY', 'COMPLETED', count(*) from r3""")
+
+oracle("h0_last_24h", "select time_id from last_24h")
+
+oracle("qa1_service_ranking", f"""
+select service_name, count(*) as total_connections, cast(sum(case when is_attack then 1 else 0 end) as bigint) as attack_connections,
+ {_pct('sum(case when is_attack then 1 else 0 end)', 'count(*)')} as attack_percentage,
+ {xavg('duration')} as avg_duration, cast(sum({BYTES}) as bigint) as total_bytes
+from ft group by service_name""")
+
+oracle("qa2_attack_stats", f"""
+select service_name, category as attack_type, count(*) as attack_count, {xavg('duration')} as avg_duration,
+ cast(sum({BYTES}) as bigint) as total_bytes
+from ft where is_attack group by service_name, category""")
+
+oracle("qa3_last_24h_volume", """
+select service_name, day_type, hour, count(*) as connections, cast(sum(case when is_attack then 1 else 0 end) as bigint) as attacks
+from ft where time_id in (select time_id from last_24h) group by service_name, day_type, hour""")
+
+oracle("qb1_last_24h_normal", """
+select service_name, hour, total_connections, normal_connections,
+ cast(round(cast(avg_duration_normal as decimal(10,3)), 2) as double) as avg_duration,
+ total_bytes_normal, total_packets_normal, avg_load_normal
+from r1 where time_id in (select time_id from last_24h)""")
+
+oracle("qb2_port_usage_attacked", """
+select pu.port_number, p.range_type, total_usage, normal_usage, attack_usage, pu.attack_percentage, exclusive_to_attacks
+from pu join prt p using (port_number) where pu.attack_percentage > 0""")
+
+oracle("qb3_last_24h_by_hour", f"""
+select r1.hour, t.is_business_hour, cast(sum(total_connections) as bigint) as total_connections,
+ cast(sum(attack_connections) as bigint) as attack_connections,
+ {_pct('sum(attack_connections)', 'sum(total_connections)')} as attack_percentage
+from r1 join dim_time t using (time_id) where time_id in (select time_id from last_24h) group by r1.hour, t.is_business_hour""")
+
+oracle("qc1_attack_type_distribution", f"""
+select category as attack_type, a.severity, count(*) as occurrences, count(distinct service_name) as affected_services,
+ {xavg('duration')} as avg_duration
+from ft join att a using (category) where ft.is_attack group by category, a.severity""")
+
+oracle("qc2_last_24h_attacks", f"""
+select hour, category as attack_type, count(*) as attack_count, {xavg('duration')} as avg_duration,
+ cast(sum({BYTES}) as bigint) as total_bytes
+from ft where is_attack and time_id in (select time_id from last_24h) group by hour, category""")
+
+oracle("qc3_service_protocol_attack", f"""
+select service_name, protocol_name as protocol, category as attack_type, count(*) as occurrences, {xavg('duration')} as avg_duration
+from ft where is_attack group by service_name, protocol_name, category""")
+
+oracle("qd1_latest_comparison", """
+select service_name, total_connections, normal_connections, attack_connections, round(attack_percentage, 2) as attack_percentage,
+ cast(round(cast(avg_duration_normal as decimal(10,3)), 2) as double) as avg_duration_normal,
+ cast(round(cast(avg_duration_attack as decimal(10,3)), 2) as double) as avg_duration_attack,
+ total_bytes_normal, total_bytes_attack
+from ss where time_id = (select max(time_id) from dim_time)""")
+
+oracle("qd2_service_risk_report", f"""
+select r.service_name, s.risk_level, r.total_attack_types, r.avg_attack_percentage, r.common_attack_hour, r.exclusive_attack_ports
+from ({R10}) r join svc s on s.name = r.service_name""")
+
+oracle("qd3_port_usage_report", f"""
+select port_number, range_type, service_name, attack_types, exclusive_attack_count, avg_attack_percentage, last_attack_seen
+from ({R11}) where avg_attack_percentage > 0""")
+
+oracle("qd4_security_summary", f"""
+select count(distinct f.service_name) as total_services,
+ count(distinct case when f.is_attack then f.category end) as total_attack_types,
+ {_pct("count(case when f.is_attack then 1 end)", "count(*)")} as overall_attack_percentage,
+ count(distinct case when pu.exclusive_to_attacks then pu.port_number end) as exclusive_attack_ports
+from ft f left join pu on f.service_name = pu.service_name and f.time_id = pu.time_id""")
+
+oracle("qd4_security_summary_fixed", f"""
+select count(distinct service_name) as total_services, count(distinct case when is_attack then category end) as total_attack_types,
+ {_pct("count(case when is_attack then 1 end)", "count(*)")} as overall_attack_percentage,
+ (select count(distinct case when exclusive_to_attacks then port_number end) from pu) as exclusive_attack_ports
+from ft""")
+
+oracle("qm1_top5_attack_share", f"""
+select service_name, count(*) as total_connections, {_cnt('is_attack')} as attack_count,
+ {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage
+from ft group by service_name order by attack_percentage desc, service_name limit 5""")
+
+oracle("qm2_attacks_by_hour", f"""
+select hour, total_attacks, {_pct('total_attacks', 'sum(total_attacks) over ()')} as percentage_of_total
+from (select hour, count(*) as total_attacks from ft where is_attack group by hour)""")
+
+oracle("qm3_attack_categories", f"""
+select category, occurrences, {_pct('occurrences', 'sum(occurrences) over ()')} as percentage_of_total
+from (select category, count(*) as occurrences from ft where is_attack group by category)""")
+
+oracle("qm4_mart_summary", """
+select (select count(*) from svc) as active_services, (select count(*) from att) as attack_categories,
+ (select count(*) from ft) as connection_facts, (select count(*) from r1) as hourly_aggregations,
+ (select count(*) from r2) as daily_aggregations, (select count(*) from r3) as monthly_aggregations,
+ (select count(*) from pu) as port_usage_records""")
+
+# ---- dimensions and facts ---------------------------------------------------------------
+
+HOUR_COLS = f"""cast(epoch(ts) as bigint) as time_id, {ts_fmt('ts')} as datetime, cast(hour(ts) as int) as hour,
+ cast(day(ts) as int) as day, cast(month(ts) as int) as month, cast(year(ts) as int) as year,
+ case when dayofweek(ts) in (0, 6) then 'WEEKEND' else 'WEEKDAY' end as day_type,
+ rpad(dayname(ts), 9, ' ') as day_name, rpad(monthname(ts), 9, ' ') as month_name,
+ (hour(ts) between 9 and 17 and dayofweek(ts) not in (0, 6)) as is_business_hour,
+ hour(ts) in (9, 10, 11, 14, 15, 16) as is_peak_hour, cast(weekofyear(ts) as int) as week_of_year,
+ cast(quarter(ts) as int) as quarter"""
+
+oracle("d1_calendar", f"""
+select {HOUR_COLS} from (select unnest(generate_series((select min(datetime) from dim_time),
+ (select max(datetime) from dim_time), interval 1 hour)) as ts)""")
+
+oracle("d2_dim_time", f"select {HOUR_COLS} from (select datetime as ts from dim_time)")
+
+oracle("d3_dim_service", """
+select cast(row_number() over (order by name) as int) as service_id, name, protocol, service_type, category, risk_level,
+ true as is_active, 1 as version
+from (select s.*, (select min(proto) from stg where stg.service = s.name) as protocol from svc s where name <> 'UNKNOWN')
+union all select 0, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'LOW', true, 1""")
+
+oracle("d4_dim_protocol", """
+select cast(row_number() over (order by proto) as int) as protocol_id, proto as name,
+ case when proto in ('tcp','udp') then 'TRANSPORT' when proto = 'icmp' then 'INTERNET' else 'OTHER' end as type, true as is_active
+from (select distinct proto from stg where proto is not null and proto <> 'UNKNOWN')
+union all select 0, 'UNKNOWN', 'UNKNOWN', true""")
+
+oracle("d5_dim_state", """
+select cast(row_number() over (order by state) as int) as state_id, state as name,
+ case when state in ('CON','INT') then 'CONNECTION' when state in ('ACC','CLO') then 'ACCESS' else 'OTHER' end as category, true as is_active
+from (select distinct state from stg where state is not null and state <> 'UNKNOWN')
+union all select 0, 'UNKNOWN', 'UNKNOWN', true""")
+
+oracle("d6_dim_port", """
+select case when port_number = 0 then 0 else cast(row_number() over (order by port_number) - 1 as int) end as port_id,
+ port_number, range_type, default_service, true as is_active, 1 as version from prt""")
+
+oracle("d7_dim_attack", """
+select case when category = 'NORMAL' then 0 else cast(row_number() over (order by category = 'NORMAL', category) as int) end as attack_id,
+ category, is_attack, severity, true as is_active from att""")
+
+oracle("d9_dimension_counts", """
+select 'DIM_TIME' as dimension, count(*) as record_count from dim_time
+union all select 'DIM_SERVICE', count(*) from svc
+union all select 'DIM_PROTOCOL', (select count(distinct proto) from stg where proto <> 'UNKNOWN') + 1
+union all select 'DIM_STATE', (select count(distinct state) from stg where state <> 'UNKNOWN') + 1
+union all select 'DIM_PORT', count(*) from prt
+union all select 'DIM_ATTACK', count(*) from att""")
+
+oracle("e1_dim_time", f"""
+select stime as time_key, {ts_fmt('ts')} as timestamp, cast(hour(ts) as int) as hour, cast(day(ts) as int) as day,
+ cast(month(ts) as int) as month, cast(quarter(ts) as int) as quarter, cast(year(ts) as int) as year,
+ dayofweek(ts) in (0, 6) as is_weekend
+from (select distinct stime, make_timestamp(stime * 1000000) as ts from stg where stime is not null)""")
+
+oracle("e2_dim_service", """
+select cast(row_number() over (order by service) as int) as service_key, service as service_name
+from (select distinct service from stg where service is not null)""")
+
+oracle("e3_dim_protocol", """
+select cast(row_number() over (order by proto, state nulls first) as int) as protocol_key, proto as protocol_name, state as protocol_state
+from (select distinct proto, state from stg where proto is not null)""")
+
+oracle("e4_dim_location", """
+select srcip as ip_address, sport as port from stg where sport is not null
+union select dstip, dsport from stg where dsport is not null""")
+
+oracle("e5_dim_attack_category", """
+select cast(row_number() over (order by attack_cat) as int) as category_key, attack_cat as category_name
+from (select distinct attack_cat from stg where attack_cat is not null)""")
+
+oracle("e6_dim_attack", """
+select cast(row_number() over (order by p.category_name nulls first, p.is_attack nulls first) as int) as attack_key,
+ c.category_key, p.category_name, p.is_attack
+from (select distinct attack_cat as category_name, (label = 1) as is_attack from stg) p
+left join (select cast(row_number() over (order by attack_cat) as int) as category_key, attack_cat
+           from (select distinct attack_cat from stg where attack_cat is not null)) c on c.attack_cat = p.category_name""")
+
+oracle("f1_fact_connections", """
+select time_key, src_ip, src_port, dst_ip, dst_port, service_name, protocol_name, protocol_state, category_name, is_attack,
+ duration, src_bytes, dst_bytes, src_packets, dst_packets, total_bytes, total_packets from g1""")
+
+oracle("f3_fact_connection", """
+select time_id, service_name, source_port, dest_port, state_name, protocol_name, category as attack_category,
+ cast(duration as double) as duration, source_bytes, dest_bytes, source_packets, dest_packets,
+ cast(source_load as double) as source_load, cast(dest_load as double) as dest_load,
+ source_ttl, dest_ttl, source_loss, dest_loss, ct_srv_src, ct_srv_dst, ct_state_ttl from ft""")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowmart.plans import queries_g1 as G1
+from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart, get_mart
 
 MartQuery = Callable[[Mart], DataFrame]
@@ -32,6 +33,54 @@ REGISTRY: dict[str, MartQuery] = {
     "r5_hourly_service_stats": G1.r5_hourly_service_stats,
     "r6_daily_traffic": G1.r6_daily_traffic,
     "r7_weekly_traffic": G1.r7_weekly_traffic,
+    # mart generation
+    "d1_calendar": G2.d1_calendar,
+    "d2_dim_time": G2.d2_dim_time,
+    "d3_dim_service": G2.d3_dim_service,
+    "d4_dim_protocol": G2.d4_dim_protocol,
+    "d5_dim_state": G2.d5_dim_state,
+    "d6_dim_port": G2.d6_dim_port,
+    "d7_dim_attack": G2.d7_dim_attack,
+    "d9_dimension_counts": G2.d9_dimension_counts,
+    "e1_dim_time": G2.e1_dim_time,
+    "e2_dim_service": G2.e2_dim_service,
+    "e3_dim_protocol": G2.e3_dim_protocol,
+    "e4_dim_location": G2.e4_dim_location,
+    "e5_dim_attack_category": G2.e5_dim_attack_category,
+    "e6_dim_attack": G2.e6_dim_attack,
+    "f1_fact_connections": G2.f1_fact_connections,
+    "f3_fact_connection": G2.f3_fact_connection,
+    "r1_hourly_traffic": G2.r1_hourly_traffic,
+    "r2_daily_traffic_literal": G2.r2_daily_traffic_literal,
+    "r2i_daily_traffic": G2.r2i_daily_traffic,
+    "r3_monthly_traffic_literal": G2.r3_monthly_traffic_literal,
+    "r3i_monthly_traffic": G2.r3i_monthly_traffic,
+    "r4_aggregate_facts": G2.r4_aggregate_facts,
+    "f6_service_stats": G2.f6_service_stats,
+    "f7_port_usage": G2.f7_port_usage,
+    "r8_hourly_service_performance": G2.r8_hourly_service_performance,
+    "r9_daily_attack_patterns": G2.r9_daily_attack_patterns,
+    "r10_service_risk_profile": G2.r10_service_risk_profile,
+    "r11_port_security_analysis": G2.r11_port_security_analysis,
+    "h0_last_24h": G2.h0_last_24h,
+    "qa1_service_ranking": G2.qa1_service_ranking,
+    "qa2_attack_stats": G2.qa2_attack_stats,
+    "qa3_last_24h_volume": G2.qa3_last_24h_volume,
+    "qb1_last_24h_normal": G2.qb1_last_24h_normal,
+    "qb2_port_usage_attacked": G2.qb2_port_usage_attacked,
+    "qb3_last_24h_by_hour": G2.qb3_last_24h_by_hour,
+    "qc1_attack_type_distribution": G2.qc1_attack_type_distribution,
+    "qc2_last_24h_attacks": G2.qc2_last_24h_attacks,
+    "qc3_service_protocol_attack": G2.qc3_service_protocol_attack,
+    "qd1_latest_comparison": G2.qd1_latest_comparison,
+    "qd2_service_risk_report": G2.qd2_service_risk_report,
+    "qd3_port_usage_report": G2.qd3_port_usage_report,
+    "qd4_security_summary": G2.qd4_security_summary,
+    "qd4_security_summary_fixed": G2.qd4_security_summary_fixed,
+    "qm1_top5_attack_share": G2.qm1_top5_attack_share,
+    "qm2_attacks_by_hour": G2.qm2_attacks_by_hour,
+    "qm3_attack_categories": G2.qm3_attack_categories,
+    "qm4_mart_summary": G2.qm4_mart_summary,
 }
 
 
