@@ -597,3 +597,117 @@ select time_id, service_name, source_port, dest_port, state_name, protocol_name,
  cast(duration as double) as duration, source_bytes, dest_bytes, source_packets, dest_packets,
  cast(source_load as double) as source_load, cast(dest_load as double) as dest_load,
  source_ttl, dest_ttl, source_loss, dest_loss, ct_srv_src, ct_srv_dst, ct_state_ttl from ft""")
+
+# ---- design-document queries (P) and written requirements (K) ---------------------------
+
+oracle("p1_duration_anomalies", f"""
+select service_name, count(*) as connections, {xavg('duration')} as avg_duration
+from ft where duration > (select percentile_cont(0.95) within group (order by duration) from ft) group by service_name""")
+
+oracle("p2_hourly_load_profile", f"""
+select hour, cast(sum(total_connections) as bigint) as connections, {xavg('avg_duration')} as duration from r1 group by hour""")
+
+oracle("p3_service_protocol_attack_counts", """
+select service_name, protocol_name, category as attack_category, count(*) as connections from ft
+group by service_name, protocol_name, category""")
+
+oracle("p4_monthly_trend", """
+select service_name, cast(month(make_timestamp(time_id * 1000000)) as int) as month, total_connections, attack_percentage from r3""")
+
+oracle("p5_attacks_per_service", "select service_name, count(*) as attack_count from ft where is_attack group by service_name")
+
+oracle("p6_mean_hourly_connections", f"select hour, {xavg('total_connections')} as avg_connections from r1 group by hour")
+
+oracle("k1_by_day_of_week", f"""
+select service_name, cast(dayofweek(datetime) as int) as day_of_week, count(*) as total_connections,
+ {_cnt('is_attack')} as attack_connections, {_cnt('not is_attack')} as normal_connections
+from ft group by service_name, dayofweek(datetime)""")
+
+oracle("k2_bytes_by_service_category", f"""
+select service_name, category as attack_category, cast(sum(source_bytes) as bigint) as source_bytes,
+ cast(sum(dest_bytes) as bigint) as dest_bytes, cast(sum({BYTES}) as bigint) as total_bytes
+from ft where is_attack group by service_name, category""")
+
+oracle("k3_duration_by_category_service", f"""
+select category as attack_category, service_name, cast(min(duration) as double) as min_duration,
+ {xavg('duration')} as avg_duration, cast(max(duration) as double) as max_duration
+from ft where is_attack group by category, service_name""")
+
+oracle("k4_top_ports_per_category", """
+select * from (select category as attack_category, dest_port, count(*) as connection_count,
+ cast(rank() over (partition by category order by count(*) desc) as int) as rank
+ from ft where is_attack group by category, dest_port) where rank <= 10""")
+
+oracle("k5_attacks_by_category_time", "\nunion all\n".join(
+    f"""select category as attack_category, service_name, {h} as hour, {d} as day, {mo} as month, count(*) as attack_count,
+ '{unit}' as grouping_type from ft where is_attack group by category, service_name, {unit}"""
+    for unit, h, d, mo in (
+        ("hour", "hour", "cast(null as int)", "cast(null as int)"),
+        ("day", "cast(null as int)", "day", "cast(null as int)"),
+        ("month", "cast(null as int)", "cast(null as int)", "month"),
+    )))
+
+oracle("k6_compare_by_unit", "\nunion all\n".join(
+    f"""select service_name, '{unit}' as time_unit, {unit} as time_value,
+ {xavg(f'case when not is_attack then {BYTES} end')} as normal_avg_bytes,
+ {xavg(f'case when is_attack then {BYTES} end')} as attack_avg_bytes,
+ {xavg(f'case when not is_attack then {PACKETS} end')} as normal_avg_packets,
+ {xavg(f'case when is_attack then {PACKETS} end')} as attack_avg_packets
+from ft group by service_name, {unit}""" for unit in ("hour", "day", "month")))
+
+oracle("k7_duration_by_unit", "\nunion all\n".join(
+    f"""select service_name, '{unit}' as time_unit, {value} as time_value,
+ {xavg('case when not is_attack then duration end')} as avg_normal,
+ {xavg('case when is_attack then duration end')} as avg_attack,
+ round({xavg_raw('case when is_attack then duration end')} / nullif({xavg_raw('case when not is_attack then duration end')}, 0), 6) as duration_ratio
+from ft group by service_name{group}""" for unit, value, group in (
+        ("hour", "hour", ", hour"), ("day", "day", ", day"), ("month", "month", ", month"), ("all", "cast(null as int)", ""))))
+
+oracle("k8_exclusive_ports_per_service", """
+select service_name, dest_port from ft group by service_name, dest_port having bool_and(is_attack)""")
+
+oracle("k9_top5_service_summary", f"""
+select s.*, p.top_ports from (
+ select service_name, count(*) as total_connections, {_cnt('not is_attack')} as normal_connections,
+  {_cnt('is_attack')} as attack_connections,
+  {xavg('case when not is_attack then duration end')} as avg_duration_normal,
+  {xavg('case when is_attack then duration end')} as avg_duration_attack,
+  count(distinct hour) as active_hours, count(distinct day) as active_days, count(distinct month) as active_months
+ from ft group by service_name order by attack_connections desc, service_name limit 5) s
+left join (
+ select service_name, string_agg(cast(dest_port as varchar), ',' order by rn) as top_ports from (
+  select service_name, dest_port, row_number() over (partition by service_name order by count(*) desc, dest_port) as rn
+  from ft group by service_name, dest_port) where rn <= 5 group by service_name) p using (service_name)""")
+
+oracle("k10_service_protocol_matrix", "select service_name, protocol_name, count(*) as connections from ft group by service_name, protocol_name")
+oracle("k10_port_service_matrix", "select dest_port, service_name, count(*) as connections from ft group by dest_port, service_name")
+oracle("k10_attack_service_matrix", "select category as attack_category, service_name, count(*) as connections from ft group by category, service_name")
+
+oracle("k11_derived_metrics", f"""
+select time_id, service_name, source_bytes, dest_bytes,
+ round(cast({BYTES} as double) / nullif(cast(duration as double), 0), 6) as transfer_rate,
+ round(cast(source_loss + dest_loss as double) / nullif(cast({PACKETS} as double), 0), 6) as packet_loss_ratio
+from ft""")
+
+oracle("k12_monthly_trend_changes", f"""
+select service_name, month, total_connections, attack_percentage,
+ total_connections - lag(total_connections) over w as delta_connections,
+ {_pct('total_connections - lag(total_connections) over w', 'lag(total_connections) over w')} as pct_change,
+ round(attack_percentage - lag(attack_percentage) over w, 2) as delta_attack_percentage
+from (select service_name, strftime(datetime, '%Y-%m') as month, count(*) as total_connections,
+       {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage
+      from ft group by service_name, strftime(datetime, '%Y-%m'))
+window w as (partition by service_name order by month)""")
+
+oracle("k13_first_seen_threats", f"""
+select service_name, category as attack_category, {ts_fmt('min(datetime)')} as first_seen
+from ft where is_attack group by service_name, category""")
+
+oracle("k14_protocol_safety", f"""
+select protocol_name, count(*) as total_connections, {_cnt('is_attack')} as attack_connections,
+ {_pct(_cnt('is_attack'), 'count(*)')} as attack_percentage from ft group by protocol_name""")
+
+oracle("k15_overload_hours", """
+select * from (select service_name, hour, count(*) as connections,
+ cast(rank() over (partition by service_name order by count(*) desc) as int) as rank
+ from ft group by service_name, hour) where rank <= 3""")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowmart.plans import queries_g1 as G1
 from flowmart.plans import queries_g2 as G2
+from flowmart.plans import queries_req as Q
 from flowmart.plans.mart import Mart, get_mart
 
 MartQuery = Callable[[Mart], DataFrame]
@@ -81,6 +82,31 @@ REGISTRY: dict[str, MartQuery] = {
     "qm2_attacks_by_hour": G2.qm2_attacks_by_hour,
     "qm3_attack_categories": G2.qm3_attack_categories,
     "qm4_mart_summary": G2.qm4_mart_summary,
+    # documents and requirements
+    "p1_duration_anomalies": Q.p1_duration_anomalies,
+    "p2_hourly_load_profile": Q.p2_hourly_load_profile,
+    "p3_service_protocol_attack_counts": Q.p3_service_protocol_attack_counts,
+    "p4_monthly_trend": Q.p4_monthly_trend,
+    "p5_attacks_per_service": Q.p5_attacks_per_service,
+    "p6_mean_hourly_connections": Q.p6_mean_hourly_connections,
+    "k1_by_day_of_week": Q.k1_by_day_of_week,
+    "k2_bytes_by_service_category": Q.k2_bytes_by_service_category,
+    "k3_duration_by_category_service": Q.k3_duration_by_category_service,
+    "k4_top_ports_per_category": Q.k4_top_ports_per_category,
+    "k5_attacks_by_category_time": Q.k5_attacks_by_category_time,
+    "k6_compare_by_unit": Q.k6_compare_by_unit,
+    "k7_duration_by_unit": Q.k7_duration_by_unit,
+    "k8_exclusive_ports_per_service": Q.k8_exclusive_ports_per_service,
+    "k9_top5_service_summary": Q.k9_top5_service_summary,
+    "k10_service_protocol_matrix": Q.k10_service_protocol_matrix,
+    "k10_port_service_matrix": Q.k10_port_service_matrix,
+    "k10_attack_service_matrix": Q.k10_attack_service_matrix,
+    "k10_service_protocol_pivot": Q.k10_service_protocol_pivot,
+    "k11_derived_metrics": Q.k11_derived_metrics,
+    "k12_monthly_trend_changes": Q.k12_monthly_trend_changes,
+    "k13_first_seen_threats": Q.k13_first_seen_threats,
+    "k14_protocol_safety": Q.k14_protocol_safety,
+    "k15_overload_hours": Q.k15_overload_hours,
 }
 
 
