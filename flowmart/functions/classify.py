@@ -93,5 +93,6 @@ def port_range(port: Column) -> Column:
 
 
 def is_attack_category(attack_cat: Column) -> Column:
-    """Mart generation: a connection is an attack when it carries a non-empty category."""
-    return F.coalesce(attack_cat.isNotNull() & (attack_cat != F.lit("")), F.lit(False))
+    """Mart generation: a connection is an attack when its category is present, non-empty
+    and not the NORMAL member (which the attack lookup maps to the default row)."""
+    return F.coalesce(attack_cat.isNotNull() & ~attack_cat.isin("", NORMAL), F.lit(False))

@@ -62,6 +62,7 @@ class Mart:
         self.sizes: dict[str, int] = {}
         self._lock = threading.RLock()
         self.built = False
+        self.sf_dir: str | None = None
 
     # ---- storage -------------------------------------------------------------------
     def _write(self, name: str, df: DataFrame, partition_by: list[str] | None = None, count: bool = False) -> DataFrame:
@@ -157,6 +158,7 @@ def get_mart(spark: SparkSession, sf_dir: str) -> Mart:
         mart = _MARTS.get(key)
         if mart is None:
             mart = Mart(spark, staging_raw(spark, sf_dir))
+            mart.sf_dir = sf_dir.rstrip("/")
             _MARTS[key] = mart
     return mart.build()
 

@@ -711,3 +711,116 @@ oracle("k15_overload_hours", """
 select * from (select service_name, hour, count(*) as connections,
  cast(rank() over (partition by service_name order by count(*) desc) as int) as rank
  from ft group by service_name, hour) where rank <= 3""")
+
+# ---- load, sink, validation, versioning, streaming --------------------------------------
+
+USED_COLS = ("srcip, sport, dstip, dsport, proto, state, dur, sbytes, dbytes, sttl, dttl, sloss, dloss, service, sload, dload, "
+             "spkts, dpkts, stime, ltime, ct_srv_src, ct_srv_dst, ct_state_ttl, attack_cat, label")
+SAMPLE_ORDER = ", ".join(f"{c.strip()} nulls first" for c in USED_COLS.split(","))
+G1_VALID = "sport is not null and dsport is not null and stime is not null"
+
+oracle("s1_csv_with_header", f"select {USED_COLS} from stg")
+oracle("s3_parse_raw_lines", f"select {USED_COLS} from raw")
+
+RULE_MSGS = """concat_ws('; ',
+ case when not coalesce(sport between 0 and 65535, true) then 'source port out of range 0..65535' end,
+ case when not coalesce(dsport between 0 and 65535, true) then 'destination port out of range 0..65535' end,
+ case when not coalesce(dur >= 0, true) then 'negative duration' end,
+ case when not coalesce(sbytes >= 0 and dbytes >= 0, true) then 'negative bytes' end,
+ case when not coalesce(spkts >= 0 and dpkts >= 0, true) then 'negative packets' end,
+ case when not coalesce(stime >= 0 and ltime >= 0 and ltime >= stime, true) then 'invalid start/end time' end)"""
+
+oracle("s7_rejected_rows", f"""
+select srcip, sport, dstip, dsport, dur, stime, ltime, {RULE_MSGS} as error_message
+from raw where not (coalesce(sport between 0 and 65535, true) and coalesce(dsport between 0 and 65535, true)
+ and coalesce(dur >= 0, true) and coalesce(sbytes >= 0 and dbytes >= 0, true) and coalesce(spkts >= 0 and dpkts >= 0, true)
+ and coalesce(stime >= 0 and ltime >= 0 and ltime >= stime, true))""")
+
+oracle("s9_quality_profile", """
+select count(*) as total_records,
+ count(case when srcip is null or dstip is null then 1 end) as missing_ips,
+ count(case when sport is null or dsport is null then 1 end) as missing_ports,
+ count(case when proto is null then 1 end) as missing_protocols,
+ count(case when state is null then 1 end) as missing_states,
+ count(case when dur < 0 then 1 end) as negative_durations,
+ count(case when sbytes < 0 or dbytes < 0 then 1 end) as negative_bytes,
+ count(case when spkts < 0 or dpkts < 0 then 1 end) as negative_packets,
+ count(case when stime > ltime then 1 end) as invalid_timestamps,
+ count(distinct service) as distinct_services, count(distinct attack_cat) as distinct_attack_categories,
+ count(case when label not in (0, 1) then 1 end) as invalid_labels
+from raw""")
+
+oracle("s11_staging_counts", """
+select (select count(*) from raw) as source_data, (select count(*) from stg) as valid_rows,
+ (select count(*) from raw) - (select count(*) from stg) as rejected_rows""")
+
+oracle("s12_valid_sample", f"select {USED_COLS} from stg where {G1_VALID} order by {SAMPLE_ORDER} limit 1000")
+oracle("s13_distinct_sample", f"select * from (select distinct {USED_COLS} from stg where {G1_VALID}) order by {SAMPLE_ORDER} limit 1000")
+
+oracle("s14_merge_ports", """
+select port_number, range_type, default_service from prt
+union all
+select port_number, case when port_number < 1024 then 'SYSTEM' when port_number < 49152 then 'USER' else 'DYNAMIC' end,
+ coalesce(min(service), 'UNKNOWN')
+from (select sport as port_number, service from raw where sport is not null union all select dsport, service from raw where dsport is not null)
+where port_number <> 0 and port_number not in (select port_number from prt) group by port_number""")
+
+oracle("s17_partition_counts", """
+select strftime(make_timestamp(time_id * 1000000), '%Y-%m') as year_month, count(*) as record_count from ft group by 1""")
+
+oracle("s20_window_source_count", "select count(*) as source_records from ft")
+oracle("s21_fact_counts", """
+select 'fact_connection' as table_name, count(*) as record_count from ft
+union all select 'g1_fact_connections', count(*) from g1""")
+
+oracle("v3_orphan_checks", """
+select 'time_id' as check_name, count(*) as orphan_count from ft where time_id not in (select time_id from dim_time)
+union all select 'service_id', count(*) from ft where service_name not in (select name from svc)
+union all select 'source_port_id', count(*) from ft where source_port not in (select port_number from prt)
+union all select 'dest_port_id', count(*) from ft where dest_port not in (select port_number from prt)
+union all select 'state_id', count(*) from ft where state_name not in (select distinct coalesce(state, 'UNKNOWN') from stg union select 'UNKNOWN')
+union all select 'protocol_id', count(*) from ft where protocol_name not in (select distinct coalesce(proto, 'UNKNOWN') from stg union select 'UNKNOWN')
+union all select 'attack_id', count(*) from ft where category not in (select category from att)""")
+
+oracle("v5_orphan_matrix", """
+select 'FACT_CONNECTION' as table_name, count(*) as total_records,
+ count(case when s.name is null then 1 end) as orphaned_services, 0::bigint as orphaned_protocols
+from ft left join svc s on s.name = ft.service_name""")
+
+oracle("v6_active_service_facts", "select count(*) as kept_rows, 0::bigint as removed_rows from ft")
+
+oracle("v8_key_violations", """
+select 'dim_time' as table_name, 'time_id' as key, 0::bigint as violations
+union all select 'dim_service', 'name', 0::bigint
+union all select 'dim_port', 'port_number', 0::bigint
+union all select 'dim_attack', 'category', 0::bigint
+union all select 'fact_hourly_traffic', 'time_id,service_id,protocol_id,attack_id',
+ (select count(*) from (select 1 from r1 group by time_id, service_name, protocol_name, attack_category having count(*) > 1))
+union all select 'fact_daily_traffic', 'time_id,service_id,protocol_id,attack_id',
+ (select count(*) from (select 1 from r2 group by time_id, service_name, protocol_name, attack_category having count(*) > 1))
+union all select 'fact_daily_traffic_declared', 'time_id,service_id,protocol_id,attack_id', 0::bigint""")
+
+oracle("v9_business_rules", """
+select 'hour_gaps' as rule, (select count(*) from (select time_id, lead(time_id) over (order by time_id) - time_id as step from dim_time) where step > 3600) as violations
+union all select 'future_hours', (select count(*) from dim_time where datetime > now()::timestamp)
+union all select 'hourly_rollup_mismatch', (select abs((select sum(total_connections) from r1) - (select count(*) from ft)))::bigint
+union all select 'inactive_services', 0::bigint
+union all select 'ports_out_of_range', (select count(*) from ft where dest_port not between 0 and 65535)
+union all select 'unclassified_connections', (select count(*) from ft where category is null)
+union all select 'severity_mismatch', 0::bigint""")
+
+CUR = """(select name, (select min(proto) from stg where stg.service = s.name) as p_old,
+ (select max(proto) from stg where stg.service = s.name) as p_new from svc s where name <> 'UNKNOWN')"""
+oracle("d10_scd2_service", f"""
+select name, p_old as protocol, 1 as version, false as is_active, '2024-01-01 00:00:00' as valid_from, '2024-03-01 00:00:00' as valid_to
+ from {CUR} where p_old is distinct from p_new
+union all select name, p_new, 2, true, '2024-03-01 00:00:00', null from {CUR} where p_old is distinct from p_new
+union all select name, p_old, 1, true, '2024-01-01 00:00:00', null from {CUR} where p_old is not distinct from p_new
+union all select 'UNKNOWN', 'UNKNOWN', 1, true, '2024-01-01 00:00:00', null""")
+
+oracle("x1_stream_hourly_rollup", f"""
+select time_id as window_start, service_name, protocol_name, category as attack_category, count(*) as total_connections,
+ {_cnt('not is_attack')} as normal_connections, {_cnt('is_attack')} as attack_connections,
+ cast(sum({BYTES}) as bigint) as total_bytes, cast(sum({PACKETS}) as bigint) as total_packets,
+ cast(sum(cast(duration * 1000 as bigint)) as bigint) as duration_ms_sum
+from ft group by time_id, service_name, protocol_name, category""")

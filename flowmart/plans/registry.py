@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowmart.plans import queries_g1 as G1
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans import queries_req as Q
+from flowmart.plans import queries_ops as O
 from flowmart.plans.mart import Mart, get_mart
 
 MartQuery = Callable[[Mart], DataFrame]
@@ -107,6 +108,29 @@ REGISTRY: dict[str, MartQuery] = {
     "k13_first_seen_threats": Q.k13_first_seen_threats,
     "k14_protocol_safety": Q.k14_protocol_safety,
     "k15_overload_hours": Q.k15_overload_hours,
+    # load, sinks, validation, versioning, streaming
+    "s1_csv_with_header": O.s1_csv_with_header,
+    "s3_parse_raw_lines": O.s3_parse_raw_lines,
+    "s7_rejected_rows": O.s7_rejected_rows,
+    "s9_quality_profile": O.s9_quality_profile,
+    "s11_staging_counts": O.s11_staging_counts,
+    "s12_valid_sample": O.s12_valid_sample,
+    "s13_distinct_sample": O.s13_distinct_sample,
+    "s14_merge_ports": O.s14_merge_ports,
+    "s17_partition_counts": O.s17_partition_counts,
+    "s18_audit_log": O.s18_audit_log,
+    "s19_latest_batch": O.s19_latest_batch,
+    "s20_window_source_count": O.s20_window_source_count,
+    "s21_fact_counts": O.s21_fact_counts,
+    "v3_orphan_checks": O.v3_orphan_checks,
+    "v5_orphan_matrix": O.v5_orphan_matrix,
+    "v6_active_service_facts": O.v6_active_service_facts,
+    "v7_audit_summary": O.v7_audit_summary,
+    "v8_key_violations": O.v8_key_violations,
+    "v9_business_rules": O.v9_business_rules,
+    "d10_scd2_service": O.d10_scd2_service,
+    "r12_refresh_views": O.r12_refresh_views,
+    "x1_stream_hourly_rollup": O.x1_stream_hourly_rollup,
 }
 
 
