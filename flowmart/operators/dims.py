@@ -8,9 +8,9 @@ distinct keys per task.
 
 Surrogate keys are dense ``row_number()`` over the natural key, computed on the members
 table (whose size is bounded by the key domains: ports <= 65,536, hours by the time
-range, services / protocols / states / categories by their vocabularies). Members that
-grow with the data (the simple generation's one-row-per-second calendar) keep their
-natural key (epoch seconds) and are never numbered.
+range, services / protocols / states / categories by their vocabularies). Sets that grow
+with the data (the simple generation's one-row-per-second calendar, its address x port
+locations) are computed on demand, keep their natural key and are never numbered.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowmart.functions import calendar as cal
 from flowmart.functions import classify as cls
@@ -33,7 +32,6 @@ M_STATE = "state"  # name = state
 M_PORT = "port"  # num = source or destination port, attr = service seen with it
 M_ATTACK_CAT = "attack_cat"  # name = attack_cat (non-null, may be empty)
 M_HOUR = "hour"  # num = epoch of the hour start
-M_SECOND = "second"  # num = epoch second (simple generation calendar)
 M_PROTO_STATE = "proto_state"  # name = proto, name2 = state (simple generation)
 M_ATTACK_FLAG = "attack_flag"  # name = attack_cat, num = 1/0 for label = 1 (simple generation)
 
@@ -65,25 +63,57 @@ def dimension_members(stg: DataFrame) -> DataFrame:
         _member(M_PORT, num=c("dsport"), attr=c("service"), when=c("dsport").isNotNull()),
         _member(M_ATTACK_CAT, name=c("attack_cat"), when=c("attack_cat").isNotNull()),
         _member(M_HOUR, num=cal.hour_start(c("stime")), when=c("stime").isNotNull()),
-        _member(M_SECOND, num=c("stime"), when=c("stime").isNotNull()),
         _member(M_PROTO_STATE, name=c("proto"), name2=c("state"), when=c("proto").isNotNull()),
         _member(M_ATTACK_FLAG, name=c("attack_cat"), num=label_flag),
     )
-    return (
-        stg.select(F.explode(F.filter(members, lambda m: m.isNotNull())).alias("m"))
+    distinct = (
+        stg.select(F.explode(members).alias("m"))
+        .filter(F.col("m").isNotNull())
         .select("m.*")
         .groupBy("dim", "name", "name2", "num")
         .agg(F.min("attr").alias("attr"))
     )
+    return number_members(distinct)
+
+
+def _eligible() -> Column:
+    """Members that get their own id in the mart generation (the others fold into the
+    default member 0: a literal UNKNOWN / NORMAL / empty category, port 0)."""
+    c = F.col
+    dim, name = c("dim"), c("name")
+    return (
+        F.when(dim.isin(M_SERVICE, M_PROTO, M_STATE), name != cls.UNKNOWN)
+        .when(dim == M_PORT, c("num") != 0)
+        .when(dim == M_ATTACK_CAT, ~name.isin("", cls.NORMAL))
+        .otherwise(F.lit(True))
+    )
+
+
+def number_members(distinct: DataFrame) -> DataFrame:
+    """Dense keys for every member kind in one window pass (partitioned by kind):
+    ``key_all`` numbers all members (simple generation), ``key_g2`` only the eligible
+    ones (mart generation). Each partition holds one kind's members - bounded by its
+    domain - and dimensions become plain projections of the written table."""
+    w = Window.partitionBy("dim").orderBy(
+        F.col("name").asc_nulls_first(), F.col("name2").asc_nulls_first(), F.col("num").asc_nulls_first()
+    )
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return distinct.withColumn("key_all", F.row_number().over(w).cast("int")).withColumn(
+        "key_g2", F.when(_eligible(), F.sum(F.when(_eligible(), 1).otherwise(0)).over(running)).cast("int")
+    )
 
 
 def _of(members: DataFrame, kind: str) -> DataFrame:
     return members.filter(F.col("dim") == kind)
 
 
-def _numbered(df: DataFrame, order: list, key: str) -> DataFrame:
-    """Dense 1..n surrogate key over the natural key (df is a bounded member set)."""
-    return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("int"))
+def _g2_members(members: DataFrame, kind: str, key: str) -> DataFrame:
+    """Eligible members of one kind with their mart-generation id."""
+    return _of(members, kind).filter(F.col("key_g2").isNotNull()).withColumn(key, F.col("key_g2"))
+
+
+def _g1_members(members: DataFrame, kind: str, key: str) -> DataFrame:
+    return _of(members, kind).withColumn(key, F.col("key_all"))
 
 
 def _scd_columns(valid_from: _dt.datetime) -> list[Column]:
@@ -95,10 +125,6 @@ def _scd_columns(valid_from: _dt.datetime) -> list[Column]:
     ]
 
 
-def _default_row(spark: SparkSession, row: dict, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
-
-
 # --------------------------------------------------------------------------------------
 # Mart generation
 # --------------------------------------------------------------------------------------
@@ -123,8 +149,7 @@ def calendar_hours(spark: SparkSession, start: str, end: str) -> DataFrame:
 def g2_dim_service(members: DataFrame, valid_from: _dt.datetime) -> DataFrame:
     """D3: services with first-seen protocol (smallest), category and risk; id 0 = UNKNOWN."""
     name = F.col("name")
-    seen = _of(members, M_SERVICE).filter(name != cls.UNKNOWN)
-    real = _numbered(seen, ["name"], "service_id").select(
+    real = _g2_members(members, M_SERVICE, "service_id").select(
         "service_id",
         name.alias("name"),
         F.col("attr").alias("protocol"),
@@ -149,8 +174,7 @@ def g2_dim_service(members: DataFrame, valid_from: _dt.datetime) -> DataFrame:
 
 def _g2_named_dim(members: DataFrame, kind: str, id_col: str, class_col: str, classify, note: str) -> DataFrame:
     name = F.col("name")
-    seen = _of(members, kind).filter(name != cls.UNKNOWN)
-    real = _numbered(seen, ["name"], id_col).select(
+    real = _g2_members(members, kind, id_col).select(
         id_col,
         name.alias("name"),
         classify(name).alias(class_col),
@@ -184,17 +208,11 @@ def g2_dim_port(members: DataFrame, valid_from: _dt.datetime) -> DataFrame:
     ``default_service`` is the smallest service seen on the port, UNKNOWN when none.
     """
     port = F.col("num").cast("int")
-    seen = (
-        _of(members, M_PORT)
-        .groupBy(port.alias("port_number"))
-        .agg(F.min("attr").alias("service"))
-        .filter(F.col("port_number") != 0)
-    )
-    real = _numbered(seen, ["port_number"], "port_id").select(
+    real = _g2_members(members, M_PORT, "port_id").select(
         "port_id",
-        "port_number",
-        cls.port_range(F.col("port_number")).alias("range_type"),
-        F.coalesce(F.col("service"), F.lit(cls.UNKNOWN)).alias("default_service"),
+        port.alias("port_number"),
+        cls.port_range(port).alias("range_type"),
+        F.coalesce(F.col("attr"), F.lit(cls.UNKNOWN)).alias("default_service"),
         *_scd_columns(valid_from),
     )
     default = real.sparkSession.range(1).select(
@@ -210,8 +228,7 @@ def g2_dim_port(members: DataFrame, valid_from: _dt.datetime) -> DataFrame:
 def g2_dim_attack(members: DataFrame) -> DataFrame:
     """Attack categories with severity; id 0 = NORMAL (not an attack)."""
     name = F.col("name")
-    seen = _of(members, M_ATTACK_CAT).filter((name != "") & (name != cls.NORMAL))
-    real = _numbered(seen, ["name"], "attack_id").select(
+    real = _g2_members(members, M_ATTACK_CAT, "attack_id").select(
         "attack_id",
         name.alias("category"),
         F.lit(True).alias("is_attack"),
@@ -234,29 +251,31 @@ def g2_dim_attack(members: DataFrame) -> DataFrame:
 # Simple generation (G1)
 # --------------------------------------------------------------------------------------
 
-def g1_dim_time(members: DataFrame) -> DataFrame:
-    """One row per distinct second; ``time_key`` = epoch seconds (grows with the data)."""
-    return _of(members, M_SECOND).select(*cal.second_attributes(F.col("num")))
+def g1_dim_time(stg: DataFrame) -> DataFrame:
+    """One row per distinct second; ``time_key`` = epoch seconds.
+
+    This set grows with the data (up to 31.6 M rows a year), so it is not part of the
+    small-dimension members: facts carry the epoch and derive the attributes."""
+    return stg.filter(F.col("stime").isNotNull()).select("stime").distinct().select(*cal.second_attributes(F.col("stime")))
 
 
 def g1_dim_service(members: DataFrame) -> DataFrame:
     """Distinct non-null services."""
-    return _numbered(_of(members, M_SERVICE), ["name"], "service_key").select(
+    return _g1_members(members, M_SERVICE, "service_key").select(
         "service_key", F.col("name").alias("service_name")
     )
 
 
 def g1_dim_protocol(members: DataFrame) -> DataFrame:
     """Distinct (proto, state) with proto non-null (state may be NULL)."""
-    df = _of(members, M_PROTO_STATE)
-    return _numbered(df, [F.col("name"), F.col("name2").asc_nulls_first()], "protocol_key").select(
+    return _g1_members(members, M_PROTO_STATE, "protocol_key").select(
         "protocol_key", F.col("name").alias("protocol_name"), F.col("name2").alias("protocol_state")
     )
 
 
 def g1_dim_attack_category(members: DataFrame) -> DataFrame:
     """E5: distinct non-null attack categories."""
-    return _numbered(_of(members, M_ATTACK_CAT), ["name"], "category_key").select(
+    return _g1_members(members, M_ATTACK_CAT, "category_key").select(
         "category_key", F.col("name").alias("category_name")
     )
 
@@ -266,12 +285,11 @@ def g1_dim_attack(members: DataFrame, categories: DataFrame) -> DataFrame:
 
     The category name is carried along so facts resolve the key in one lookup.
     """
-    pairs = _of(members, M_ATTACK_FLAG).select(
-        F.col("name").alias("category_name"), (F.col("num") == 1).alias("is_attack")
+    pairs = _g1_members(members, M_ATTACK_FLAG, "attack_key").select(
+        "attack_key", F.col("name").alias("category_name"), (F.col("num") == 1).alias("is_attack")
     )
-    keyed = pairs.join(categories, "category_name", "left")
-    w = Window.orderBy(F.col("category_name").asc_nulls_first(), F.col("is_attack").asc_nulls_first())
-    return keyed.withColumn("attack_key", F.row_number().over(w).cast("int")).select(
+    # Ordered by (category nulls first, is_attack nulls first): num 0 < 1 is false < true.
+    return pairs.join(F.broadcast(categories), "category_name", "left").select(
         "attack_key", "category_key", "category_name", "is_attack"
     )
 

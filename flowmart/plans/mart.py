@@ -114,14 +114,13 @@ class Mart:
             "g1_dim_protocol": per_kind.get(D.M_PROTO_STATE, 0),
             "g1_dim_attack_category": per_kind.get(D.M_ATTACK_CAT, 0),
             "g1_dim_attack": per_kind.get(D.M_ATTACK_FLAG, 0),
-            "g1_dim_time": per_kind.get(D.M_SECOND, 0),
         }
         # Dimensions are deterministic views over the written members (dense keys over a
         # unique natural key), cached; a lost cache block is recomputed from ``members``.
         for name, build in {**_G2_DIMS, **_G1_DIMS}.items():
             self._tables[name] = build(members, self.load_time).cache()
         self._tables["g1_dim_attack"] = D.g1_dim_attack(members, self._tables["g1_dim_attack_category"]).cache()
-        self._tables["g1_dim_time"] = D.g1_dim_time(members)
+        self._tables["g1_dim_time"] = D.g1_dim_time(self.stg)
         self.sizes.update(bound)
         return sum(per_kind.values())
 

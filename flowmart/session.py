@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the mart's semantics depend on (not tuning).
 REQUIRED_CONF = {
@@ -35,6 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # HotSpot does not JIT methods over 8000 bytes of bytecode; above that, split the
+        # stage instead of running one huge interpreted method (Spark's documented setting).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(k, v)
@@ -73,6 +76,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has cores.
+
+    A single small file (one row group) is read by one task, so every operator before
+    the first shuffle would run single-threaded. Inputs with at least as many splits as
+    cores - any input at cluster scale - are returned untouched (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmart.session import spread
 from flowmart.sources.schema import conform
 
 # Fixed values of the mapping (FIXTURES.md section 3).
@@ -33,9 +34,10 @@ def raw_connections(events: DataFrame) -> DataFrame:
     """All derived rows, including the ones that break the staging rules."""
     eid = F.col("event_id")
     uid = F.col("user_id")
-    epoch = F.unix_timestamp(F.col("ts").cast("timestamp"))
-    offset = epoch - F.lit(BASE_EPOCH)
-    compressed = ((offset - offset % 10) / 10).cast("bigint")
+    # TIMESTAMP_NTZ -> epoch seconds of the wall-clock time read as UTC (no zone lookup).
+    epoch = F.unix_timestamp(F.col("ts"))
+    # (x - x % 10) / 10 truncates toward zero, as does the cast of x / 10.
+    compressed = ((epoch - F.lit(BASE_EPOCH)) / 10).cast("bigint")
     stime = F.lit(BASE_EPOCH) + compressed + (eid % 4) * MONTH_SHIFT
     attack_roll = (eid * 31 + uid) % 100 < 35
     category = _pick((eid * 17 + uid) % 9, ATTACK_CATEGORIES)
@@ -84,7 +86,7 @@ def raw_connections(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def staging_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
