@@ -283,7 +283,7 @@ def r11_port_security_analysis(m: Mart) -> DataFrame:
         F.countDistinct("primary_attack_type").alias("attack_types"),
         F.sum(F.when(F.col("exclusive_to_attacks"), 1).otherwise(0)).alias("exclusive_attack_count"),
         *avg_parts("attack_percentage", "avg_attack_percentage"),
-        F.max("last_seen").alias("last_attack_seen"),
+        F.date_format(F.max("last_seen"), TS_FMT).alias("last_attack_seen"),
     )
     return avg_finish(agg, "avg_attack_percentage")
 
@@ -429,7 +429,7 @@ def qd2_service_risk_report(m: Mart) -> DataFrame:
 def qd3_port_usage_report(m: Mart) -> DataFrame:
     return r11_port_security_analysis(m).filter(F.col("avg_attack_percentage") > 0).select(
         "port_number", "range_type", "service_name", "attack_types", "exclusive_attack_count", "avg_attack_percentage",
-        F.date_format("last_attack_seen", TS_FMT).alias("last_attack_seen"),
+        "last_attack_seen",
     )
 
 
