@@ -31,7 +31,12 @@ def conn(m: Mart) -> DataFrame:
 
 
 def hourly(m: Mart) -> DataFrame:
-    return m.table("fact_hourly_traffic", lambda mm: R.hourly_traffic(conn(mm)))
+    """R1, written partitioned by month (time-window readers prune partitions)."""
+    return m.table(
+        "fact_hourly_traffic",
+        lambda mm: R.hourly_traffic(conn(mm)).withColumn("year_month", F.date_format(cal.to_ts(F.col("time_id")), "yyyy-MM")),
+        partition_by=["year_month"],
+    ).drop("year_month")
 
 
 def daily_literal(m: Mart) -> DataFrame:
@@ -301,6 +306,21 @@ def h0_last_24h(m: Mart) -> DataFrame:
     return last_24h(m)
 
 
+def recent(m: Mart, df: DataFrame, table: str | None = None) -> DataFrame:
+    """Rows of a month-partitioned table in the last 24 hours (H0 as a predicate).
+
+    ``datetime >= MAX(datetime) - 24h`` is ``time_id >= MAX(time_id) - 86400`` because
+    ``time_id`` is the epoch of the hour. The bound is a scalar subquery; the matching
+    ``year_month >= month(bound)`` predicate lets the scan prune whole month partitions,
+    so only the last month or two are read whatever the table size."""
+    bound = m["dim_time"].agg(F.max("time_id") - F.lit(86400)).scalar()
+    src = m[table] if table else df
+    pruned = src.filter(
+        (F.col("year_month") >= F.date_format(cal.to_ts(bound), "yyyy-MM")) & (F.col("time_id") >= bound)
+    )
+    return pruned.drop("year_month") if "year_month" in pruned.columns else pruned
+
+
 def _f(m: Mart) -> DataFrame:
     return m["fact_connection"]
 
@@ -338,7 +358,7 @@ def qa2_attack_stats(m: Mart) -> DataFrame:
 
 def qa3_last_24h_volume(m: Mart) -> DataFrame:
     t = m.dim("dim_time").select("time_id", "hour", "day_type")
-    f = _f(m).join(F.broadcast(last_24h(m)), "time_id", "left_semi")
+    f = recent(m, None, "fact_connection")
     f = f.join(_service(m), "service_id").join(t, "time_id").join(_attack(m), "attack_id")
     return f.groupBy("service_name", "day_type", "hour").agg(
         F.count(F.lit(1)).alias("connections"),
@@ -347,7 +367,8 @@ def qa3_last_24h_volume(m: Mart) -> DataFrame:
 
 
 def qb1_last_24h_normal(m: Mart) -> DataFrame:
-    ht = hourly(m).join(F.broadcast(last_24h(m)), "time_id", "left_semi")
+    hourly(m)
+    ht = recent(m, None, "fact_hourly_traffic")
     ht = ht.join(_service(m), "service_id").join(m.dim("dim_time").select("time_id", "hour"), "time_id")
     return ht.select(
         "service_name", "hour", "total_connections", "normal_connections",
@@ -365,7 +386,8 @@ def qb2_port_usage_attacked(m: Mart) -> DataFrame:
 
 
 def qb3_last_24h_by_hour(m: Mart) -> DataFrame:
-    ht = hourly(m).join(F.broadcast(last_24h(m)), "time_id", "left_semi")
+    hourly(m)
+    ht = recent(m, None, "fact_hourly_traffic")
     ht = ht.join(m.dim("dim_time").select("time_id", "hour", "is_business_hour"), "time_id")
     return ht.groupBy("hour", "is_business_hour").agg(
         F.sum("total_connections").alias("total_connections"),
@@ -385,7 +407,7 @@ def qc1_attack_type_distribution(m: Mart) -> DataFrame:
 
 
 def qc2_last_24h_attacks(m: Mart) -> DataFrame:
-    f = _f(m).join(F.broadcast(last_24h(m)), "time_id", "left_semi").join(_attack(m), "attack_id").filter("is_attack")
+    f = recent(m, None, "fact_connection").join(_attack(m), "attack_id").filter("is_attack")
     f = f.join(m.dim("dim_time").select("time_id", "hour"), "time_id")
     agg = f.groupBy("hour", "attack_type").agg(
         F.count(F.lit(1)).alias("attack_count"),

@@ -35,9 +35,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # HotSpot does not JIT methods over 8000 bytes of bytecode; above that, split the
-        # stage instead of running one huge interpreted method (Spark's documented setting).
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(k, v)
