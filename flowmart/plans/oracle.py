@@ -824,3 +824,8 @@ select time_id as window_start, service_name, protocol_name, category as attack_
  cast(sum({BYTES}) as bigint) as total_bytes, cast(sum({PACKETS}) as bigint) as total_packets,
  cast(sum(cast(duration * 1000 as bigint)) as bigint) as duration_ms_sum
 from ft group by time_id, service_name, protocol_name, category""")
+
+oracle("f5_measure_rejects", """
+select service, sport, stime, dur, sload, dload from stg
+where (dur is not null and try_cast(dur as decimal(10,3)) is null) or (sload is not null and try_cast(sload as decimal(10,3)) is null)
+ or (dload is not null and try_cast(dload as decimal(10,3)) is null)""")

@@ -1,18 +1,20 @@
 """Exact continuous percentile without gathering a column into one task.
 
-``percentile_cont(p)`` needs the values at ranks ``floor(h)`` and ``ceil(h)`` with
-``h = p * (N - 1)``. Spark's exact ``percentile`` aggregate merges a map of every distinct
-value in a single task, which does not scale. Instead:
+``percentile_cont(p)`` needs the values of rank ``floor(h)`` and ``ceil(h)`` (0-based,
+``h = p * (N - 1)``). Spark's exact ``percentile`` aggregate merges a map of every
+distinct value in a single task, which does not scale. Instead each order statistic is
+found by narrowing a value band:
 
-1. one pass: ``N`` and an approximate bracket ``[a, b]`` around the target from
-   ``percentile_approx`` (bounded-memory sketch, relative rank error 1/accuracy);
-2. one pass: the number of values below ``a`` and the histogram ``value -> count`` of
-   the values inside ``[a, b]`` (aggregated by Spark; only distinct values of a narrow
-   quantile band reach the driver);
-3. walk the band's cumulative counts to the two ranks and interpolate.
+1. one pass over the current band: its size, an estimate of its distinct values and a
+   ``percentile_approx`` bracket around the target rank (bounded-memory sketch);
+2. one pass: how many band values fall below the bracket and inside it; the band
+   becomes the bracket and the target rank is shifted by the count below;
+3. once the band has at most ``max_band`` distinct values, its histogram
+   ``value -> count`` (aggregated by Spark) is walked on the driver.
 
-If the bracket misses the ranks (heavy ties at the edge), it is widened and step 2
-repeats; the last attempt uses the whole range, which is still exact.
+Each narrowing shrinks the band by about the sketch accuracy (10,000x), so a few
+rounds reach a small band even at 10^12 rows. If a bracket misses the rank (ties at an
+edge), it is widened; the widest bracket is the whole band, which is always right.
 """
 
 from __future__ import annotations
@@ -23,54 +25,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+MAX_BAND = 100_000
 
 
-def exact_percentile_cont(df: DataFrame, col: str, p: float, accuracy: int = ACCURACY) -> float | None:
-    x = F.col(col)
-    values = df.select(x.alias("v")).filter(F.col("v").isNotNull())
-    delta = 3.0 / accuracy
-    while True:
-        lo_p, hi_p = max(0.0, p - delta), min(1.0, p + delta)
-        row = values.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("v", [lo_p, hi_p], accuracy).alias("bracket"),
-        ).first()
-        n = row["n"]
-        if not n:
-            return None
-        a, b = row["bracket"]
-        if lo_p == 0.0:
-            a = None
-        if hi_p == 1.0:
-            b = None
-        result = _resolve(values, n, p, a, b)
-        if result is not None:
-            return result
-        if lo_p == 0.0 and hi_p == 1.0:
-            raise RuntimeError("percentile bracket failed over the full range")
-        delta = min(1.0, delta * 10)
-
-
-def _resolve(values: DataFrame, n: int, p: float, a, b) -> float | None:
+def exact_percentile_cont(df: DataFrame, col: str, p: float, accuracy: int = ACCURACY,
+                          max_band: int = MAX_BAND) -> float | None:
+    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
+    n = values.count()
+    if n == 0:
+        return None
     h = p * (n - 1)
     k_lo, k_hi = math.floor(h), math.ceil(h)
+    v_lo = kth_smallest(values, k_lo, n, accuracy, max_band)
+    v_hi = v_lo if k_hi == k_lo else kth_smallest(values, k_hi, n, accuracy, max_band)
+    return float(v_lo) + (h - k_lo) * (float(v_hi) - float(v_lo))
+
+
+def kth_smallest(values: DataFrame, k: int, n: int, accuracy: int = ACCURACY, max_band: int = MAX_BAND):
+    """The 0-based ``k``-th smallest value of column ``v`` (``n`` non-null values)."""
     v = F.col("v")
-    scoped = values if b is None else values.filter(v <= F.lit(b))
-    bucket = v if a is None else F.when(v < F.lit(a), F.lit(None)).otherwise(v)
-    hist = scoped.groupBy(bucket.alias("value")).agg(F.count(F.lit(1)).alias("c")).collect()
-    below = sum(r["c"] for r in hist if r["value"] is None)
-    band = sorted((r["value"], r["c"]) for r in hist if r["value"] is not None)
-    if k_lo < below:
-        return None
-    cum = below
-    v_lo = v_hi = None
-    for value, c in band:
-        if v_lo is None and k_lo < cum + c:
-            v_lo = value
-        if k_hi < cum + c:
-            v_hi = value
-            break
+    band, band_n, target = values, n, k
+    while True:
+        stats = band.agg(F.approx_count_distinct(v).alias("d")).first()
+        if stats["d"] <= max_band:
+            return _walk(band, target)
+        q = target / max(band_n - 1, 1)
+        delta = 3.0 / accuracy
+        while True:
+            lo_q, hi_q = max(0.0, q - delta), min(1.0, q + delta)
+            a, b = band.agg(F.percentile_approx(v, [lo_q, hi_q], accuracy)).first()[0]
+            counts = band.agg(
+                F.count(F.when(v < F.lit(a), 1)).alias("below"),
+                F.count(F.when(v.between(F.lit(a), F.lit(b)), 1)).alias("inside"),
+            ).first()
+            if counts["below"] <= target < counts["below"] + counts["inside"]:
+                break
+            if lo_q == 0.0 and hi_q == 1.0:
+                return _walk(band, target)  # cannot narrow further: exact walk of the band
+            delta = min(1.0, delta * 10)
+        if counts["inside"] == band_n:  # all ties or no progress: the band is one value range
+            return _walk(band, target)
+        target -= counts["below"]
+        band_n = counts["inside"]
+        band = band.filter(v.between(F.lit(a), F.lit(b)))
+
+
+def _walk(band: DataFrame, target: int):
+    """Histogram of a small band (<= max_band distinct values), walked to ``target``."""
+    hist = sorted((r["v"], r["c"]) for r in band.groupBy("v").agg(F.count(F.lit(1)).alias("c")).collect())
+    cum = 0
+    for value, c in hist:
+        if target < cum + c:
+            return value
         cum += c
-    if v_lo is None or v_hi is None:
-        return None
-    return float(v_lo) + (h - k_lo) * (float(v_hi) - float(v_lo))
+    raise RuntimeError("rank outside the band")

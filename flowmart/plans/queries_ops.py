@@ -49,6 +49,13 @@ def s3_parse_raw_lines(m: Mart) -> DataFrame:
     return CSV.parse_lines(CSV.read_raw_lines(m.spark, path)).select(*USED)
 
 
+def f5_measure_rejects(m: Mart) -> DataFrame:
+    """clean staging rows whose NUMERIC(10,3) measures overflow (``try_cast`` gives NULL)."""
+    from flowmart.operators.facts import g2_measures
+
+    return QL.fact_measure_rejects(g2_measures(m.stg)).select("service", "sport", "stime", "dur", "sload", "dload")
+
+
 def s7_rejected_rows(m: Mart) -> DataFrame:
     return QL.rejected_rows(m.raw).select("srcip", "sport", "dstip", "dsport", "dur", "stime", "ltime", "error_message")
 
@@ -58,9 +65,12 @@ def s9_quality_profile(m: Mart) -> DataFrame:
 
 
 def s11_staging_counts(m: Mart) -> DataFrame:
-    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    return m["dim_time"].limit(1).select(
-        n(m.raw).alias("source_data"), n(m.stg).alias("valid_rows"), n(QL.rejected_rows(m.raw)).alias("rejected_rows")
+    """Raw, clean and rejected staging rows, in one pass."""
+    ok = QL.row_is_valid()
+    return m.raw.agg(
+        F.count(F.lit(1)).alias("source_data"),
+        F.count(F.when(ok, 1)).alias("valid_rows"),
+        F.count(F.when(~ok, 1)).alias("rejected_rows"),
     )
 
 
@@ -133,9 +143,14 @@ def v5_orphan_matrix(m: Mart) -> DataFrame:
 
 
 def v6_active_service_facts(m: Mart) -> DataFrame:
-    kept = V.facts_of_active_services(m["fact_connection"], m["dim_service"]).agg(F.count(F.lit(1))).scalar()
-    total = m["fact_connection"].agg(F.count(F.lit(1))).scalar()
-    return m["dim_time"].limit(1).select(kept.alias("kept_rows"), (total - kept).alias("removed_rows"))
+    """V6: facts kept / removed by the active-service rule, in one pass (the kept rows
+    themselves are ``validation.facts_of_active_services``)."""
+    active = F.broadcast(m["dim_service"].filter("is_active").select("service_id", F.lit(True).alias("_active")))
+    f = m["fact_connection"].join(active, "service_id", "left")
+    return f.agg(
+        F.count(F.when(F.col("_active"), 1)).alias("kept_rows"),
+        F.count(F.when(F.col("_active").isNull(), 1)).alias("removed_rows"),
+    )
 
 
 def v7_audit_summary(m: Mart) -> DataFrame:
@@ -177,7 +192,7 @@ def v9_business_rules(m: Mart) -> DataFrame:
         ("unclassified_connections", n(f.filter(F.col("attack_id").isNull()))),
         ("severity_mismatch", n(bad_sev)),
     ]
-    host = m["dim_time"].limit(1)
+    host = m.spark.range(1)  # one row carrying the scalar subqueries over the mart tables
     parts = [host.select(F.lit(name).alias("rule"), value.cast("bigint").alias("violations")) for name, value in rules]
     out = parts[0]
     for p in parts[1:]:

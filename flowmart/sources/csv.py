@@ -113,3 +113,15 @@ def missing_required_features(features: DataFrame) -> DataFrame:
     spark = features.sparkSession
     required = spark.createDataFrame([(n,) for n in REQUIRED_FEATURES], "name string")
     return required.join(features.select(F.lower(F.trim("name")).alias("name")), "name", "left_anti")
+
+
+def load_all(spark: SparkSession, features_path: str, data_path: str) -> tuple[DataFrame, DataFrame]:
+    """Check the feature dictionary (all required names present), load the data
+    files, and return (staging, one-row data-quality profile)."""
+    from flowmart.operators.quality import quality_profile
+
+    missing = [r["name"] for r in missing_required_features(read_features(spark, features_path)).collect()]
+    if missing:
+        raise ValueError(f"Missing required features in metadata: {', '.join(sorted(missing))}")
+    staging = load_source_data(spark, data_path)
+    return staging, quality_profile(staging)

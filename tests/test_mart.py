@@ -101,3 +101,20 @@ def test_last_24h_inclusive(spark):
     m = Mart(spark, staging(spark, [row(stime=t, ltime=t) for t in (h, h - 24 * 3600, h - 25 * 3600)])).build()
     kept = sorted(r.time_id for r in G2.h0_last_24h(m).collect())
     assert kept == [h - 24 * 3600, h]
+
+
+def test_measure_overflow_is_rejected(spark):
+    from flowmart.operators.facts import g2_measures
+
+    df = staging(spark, [row(), row(sload=99999999.0)])
+    rejects = QL.fact_measure_rejects(g2_measures(df)).collect()
+    assert len(rejects) == 1 and rejects[0].sload == 99999999.0
+
+
+def test_orphans_raise(spark, small_mart):
+    from flowmart.operators import validation as V
+
+    fact = small_mart["fact_connection"].withColumn("service_id", F.lit(999))
+    counts = V.orphan_counts(fact, {k: small_mart[k] for k in ("dim_time", "dim_service", "dim_port", "dim_state", "dim_protocol", "dim_attack")})
+    with pytest.raises(ValueError, match="Orphaned service_id references: 10"):
+        V.raise_on_errors(V.orphan_messages(counts))

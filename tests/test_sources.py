@@ -83,3 +83,17 @@ def test_required_features(spark, tmp_path):
     p.write_text("feature_id,name,data_type,description\n1,srcip,nominal,x\n2,sport,integer,y\n")
     missing = {r.name for r in CSV.missing_required_features(CSV.read_features(spark, str(p))).collect()}
     assert missing == {"dstip", "dsport", "proto", "state", "service", "attack_cat", "label"}
+
+
+def test_load_all_checks_features(spark, tmp_path):
+    import pytest
+
+    feats = tmp_path / "f.csv"
+    feats.write_text("feature_id,name,data_type,description\n" + "\n".join(
+        f"{i},{n},t,d" for i, n in enumerate(["srcip", "sport", "dstip", "dsport", "proto", "state", "service", "attack_cat", "label"])))
+    data = _write([LINE1, LINE8])
+    staging, profile = CSV.load_all(spark, str(feats), data)
+    assert staging.count() == 2 and profile.first().total_records == 2
+    feats.write_text("feature_id,name,data_type,description\n1,srcip,t,d\n")
+    with pytest.raises(ValueError, match="Missing required features"):
+        CSV.load_all(spark, str(feats), data)
