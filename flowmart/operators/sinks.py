@@ -55,7 +55,11 @@ class Audit:
         self._next = 1
 
     def _append(self, row: tuple) -> None:
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        # Built from JVM literals (no Python rows to ship to executors).
+        names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
+        types = [f.split()[1] for f in AUDIT_SCHEMA.split(", ")]
+        cols = [F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)]
+        self.spark.range(1).select(*cols).write.mode("append").parquet(self.path)
 
     def start(self, level: str) -> tuple[int, _dt.datetime]:
         batch_id = self._next

@@ -72,9 +72,6 @@ class Mart:
             self.sizes[name] = out.count()
         return out
 
-    def has(self, name: str) -> bool:
-        return name in self._tables
-
     def table(self, name: str, builder: Callable[["Mart"], DataFrame] | None = None,
               partition_by: list[str] | None = None) -> DataFrame:
         """A materialised table; built from ``builder`` and written on first use."""
@@ -160,11 +157,3 @@ def get_mart(spark: SparkSession, sf_dir: str) -> Mart:
             mart.sf_dir = sf_dir.rstrip("/")
             _MARTS[key] = mart
     return mart.build()
-
-
-def mart_tables(mart: Mart) -> dict[str, DataFrame]:
-    return dict(mart._tables)
-
-
-def lit_null(dtype: str):
-    return F.lit(None).cast(dtype)

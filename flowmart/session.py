@@ -6,7 +6,6 @@ machine's zone) and AQE. Everything else is left to whoever built the session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,15 +87,3 @@ def spread(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def _strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(_strip_scheme(path))

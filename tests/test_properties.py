@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-import tempfile
 
 import numpy as np
 import pytest
