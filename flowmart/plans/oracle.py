@@ -803,7 +803,9 @@ union all select 'fact_daily_traffic_declared', 'time_id,service_id,protocol_id,
 oracle("v9_business_rules", """
 select 'hour_gaps' as rule, (select count(*) from (select time_id, lead(time_id) over (order by time_id) - time_id as step from dim_time) where step > 3600) as violations
 union all select 'future_hours', (select count(*) from dim_time where datetime > now()::timestamp)
-union all select 'hourly_rollup_mismatch', (select abs((select sum(total_connections) from r1) - (select count(*) from ft)))::bigint
+union all select 'hourly_rollup_mismatch', (select count(*) from (select time_id, service_name, protocol_name, category as attack_category, count(*) as n
+   from ft group by all) x full outer join r1 using (time_id, service_name, protocol_name, attack_category)
+   where x.n is distinct from r1.total_connections)
 union all select 'inactive_services', 0::bigint
 union all select 'ports_out_of_range', (select count(*) from ft where dest_port not between 0 and 65535)
 union all select 'unclassified_connections', (select count(*) from ft where category is null)
