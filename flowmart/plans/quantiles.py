@@ -20,6 +20,7 @@ edge), it is widened; the widest bracket is the whole band, which is always righ
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +30,27 @@ MAX_BAND = 100_000
 
 
 def exact_percentile_cont(df: DataFrame, col: str, p: float, accuracy: int = ACCURACY,
-                          max_band: int = MAX_BAND) -> float | None:
+                          max_band: int = MAX_BAND, as_decimal: bool = False) -> float | Decimal | None:
+    """``percentile_cont(p)`` of ``col``. With ``as_decimal`` (decimal columns) the
+    interpolation is done in exact decimal arithmetic and a ``Decimal`` is returned."""
     values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
     n = values.count()
     if n == 0:
         return None
-    h = p * (n - 1)
+    h = Decimal(str(p)) * (n - 1)
     k_lo, k_hi = math.floor(h), math.ceil(h)
     v_lo = kth_smallest(values, k_lo, n, accuracy, max_band)
     v_hi = v_lo if k_hi == k_lo else kth_smallest(values, k_hi, n, accuracy, max_band)
-    return float(v_lo) + (h - k_lo) * (float(v_hi) - float(v_lo))
+    if as_decimal:
+        return Decimal(v_lo) + (h - k_lo) * (Decimal(v_hi) - Decimal(v_lo))
+    return float(v_lo) + float(h - k_lo) * (float(v_hi) - float(v_lo))
+
+
+def next_above(t: Decimal, scale: int) -> Decimal:
+    """Smallest value with ``scale`` decimals strictly greater than ``t``: for a column
+    of that scale, ``x > t`` is ``x >= next_above(t)``, a predicate parquet can push."""
+    step = Decimal(1).scaleb(-scale)
+    return (t / step).to_integral_value(rounding="ROUND_FLOOR") * step + step
 
 
 def kth_smallest(values: DataFrame, k: int, n: int, accuracy: int = ACCURACY, max_band: int = MAX_BAND):

@@ -15,7 +15,7 @@ from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6,
 from flowmart.operators.facts import derived_metrics
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart
-from flowmart.plans.quantiles import exact_percentile_cont
+from flowmart.plans.quantiles import exact_percentile_cont, next_above
 
 
 def _conn(m: Mart) -> DataFrame:
@@ -34,9 +34,12 @@ def p1_duration_anomalies(m: Mart) -> DataFrame:
     The percentile is exact but computed without gathering the column in one task (see
     ``flowmart.plans.quantiles``)."""
     f = m["fact_connection"]
-    threshold = exact_percentile_cont(f, "duration", 0.95)
+    threshold = exact_percentile_cont(f, "duration", 0.95, as_decimal=True)
+    # duration is decimal(10,3): "> t" is ">= the next 3-decimal value above t", compared
+    # without a cast on the column, so the bound reaches the parquet scan.
+    bound = F.lit(next_above(threshold, 3)).cast("decimal(10,3)")
     svc = m.dim("dim_service").select("service_id", F.col("name").alias("service_name"))
-    agg = f.filter(F.col("duration") > F.lit(threshold)).join(svc, "service_id").groupBy("service_name").agg(
+    agg = f.filter(F.col("duration") >= bound).join(svc, "service_id").groupBy("service_name").agg(
         F.count(F.lit(1)).alias("connections"), *avg_parts("duration", "avg_duration")
     )
     return avg_finish(agg, "avg_duration")
