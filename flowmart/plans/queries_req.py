@@ -195,7 +195,7 @@ def k9_top5_service_summary(m: Mart) -> DataFrame:
         F.countDistinct("month").alias("active_months"),
     )
     top = stats.orderBy(F.col("attack_connections").desc(), F.col("service_name")).limit(5)
-    ports = f.join(top.select("service_name"), "service_name", "left_semi").groupBy("service_name", "dest_port").agg(
+    ports = f.join(F.broadcast(top.select("service_name")), "service_name", "left_semi").groupBy("service_name", "dest_port").agg(
         F.count(F.lit(1)).alias("n")
     )
     w = Window.partitionBy("service_name").orderBy(F.col("n").desc(), F.col("dest_port"))

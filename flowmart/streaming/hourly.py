@@ -74,8 +74,18 @@ def start(spark: SparkSession, events_dir: str, sink_dir: str, checkpoint_dir: s
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(sink_dir)
 
     writer = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir).foreachBatch(write_batch)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    if not available_now:
+        return writer.trigger(processingTime="1 minute").start()
+    # A run-to-completion needs no trailing empty batch: in update mode every changed group
+    # has been emitted with its data batch. The query copies the session conf at start,
+    # so the setting is restored right after without affecting it.
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def latest_rollup(spark: SparkSession, sink_dir: str) -> DataFrame:
