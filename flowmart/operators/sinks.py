@@ -11,6 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AUDIT_SCHEMA = (
     "batch_id bigint, start_time timestamp, end_time timestamp, status string, "
@@ -25,7 +26,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # Read back with the written schema (partition columns last, as on disk): an empty
+    # result leaves no data files, and inference would fail.
+    parts = set(partition_by or [])
+    fields = [f for f in df.schema.fields if f.name not in parts] + [f for f in df.schema.fields if f.name in parts]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, natural_key: list[str]) -> DataFrame:

@@ -25,6 +25,11 @@ from flowmart.sources.schema import conform
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 KEYS = ["window_start", "service_name", "protocol_name", "attack_category"]
+SINK_SCHEMA = (
+    "window_start bigint, service_name string, protocol_name string, attack_category string, "
+    "total_connections bigint, normal_connections bigint, attack_connections bigint, total_bytes bigint, "
+    "total_packets bigint, duration_ms_sum bigint, batch_id bigint"
+)
 
 
 def connection_stream(spark: SparkSession, events_dir: str, file_glob: str = "events*.parquet",
@@ -90,7 +95,12 @@ def start(spark: SparkSession, events_dir: str, sink_dir: str, checkpoint_dir: s
 
 def latest_rollup(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Newest value per group (highest batch id) - one aggregation, no window."""
-    df = spark.read.parquet(sink_dir)
+    try:
+        df = spark.read.schema(SINK_SCHEMA).parquet(sink_dir)
+    except Exception as exc:  # noqa: BLE001 - no batch has produced rows yet
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        df = spark.createDataFrame([], SINK_SCHEMA)
     measures = [c for c in df.columns if c not in KEYS and c != "batch_id"]
     return df.groupBy(*KEYS).agg(
         *[F.max_by(F.col(m), F.col("batch_id")).alias(m) for m in measures]
