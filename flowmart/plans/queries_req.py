@@ -36,8 +36,12 @@ def p1_duration_anomalies(m: Mart) -> DataFrame:
     f = m["fact_connection"]
     threshold = exact_percentile_cont(f, "duration", 0.95, as_decimal=True)
     # duration is decimal(10,3): "> t" is ">= the next 3-decimal value above t", compared
-    # without a cast on the column, so the bound reaches the parquet scan.
-    bound = F.lit(next_above(threshold, 3)).cast("decimal(10,3)")
+    # without a cast on the column, so the bound reaches the parquet scan. No durations:
+    # no percentile, so nothing is above it.
+    if threshold is None:
+        bound = F.lit(None).cast("decimal(10,3)")
+    else:
+        bound = F.lit(next_above(threshold, 3)).cast("decimal(10,3)")
     svc = m.dim("dim_service").select("service_id", F.col("name").alias("service_name"))
     agg = f.filter(F.col("duration") >= bound).join(svc, "service_id").groupBy("service_name").agg(
         F.count(F.lit(1)).alias("connections"), *avg_parts("duration", "avg_duration")

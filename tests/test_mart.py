@@ -118,3 +118,15 @@ def test_orphans_raise(spark, small_mart):
     counts = V.orphan_counts(fact, {k: small_mart[k] for k in ("dim_time", "dim_service", "dim_port", "dim_state", "dim_protocol", "dim_attack")})
     with pytest.raises(ValueError, match="Orphaned service_id references: 10"):
         V.raise_on_errors(V.orphan_messages(counts))
+
+
+def test_every_query_runs_on_an_empty_mart(spark):
+    """All rows rejected: every registered query returns (possibly empty) results."""
+    from flowmart.plans.registry import REGISTRY
+
+    m = Mart(spark, staging(spark, [row(dsport=70000)])).build()
+    assert m["fact_connection"].count() == 0
+    for name, fn in REGISTRY.items():
+        if name.startswith("x1"):  # needs an events directory
+            continue
+        fn(m).count()
