@@ -72,3 +72,12 @@ def pct(part: Column, whole: Column) -> Column:
 def ratio(num: Column, den: Column, scale: int = ROUND) -> Column:
     """``num / NULLIF(den, 0)`` rounded to ``scale`` decimals."""
     return F.round(F.try_divide(num.cast("double"), F.nullif(den.cast("double"), F.lit(0.0))), scale)
+
+
+def small_distinct(col: Column | str) -> Column:
+    """Exact ``COUNT(DISTINCT col)`` for a small non-negative integer domain (< 63 values,
+    e.g. hour of day, day of month, month): popcount of ``bit_or(2^col)``. Unlike a
+    distinct aggregate it needs no Expand (row replication) and combines map-side."""
+    c = _c(col)
+    bit = F.pow(F.lit(2), c).cast("bigint")  # 2^c is exact in double and bigint for c <= 62
+    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")

@@ -87,7 +87,9 @@ def hourly_traffic(conn: DataFrame) -> DataFrame:
         *_avg3(_when_attack(bytes_, True), "avg_bytes_per_attack"),
         *_avg3(_when_attack(c("source_load"), False), "avg_load_normal"),
         *_avg3(_when_attack(c("source_load"), True), "avg_load_attack"),
-        F.countDistinct("service_id").alias("distinct_services"),
+        # COUNT(DISTINCT service_id) in a group keyed by the (never NULL) service_id is 1:
+        # stated as such, it costs no Expand replica of every fact row.
+        F.lit(1).cast("bigint").alias("distinct_services"),
         (F.countDistinct("source_port_id") + F.countDistinct("dest_port_id")).alias("distinct_ports"),
     )
     agg = avg_finish(agg, HOURLY_AVGS, DEC3, zero_if_null=True)

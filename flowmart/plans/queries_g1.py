@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowmart.plans.mart import Mart
 
-from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6, ratio
+from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6, ratio, small_distinct
 
 
 def _ts(m: Mart) -> Column:
@@ -207,7 +207,8 @@ def d4q_top_attacked_services(m: Mart) -> DataFrame:
     """Top 5 services by attack count (ties broken by name) with a per-service summary.
 
     ``common_ports`` is the sorted distinct destination-port list joined by ','; it is
-    bounded by the port domain. Distinct counts are pre-aggregated by Catalyst (Expand).
+    bounded by the port domain. Active hours / days / months are small-domain distinct
+    counts (bitmask popcount), so the aggregate needs no Expand.
     """
     f = fact(m, "service", "attack", "time")
     stats = f.groupBy("service_name").agg(
@@ -215,9 +216,9 @@ def d4q_top_attacked_services(m: Mart) -> DataFrame:
         F.sum(F.when(F.col("is_attack"), 1).otherwise(0)).alias("attack_count"),
         *avg_parts("duration", "avg_duration"),
         F.array_join(F.sort_array(F.collect_set("dst_port")), ",").alias("common_ports"),
-        F.countDistinct("hour").alias("active_hours"),
-        F.countDistinct("day").alias("active_days"),
-        F.countDistinct("month").alias("active_months"),
+        small_distinct("hour").alias("active_hours"),
+        small_distinct("day").alias("active_days"),
+        small_distinct("month").alias("active_months"),
     )
     return (
         avg_finish(stats, "avg_duration")

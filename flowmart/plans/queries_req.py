@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
-from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6, ratio
+from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6, ratio, small_distinct
 from flowmart.operators.facts import derived_metrics
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart
@@ -194,9 +194,9 @@ def k9_top5_service_summary(m: Mart) -> DataFrame:
         F.count(F.when(ia, 1)).alias("attack_connections"),
         *avg_parts(F.when(~ia, F.col("duration")), "avg_duration_normal"),
         *avg_parts(F.when(ia, F.col("duration")), "avg_duration_attack"),
-        F.countDistinct("hour").alias("active_hours"),
-        F.countDistinct("day").alias("active_days"),
-        F.countDistinct("month").alias("active_months"),
+        small_distinct("hour").alias("active_hours"),
+        small_distinct("day").alias("active_days"),
+        small_distinct("month").alias("active_months"),
     )
     top = stats.orderBy(F.col("attack_connections").desc(), F.col("service_name")).limit(5)
     ports = f.join(F.broadcast(top.select("service_name")), "service_name", "left_semi").groupBy("service_name", "dest_port").agg(
