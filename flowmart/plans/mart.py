@@ -3,7 +3,7 @@
 Build (``Mart.build``), per generation:
 
 1. one scan of clean staging -> ``members`` (distinct natural keys of every small
-   dimension, map-side combined) -> written;
+   dimension, map-side combined, numbered by one window partitioned by kind) -> written;
 2. one grouped count of ``members`` bounds the size of every dimension (the bound is what
    decides broadcast vs shuffle for later lookups); each dimension is a deterministic,
    cached view over ``members``;
@@ -57,6 +57,8 @@ class Mart:
         self.stg = valid_rows(staging)
         self.root = root or scratch_path(spark, "mart")
         self.audit = Audit(spark, f"{self.root}/etl_control")
+        # valid_from of every first dimension version: a fixed instant, so that a rebuild
+        # of the same input gives identical dimensions (idempotent load).
         self.load_time = _dt.datetime(2024, 1, 1)
         self._tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}

@@ -97,3 +97,19 @@ def test_load_all_checks_features(spark, tmp_path):
     feats.write_text("feature_id,name,data_type,description\n1,srcip,t,d\n")
     with pytest.raises(ValueError, match="Missing required features"):
         CSV.load_all(spark, str(feats), data)
+
+
+def test_line_numbers_restart_per_file(tmp_path):
+    """Each file numbers its own lines from 1."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    d = tmp_path / "multi"
+    d.mkdir()
+    for name, n in (("a.csv", 5), ("b.csv", 3)):
+        (d / name).write_text("\n".join(LINE8 for _ in range(n)))
+    rows = CSV.read_raw_lines(spark, str(d)).collect()
+    by_file: dict[str, list[int]] = {}
+    for r in rows:
+        by_file.setdefault(r.file_name.rsplit("/", 1)[-1], []).append(r.line_number)
+    assert {k: sorted(v) for k, v in by_file.items()} == {"a.csv": [1, 2, 3, 4, 5], "b.csv": [1, 2, 3]}
