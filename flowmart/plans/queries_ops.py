@@ -93,7 +93,10 @@ def s14_merge_ports(m: Mart) -> DataFrame:
     into the port dimension; existing rows win, new ports get the next ids."""
     existing = m["dim_port"].select("port_id", "port_number", "range_type", "default_service")
     raw_members = D.dimension_members(m.raw)
-    new = D.g2_dim_port(raw_members, m.load_time).select("port_id", "port_number", "range_type", "default_service")
+    # Only real members are candidates; the default member (id 0) exists in every build.
+    new = D.g2_dim_port(raw_members, m.load_time).filter(F.col("port_id") != 0).select(
+        "port_id", "port_number", "range_type", "default_service"
+    )
     merged = sinks.insert_if_absent(new, existing, ["port_number"])
     return merged.select("port_number", "range_type", "default_service")
 
