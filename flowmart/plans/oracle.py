@@ -681,6 +681,8 @@ left join (
 
 oracle("k10_service_protocol_matrix", "select service_name, protocol_name, count(*) as connections from ft group by service_name, protocol_name")
 oracle("k10_port_service_matrix", "select dest_port, service_name, count(*) as connections from ft group by dest_port, service_name")
+oracle("k10_service_protocol_pivot", """
+select * from (pivot (select service_name, protocol_name from ft) on protocol_name using count(*) group by service_name)""")
 oracle("k10_attack_service_matrix", "select category as attack_category, service_name, count(*) as connections from ft group by category, service_name")
 
 oracle("k11_derived_metrics", f"""

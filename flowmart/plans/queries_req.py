@@ -229,9 +229,12 @@ def k10_attack_service_matrix(m: Mart) -> DataFrame:
 
 
 def k10_service_protocol_pivot(m: Mart) -> DataFrame:
-    """Wide form of the service x protocol matrix; the pivot values come from the
-    (size-checked) protocol dimension, so Spark does not have to discover them."""
-    protocols = sorted(r["name"] for r in m["dim_protocol"].select("name").collect())
+    """Wide form of the service x protocol matrix. The pivot values are the protocols
+    that occur in the fact (a distinct over ``protocol_id``: partial-aggregated, at most
+    the protocol dimension's size), passed explicitly so Spark does not rediscover them."""
+    seen = m["fact_connection"].select("protocol_id").distinct()
+    names = m.dim("dim_protocol").join(seen, "protocol_id", "left_semi").select("name").collect()
+    protocols = sorted(r["name"] for r in names)
     f = G2.named(m["fact_connection"], m, "service", "protocol")
     return f.groupBy("service_name").pivot("protocol_name", protocols).agg(F.count(F.lit(1))).fillna(0)
 
