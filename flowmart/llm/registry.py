@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from flowmart.llm import sentencepiece_bpe, token_files, topk
+from flowmart.llm import licenses, mixing, sentencepiece_bpe, token_files, topk
 
 QUERIES = {
     "op2_topk": topk.op2_topk,
+    "op3_mixing": mixing.op3_mixing,
     "op4_sentencepiece": sentencepiece_bpe.op4_sentencepiece,
     "op5_token_files": token_files.op5_token_files,
+    "op10_licenses": licenses.op10_licenses,
 }
 
-ORACLE: dict[str, str] = {**topk.ORACLE}
+ORACLE: dict[str, str] = {**topk.ORACLE, **mixing.ORACLE}
