@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from flowmart.llm import licenses, mixing, sentencepiece_bpe, token_files, topk
+from flowmart.llm import licenses, mixing, quality, sentencepiece_bpe, token_files, topk
 
 QUERIES = {
     "op2_topk": topk.op2_topk,
     "op3_mixing": mixing.op3_mixing,
     "op4_sentencepiece": sentencepiece_bpe.op4_sentencepiece,
     "op5_token_files": token_files.op5_token_files,
+    "op7_quality": quality.op7_quality,
     "op10_licenses": licenses.op10_licenses,
 }
 
