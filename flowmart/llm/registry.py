@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowmart.llm import licenses, mixing, quality, sentencepiece_bpe, token_files, topk
+from flowmart.llm import licenses, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
 
 QUERIES = {
     "op2_topk": topk.op2_topk,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_sentencepiece": sentencepiece_bpe.op4_sentencepiece,
     "op5_token_files": token_files.op5_token_files,
     "op7_quality": quality.op7_quality,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op10_licenses": licenses.op10_licenses,
 }
 
