@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowmart.llm import licenses, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
+from flowmart.llm import licenses, lm_scoring, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
 
 QUERIES = {
+    "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op2_topk": topk.op2_topk,
     "op3_mixing": mixing.op3_mixing,
     "op4_sentencepiece": sentencepiece_bpe.op4_sentencepiece,
