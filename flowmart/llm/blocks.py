@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.llm.common import ship, shuffle_partitions
@@ -21,17 +21,24 @@ from flowmart.session import scratch_path
 #: Rows per block (a block is what one Python task holds at a time).
 BLOCK_ROWS = 4096
 BLOCK = "__block"
+#: A number for each row of the written table.
+ROW = "__row"
+
+
+def block_of(row: Column, rows: int = BLOCK_ROWS) -> Column:
+    return F.shiftright(row, max(0, (rows - 1).bit_length()))
 
 
 def blocked(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
-    """``docs`` with a ``__block`` column, written to the shared folder in buckets of it."""
+    """``docs`` with columns ``__block`` and ``__row``, written to the shared folder in buckets of
+    the block. ``block_of`` gives the block of a row number."""
     spark = docs.sparkSession
     ship(spark)
-    bits = max(0, (rows - 1).bit_length())
     path = scratch_path(spark, "blocks")
     name = f"flowmart_blocks_{uuid.uuid4().hex}"
     (
-        docs.withColumn(BLOCK, F.shiftright(F.monotonically_increasing_id(), bits))
+        docs.withColumn(ROW, F.monotonically_increasing_id())
+        .withColumn(BLOCK, block_of(F.col(ROW), rows))
         .write.mode("error")
         .bucketBy(shuffle_partitions(spark), BLOCK)
         .option("path", path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowmart.llm import licenses, lm_scoring, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
+from flowmart.llm import licenses, lm_scoring, minhash_dedup, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_sentencepiece": sentencepiece_bpe.op4_sentencepiece,
     "op5_token_files": token_files.op5_token_files,
+    "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
     "op7_quality": quality.op7_quality,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op10_licenses": licenses.op10_licenses,
