@@ -93,10 +93,18 @@ def shares_taken(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def _with_text(docs: DataFrame, text: Column) -> Column:
+    row = F.col("row").withField("text", text)
+    if "n_chars" in docs.columns:
+        whole = F.col("s.words") == F.col("size")
+        row = row.withField("n_chars", F.when(whole, F.col("row.n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
+    return row
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents (all columns of ``docs``), globally sorted by virtual finish time. A
     document taken twice is there twice; one that the cut falls into ends with the last word
-    that is taken."""
+    that is taken (and ``n_chars``, if there, with it)."""
     rows = docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), F.struct("*").alias("row"))
     serving = F.explode(F.array(*[F.struct(F.lit(i).alias("serving"), part(i).alias("words")) for i in range(REPEATS)])).alias("s")
     items = served(rows).select("row", "key", "doc_id", "size", "before", "source_size", "target", serving).where("s.words > 0")
@@ -106,7 +114,7 @@ def mix(docs: DataFrame) -> DataFrame:
     blank_first = F.when(F.col("row.text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     start = F.rtrim(F.array_join(F.slice(pieces, F.lit(1), (F.col("s.words") + blank_first).cast("int")), ""))
     text = F.when(F.col("s.words") == F.col("size"), F.col("row.text")).otherwise(start)
-    out = items.select(finish.alias("finish"), "key", "doc_id", F.col("s.serving").alias("serving"), F.col("row").withField("text", text).alias("row"))
+    out = items.select(finish.alias("finish"), "key", "doc_id", F.col("s.serving").alias("serving"), _with_text(docs, text).alias("row"))
     out = out.repartitionByRange(shuffle_partitions(docs.sparkSession), "finish", "key").sortWithinPartitions("finish", "key", "doc_id", "serving")
     return out.select("row.*")
 

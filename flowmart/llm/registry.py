@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from flowmart.llm import licenses, lm_scoring, minhash_dedup, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
+import corpus_pipeline
+from flowmart.llm import html_extraction, licenses, lm_scoring, minhash_dedup, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -13,7 +14,11 @@ QUERIES = {
     "op6_minhash_dedup": minhash_dedup.op6_minhash_dedup,
     "op7_quality": quality.op7_quality,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_licenses": licenses.op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {**topk.ORACLE, **mixing.ORACLE}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
