@@ -50,28 +50,51 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, kept for the largest length asked for."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        _POWERS[:] = []
+        for base in (_BASE, _INVERSE):
+            p = np.full(n, base, np.uint64)
+            p[0] = 1
+            _POWERS.append(np.cumprod(p, out=p))
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 class PrefixHashes:
     """Polynomial prefix hashes modulo 2**64 of a byte array: the hash of any substring is
     (prefix[i + n] - prefix[i]) divided by base**i."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        powers = np.full(n + 1, _BASE, np.uint64)
-        powers[0] = 1
-        np.cumprod(powers, out=powers)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUE[data] * powers[:n], out=self.prefix[1:])
-        powers[1:] = _INVERSE
-        np.cumprod(powers, out=powers)
-        self.inverse = powers
+        powers, self.inverse = _powers(len(data) + 1)
+        self.prefix = np.zeros(len(data) + 1, np.uint64)
+        values = _VALUE[data]
+        values *= powers[: len(data)]
+        np.cumsum(values, out=self.prefix[1:])
 
     def at(self, i: np.ndarray, n) -> np.ndarray:
         return (self.prefix[i + n] - self.prefix[i]) * self.inverse[i]
 
+    def every(self, n: int) -> np.ndarray:
+        """The hash of every substring of ``n`` bytes."""
+        h = self.prefix[n:] - self.prefix[:-n]
+        h *= self.inverse[: len(h)]
+        return h
+
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, .. (size[0] numbers), then the same from begin[1], and so on."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 class Texts:
@@ -88,30 +111,37 @@ class Texts:
         self.known = ~np.asarray(ids.is_null())
         self.doc = ids.fill_null(0).to_numpy()
 
-    def anchors(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per piece: (hash, anchor place, first and last window start, row) of every anchor;
-        an anchor stands for a run of neighbouring windows that share it."""
+    def anchors(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """Per piece of the text: (hash, anchor place, first and last window start, row, hash of
+        the stretch from the first window to the last one's end) of every anchor; an anchor
+        stands for a run of neighbouring windows that share it."""
         n = len(self.data)
+        low = np.uint64((1 << 20) - 1)
         for a in range(0, max(0, n - LENGTH + 1), PIECE):
             b = min(a + PIECE, n - LENGTH + 1)  # window starts a .. b - 1
-            grams = b - a + REACH - 1
-            h = _mixed(PrefixHashes(self.data[a : a + grams + GRAM - 1]).at(np.arange(grams), GRAM))
-            low = np.uint64((1 << 20) - 1)
-            best = (h & ~low) | np.arange(grams, dtype=np.uint64)  # of equal hashes the leftmost
+            hashes = PrefixHashes(self.data[a : b + LENGTH - 1])
+            h = _mixed(hashes.every(GRAM))
+            best = (h & ~low) | np.arange(len(h), dtype=np.uint64)  # of equal hashes the leftmost
             for k in (1, 2, 4, 8):
                 best = np.minimum(best[:-k], best[k:])
-            best = np.minimum(best[: b - a], best[15 : 15 + b - a])
-            place = (best & low).astype(np.int64)
-            starts = np.arange(a, b)
-            row = np.searchsorted(self.end, starts, side="right")
-            inside = (starts + LENGTH <= self.end[row]) & self.known[row]
-            new = np.empty(b - a, bool)
-            new[:1] = True
-            new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | ~inside[:-1]
-            first = np.flatnonzero(new & inside)
-            edges = np.flatnonzero(new | ~inside)
-            last = np.append(edges, b - a)[np.searchsorted(edges, first, side="right")] - 1
-            yield h[place[first]], a + place[first], a + first, a + last, row[first]
+            place = (np.minimum(best[: b - a], best[15 : 15 + b - a]) & low).astype(np.int64)
+            r0, r1 = np.searchsorted(self.end, [a, b - 1], side="right")
+            size = np.minimum(self.end[r0 : r1 + 1], b) - np.maximum(self.start[r0 : r1 + 1], a)
+            usable = np.where(self.known[r0 : r1 + 1], np.clip(self.end[r0 : r1 + 1] - LENGTH + 1 - np.maximum(self.start[r0 : r1 + 1], a), 0, size), 0)
+            inside = np.repeat(np.tile([True, False], len(size)), np.stack([usable, size - usable], axis=1).ravel())
+            edge = np.empty(b - a, bool)
+            edge[:1] = True
+            edge[1:] = place[1:] != place[:-1]
+            begins = np.cumsum(size) - size
+            edge[begins[size > 0]] = True
+            edge[1:] |= inside[1:] != inside[:-1]
+            first = np.flatnonzero(edge)
+            last = np.append(first[1:], b - a) - 1
+            good = inside[first]
+            first, last = first[good], last[good]
+            row = np.searchsorted(self.end, a + first, side="right")
+            whole = hashes.at(first, last - first + LENGTH) ^ (last - first).astype(np.uint64)
+            yield h[place[first]], a + place[first], a + first, a + last, row, whole
 
 
 assert REACH == 31  # the doubling above covers 16 + 15 places
@@ -162,7 +192,7 @@ def _seen(buckets: int):
     def run(group: pa.Table) -> pa.Table:
         block, texts = group[BLOCK][0].as_py(), Texts(group)
         hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for h, _, _, _, row in texts.anchors():
+        for h, _, _, _, row, _ in texts.anchors():
             hashes.append(h)
             docs.append(texts.doc[row])
         h, d = np.concatenate(hashes), np.concatenate(docs)
@@ -217,37 +247,48 @@ STRETCH_DDL = "bucket long, block long, sizes binary, places binary, text binary
 
 
 class Stretches:
-    """The block's distinct stretches around shared anchors, per bucket in order of first
-    occurrence, and every occurrence."""
+    """The occurrences of shared anchors in a block, and its distinct stretches around them in
+    order of bucket and hash. ``one[k]`` is an occurrence of distinct stretch k, ``which`` the
+    stretch of each occurrence."""
 
     def __init__(self, texts: Texts, shared: dict[int, bytes], buckets: int):
-        sets = {k: np.sort(_unpack48(v)) for k, v in shared.items()}
-        self.index: dict[int, dict[bytes, int]] = {k: {} for k in sets}
-        self.docs: dict[int, list[int]] = {k: [] for k in sets}
-        self.places: dict[int, list[int]] = {k: [] for k in sets}
-        self.occurrences: dict[int, list[np.ndarray]] = {k: [] for k in sets}
-        raw = texts.data.tobytes()
-        for h, place, first, last, row in texts.anchors():
-            of, name = _bucket(h, buckets), _name(h)
-            order = np.argsort(of, kind="stable")
-            cuts = np.searchsorted(of[order], np.arange(buckets + 1))
-            for k, known in sets.items():
-                at = order[cuts[k] : cuts[k + 1]]
-                found = np.searchsorted(known, name[at])
-                at = at[known[np.minimum(found, len(known) - 1)] == name[at]]
-                if not len(at):
-                    continue
-                index, docs, places = self.index[k], self.docs[k], self.places[k]
-                which = np.empty(len(at), np.int64)
-                for n, (p, a, b, d) in enumerate(zip(place[at].tolist(), first[at].tolist(), last[at].tolist(), texts.doc[row[at]].tolist())):
-                    i = index.setdefault(raw[a : b + LENGTH], len(docs))
-                    if i == len(docs):
-                        docs.append(d)
-                        places.append(p - a)
-                    elif d < docs[i]:
-                        docs[i] = d
-                    which[n] = i
-                self.occurrences[k].append(np.stack([which, first[at], last[at], row[at]]))
+        known = [np.zeros(0, np.uint64)]
+        for k, names in shared.items():
+            known.append(_unpack48(names) * np.uint64(buckets) + np.uint64(k))
+        known = np.sort(np.concatenate(known))
+        found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)] + [[np.zeros(0, np.uint64)]]
+        for h, place, first, last, row, whole in texts.anchors():
+            if not len(known) or not len(h):
+                continue
+            of = _bucket(h, buckets)
+            name = _name(h) * np.uint64(buckets) + of.astype(np.uint64)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name)
+            for out, x in zip(found, (of, place, first, last, row, whole)):
+                out.append(x[at])
+        self.bucket, self.place, self.first, self.last, self.row, whole = map(np.concatenate, found)
+        order = np.lexsort((whole, self.bucket))
+        new = np.append(True, (whole[order][1:] != whole[order][:-1]) | (self.bucket[order][1:] != self.bucket[order][:-1]))[: len(order)]
+        starts = np.flatnonzero(new)
+        self.one = order[starts]
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        self.docs = np.minimum.reduceat(texts.doc[self.row][order], starts) if len(order) else np.zeros(0, np.int64)
+        self.cuts = np.searchsorted(self.bucket[self.one], np.arange(buckets + 1))
+
+    def verify(self, texts: Texts) -> None:
+        """Occurrences that share a hash must have the same bytes."""
+        one = self.one[self.which]
+        more = np.flatnonzero(one != np.arange(len(one)))
+        for a in range(0, len(more), 1 << 15):
+            i, j = more[a : a + (1 << 15)], one[more[a : a + (1 << 15)]]
+            size = self.last[i] - self.first[i] + LENGTH
+            _same(size, self.last[j] - self.first[j] + LENGTH)
+            _same(texts.data[_ranges(self.first[i], size)], texts.data[_ranges(self.first[j], size)])
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> None:
+    if not np.array_equal(a, b):
+        raise ArithmeticError("two different strings share a 64-bit hash; change the hash seed")
 
 
 def _shared_of(rows: pa.Table) -> dict[int, bytes]:
@@ -259,11 +300,16 @@ def _stretches(buckets: int):
         rows = []
         if group.num_rows and shared.num_rows:
             block = group[BLOCK][0].as_py()
-            s = Stretches(Texts(group), _shared_of(shared), buckets)
-            for k, index in s.index.items():
-                if index:
-                    sizes = np.array([len(x) for x in index], "<u2")
-                    rows.append((k, block, sizes.tobytes(), np.array(s.places[k], np.uint8).tobytes(), _zip(b"".join(index)), _zip(np.array(s.docs[k], "<i8").tobytes())))
+            texts = Texts(group)
+            s = Stretches(texts, _shared_of(shared), buckets)
+            s.verify(texts)
+            for k, (a, b) in enumerate(zip(s.cuts, s.cuts[1:])):
+                if a < b:
+                    one = s.one[a:b]
+                    first, size = s.first[one], s.last[one] - s.first[one] + LENGTH
+                    text = texts.data[_ranges(first, size)].tobytes()
+                    places = (s.place[one] - first).astype(np.uint8)
+                    rows.append((k, block, size.astype("<u2").tobytes(), places.tobytes(), _zip(text), _zip(s.docs[a:b].astype("<i8").tobytes())))
         return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(STRETCH)}, schema=STRETCH)
 
     return run
@@ -325,56 +371,82 @@ def suffix_sort(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, grou
     return order
 
 
-def smallest_holders(stretches: list[bytes], places: list[int], docs: np.ndarray) -> list[np.ndarray]:
-    """For each distinct stretch, the smallest document that holds each of its windows."""
-    out: list[np.ndarray] = [np.full(len(s) - LENGTH + 1, d, np.int64) for s, d in zip(stretches, docs)]
-    by_gram: dict[bytes, list[int]] = {}
-    for i, (s, p) in enumerate(zip(stretches, places)):
-        by_gram.setdefault(s[p : p + GRAM], []).append(i)
-    todo: list[int] = []
-    gram_of: list[int] = []
-    windows = 0
-
-    def sort() -> None:
-        data = np.frombuffer(b"".join(stretches[i] for i in todo), np.uint8)
-        hashes = PrefixHashes(data)
-        size = np.array([len(stretches[i]) for i in todo])
-        count = size - LENGTH + 1
-        begin = np.cumsum(size) - size
-        which = np.repeat(np.arange(len(todo)), count)
-        inner = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        starts = begin[which] + inner
-        # only windows with the anchor at the same place can be equal
-        offset = np.array([places[i] for i in todo])[which] - inner
-        group = np.array(gram_of)[which] * REACH + offset
-        by = np.argsort(group, kind="stable")
-        starts, group, which, inner = starts[by], group[by], which[by], inner[by]
-        order = suffix_sort(data, hashes, starts, group)
-        starts, which, inner = starts[order], which[order], inner[order]
-        same = (group[1:] == group[:-1]) & (common_extension(hashes, starts[:-1], starts[1:]) == LENGTH)
-        pairs = np.flatnonzero(same)
-        for a in range(0, len(pairs), 1 << 16):  # collisions: equal hashes must be equal bytes
-            q = pairs[a : a + (1 << 16)]
-            span = np.arange(LENGTH)
-            if not (data[starts[q][:, None] + span] == data[starts[q + 1][:, None] + span]).all():
-                raise ArithmeticError("two different strings share a 64-bit hash; change the hash seed")
-        first = np.flatnonzero(np.append(True, ~same))
-        least = np.repeat(np.minimum.reduceat(docs[np.array(todo)][which], first), np.diff(np.append(first, len(which))))
-        back = np.lexsort((inner, which))
-        for i, part in zip(todo, np.split(least[back], np.cumsum(count)[:-1])):
-            out[i] = part
-
-    for g, members in enumerate(by_gram.values()):
-        if len(members) > 1:
-            todo += members
-            gram_of += [g] * len(members)
-            windows += sum(len(out[i]) for i in members)
-            if windows >= SORT_WINDOWS:
-                sort()
-                todo, gram_of, windows = [], [], 0
-    if todo:
-        sort()
-    return out
+def smallest_holders(data: np.ndarray, size: np.ndarray, place: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For stretches that lie one after the other in ``data`` (``place``: the anchor inside
+    each, ``docs``: a document that holds it): the smallest document that holds each of their
+    windows, for all windows in order."""
+    begin = np.cumsum(size) - size
+    whole, gram = np.empty(len(size), np.uint64), np.empty(len(size), np.uint64)
+    cuts = np.searchsorted(begin, np.arange(0, len(data) + PIECE, PIECE))
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            hashes = PrefixHashes(data[begin[a] : begin[b - 1] + size[b - 1]])
+            at = begin[a:b] - begin[a]
+            whole[a:b] = hashes.at(at, size[a:b]) ^ size[a:b].astype(np.uint64)
+            gram[a:b] = hashes.at(at + place[a:b], GRAM)
+    # Equal stretches of several blocks are one; groups share the anchor's bytes.
+    order = np.lexsort((whole, gram))
+    w, g = whole[order], gram[order]
+    new = np.append(True, (w[1:] != w[:-1]) | (g[1:] != g[:-1]))[: len(w)]
+    starts = np.flatnonzero(new)
+    one = order[starts]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    least_doc = np.minimum.reduceat(docs[order], starts)
+    for a in range(0, len(order), 1 << 15):
+        i, j = order[a : a + (1 << 15)], one[which[order[a : a + (1 << 15)]]]
+        i, j = i[i != j], j[i != j]
+        _same(size[i], size[j])
+        _same(data[_ranges(begin[i], size[i])], data[_ranges(begin[j], size[j])])
+
+    count = size[one] - LENGTH + 1
+    offset = np.cumsum(count) - count
+    out = np.repeat(least_doc, count)
+    head = np.flatnonzero(np.append(True, gram[one][1:] != gram[one][:-1]))
+    members = np.diff(np.append(head, len(one)))
+    many = np.repeat(members > 1, members)
+    group_of = np.repeat(np.arange(len(head)), members)
+    todo = np.flatnonzero(many)
+    # Sort whole groups at a time, about SORT_WINDOWS windows.
+    run = np.cumsum(count[todo]) // SORT_WINDOWS
+    # a cut must fall between groups: move each one to the next border
+    borders = np.append(np.flatnonzero(group_of[todo][1:] != group_of[todo][:-1]) + 1, len(todo))
+    wanted = np.flatnonzero(run[1:] != run[:-1]) + 1
+    ends = np.unique(np.append(borders[np.searchsorted(borders, wanted)], len(todo))) if len(todo) else []
+    a = 0
+    for b in ends:
+        part = todo[a:b]
+        a = b
+        where, got = _sorted_windows(data, begin[one[part]], size[one[part]], place[one[part]], group_of[part], least_doc[part])
+        out[offset[part][where[0]] + where[1]] = got
+    mine = size - LENGTH + 1
+    return out[_ranges(offset[which], mine)]
+
+
+def _sorted_windows(data, begin, size, place, group, docs) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """((stretch, window), smallest document) for the windows of stretches of some groups."""
+    text = data[_ranges(begin, size)]
+    hashes = PrefixHashes(text)
+    count = size - LENGTH + 1
+    which = np.repeat(np.arange(len(size)), count)
+    inner = _ranges(np.zeros(len(size), np.int64), count)
+    starts = (np.cumsum(size) - size)[which] + inner
+    # only windows with the anchor at the same place can be equal
+    key = group[which] * REACH + place[which] - inner
+    by = np.argsort(key, kind="stable")
+    starts, key, which, inner = starts[by], key[by], which[by], inner[by]
+    order = suffix_sort(text, hashes, starts, key)
+    starts, which, inner = starts[order], which[order], inner[order]
+    near = np.flatnonzero(key[1:] == key[:-1])
+    same = np.zeros(len(starts), bool)  # equal to the one before
+    same[near + 1] = hashes.at(starts[near], LENGTH) == hashes.at(starts[near + 1], LENGTH)
+    pairs = np.flatnonzero(same)
+    for a in range(0, len(pairs), 1 << 16):  # collision verification
+        q, span = pairs[a : a + (1 << 16)], np.arange(LENGTH)
+        _same(text[starts[q][:, None] + span], text[starts[q - 1][:, None] + span])
+    first = np.flatnonzero(~same)
+    least = np.repeat(np.minimum.reduceat(docs[which], first), np.diff(np.append(first, len(which))))
+    return (which, inner), least
 
 
 HOLDERS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("holders", pa.binary())])
@@ -382,26 +454,18 @@ HOLDERS_DDL = "block long, bucket long, holders binary"
 
 
 def _holders(group: pa.Table) -> pa.Table:
-    index: dict[bytes, int] = {}
-    places: list[int] = []
-    docs: list[int] = []
-    of_block: list[tuple[int, list[int]]] = []
-    for block, sizes, place, text, doc in zip(*(group[c].to_pylist() for c in ("block", "sizes", "places", "text", "docs"))):
-        raw, at, which = _unzip(text), 0, []
-        for size, p, d in zip(np.frombuffer(sizes, "<u2").tolist(), place, np.frombuffer(_unzip(doc), "<i8").tolist()):
-            s = raw[at : at + size]
-            at += size
-            i = index.setdefault(s, len(docs))
-            if i == len(docs):
-                docs.append(d)
-                places.append(p)
-            elif d < docs[i]:
-                docs[i] = d
-            which.append(i)
-        of_block.append((block, which))
-    least = smallest_holders(list(index), places, np.array(docs, np.int64))
-    bucket = group["bucket"][0].as_py() if group.num_rows else None
-    rows = [(block, bucket, _zip(np.concatenate([least[i] for i in which]).astype("<i8").tobytes())) for block, which in of_block]
+    rows = []
+    if group.num_rows:
+        sizes = [np.frombuffer(x, "<u2").astype(np.int64) for x in group["sizes"].to_pylist()]
+        places = np.concatenate([np.frombuffer(x, np.uint8).astype(np.int64) for x in group["places"].to_pylist()])
+        docs = np.concatenate([np.frombuffer(_unzip(x), "<i8") for x in group["docs"].to_pylist()])
+        data = np.frombuffer(b"".join(map(_unzip, group["text"].to_pylist())), np.uint8)
+        least = smallest_holders(data, np.concatenate(sizes), places, docs).astype("<i8")
+        bucket, at = group["bucket"][0].as_py(), 0
+        for block, size in zip(group["block"].to_pylist(), sizes):
+            n = int((size - LENGTH + 1).sum())
+            rows.append((block, bucket, _zip(least[at : at + n].tobytes())))
+            at += n
     return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(HOLDERS)}, schema=HOLDERS)
 
 
@@ -418,15 +482,15 @@ def _removed(group: pa.Table, verdicts: pa.Table, buckets: int) -> tuple[Texts,
         answers = verdicts.filter(verdicts["holders"].is_valid())
         for k, data in zip(answers["bucket"].to_pylist(), answers["holders"].to_pylist()):
             least = np.frombuffer(_unzip(data), "<i8")
-            count = np.array([len(x) - LENGTH + 1 for x in s.index[k]])
+            one = s.one[s.cuts[k] : s.cuts[k + 1]]
+            count = s.last[one] - s.first[one] + 1
             begin = np.cumsum(count) - count
-            which, first, last, row = np.concatenate(s.occurrences[k], axis=1)
-            n = last - first + 1
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            earlier = least[np.repeat(begin[which], n) + inner] < np.repeat(texts.doc[row], n)
-            window = (np.repeat(first, n) + inner)[earlier]
-            np.add.at(gone, window, 1)
-            np.subtract.at(gone, window + LENGTH, 1)
+            at = np.flatnonzero(s.bucket == k)
+            n = s.last[at] - s.first[at] + 1
+            earlier = least[_ranges(begin[s.which[at] - s.cuts[k]], n)] < np.repeat(texts.doc[s.row[at]], n)
+            window = _ranges(s.first[at], n)[earlier]
+            gone[window] += 1  # every window has one anchor, so none comes twice
+            gone[window + LENGTH] -= 1
     return texts, np.cumsum(gone[:-1]) > 0
 
 
