@@ -4,22 +4,21 @@ Inputs are the written connection fact (surrogate keys, ``time_id`` = epoch of t
 and the size-checked dimensions. Calendar attributes come from ``time_id`` itself.
 
 Scale notes
-- Every rollup is one hash aggregation with partial (map-side) aggregation; windows run
-  only over aggregated rows, partitioned by keys whose cardinality is bounded by the
-  dimensions (service x hour-of-day, port, ...), never over raw facts.
-- Exact distinct counts are left to Catalyst's Expand rewrite, which pre-aggregates
-  (group, value) pairs before the shuffle.
+- The fact is read once for the hourly base (from which hours, days and months are finished)
+  and once for the port grain (from which the special facts are finished).
+- Peaks are small aggregates joined back; there are no windows over the rollup.
+- Distinct ports are counted by a first aggregate on (group, port): no Expand.
 - Averages of decimal measures use exact decimal sums (order-independent), then the
   declared NUMERIC(10,3) rounding.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
-from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct
+from flowmart.functions.numeric import avg_finish, avg_parts, avg_value, mean_raw, pct
 
 DEC3 = 3
 
@@ -61,119 +60,153 @@ def _when_attack(col: Column, attack: bool) -> Column:
 
 
 KEYS = ["service_id", "protocol_id", "attack_id"]
-HOURLY_AVGS = [
-    "avg_duration", "avg_duration_normal", "avg_duration_attack", "avg_bytes_per_conn",
-    "avg_bytes_per_attack", "avg_load_normal", "avg_load_attack",
-]
+# ---- one base per hour: every rollup is finished from it ------------------------------
+
+def _calendar(df: DataFrame) -> DataFrame:
+    """hour / day / day_start / month_start of ``time_id`` (a pure function of the key)."""
+    ts = cal.to_ts(F.col("time_id"))
+    return (
+        df.withColumn("hour", F.hour(ts))
+        .withColumn("day", F.dayofmonth(ts))
+        .withColumn("day_start", F.col("time_id") - F.pmod(F.col("time_id"), F.lit(86400)))
+        .withColumn("month_start", F.unix_seconds(F.date_trunc("month", ts)))
+    )
 
 
-def hourly_traffic(conn: DataFrame) -> DataFrame:
-    """One row per (time, service, protocol, attack); peak = busiest (service, hour-of-day)."""
+def hourly_base(conn: DataFrame) -> DataFrame:
+    """Exact additive sums per (hour, service, protocol, attack), from one scan of the fact.
+
+    A group has one attack member, so it is either normal or attack traffic and needs no
+    split sums. Distinct ports: each row goes once per port kind into a first aggregate on
+    (group, kind, port), whose rows are then counted; measures ride on the first kind only."""
     c = F.col
     bytes_ = c("source_bytes") + c("dest_bytes")
     packets = c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")
-    agg = conn.groupBy("time_id", *KEYS, "hour").agg(
-        F.count(F.lit(1)).alias("total_connections"),
-        F.count(_when_attack(F.lit(1), False)).alias("normal_connections"),
-        F.count(_when_attack(F.lit(1), True)).alias("attack_connections"),
-        *_avg3(c("duration"), "avg_duration"),
-        *_avg3(_when_attack(c("duration"), False), "avg_duration_normal"),
-        *_avg3(_when_attack(c("duration"), True), "avg_duration_attack"),
-        _z(F.sum(_when_attack(bytes_, False))).alias("total_bytes_normal"),
-        _z(F.sum(_when_attack(bytes_, True))).alias("total_bytes_attack"),
-        _z(F.sum(_when_attack(packets, False))).alias("total_packets_normal"),
-        _z(F.sum(_when_attack(packets, True))).alias("total_packets_attack"),
-        *_avg3(_when_attack(bytes_, False), "avg_bytes_per_conn"),
-        *_avg3(_when_attack(bytes_, True), "avg_bytes_per_attack"),
-        *_avg3(_when_attack(c("source_load"), False), "avg_load_normal"),
-        *_avg3(_when_attack(c("source_load"), True), "avg_load_attack"),
-        # COUNT(DISTINCT service_id) in a group keyed by the (never NULL) service_id is 1:
-        # stated as such, it costs no Expand replica of every fact row.
+    kinds = F.explode(F.array(F.struct(F.lit(0).alias("k"), c("source_port_id").alias("p")), F.struct(F.lit(1).alias("k"), c("dest_port_id").alias("p")))).alias("port")
+    rows = conn.select("time_id", *KEYS, "is_attack", "category", "duration", bytes_.alias("bytes"), packets.alias("packets"), "source_load", kinds)
+    once = lambda x: F.when(c("port.k") == 0, x)
+    ports = rows.groupBy("time_id", *KEYS, "is_attack", "category", "port").agg(
+        F.count(once(F.lit(1))).alias("n"),
+        *_avg3(once(c("duration")), "dur"),
+        *_avg3(once(c("bytes")), "byt"),
+        *_avg3(once(c("source_load")), "load"),
+        F.sum(once(c("bytes"))).alias("bytes"),
+        F.sum(once(c("packets"))).alias("packets"),
+    )
+    sums = ["n", "dur__s", "dur__n", "byt__s", "byt__n", "load__s", "load__n", "bytes", "packets"]
+    return ports.groupBy("time_id", *KEYS, "is_attack", "category").agg(
+        *[F.sum(x).alias(x) for x in sums], F.count(F.lit(1)).alias("distinct_ports")
+    )
+
+
+def _split(name: str, col: Column) -> list[Column]:
+    """``<name>_normal`` and ``<name>_attack`` of a group's value, 0 for the other class."""
+    return [F.when(F.col("is_attack") == F.lit(x), col).otherwise(F.lit(0)).alias(f"{name}_{y}") for x, y in ((False, "normal"), (True, "attack"))]
+
+
+def _class_avg(source: str, name: str, attack: bool) -> Column:
+    """A class's exact average of ``source``; 0 when the group is of the other class or empty."""
+    return F.coalesce(F.when(F.col("is_attack") == F.lit(attack), avg_value(source, DEC3)), F.lit(0.0)).alias(name)
+
+
+def hourly_traffic(base: DataFrame) -> DataFrame:
+    """One row per (time, service, protocol, attack); peak = busiest (service, hour-of-day).
+
+    The peak is a small aggregate joined back (24 rows per service), not a window."""
+    rows = _calendar(base)
+    peak = rows.groupBy("service_id", "hour").agg(F.max("n").alias("peak_hour_connections"))
+    normal, attack = (F.when(F.col("is_attack") == F.lit(x), F.col("n")).otherwise(0) for x in (False, True))
+    return rows.join(peak, ["service_id", "hour"]).select(
+        "time_id",
+        *KEYS,
+        F.col("n").alias("total_connections"),
+        normal.alias("normal_connections"),
+        attack.alias("attack_connections"),
+        F.coalesce(avg_value("dur", DEC3), F.lit(0.0)).alias("avg_duration"),
+        _class_avg("dur", "avg_duration_normal", False),
+        _class_avg("dur", "avg_duration_attack", True),
+        *_split("total_bytes", _z(F.col("bytes"))),
+        *_split("total_packets", _z(F.col("packets"))),
+        _class_avg("byt", "avg_bytes_per_conn", False),
+        _class_avg("byt", "avg_bytes_per_attack", True),
+        _class_avg("load", "avg_load_normal", False),
+        _class_avg("load", "avg_load_attack", True),
+        # COUNT(DISTINCT service_id) in a group keyed by the (never NULL) service_id is 1.
         F.lit(1).cast("bigint").alias("distinct_services"),
-        (F.countDistinct("source_port_id") + F.countDistinct("dest_port_id")).alias("distinct_ports"),
+        "distinct_ports",
+        "peak_hour_connections",
     )
-    agg = avg_finish(agg, HOURLY_AVGS, DEC3, zero_if_null=True)
-    peak = F.max("total_connections").over(Window.partitionBy("service_id", "hour"))
-    return agg.withColumn("peak_hour_connections", peak).drop("hour")
 
 
-def _period_literal(conn: DataFrame, dim_time: DataFrame, period: str, sub: str, peak_name: str) -> DataFrame:
-    """R2/R3 as written: grouped by (period, keys, sub-unit); peak window over
-    (service, sub-unit) across the whole range; ``time_id`` = first hour of the period
-    present in the hour dimension."""
+def _period_sums(base: DataFrame, by: list[str]) -> DataFrame:
+    """Base sums rolled up to coarser groups that keep KEYS (so each has one class)."""
     c = F.col
-    agg = conn.groupBy(period, *KEYS, sub).agg(
-        F.count(F.lit(1)).alias("total_connections"),
-        F.count(_when_attack(F.lit(1), False)).alias("normal_connections"),
-        F.count(_when_attack(F.lit(1), True)).alias("attack_connections"),
-        *_avg3(c("duration"), "avg_duration"),
-        F.sum(c("source_bytes") + c("dest_bytes")).alias("total_bytes"),
-        F.sum(c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")).alias("total_packets"),
-        F.countDistinct(_when_attack(c("category"), True)).alias("distinct_attack_types"),
-        pct(F.count(_when_attack(F.lit(1), True)), F.count(F.lit(1))).alias("attack_percentage"),
+    return _calendar(base).groupBy(*by).agg(
+        F.sum("n").alias("total_connections"),
+        F.sum(F.when(~c("is_attack"), c("n")).otherwise(0)).alias("normal_connections"),
+        F.sum(F.when(c("is_attack"), c("n")).otherwise(0)).alias("attack_connections"),
+        F.sum("dur__s").alias("avg_duration__s"),
+        F.sum("dur__n").alias("avg_duration__n"),
+        F.sum("bytes").alias("total_bytes"),
+        F.sum("packets").alias("total_packets"),
+        # The attack member is part of the group, so there is one type in it, or none.
+        F.max(F.when(c("is_attack"), 1).otherwise(0)).cast("bigint").alias("distinct_attack_types"),
     )
-    agg = avg_finish(agg, "avg_duration", DEC3)
-    agg = agg.withColumn(f"{peak_name}_connections", F.max("total_connections").over(Window.partitionBy("service_id", sub)))
-    agg = agg.withColumnRenamed(sub, peak_name)
-    first_hour = _first_hour_of(dim_time, period)
-    return agg.join(F.broadcast(first_hour), period, "inner").drop(period)
 
 
-def _first_hour_of(dim_time: DataFrame, period: str) -> DataFrame:
-    """period start -> MIN(time_id) among the hour dimension's rows of that period.
+def _period_literal(base: DataFrame, dim_time: DataFrame, period: str, sub: str, peak_name: str) -> DataFrame:
+    """R2/R3 as written: grouped by (period, keys, sub-unit); peak over (service, sub-unit)
+    across the whole range; ``time_id`` = first hour of the period present in the hour
+    dimension. Rolled up from the hourly base: the fact is not read."""
+    agg = _period_sums(base, [period, *KEYS, sub])
+    agg = avg_finish(agg, "avg_duration", DEC3).withColumn("attack_percentage", pct(F.col("attack_connections"), F.col("total_connections")))
+    peak = agg.groupBy("service_id", sub).agg(F.max("total_connections").alias(f"{peak_name}_connections"))
+    agg = agg.join(peak, ["service_id", sub]).withColumnRenamed(sub, peak_name)
+    return agg.join(_first_hour_of(dim_time, period), period, "inner").drop(period)
 
-    One row per day/month of the calendar: bounded by the time range, broadcast."""
+
+def _first_hour_of(dim_time: DataFrame, period: str) -> DataFrame:
+    """period start -> MIN(time_id) among the hour dimension's rows of that period (one row
+    per day or month of the calendar)."""
     t = F.col("time_id")
     start = (t - F.pmod(t, F.lit(86400))) if period == "day_start" else F.unix_seconds(F.date_trunc("month", cal.to_ts(t)))
     return dim_time.groupBy(start.alias(period)).agg(F.min("time_id").alias("time_id"))
 
 
-def daily_traffic_literal(conn: DataFrame, dim_time: DataFrame) -> DataFrame:
+def daily_traffic_literal(base: DataFrame, dim_time: DataFrame) -> DataFrame:
     """R2: daily rollup as the procedure computes it (one row per active hour of the day)."""
-    return _period_literal(conn, dim_time, "day_start", "hour", "peak_hour")
+    return _period_literal(base, dim_time, "day_start", "hour", "peak_hour")
 
 
-def monthly_traffic_literal(conn: DataFrame, dim_time: DataFrame) -> DataFrame:
+def monthly_traffic_literal(base: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Monthly rollup as the procedure computes it (one row per active day of month)."""
-    return _period_literal(conn, dim_time, "month_start", "day", "peak_day")
+    return _period_literal(base, dim_time, "month_start", "day", "peak_day")
 
 
-def _period_declared(conn: DataFrame, dim_time: DataFrame, period: str, sub: str, peak_name: str) -> DataFrame:
+def _period_declared(base: DataFrame, dim_time: DataFrame, period: str, sub: str, peak_name: str) -> DataFrame:
     """R2i/R3i: one row per (period, keys); peak = sub-unit with most connections
-    (ties -> lowest), found by a two-level aggregation (no window over raw rows)."""
-    c = F.col
-    lvl1 = conn.groupBy(period, *KEYS, sub).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(_when_attack(F.lit(1), False)).alias("n_normal"),
-        F.count(_when_attack(F.lit(1), True)).alias("n_attack"),
-        *_avg3(c("duration"), "avg_duration"),
-        F.sum(c("source_bytes") + c("dest_bytes")).alias("bytes"),
-        F.sum(c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")).alias("packets"),
-        F.max(F.when(c("is_attack"), c("category"))).alias("attack_category"),
-    )
+    (ties -> lowest), found by a two-level aggregation of the hourly base."""
+    lvl1 = _period_sums(base, [period, *KEYS, sub])
+    n = F.col("total_connections")
+    sums = ["normal_connections", "attack_connections", "avg_duration__s", "avg_duration__n", "total_bytes", "total_packets"]
     lvl2 = lvl1.groupBy(period, *KEYS).agg(
-        F.sum("n").alias("total_connections"),
-        F.sum("n_normal").alias("normal_connections"),
-        F.sum("n_attack").alias("attack_connections"),
-        F.sum("avg_duration__s").alias("avg_duration__s"),
-        F.sum("avg_duration__n").alias("avg_duration__n"),
-        F.sum("bytes").alias("total_bytes"),
-        F.sum("packets").alias("total_packets"),
-        F.max_by(F.col(sub), F.struct(F.col("n"), -F.col(sub))).alias(peak_name),
-        F.max("n").alias(f"{peak_name}_connections"),
-        F.countDistinct("attack_category").alias("distinct_attack_types"),
+        F.max_by(F.col(sub), F.struct(n, -F.col(sub))).alias(peak_name),
+        F.max(n).alias(f"{peak_name}_connections"),
+        F.sum(n).alias("total_connections"),
+        *[F.sum(x).alias(x) for x in sums],
+        F.max("distinct_attack_types").alias("distinct_attack_types"),
     )
     lvl2 = avg_finish(lvl2, "avg_duration", DEC3)
     lvl2 = lvl2.withColumn("attack_percentage", pct(F.col("attack_connections"), F.col("total_connections")))
-    return lvl2.join(F.broadcast(_first_hour_of(dim_time, period)), period, "inner").drop(period)
+    return lvl2.join(_first_hour_of(dim_time, period), period, "inner").drop(period)
 
 
-def daily_traffic(conn: DataFrame, dim_time: DataFrame) -> DataFrame:
-    return _period_declared(conn, dim_time, "day_start", "hour", "peak_hour")
+def daily_traffic(base: DataFrame, dim_time: DataFrame) -> DataFrame:
+    return _period_declared(base, dim_time, "day_start", "hour", "peak_hour")
 
 
-def monthly_traffic(conn: DataFrame, dim_time: DataFrame) -> DataFrame:
-    return _period_declared(conn, dim_time, "month_start", "day", "peak_day")
+def monthly_traffic(base: DataFrame, dim_time: DataFrame) -> DataFrame:
+    return _period_declared(base, dim_time, "month_start", "day", "peak_day")
 
 
 # ---- special facts (declared in the schema, formulas ours: SURVEY 7.3) ---------------
@@ -182,8 +215,29 @@ def _dec3(col: Column) -> Column:
     return F.round(col, DEC3).cast("double")
 
 
-def service_stats(conn: DataFrame) -> DataFrame:
-    """F6, grain (service, time, protocol, attack).
+def port_grain(conn: DataFrame) -> DataFrame:
+    """Exact sums per (hour, service, protocol, attack, destination port), from one scan of the
+    fact: F6, F7 and QD4 are aggregates of it."""
+    c = F.col
+    bytes_ = c("source_bytes") + c("dest_bytes")
+    packets = c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")
+    return conn.groupBy("time_id", *KEYS, c("dest_port_id").alias("port_id"), "is_attack", "category").agg(
+        F.count(F.lit(1)).alias("n"),
+        *_avg3(c("duration"), "dur"),
+        *_avg3(bytes_, "byt"),
+        *_avg3(packets, "pck"),
+        F.sum(bytes_).alias("bytes"),
+        F.sum(packets).alias("packets"),
+    )
+
+
+def _sums_of(attack: bool, source: str, name: str) -> list[Column]:
+    """Partials of an average over one class, from the grain's partials."""
+    return [F.sum(_when_attack(F.col(f"{source}__{p}"), attack)).alias(f"{name}__{p}") if p == "s" else F.coalesce(F.sum(_when_attack(F.col(f"{source}__n"), attack)), F.lit(0)).alias(f"{name}__n") for p in ("s", "n")]
+
+
+def service_stats(grain: DataFrame) -> DataFrame:
+    """F6, grain (service, time, protocol, attack), from ``port_grain``.
 
     Per grain: connection counts, attack %, bytes/packets by class, average bytes per
     connection and per attack connection. Per service (repeated on its rows, because
@@ -193,29 +247,28 @@ def service_stats(conn: DataFrame) -> DataFrame:
     number of destination ports of the service used only by attacks.
     """
     c = F.col
-    bytes_ = c("source_bytes") + c("dest_bytes")
-    packets = c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")
-    grain = conn.groupBy("service_id", "time_id", "protocol_id", "attack_id").agg(
-        F.count(F.lit(1)).alias("total_connections"),
-        F.count(_when_attack(F.lit(1), False)).alias("normal_connections"),
-        F.count(_when_attack(F.lit(1), True)).alias("attack_connections"),
-        _z(F.sum(_when_attack(bytes_, False))).alias("total_bytes_normal"),
-        _z(F.sum(_when_attack(bytes_, True))).alias("total_bytes_attack"),
-        _z(F.sum(_when_attack(packets, False))).alias("total_packets_normal"),
-        _z(F.sum(_when_attack(packets, True))).alias("total_packets_attack"),
-        *_avg3(bytes_, "avg_bytes_per_conn"),
-        *_avg3(_when_attack(bytes_, True), "avg_bytes_per_attack"),
+    rows = grain.groupBy("service_id", "time_id", "protocol_id", "attack_id").agg(
+        F.sum("n").alias("total_connections"),
+        F.sum(F.when(~c("is_attack"), c("n")).otherwise(0)).alias("normal_connections"),
+        F.sum(F.when(c("is_attack"), c("n")).otherwise(0)).alias("attack_connections"),
+        _z(F.sum(_when_attack(c("bytes"), False))).alias("total_bytes_normal"),
+        _z(F.sum(_when_attack(c("bytes"), True))).alias("total_bytes_attack"),
+        _z(F.sum(_when_attack(c("packets"), False))).alias("total_packets_normal"),
+        _z(F.sum(_when_attack(c("packets"), True))).alias("total_packets_attack"),
+        F.sum("byt__s").alias("avg_bytes_per_conn__s"),
+        F.sum("byt__n").alias("avg_bytes_per_conn__n"),
+        *_sums_of(True, "byt", "avg_bytes_per_attack"),
     ).withColumn("attack_percentage", pct(F.col("attack_connections"), F.col("total_connections")))
-    grain = avg_finish(grain, ["avg_bytes_per_conn", "avg_bytes_per_attack"], DEC3)
-
-    per_service = conn.groupBy("service_id").agg(
-        *_avg3(_when_attack(c("duration"), False), "avg_duration_normal"),
-        *_avg3(_when_attack(c("duration"), True), "avg_duration_attack"),
-        *_avg3(_when_attack(bytes_, False), "mb_normal"),
-        *_avg3(_when_attack(bytes_, True), "mb_attack"),
-        *_avg3(_when_attack(packets, False), "mp_normal"),
-        *_avg3(_when_attack(packets, True), "mp_attack"),
-        F.countDistinct(_when_attack(c("category"), True)).alias("distinct_attack_types"),
+    rows = avg_finish(rows, ["avg_bytes_per_conn", "avg_bytes_per_attack"], DEC3)
+
+    # Everything per service comes from three small aggregates of the grain.
+    per_service = grain.groupBy("service_id").agg(
+        *_sums_of(False, "dur", "avg_duration_normal"),
+        *_sums_of(True, "dur", "avg_duration_attack"),
+        *_sums_of(False, "byt", "mb_normal"),
+        *_sums_of(True, "byt", "mb_attack"),
+        *_sums_of(False, "pck", "mp_normal"),
+        *_sums_of(True, "pck", "mp_attack"),
     )
     per_service = (
         per_service.withColumn("duration_ratio", _dec3(F.try_divide(mean_raw("avg_duration_attack"), F.nullif(mean_raw("avg_duration_normal"), F.lit(0.0)))))
@@ -225,53 +278,54 @@ def service_stats(conn: DataFrame) -> DataFrame:
     per_service = avg_finish(per_service, ["avg_duration_normal", "avg_duration_attack"], DEC3).drop(
         *[f"{m}__{p}" for m in ("mb_normal", "mb_attack", "mp_normal", "mp_attack") for p in ("s", "n")]
     )
-    by_hour = conn.groupBy("service_id", "is_attack", "hour").agg(F.count(F.lit(1)).alias("n"))
-    peaks = by_hour.groupBy("service_id").agg(
+    by_hour = grain.groupBy("service_id", "is_attack", "category", F.hour(cal.to_ts(c("time_id"))).alias("hour")).agg(F.sum("n").alias("n"))
+    types = by_hour.filter("is_attack").groupBy("service_id").agg(F.countDistinct("category").alias("distinct_attack_types"))
+    hours = by_hour.groupBy("service_id", "is_attack", "hour").agg(F.sum("n").alias("n"))
+    peaks = hours.groupBy("service_id").agg(
         F.max_by(F.when(~F.col("is_attack"), F.col("hour")), F.when(~F.col("is_attack"), F.struct("n", -F.col("hour")))).alias("peak_hour_normal"),
         F.max_by(F.when(F.col("is_attack"), F.col("hour")), F.when(F.col("is_attack"), F.struct("n", -F.col("hour")))).alias("peak_hour_attack"),
     )
     exclusive = (
-        conn.groupBy("service_id", "dest_port_id")
+        grain.groupBy("service_id", "port_id")
         .agg(F.bool_and("is_attack").alias("only_attacks"))
         .groupBy("service_id")
         .agg(F.count(F.when(F.col("only_attacks"), 1)).alias("exclusive_attack_ports"))
     )
-    service_side = per_service.join(peaks, "service_id", "left").join(exclusive, "service_id", "left")
-    # One row per service: bounded by the service dimension, broadcast to the grain rows.
-    return grain.join(F.broadcast(service_side), "service_id", "left")
+    # One row per service; Spark broadcasts it if its bytes allow.
+    service_side = per_service.join(types, "service_id", "left").join(peaks, "service_id", "left").join(exclusive, "service_id", "left")
+    service_side = service_side.withColumn("distinct_attack_types", _z(c("distinct_attack_types")))
+    return rows.join(service_side, "service_id", "left")
 
 
-def port_usage(conn: DataFrame) -> DataFrame:
-    """F7, grain (destination port, service, protocol, attack, time).
+def port_usage(grain: DataFrame) -> DataFrame:
+    """F7, grain (destination port, service, protocol, attack, time), from ``port_grain``.
 
     Per grain: usage counts and ``usage_percentage`` = share of that hour's connections.
     Per port (repeated): attack %, exclusive to attacks, most frequent attack category
     (ties alphabetical, NULL when none), first/last hour seen, distinct services.
     """
     c = F.col
-    grain = conn.groupBy(c("dest_port_id").alias("port_id"), "service_id", "protocol_id", "attack_id", "time_id").agg(
-        F.count(F.lit(1)).alias("total_usage"),
-        F.count(_when_attack(F.lit(1), False)).alias("normal_usage"),
-        F.count(_when_attack(F.lit(1), True)).alias("attack_usage"),
+    attacks = F.when(c("is_attack"), c("n")).otherwise(0)
+    rows = grain.select(
+        "port_id", "service_id", "protocol_id", "attack_id", "time_id",
+        c("n").alias("total_usage"), (c("n") - attacks).alias("normal_usage"), attacks.alias("attack_usage"),
     )
-    per_hour = conn.groupBy("time_id").agg(F.count(F.lit(1)).alias("hour_total"))
-    per_port = conn.groupBy(c("dest_port_id").alias("port_id")).agg(
-        pct(F.count(_when_attack(F.lit(1), True)), F.count(F.lit(1))).alias("attack_percentage"),
+    per_hour = grain.groupBy("time_id").agg(F.sum("n").alias("hour_total"))
+    per_port = grain.groupBy("port_id").agg(
+        pct(F.sum(attacks), F.sum("n")).alias("attack_percentage"),
         F.bool_and("is_attack").alias("exclusive_to_attacks"),
-        F.min("datetime").alias("first_seen"),
-        F.max("datetime").alias("last_seen"),
+        cal.to_ts(F.min("time_id")).alias("first_seen"),
+        cal.to_ts(F.max("time_id")).alias("last_seen"),
         F.countDistinct("service_id").alias("distinct_services"),
     )
-    by_cat = conn.filter(c("is_attack")).groupBy(c("dest_port_id").alias("port_id"), "category").agg(F.count(F.lit(1)).alias("n"))
+    by_cat = grain.filter(c("is_attack")).groupBy("port_id", "category").agg(F.sum("n").alias("n"))
     primary = by_cat.groupBy("port_id").agg(
         F.min_by(F.col("category"), F.struct(-F.col("n"), F.col("category"))).alias("primary_attack_type")
     )
-    # per_hour: one row per hour of the range; per_port / primary: one row per port
-    # (<= 65,536). Both are bounded by their domains, so they are broadcast.
+    # per_hour: one row per hour; per_port / primary: one row per port (<= 65,536).
     return (
-        grain.join(F.broadcast(per_hour), "time_id", "inner")
+        rows.join(per_hour, "time_id", "inner")
         .withColumn("usage_percentage", pct(F.col("total_usage"), F.col("hour_total")))
         .drop("hour_total")
-        .join(F.broadcast(per_port), "port_id", "inner")
-        .join(F.broadcast(primary), "port_id", "left")
+        .join(per_port.join(primary, "port_id", "left"), "port_id", "inner")
     )

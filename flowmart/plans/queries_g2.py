@@ -30,37 +30,47 @@ def conn(m: Mart) -> DataFrame:
     return R.connections(m["fact_connection"], m.dim("dim_attack"))
 
 
+def _ym(df: DataFrame) -> DataFrame:
+    return df.withColumn("year_month", F.date_format(cal.to_ts(F.col("time_id")), "yyyy-MM"))
+
+
+def hourly_base(m: Mart) -> DataFrame:
+    """The additive hourly sums, written by month: one scan of the fact."""
+    return m.table("hourly_base", lambda mm: _ym(R.hourly_base(conn(mm))), partition_by=["year_month"]).drop("year_month")
+
+
+def port_grain(m: Mart) -> DataFrame:
+    """The sums per hour and destination port, written: one scan of the fact."""
+    return m.table("port_grain", lambda mm: R.port_grain(conn(mm)))
+
+
 def hourly(m: Mart) -> DataFrame:
     """R1, written partitioned by month (time-window readers prune partitions)."""
-    return m.table(
-        "fact_hourly_traffic",
-        lambda mm: R.hourly_traffic(conn(mm)).withColumn("year_month", F.date_format(cal.to_ts(F.col("time_id")), "yyyy-MM")),
-        partition_by=["year_month"],
-    ).drop("year_month")
+    return m.table("fact_hourly_traffic", lambda mm: _ym(R.hourly_traffic(hourly_base(mm))), partition_by=["year_month"]).drop("year_month")
 
 
 def daily_literal(m: Mart) -> DataFrame:
-    return m.table("fact_daily_traffic", lambda mm: R.daily_traffic_literal(conn(mm), mm["dim_time"]))
+    return m.table("fact_daily_traffic", lambda mm: R.daily_traffic_literal(hourly_base(mm), mm["dim_time"]))
 
 
 def monthly_literal(m: Mart) -> DataFrame:
-    return m.table("fact_monthly_traffic", lambda mm: R.monthly_traffic_literal(conn(mm), mm["dim_time"]))
+    return m.table("fact_monthly_traffic", lambda mm: R.monthly_traffic_literal(hourly_base(mm), mm["dim_time"]))
 
 
 def daily_declared(m: Mart) -> DataFrame:
-    return m.table("fact_daily_traffic_declared", lambda mm: R.daily_traffic(conn(mm), mm["dim_time"]))
+    return m.table("fact_daily_traffic_declared", lambda mm: R.daily_traffic(hourly_base(mm), mm["dim_time"]))
 
 
 def monthly_declared(m: Mart) -> DataFrame:
-    return m.table("fact_monthly_traffic_declared", lambda mm: R.monthly_traffic(conn(mm), mm["dim_time"]))
+    return m.table("fact_monthly_traffic_declared", lambda mm: R.monthly_traffic(hourly_base(mm), mm["dim_time"]))
 
 
 def service_stats(m: Mart) -> DataFrame:
-    return m.table("fact_service_stats", lambda mm: R.service_stats(conn(mm)))
+    return m.table("fact_service_stats", lambda mm: R.service_stats(port_grain(mm)))
 
 
 def port_usage(m: Mart) -> DataFrame:
-    return m.table("fact_port_usage", lambda mm: R.port_usage(conn(mm)))
+    return m.table("fact_port_usage", lambda mm: R.port_usage(port_grain(mm)))
 
 
 def named(df: DataFrame, m: Mart, *which: str) -> DataFrame:
