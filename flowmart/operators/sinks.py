@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,17 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, natural_key: list[str]) -> DataFrame:
-    """``INSERT .. ON CONFLICT (nk) DO NOTHING`` -> rows of ``new`` whose key is absent.
-
-    Returns ``existing`` plus the new members (one per key, smallest row wins).
-    """
-    fresh = new.dropDuplicates(natural_key).join(existing.select(*natural_key), natural_key, "left_anti")
+def insert_if_absent(new: DataFrame, existing: DataFrame, natural_key: list[str], id_col: str | None = None) -> DataFrame:
+    """``INSERT .. ON CONFLICT (nk) DO NOTHING``: ``existing`` plus the rows of ``new`` whose
+    key is absent, one per key (the smallest row wins). With ``id_col`` the new members get the
+    ids after the largest existing one, in key order; they are few (new dimension members)."""
+    rest = [c for c in existing.columns if c not in natural_key and c != id_col]
+    one = new.groupBy(*natural_key).agg(F.min(F.struct(*rest)).alias("_row")).select(*natural_key, "_row.*")
+    fresh = one.join(existing.select(*natural_key), natural_key, "left_anti")
+    if id_col is not None:
+        last = F.coalesce(existing.agg(F.max(id_col)).scalar(), F.lit(0))
+        number = F.row_number().over(Window.orderBy(*natural_key))
+        fresh = fresh.withColumn(id_col, (last + number).cast(existing.schema[id_col].dataType))
     return existing.unionByName(fresh.select(*existing.columns))
 
 
@@ -48,16 +53,15 @@ def partition_counts(fact: DataFrame, partition_col: str = "year_month") -> Data
 
 
 class Audit:
-    """Batch audit rows (STARTED -> COMPLETED / FAILED), appended per step.
-
-    A FAILED row is written before the error is re-raised, so failures leave a trace.
-    Rows live in a small parquet table under the shared folder.
+    """Batch audit rows. A batch leaves a STARTED row before its step runs, and a COMPLETED or
+    FAILED row (with the whole error message) afterwards; ``table`` shows each batch's latest
+    state. Rows are appended to a small parquet table under the shared folder, and batch ids
+    go on from the stored maximum, so a dead driver leaves a trace and a new one no collisions.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self._next = 1
 
     def _append(self, row: tuple) -> None:
         # Built from JVM literals (no Python rows to ship to executors).
@@ -66,29 +70,53 @@ class Audit:
         cols = [F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)]
         self.spark.range(1).select(*cols).write.mode("append").parquet(self.path)
 
+    def events(self) -> DataFrame:
+        """Every row ever written."""
+        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path)
+
+    def _last_id(self) -> int:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return 0
+        return self.events().agg(F.max("batch_id")).first()[0] or 0
+
     def start(self, level: str) -> tuple[int, _dt.datetime]:
-        batch_id = self._next
-        self._next += 1
-        return batch_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        batch_id, now = self._last_id() + 1, _now()
+        self._append((batch_id, now, None, "STARTED", None, level, SOURCE_SYSTEM, None))
+        return batch_id, now
 
     def finish(self, batch_id: int, level: str, started: _dt.datetime, records: int | None,
                status: str = "COMPLETED", error: str | None = None) -> None:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self._append((batch_id, started, now, status, records, level, SOURCE_SYSTEM, error))
+        self._append((batch_id, started, _now(), status, records, level, SOURCE_SYSTEM, error))
 
     def run(self, level: str, step):
         """Run ``step(batch_id) -> records`` inside an audited batch."""
-        batch_id, started = self.start(level)
-        try:
-            records = step(batch_id)
-        except Exception as exc:  # noqa: BLE001 - re-raised after the FAILED row is stored
-            self.finish(batch_id, level, started, None, "FAILED", str(exc)[:500])
-            raise
-        self.finish(batch_id, level, started, records)
-        return batch_id
+        return self.run_all([(level, step)])[0]
+
+    def run_all(self, steps: list) -> list[int]:
+        """Run (level, step) pairs in order, all STARTED first. If one fails, the finished ones stay
+        COMPLETED, it and those still STARTED become FAILED, and the error is raised."""
+        batches = [(level, step, *self.start(level)) for level, step in steps]
+        for i, (level, step, batch_id, started) in enumerate(batches):
+            try:
+                records = step(batch_id)
+            except Exception as exc:  # noqa: BLE001 - re-raised after the FAILED rows are stored
+                for late, _, late_id, late_started in batches[i:]:
+                    self.finish(late_id, late, late_started, None, "FAILED", str(exc))
+                raise
+            self.finish(batch_id, level, started, records)
+        return [b[2] for b in batches]
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.path)
+        """One row per batch: its final state, or STARTED while there is none."""
+        names = [f.split()[0] for f in AUDIT_SCHEMA.split(", ")]
+        rest = F.struct(*names[1:])
+        latest = self.events().groupBy("batch_id").agg(F.max_by(rest, F.col("end_time").isNotNull()).alias("r"))
+        return latest.select("batch_id", "r.*")
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def latest_batch(audit: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,8 @@ class Mart:
         self._tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}
         self._lock = threading.RLock()
+        self._runs: dict[str, int] = {}
+        self._building: dict[str, threading.RLock] = {}
         self.built = False
         self.sf_dir: str | None = None
 
@@ -78,12 +81,32 @@ class Mart:
               partition_by: list[str] | None = None) -> DataFrame:
         """A materialised table; built from ``builder`` and written on first use."""
         with self._lock:
+            if name in self._tables:
+                return self._tables[name]
+            if builder is None:
+                raise KeyError(name)
+            own = self._building.setdefault(name, threading.RLock())
+        with own:  # only builds of the same table wait for each other
             if name not in self._tables:
-                if builder is None:
-                    raise KeyError(name)
                 self._write(name, builder(self), partition_by, count=True)
             return self._tables[name]
 
+    def scratch(self, name: str) -> str:
+        """The folder of a query's own files: one per mart and name, overwritten by each run."""
+        self._runs[name] = self._runs.get(name, 0) + 1
+        return f"{self.root}/{name}-{self._runs[name] % 2}"
+
+    def fresh(self, name: str) -> str:
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def rewrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Write a new version of a table beside the old one, switch to it, and return its rows."""
+        out = write_table(df, self.fresh(name), partition_by)
+        with self._lock:
+            self._tables[name] = out
+            self.sizes[name] = out.count()
+            return self.sizes[name]
+
     def dim(self, name: str) -> DataFrame:
         """A dimension wrapped for lookups: broadcast when its counted size allows."""
         return sized(self._tables[name], self.sizes[name])

@@ -129,6 +129,9 @@ def oracle(name: str, body: str) -> None:
     ORACLE[name] = q(body.replace("{XAVG_DUR}", xavg("duration")))
 
 
+#: The window of the windowed rollups, strictly inside the data.
+WINDOW = (1704171600, 1709535600)
+
 # ---- simple generation (A1 - D4q, R5 - R7) --------------------------------------------
 
 oracle("a1_service_ranking", "select service_name, count(*) as total_connections from g1s group by service_name")
@@ -415,6 +418,14 @@ select 'HOURLY' as aggregation_level, 'COMPLETED' as status, count(*) as records
 union all select 'DAILY', 'COMPLETED', count(*) from r2
 union all select 'MONTHLY', 'COMPLETED', count(*) from r3""")
 
+# The rollups of a window: the same statements over the facts of the window.
+for _level, _table in (("r1_hourly_window", "select * exclude (hour) from r1"), ("r2_daily_window", "select * from r2"), ("r3_monthly_window", "select * from r3")):
+    oracle(_level, _table)
+    _inside = f"where time_id between {WINDOW[0]} and {WINDOW[1]}"
+    for _group in ("from ft group by time_id, service_name, protocol_name, category, hour)", "as month_start from ft),"):
+        assert _group in ORACLE[_level]
+        ORACLE[_level] = ORACLE[_level].replace(_group, _group.replace("from ft", f"from ft {_inside}"))
+
 oracle("h0_last_24h", "select time_id from last_24h")
 
 oracle("qa1_service_ranking", f"""
@@ -681,8 +692,8 @@ left join (
 
 oracle("k10_service_protocol_matrix", "select service_name, protocol_name, count(*) as connections from ft group by service_name, protocol_name")
 oracle("k10_port_service_matrix", "select dest_port, service_name, count(*) as connections from ft group by dest_port, service_name")
-oracle("k10_service_protocol_pivot", """
-select * from (pivot (select service_name, protocol_name from ft) on protocol_name using count(*) group by service_name)""")
+oracle("k10_service_protocol_pivot", "select service_name, " + ", ".join(
+    f"count(*) filter (where protocol_name = '{p}') as {p}" for p in ("arp", "icmp", "tcp", "udp")) + " from ft group by service_name")
 oracle("k10_attack_service_matrix", "select category as attack_category, service_name, count(*) as connections from ft group by category, service_name")
 
 oracle("k11_derived_metrics", f"""
@@ -753,24 +764,41 @@ select count(*) as total_records,
 from raw""")
 
 oracle("s11_staging_counts", """
-select (select count(*) from raw) as source_data, (select count(*) from stg) as valid_rows,
- (select count(*) from raw) - (select count(*) from stg) as rejected_rows""")
+select 'source_data' as table_name, count(*) as record_count from raw union all select 'valid_rows', count(*) from stg
+union all select 'rejected_rows', (select count(*) from raw) - (select count(*) from stg)""")
+oracle("s2_line_numbers", """
+select count(*) as lines, count(*) as distinct_numbers, count(*) + count(case when sport % 5 = 0 then 1 end) as physical_lines from raw""")
+oracle("s8_load_errors", """
+select concat_ws('; ', case when sport % 7 = 0 then 'invalid dur' end, case when sport % 11 = 0 then 'invalid stime' end) as error_message,
+ srcip, sport, dstip, true as has_line from raw where sport % 7 = 0 or sport % 11 = 0""")
 
 oracle("s12_valid_sample", f"select {USED_COLS} from stg where {G1_VALID} order by {SAMPLE_ORDER} limit 1000")
 oracle("s13_distinct_sample", f"select * from (select distinct {USED_COLS} from stg where {G1_VALID}) order by {SAMPLE_ORDER} limit 1000")
 
-oracle("s14_merge_ports", """
-select port_number, range_type, default_service from prt
-union all
-select port_number, case when port_number < 1024 then 'SYSTEM' when port_number < 49152 then 'USER' else 'DYNAMIC' end,
- coalesce(min(service), 'UNKNOWN')
+PORT_IDS = """pid AS (
+select 0 as port_id, port_number, range_type, default_service from prt where port_number = 0
+union all select cast(row_number() over (order by port_number) as int), port_number, range_type, default_service from prt where port_number <> 0),
+rawports AS (
+select port_number, min(service) as lo, max(service) as hi
 from (select sport as port_number, service from raw where sport is not null union all select dsport, service from raw where dsport is not null)
-where port_number <> 0 and port_number not in (select port_number from prt) group by port_number""")
+where port_number <> 0 group by port_number)"""
+
+
+def oracle_ports(name: str, body: str) -> None:
+    oracle(name, "select * from (with " + PORT_IDS + body + ")")
+
+
+oracle_ports("s14_merge_ports", """
+select port_id, port_number, range_type, default_service from pid
+union all
+select cast((select max(port_id) from pid) + row_number() over (order by port_number) as int), port_number,
+ case when port_number < 1024 then 'SYSTEM' when port_number < 49152 then 'USER' else 'DYNAMIC' end, coalesce(lo, 'UNKNOWN')
+from rawports where port_number not in (select port_number from pid)""")
 
 oracle("s17_partition_counts", """
 select strftime(make_timestamp(time_id * 1000000), '%Y-%m') as year_month, count(*) as record_count from ft group by 1""")
 
-oracle("s20_window_source_count", "select count(*) as source_records from ft")
+oracle("s20_window_source_count", f"select count(*) as source_records from ft where time_id between {WINDOW[0]} and {WINDOW[1]}")
 oracle("s21_fact_counts", """
 select 'fact_connection' as table_name, count(*) as record_count from ft
 union all select 'g1_fact_connections', count(*) from g1""")
@@ -833,3 +861,95 @@ oracle("f5_measure_rejects", """
 select service, sport, stime, dur, sload, dload from stg
 where (dur is not null and try_cast(dur as decimal(10,3)) is null) or (sload is not null and try_cast(sload as decimal(10,3)) is null)
  or (dload is not null and try_cast(dload as decimal(10,3)) is null)""")
+
+oracle("v3_orphans_found", """
+select 'time_id' as check_name, count(*) as orphan_count from ft where time_id % 18000 = 0
+union all select 'service_id', count(*) from ft where service_name = 'dns'
+union all select 'source_port_id', count(*) from ft where source_port % 7 = 3
+union all select 'dest_port_id', count(*) from ft where dest_port % 7 = 3
+union all select 'state_id', count(*) from ft where state_name = 'FIN'
+union all select 'protocol_id', count(*) from ft where protocol_name = 'icmp'
+union all select 'attack_id', count(*) from ft where category = 'DoS'""")
+
+oracle("v5_orphans_found", """
+select 'FACT_CONNECTION' as table_name, count(*) as total_records, count(case when service_name = 'dns' then 1 end) as orphaned_services,
+ count(case when protocol_name = 'icmp' then 1 end) as orphaned_protocols from ft""")
+
+oracle("v6_inactive_removed", """
+select count(case when service_name not in ('ftp', 'ssh') then 1 end) as kept_rows,
+ count(case when service_name in ('ftp', 'ssh') then 1 end) as removed_rows from ft""")
+
+oracle("f5_overflow_found", """
+select service, sport, stime, dur, sload * 200 as sload, dload * 200 as dload from stg
+where (dur is not null and try_cast(dur as decimal(10,3)) is null) or (sload is not null and try_cast(sload * 200 as decimal(10,3)) is null)
+ or (dload is not null and try_cast(dload * 200 as decimal(10,3)) is null)""")
+
+for _name, _bytes, _odd, _peak, _last in (
+    ("v8_declared_checks", "source_bytes < 0", "false", 0, "first_seen > last_seen"),
+    ("v8_checks_found", "source_bytes % 10 = 7", "time_id % 7200 <> 0", 20, "true"),
+):
+    _total = lambda t, table, a="total_connections", b="normal_connections + attack_connections", odd=_odd: (
+        f"select '{t}' as table_name, 'total_is_normal_plus_attack' as rule, count(*) as violations from {table} where {a} + case when {odd} then 1 else 0 end <> {b}"
+    )
+    oracle(_name, f"""
+select 'fact_connection' as table_name, 'non_negative_measures' as rule, count(*) as violations from ft where {_bytes}
+union all {_total('fact_hourly_traffic', 'r1')}
+union all {_total('fact_daily_traffic', 'r2')}
+union all select 'fact_daily_traffic', 'peak_hour_of_day', count(*) from r2 where not (peak_hour + {_peak} between 0 and 23)
+union all {_total('fact_monthly_traffic', 'r3')}
+union all {_total('fact_service_stats', 'ss')}
+union all select 'fact_service_stats', 'peak_hour_of_day', count(*) from ss where not (peak_hour_normal + {_peak} between 0 and 23 and peak_hour_attack between 0 and 23)
+union all {_total('fact_port_usage', 'pu', 'total_usage', 'normal_usage + attack_usage')}
+union all select 'fact_port_usage', 'first_seen_before_last', count(*) from pu where {_last}""")
+
+oracle("v8_duplicates_found", """
+select 'dim_time' as table_name, 'time_id' as key, count(*) as violations from dim_time where time_id % 7200 = 0
+union all select 'dim_service', 'name', count(*) from svc where risk_level = 'HIGH'
+union all select 'dim_port', 'port_number', count(*) from prt where port_number % 4 = 1
+union all select 'dim_attack', 'category', count(*) from att where severity = 4
+union all select 'fact_connection', 'connection_id', count(*) from ft where time_id % 7200 = 0
+union all select 'fact_hourly_traffic', 'time_id,service_id,protocol_id,attack_id', count(*) from r1 where time_id % 7200 = 0
+union all select 'fact_service_stats', 'time_id,service_id,protocol_id,attack_id', count(*) from ss where time_id % 7200 = 0
+union all select 'fact_port_usage', 'port_id,time_id,service_id,protocol_id,attack_id', count(*) from pu where time_id % 7200 = 0""")
+
+_KEYS4 = "time_id, service_name, protocol_name, attack_category"
+oracle("v9_coherence", f"""
+select 'hourly_rollup_mismatch' as rule, (select count(*) from (select time_id, service_name, protocol_name, category as attack_category, count(*) as n
+   from ft group by all) x full outer join r1 using ({_KEYS4}) where x.n is distinct from r1.total_connections) as violations
+union all select 'daily_rollup_mismatch', (select count(*) from (select first_id as time_id, service_name, protocol_name, category as attack_category, hour as peak_hour, count(*) as n
+   from ftp join day_first using (day_start) group by all) x full outer join r2 using ({_KEYS4}, peak_hour) where x.n is distinct from r2.total_connections)
+union all select 'monthly_rollup_mismatch', (select count(*) from (select first_id as time_id, service_name, protocol_name, category as attack_category, day as peak_day, count(*) as n
+   from ftp join month_first using (month_start) group by all) x full outer join r3 using ({_KEYS4}, peak_day) where x.n is distinct from r3.total_connections)
+union all select 'source_ports_out_of_range', (select count(*) from ft where source_port not between 0 and 65535)
+union all select 'dest_ports_out_of_range', (select count(*) from ft where dest_port not between 0 and 65535)""")
+
+oracle("v9_incoherence_found", """
+select 'hourly_rollup_mismatch' as rule, (select count(*) from r1 where time_id % 7200 <> 0 and protocol_name = 'udp') as violations
+union all select 'daily_rollup_mismatch', (select count(*) from r2 where time_id % 7200 <> 0 and protocol_name = 'udp')
+union all select 'monthly_rollup_mismatch', (select count(*) from r3 where time_id % 7200 <> 0 and protocol_name = 'udp')
+union all select 'source_ports_out_of_range', (select count(*) from ft where source_port + 60000 > 65535)
+union all select 'dest_ports_out_of_range', (select count(*) from ft where dest_port + 60000 > 65535)""")
+
+_PORT_VERSIONS = """, old AS (select * from pid where port_number % 10 <> 9), j AS (
+select coalesce(old.port_number, s.port_number) as port_number, old.default_service as a, coalesce(s.hi, 'UNKNOWN') as b,
+ old.port_number is not null as was, s.port_number is not null as now_ from old full outer join rawports s on old.port_number = s.port_number),
+versions AS (
+select port_number, a as default_service, 1 as version, not (now_ and a <> b) as is_active, '2024-01-01 00:00:00' as valid_from,
+ case when now_ and a <> b then '2024-03-01 00:00:00' end as valid_to from j where was
+union all select port_number, b, case when was then 2 else 1 end, true, '2024-03-01 00:00:00', null from j where now_ and (not was or a <> b))
+"""
+oracle_ports("d10_scd2_port", _PORT_VERSIONS + "select *, true as id_is_own from versions")
+oracle_ports("d10_ports_as_of", _PORT_VERSIONS + "select port_number, default_service, version from versions where valid_from < '2024-02-15' and coalesce(valid_to, '9999') > '2024-02-15'")
+
+ORACLE["r12_refresh_views"] = " union all ".join(
+    f"select '{view}' as view_name, count(*) as record_count from ({ORACLE[query]})"
+    for view, query in (
+        ("mv_hourly_service_stats", "r5_hourly_service_stats"),
+        ("mv_daily_traffic", "r6_daily_traffic"),
+        ("mv_weekly_traffic", "r7_weekly_traffic"),
+        ("mv_hourly_service_performance", "r8_hourly_service_performance"),
+        ("mv_daily_attack_patterns", "r9_daily_attack_patterns"),
+        ("mv_service_risk_profile", "r10_service_risk_profile"),
+        ("mv_port_security_analysis", "r11_port_security_analysis"),
+    )
+)

@@ -1,93 +1,41 @@
-"""Exact continuous percentile without gathering a column into one task.
+"""Exact continuous percentile of a DECIMAL(10,3) column, without a collect or a driver loop.
 
-``percentile_cont(p)`` needs the values of rank ``floor(h)`` and ``ceil(h)`` (0-based,
-``h = p * (N - 1)``). Spark's exact ``percentile`` aggregate merges a map of every
-distinct value in a single task, which does not scale. Instead each order statistic is
-found by narrowing a value band:
-
-1. one pass over the current band: its size, an estimate of its distinct values and a
-   ``percentile_approx`` bracket around the target rank (bounded-memory sketch);
-2. one pass: how many band values fall below the bracket and inside it; the band
-   becomes the bracket and the target rank is shifted by the count below;
-3. once the band has at most ``max_band`` distinct values, its histogram
-   ``value -> count`` (aggregated by Spark) is walked on the driver.
-
-Each narrowing shrinks the band by about the sketch accuracy (10,000x), so a few
-rounds reach a small band even at 10^12 rows. If a bracket misses the rank (ties at an
-edge), it is widened; the widest bracket is the whole band, which is always right.
+In thousandths a value has three digit groups: millions, thousands, ones. For each target rank
+one small histogram per group (at most 10,000 rows, summed by partial aggregation) and its
+running count give the group's digits; the next histogram covers only the values with the
+digits found so far. Everything is a scalar subquery, so the caller's plan stays lazy, and
+no task holds more than a histogram.
 """
 
 from __future__ import annotations
 
-import math
-from decimal import Decimal
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-MAX_BAND = 100_000
-
-
-def exact_percentile_cont(df: DataFrame, col: str, p: float, accuracy: int = ACCURACY,
-                          max_band: int = MAX_BAND, as_decimal: bool = False) -> float | Decimal | None:
-    """``percentile_cont(p)`` of ``col``. With ``as_decimal`` (decimal columns) the
-    interpolation is done in exact decimal arithmetic and a ``Decimal`` is returned."""
-    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return None
-    h = Decimal(str(p)) * (n - 1)
-    k_lo, k_hi = math.floor(h), math.ceil(h)
-    v_lo = kth_smallest(values, k_lo, n, accuracy, max_band)
-    v_hi = v_lo if k_hi == k_lo else kth_smallest(values, k_hi, n, accuracy, max_band)
-    if as_decimal:
-        return Decimal(v_lo) + (h - k_lo) * (Decimal(v_hi) - Decimal(v_lo))
-    return float(v_lo) + float(h - k_lo) * (float(v_hi) - float(v_lo))
-
-
-def next_above(t: Decimal, scale: int) -> Decimal:
-    """Smallest value with ``scale`` decimals strictly greater than ``t``: for a column
-    of that scale, ``x > t`` is ``x >= next_above(t)``, a predicate parquet can push."""
-    step = Decimal(1).scaleb(-scale)
-    return (t / step).to_integral_value(rounding="ROUND_FLOOR") * step + step
-
-
-def kth_smallest(values: DataFrame, k: int, n: int, accuracy: int = ACCURACY, max_band: int = MAX_BAND):
-    """The 0-based ``k``-th smallest value of column ``v`` (``n`` non-null values)."""
-    v = F.col("v")
-    band, band_n, target = values, n, k
-    while True:
-        stats = band.agg(F.approx_count_distinct(v).alias("d")).first()
-        if stats["d"] <= max_band:
-            return _walk(band, target)
-        q = target / max(band_n - 1, 1)
-        delta = 3.0 / accuracy
-        while True:
-            lo_q, hi_q = max(0.0, q - delta), min(1.0, q + delta)
-            a, b = band.agg(F.percentile_approx(v, [lo_q, hi_q], accuracy)).first()[0]
-            counts = band.agg(
-                F.count(F.when(v < F.lit(a), 1)).alias("below"),
-                F.count(F.when(v.between(F.lit(a), F.lit(b)), 1)).alias("inside"),
-            ).first()
-            if counts["below"] <= target < counts["below"] + counts["inside"]:
-                break
-            if lo_q == 0.0 and hi_q == 1.0:
-                return _walk(band, target)  # cannot narrow further: exact walk of the band
-            delta = min(1.0, delta * 10)
-        if counts["inside"] == band_n:  # all ties or no progress: the band is one value range
-            return _walk(band, target)
-        target -= counts["below"]
-        band_n = counts["inside"]
-        band = band.filter(v.between(F.lit(a), F.lit(b)))
-
-
-def _walk(band: DataFrame, target: int):
-    """Histogram of a small band (<= max_band distinct values), walked to ``target``."""
-    hist = sorted((r["v"], r["c"]) for r in band.groupBy("v").agg(F.count(F.lit(1)).alias("c")).collect())
-    cum = 0
-    for value, c in hist:
-        if target < cum + c:
-            return value
-        cum += c
-    raise RuntimeError("rank outside the band")
+GROUPS = (1_000_000, 1_000, 1)
+
+
+def _nth(values: DataFrame, k: Column) -> Column:
+    """The 0-based ``k``-th smallest of the non-negative long column ``v`` (null beyond)."""
+    found, rank, rest = F.lit(0).cast("bigint"), k, values
+    for unit in GROUPS:
+        hist = rest.groupBy(F.expr(f"v div {unit}").alias("g")).agg(F.count(F.lit(1)).alias("n"))
+        run = hist.select("g", "n", F.sum("n").over(Window.orderBy("g")).alias("to")).filter(F.col("to") > rank)
+        # min over (group, values before it): the first group whose running count passes the rank
+        hit = run.agg(F.min(F.struct("g", (F.col("to") - F.col("n")).alias("before"))).alias("hit"))
+        found, rank = hit.select("hit.g").scalar(), rank - hit.select("hit.before").scalar()
+        rest = rest.filter(F.expr(f"v div {unit}") == found)
+    return found
+
+
+def above_percentile(df: DataFrame, col: str, hundredths: int) -> Column:
+    """The smallest DECIMAL(10,3) value strictly above ``percentile_cont(hundredths / 100)`` of
+    ``col``, as a scalar subquery: ``x > percentile`` is ``x >= above_percentile``, which
+    compares the column itself and so can be pushed into the scan. NULL without values."""
+    values = df.filter(F.col(col).isNotNull()).select((F.col(col) * 1000).cast("bigint").alias("v"))
+    h = F.lit(hundredths) * (values.agg(F.count(F.lit(1))).scalar() - 1)
+    low, part = F.floor(h / 100).cast("bigint"), h % 100
+    a = _nth(values, low)
+    b = _nth(values, low + F.when(part > 0, 1).otherwise(0))
+    exact = a * 100 + part * (b - a)  # the interpolated percentile in 1e-5 seconds
+    return ((F.floor(exact / 100) + 1).cast("decimal(13,0)") / 1000).cast("decimal(10,3)")

@@ -8,7 +8,7 @@ run-dependent fact ids.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
@@ -224,23 +224,61 @@ def f7_port_usage(m: Mart) -> DataFrame:
     ).withColumn("last_seen", ts_str(F.col("last_seen")))
 
 
+def refresh_rollups(m: Mart, t0: int | None = None, t1: int | None = None) -> list[int]:
+    """Recompute the rollups for [t0, t1] from the fact, in three audited batches (HOURLY,
+    DAILY, MONTHLY); returns the batch ids.
+
+    The hourly base is the stored state: the window's rows are computed anew and replace what
+    was there (only the months that the window touches are rewritten); days and months are
+    finished from it. A rerun of the same window gives the same tables."""
+    inside = F.lit(True)
+    if t0 is not None:
+        inside = inside & (F.col("time_id") >= t0)
+    if t1 is not None:
+        inside = inside & (F.col("time_id") <= t1)
+
+    def hourly_step(batch_id: int) -> int:
+        stored = m.table("hourly_base", lambda mm: _ym(R.hourly_base(conn(mm))), partition_by=["year_month"])
+        new = _ym(R.hourly_base(R.connections(m["fact_connection"], m.dim("dim_attack"), t0, t1)))
+        m.rewrite("hourly_base", stored.filter(~inside).unionByName(new.select(*stored.columns)), ["year_month"])
+        return m.rewrite("fact_hourly_traffic", _ym(R.hourly_traffic(hourly_base(m))), ["year_month"])
+
+    def daily_step(batch_id: int) -> int:
+        return m.rewrite("fact_daily_traffic", R.daily_traffic_literal(hourly_base(m), m["dim_time"]))
+
+    def monthly_step(batch_id: int) -> int:
+        return m.rewrite("fact_monthly_traffic", R.monthly_traffic_literal(hourly_base(m), m["dim_time"]))
+
+    return m.audit.run_all([("HOURLY", hourly_step), ("DAILY", daily_step), ("MONTHLY", monthly_step)])
+
+
 def r4_aggregate_facts(m: Mart) -> DataFrame:
-    """The three rollups in audited batches (HOURLY, DAILY, MONTHLY).
+    """R4 over the whole range: level, status and rows of this run's batches, from the audit."""
+    ids = refresh_rollups(m)
+    return m.audit.table().filter(F.col("batch_id").isin(ids)).select("aggregation_level", "status", "records_processed")
+
+
+#: A window strictly inside the data: it cuts the first and the third month's hours.
+WINDOW = (1704171600, 1709535600)
 
-    Returns one row per level with the batch status and the rows produced."""
-    levels = (("HOURLY", hourly, "fact_hourly_traffic"), ("DAILY", daily_literal, "fact_daily_traffic"),
-              ("MONTHLY", monthly_literal, "fact_monthly_traffic"))
-    parts = []
-    for level, build, name in levels:
 
-        def step(batch_id: int, build=build, name=name) -> int:
-            build(m)
-            return m.sizes[name]
+def _window_base(m: Mart) -> DataFrame:
+    """The hourly base of WINDOW, computed from the fact (months outside it are not read)."""
+    t0, t1 = WINDOW
+    months = F.col("year_month").between(F.date_format(F.timestamp_seconds(F.lit(t0)), "yyyy-MM"), F.date_format(F.timestamp_seconds(F.lit(t1)), "yyyy-MM"))
+    return R.hourly_base(R.connections(m["fact_connection"].filter(months), m.dim("dim_attack"), t0, t1))
 
-        m.audit.run(level, step)
-        parts.append(m[name].agg(F.count(F.lit(1)).alias("records_processed")).select(
-            F.lit(level).alias("aggregation_level"), F.lit("COMPLETED").alias("status"), "records_processed"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+def r1_hourly_window(m: Mart) -> DataFrame:
+    return named(R.hourly_traffic(_window_base(m)), m, "service", "protocol", "attack")
+
+
+def r2_daily_window(m: Mart) -> DataFrame:
+    return named(R.daily_traffic_literal(_window_base(m), m["dim_time"]), m, "service", "protocol", "attack")
+
+
+def r3_monthly_window(m: Mart) -> DataFrame:
+    return named(R.monthly_traffic_literal(_window_base(m), m["dim_time"]), m, "service", "protocol", "attack")
 
 
 # ---- materialised views -------------------------------------------------------------------------
@@ -472,35 +510,33 @@ def qd4_security_summary(m: Mart) -> DataFrame:
     The weights are computed by aggregation instead of materialising the fan-out: per
     (service, hour) the number of matching port-usage rows ``w`` (1 when none), then
     ``sum(w * is_attack) / sum(w)`` - exact, and no row pairs are ever produced."""
-    f = _f(m).join(_attack(m), "attack_id")
-    pu = port_usage(m)
-    weights = pu.groupBy("service_id", "time_id").agg(F.count(F.lit(1)).alias("w"))
-    per_cell = f.groupBy("service_id", "time_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("is_attack"), 1)).alias("n_attack")
-    ).join(weights, ["service_id", "time_id"], "left").withColumn("w", F.coalesce(F.col("w"), F.lit(1)))
-    rows = per_cell.agg(F.sum(F.col("n") * F.col("w"))).scalar()
-    attack_rows = per_cell.agg(F.sum(F.col("n_attack") * F.col("w"))).scalar()
-    matched = pu.join(f.select("service_id", "time_id").distinct(), ["service_id", "time_id"], "left_semi")
-    exclusive = matched.agg(F.countDistinct(F.when(F.col("exclusive_to_attacks"), F.col("port_id")))).scalar()
-    return f.agg(
-        F.countDistinct("service_id").alias("total_services"),
-        F.countDistinct(F.when(F.col("is_attack"), F.col("attack_id"))).alias("total_attack_types"),
-    ).select(
-        "total_services", "total_attack_types",
-        pct(attack_rows, rows).alias("overall_attack_percentage"),
-        exclusive.alias("exclusive_attack_ports"),
+    # The port grain has the facts' counts; its rows per (service, hour) are the weights.
+    cells = port_grain(m).groupBy("service_id", "time_id").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("is_attack"), F.col("n")).otherwise(0)).alias("n_attack"), F.count(F.lit(1)).alias("w")
+    )
+    share = cells.agg(F.sum(F.col("n") * F.col("w")).alias("rows"), F.sum(F.col("n_attack") * F.col("w")).alias("attack_rows"))
+    return _security_totals(m, share.select(pct(F.col("attack_rows"), F.col("rows"))).scalar())
+
+
+def _security_totals(m: Mart, attack_share: Column) -> DataFrame:
+    """Services, attack types and exclusive attack ports, from one aggregate of the port grain;
+    every (service, hour) of the facts has port-usage rows, so all of them count."""
+    per_port = port_grain(m).groupBy("port_id").agg(
+        F.bool_and("is_attack").alias("exclusive"),
+        F.collect_set("service_id").alias("services"),  # at most the service dimension
+        F.collect_set(F.when(F.col("is_attack"), F.col("attack_id"))).alias("attacks"),
     )
+    return per_port.agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("services")))).cast("bigint").alias("total_services"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("attacks")))).cast("bigint").alias("total_attack_types"),
+        F.count(F.when(F.col("exclusive"), 1)).alias("exclusive_attack_ports"),
+    ).select("total_services", "total_attack_types", attack_share.alias("overall_attack_percentage"), "exclusive_attack_ports")
 
 
 def qd4_security_summary_fixed(m: Mart) -> DataFrame:
     """QD4 with independent scalars (no fan-out weighting)."""
-    f = _f(m).join(_attack(m), "attack_id")
-    exclusive = port_usage(m).agg(F.countDistinct(F.when(F.col("exclusive_to_attacks"), F.col("port_id")))).scalar()
-    return f.agg(
-        F.countDistinct("service_id").alias("total_services"),
-        F.countDistinct(F.when(F.col("is_attack"), F.col("attack_id"))).alias("total_attack_types"),
-        pct(F.count(F.when(F.col("is_attack"), 1)), F.count(F.lit(1))).alias("overall_attack_percentage"),
-    ).withColumn("exclusive_attack_ports", exclusive)
+    n = port_grain(m).agg(F.sum(F.when(F.col("is_attack"), F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n"))
+    return _security_totals(m, n.select(pct(F.col("a"), F.col("n"))).scalar())
 
 
 def qm1_top5_attack_share(m: Mart) -> DataFrame:
@@ -514,9 +550,8 @@ def qm1_top5_attack_share(m: Mart) -> DataFrame:
 
 
 def _share_of_total(agg: DataFrame, n: str) -> DataFrame:
-    """``ROUND(100 * n / SUM(n) OVER (), 2)``; the total is a scalar subquery over the aggregate."""
-    total = agg.agg(F.sum(n)).scalar()
-    return agg.withColumn("percentage_of_total", pct(F.col(n), total))
+    """``ROUND(100 * n / SUM(n) OVER (), 2)`` over the few aggregated rows."""
+    return agg.withColumn("percentage_of_total", pct(F.col(n), F.sum(n).over(Window.partitionBy())))
 
 
 def qm2_attacks_by_hour(m: Mart) -> DataFrame:

@@ -5,13 +5,13 @@ folder in the shared checkpoint location and return the re-read result."""
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmart.functions.classify import ATTACK_SEVERITY, ATTACK_SEVERITY_DEFAULT, MAX_PORT, lookup
+from flowmart.functions.classify import ATTACK_SEVERITY, ATTACK_SEVERITY_DEFAULT, MAX_PORT, UNKNOWN, lookup, port_range
 from flowmart.operators import dims as D
+from flowmart.operators import rollups as R
 from flowmart.operators import quality as QL
 from flowmart.operators import scd
 from flowmart.operators import sinks
@@ -21,6 +21,7 @@ from flowmart.plans import queries_g1 as G1
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart
 from flowmart.sources import csv as CSV
+from flowmart.sources.schema import STAGING_FIELDS
 from flowmart.streaming import hourly as X
 
 USED = ["srcip", "sport", "dstip", "dsport", "proto", "state", "dur", "sbytes", "dbytes", "sttl", "dttl", "sloss", "dloss",
@@ -28,27 +29,49 @@ USED = ["srcip", "sport", "dstip", "dsport", "proto", "state", "dur", "sbytes",
         "attack_cat", "label"]
 
 
-def _path(m: Mart, name: str) -> str:
-    return f"{m.root}/{name}-{uuid.uuid4().hex[:8]}"
-
-
 # ---- sources -----------------------------------------------------------------------------
 
 def s1_csv_with_header(m: Mart) -> DataFrame:
     """Clean staging written as CSV with a header, read back with the explicit schema."""
-    path = _path(m, "csv_header")
-    m.stg.write.option("header", True).csv(path)
+    path = m.scratch("csv_header")
+    m.stg.write.mode("overwrite").option("header", True).csv(path)
     return CSV.read_with_header(m.spark, path).select(*USED)
 
 
 def s3_parse_raw_lines(m: Mart) -> DataFrame:
-    """Raw staging (rule breakers included) written as headerless positional lines,
-    read back with line numbers and parsed into the 49 typed fields."""
-    path = _path(m, "raw_lines")
+    """S3: raw staging (rule breakers included) written as headerless positional lines,
+    read back and parsed into the 49 typed fields."""
+    path = m.scratch("raw_lines")
     CSV.write_lines(m.raw, path)
     return CSV.parse_lines(CSV.read_raw_lines(m.spark, path)).select(*USED)
 
 
+def s2_line_numbers(m: Mart) -> DataFrame:
+    """S2 + S4: raw staging written as lines with a blank line before every line whose source port
+    is a multiple of 5, read back: lines kept, distinct (file, line number) pairs, and the sum
+    of the files' last line numbers, which counts the dropped blank lines too."""
+    path = m.scratch("numbered_lines")
+    value = F.concat_ws(",", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in STAGING_FIELDS])
+    blank = F.when(F.col("sport") % 5 == 0, F.concat(F.lit("\n"), value)).otherwise(value)
+    m.raw.select(blank.alias("value")).write.mode("overwrite").text(path)
+    lines = CSV.read_raw_lines(m.spark, path)
+    per_file = lines.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("line_number").alias("d"), F.max("line_number").alias("last"))
+    zero = F.lit(0).cast("bigint")
+    return per_file.agg(*[F.coalesce(F.sum(c), zero).alias(name) for c, name in (("n", "lines"), ("d", "distinct_numbers"), ("last", "physical_lines"))])
+
+
+def s8_load_errors(m: Mart) -> DataFrame:
+    """Load errors of lines broken on purpose: a word in place of the duration where the source
+    port is a multiple of 7, of the start time where it is a multiple of 11."""
+    path = m.scratch("broken_lines")
+    word = {"dur": F.col("sport") % 7 == 0, "stime": F.col("sport") % 11 == 0}
+    fields = [F.coalesce(F.when(word[n], F.lit("x")) if n in word else F.lit(None).cast("string"), F.col(n).cast("string"), F.lit("")) for n, _ in STAGING_FIELDS]
+    m.raw.select(F.concat_ws(",", *fields).alias("value")).write.mode("overwrite").text(path)
+    errors = CSV.parse_errors(CSV.read_raw_lines(m.spark, path))
+    part = lambda i: F.split_part("raw_data", F.lit(","), F.lit(i))
+    return errors.select("error_message", part(1).alias("srcip"), part(2).cast("int").alias("sport"), part(3).alias("dstip"), (F.col("line_number") > 0).alias("has_line"))
+
+
 def f5_measure_rejects(m: Mart) -> DataFrame:
     """clean staging rows whose NUMERIC(10,3) measures overflow (``try_cast`` gives NULL)."""
     from flowmart.operators.facts import g2_measures
@@ -65,13 +88,10 @@ def s9_quality_profile(m: Mart) -> DataFrame:
 
 
 def s11_staging_counts(m: Mart) -> DataFrame:
-    """Raw, clean and rejected staging rows, in one pass."""
+    """Raw, clean and rejected staging rows as (table_name, record_count), in one pass."""
     ok = QL.row_is_valid()
-    return m.raw.agg(
-        F.count(F.lit(1)).alias("source_data"),
-        F.count(F.when(ok, 1)).alias("valid_rows"),
-        F.count(F.when(~ok, 1)).alias("rejected_rows"),
-    )
+    one = m.raw.agg(F.count(F.lit(1)).alias("a"), F.count(F.when(ok, 1)).alias("b"), F.count(F.when(~ok, 1)).alias("c"))
+    return V.as_rows(one, {"a": "source_data", "b": "valid_rows", "c": "rejected_rows"}, "table_name", "record_count")
 
 
 def _sample_order() -> list:
@@ -90,15 +110,14 @@ def s13_distinct_sample(m: Mart) -> DataFrame:
 
 def s14_merge_ports(m: Mart) -> DataFrame:
     """Insert-if-absent of the ports seen in the raw staging (rule breakers included)
-    into the port dimension; existing rows win, new ports get the next ids."""
+    into the port dimension; existing rows win, new ports get the next ids in port order."""
     existing = m["dim_port"].select("port_id", "port_number", "range_type", "default_service")
-    raw_members = D.dimension_members(m.raw)
-    # Only real members are candidates; the default member (id 0) exists in every build.
-    new = D.g2_dim_port(raw_members, m.load_time).filter(F.col("port_id") != 0).select(
-        "port_id", "port_number", "range_type", "default_service"
+    ends = F.explode(F.array(*[F.struct(F.col(c).alias("port_number"), "service") for c in ("sport", "dsport")])).alias("e")
+    seen = m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0)  # port 0 is the default member
+    new = seen.groupBy("port_number").agg(F.min("service").alias("service")).select(
+        "port_number", port_range(F.col("port_number")).alias("range_type"), F.coalesce("service", F.lit(UNKNOWN)).alias("default_service")
     )
-    merged = sinks.insert_if_absent(new, existing, ["port_number"])
-    return merged.select("port_number", "range_type", "default_service")
+    return sinks.insert_if_absent(new, existing, ["port_number"], id_col="port_id")
 
 
 def s17_partition_counts(m: Mart) -> DataFrame:
@@ -106,21 +125,10 @@ def s17_partition_counts(m: Mart) -> DataFrame:
     return sinks.partition_counts(m["fact_connection"])
 
 
-def s18_audit_log(m: Mart) -> DataFrame:
-    """The audit rows of the build (dimension batch and fact batch)."""
-    return m.audit.table().filter(F.col("batch_id") <= 2).select("batch_id", "status", "aggregation_level", "records_processed")
-
-
-def s19_latest_batch(m: Mart) -> DataFrame:
-    return sinks.latest_batch(m.audit.table()).select("batch_id", "status", "aggregation_level")
-
-
 def s20_window_source_count(m: Mart) -> DataFrame:
-    """Fact rows whose hour lies in [first hour, last hour] of the hour dimension."""
-    t = m["dim_time"]
-    lo, hi = t.agg(F.min("time_id")).scalar(), t.agg(F.max("time_id")).scalar()
-    f = m["fact_connection"]
-    return f.filter((F.col("time_id") >= lo) & (F.col("time_id") <= hi)).agg(F.count(F.lit(1)).alias("source_records"))
+    """Fact rows whose hour lies in a window strictly inside the data."""
+    t0, t1 = G2.WINDOW
+    return m["fact_connection"].filter(F.col("time_id").between(t0, t1)).agg(F.count(F.lit(1)).alias("source_records"))
 
 
 def s21_fact_counts(m: Mart) -> DataFrame:
@@ -148,7 +156,11 @@ def v5_orphan_matrix(m: Mart) -> DataFrame:
 def v6_active_service_facts(m: Mart) -> DataFrame:
     """V6: facts kept / removed by the active-service rule, in one pass (the kept rows
     themselves are ``validation.facts_of_active_services``)."""
-    active = F.broadcast(m["dim_service"].filter("is_active").select("service_id", F.lit(True).alias("_active")))
+    return _active_split(m, m["dim_service"])
+
+
+def _active_split(m: Mart, service: DataFrame) -> DataFrame:
+    active = service.filter("is_active").select("service_id", F.lit(True).alias("_active"))
     f = m["fact_connection"].join(active, "service_id", "left")
     return f.agg(
         F.count(F.when(F.col("_active"), 1)).alias("kept_rows"),
@@ -156,8 +168,127 @@ def v6_active_service_facts(m: Mart) -> DataFrame:
     )
 
 
-def v7_audit_summary(m: Mart) -> DataFrame:
-    return V.audit_summary(m.audit.table())
+# The same checks over input that breaks them: dimensions without some members, services
+# that are inactive, measures that overflow, tampered tables.
+
+def _pruned_dims(m: Mart) -> dict[str, DataFrame]:
+    """The dimensions without every fifth hour, dns, ports that are 3 modulo 7, FIN, icmp and DoS."""
+    d = _g2_dims(m)
+    return {
+        "dim_time": d["dim_time"].filter(F.col("time_id") % 18000 != 0),
+        "dim_service": d["dim_service"].filter(F.col("name") != "dns"),
+        "dim_port": d["dim_port"].filter(F.col("port_number") % 7 != 3),
+        "dim_state": d["dim_state"].filter(F.col("name") != "FIN"),
+        "dim_protocol": d["dim_protocol"].filter(F.col("name") != "icmp"),
+        "dim_attack": d["dim_attack"].filter(F.col("category") != "DoS"),
+    }
+
+
+def v3_orphans_found(m: Mart) -> DataFrame:
+    return V.orphan_counts(m["fact_connection"], _pruned_dims(m))
+
+
+def v5_orphans_found(m: Mart) -> DataFrame:
+    d = _pruned_dims(m)
+    return V.orphan_matrix(m["fact_connection"], d["dim_service"], d["dim_protocol"])
+
+
+def v6_inactive_removed(m: Mart) -> DataFrame:
+    return _active_split(m, m["dim_service"].withColumn("is_active", ~F.col("name").isin("ftp", "ssh")))
+
+
+def f5_overflow_found(m: Mart) -> DataFrame:
+    """F5 on measures scaled past NUMERIC(10,3): the loads times 200."""
+    from flowmart.operators.facts import g2_measures
+
+    scaled = m.stg.withColumn("sload", F.col("sload") * 200).withColumn("dload", F.col("dload") * 200)
+    return QL.fact_measure_rejects(g2_measures(scaled)).select("service", "sport", "stime", "dur", "sload", "dload")
+
+
+def _checked_tables(m: Mart) -> dict[str, DataFrame]:
+    return {
+        "fact_connection": m["fact_connection"],
+        "fact_hourly_traffic": G2.hourly(m),
+        "fact_daily_traffic": G2.daily_literal(m),
+        "fact_monthly_traffic": G2.monthly_literal(m),
+        "fact_service_stats": G2.service_stats(m),
+        "fact_port_usage": G2.port_usage(m),
+    }
+
+
+def v8_declared_checks(m: Mart) -> DataFrame:
+    """V8: rows that break a declared CHECK rule, per table."""
+    return V.check_violations(_checked_tables(m))
+
+
+def v8_checks_found(m: Mart) -> DataFrame:
+    """The declared CHECK rules over tampered tables: bytes made negative where they end in 7, one
+    connection too many on odd hours, peaks moved by 20 hours, first use after the last."""
+    t = _checked_tables(m)
+    odd = F.when(F.col("time_id") % 7200 != 0, 1).otherwise(0)
+    more = lambda df, c: df.withColumn(c, F.col(c) + odd)
+    return V.check_violations({
+        "fact_connection": t["fact_connection"].withColumn("source_bytes", F.when(F.col("source_bytes") % 10 == 7, -F.col("source_bytes")).otherwise(F.col("source_bytes"))),
+        "fact_hourly_traffic": more(t["fact_hourly_traffic"], "total_connections"),
+        "fact_daily_traffic": more(t["fact_daily_traffic"], "total_connections").withColumn("peak_hour", F.col("peak_hour") + 20),
+        "fact_monthly_traffic": more(t["fact_monthly_traffic"], "total_connections"),
+        "fact_service_stats": more(t["fact_service_stats"], "total_connections").withColumn("peak_hour_normal", F.col("peak_hour_normal") + 20),
+        "fact_port_usage": more(t["fact_port_usage"], "total_usage").withColumn("first_seen", F.col("last_seen") + F.expr("make_interval(0,0,0,0,1)")),
+    })
+
+
+def v8_duplicates_found(m: Mart) -> DataFrame:
+    """Declared keys over tables in which some rows occur twice (even hours, ports that are 1
+    modulo 4, HIGH risk services, severity 4 attacks), and the facts' own keys."""
+    twice = lambda df, which: df.unionByName(df.filter(which))
+    keys4 = ["time_id", "service_id", "protocol_id", "attack_id"]
+    even = "time_id % 7200 = 0"
+    return V.key_violations({
+        "dim_time": (twice(m["dim_time"], even), ["time_id"]),
+        "dim_service": (twice(m["dim_service"], "risk_level = 'HIGH'"), ["name"]),
+        "dim_port": (twice(m["dim_port"], "port_number % 4 = 1"), ["port_number"]),
+        "dim_attack": (twice(m["dim_attack"], "severity = 4"), ["category"]),
+        "fact_connection": (twice(m["fact_connection"], even), ["connection_id"]),
+        "fact_hourly_traffic": (twice(G2.hourly(m), even), keys4),
+        "fact_service_stats": (twice(G2.service_stats(m), even), keys4),
+        "fact_port_usage": (twice(G2.port_usage(m), even), ["port_id", *keys4]),
+    })
+
+
+def v9_coherence(m: Mart, found: bool = False) -> DataFrame:
+    """V9: keys at which the hourly, daily and monthly rollups disagree with the fact, and facts
+    whose source or destination port is out of range."""
+    f = m["fact_connection"]
+    hourly, daily, monthly = G2.hourly(m), G2.daily_literal(m), G2.monthly_literal(m)
+    ports = m.dim("dim_port")
+    if found:  # rollups without the udp rows of odd hours, a port dimension shifted by 60,000
+        gap = (F.col("time_id") % 7200 == 0) | (F.col("protocol_id") != m["dim_protocol"].filter("name = 'udp'").agg(F.max("protocol_id")).scalar())
+        hourly, daily, monthly = (t.filter(gap) for t in (hourly, daily, monthly))
+        ports = ports.withColumn("port_number", F.col("port_number") + 60000)
+    ts = F.timestamp_seconds("time_id")
+    day, month = F.col("time_id") - F.pmod("time_id", F.lit(86400)), F.unix_seconds(F.date_trunc("month", ts))
+    first = lambda period: m["dim_time"].groupBy(period.alias("p")).agg(F.min("time_id").alias("t"))
+    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    numbers = ports.select("port_id", "port_number")
+    ends = f.groupBy("source_port_id", "dest_port_id").agg(F.count(F.lit(1)).alias("n"))
+
+    def out_of_range(key: str):
+        bad = ends.join(numbers.withColumnRenamed("port_id", key), key).filter(~F.col("port_number").between(0, MAX_PORT))
+        return bad.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+
+    rules = {
+        "hourly_rollup_mismatch": n(V.rollup_mismatches(f, hourly, F.col("time_id"), None, None, None)),
+        "daily_rollup_mismatch": n(V.rollup_mismatches(f, daily, day, first(day), F.hour(ts), "peak_hour")),
+        "monthly_rollup_mismatch": n(V.rollup_mismatches(f, monthly, month, first(month), F.dayofmonth(ts), "peak_day")),
+        "source_ports_out_of_range": out_of_range("source_port_id"),
+        "dest_ports_out_of_range": out_of_range("dest_port_id"),
+    }
+    one = m.spark.range(1).select(*[v.alias(k) for k, v in rules.items()])
+    return V.as_rows(one, {k: k for k in rules}, "rule", "violations")
+
+
+def v9_incoherence_found(m: Mart) -> DataFrame:
+    return v9_coherence(m, found=True)
 
 
 def v8_key_violations(m: Mart) -> DataFrame:
@@ -230,6 +361,27 @@ def d10_scd2_service(m: Mart) -> DataFrame:
     )
 
 
+def d10_scd2_port(m: Mart) -> DataFrame:
+    """D10 for ports: a snapshot taken from raw staging in which each port's default service is
+    the largest one seen; ports without a row are created with the next ids."""
+    ends = F.explode(F.array(*[F.struct(F.col(c).alias("port_number"), "service") for c in ("sport", "dsport")])).alias("e")
+    snapshot = m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0).groupBy("port_number").agg(F.max("service").alias("s"))
+    snapshot = snapshot.select("port_number", F.coalesce("s", F.lit(UNKNOWN)).alias("default_service"))
+    old = m["dim_port"].filter(F.col("port_number") % 10 != 9)  # so that there are new members
+    merged = scd.scd2_merge(old, snapshot, "port_number", ["default_service"], SCD_AS_OF, id_col="port_id")
+    return merged.select(
+        "port_number", "default_service", "version", "is_active",
+        F.date_format("valid_from", G2.TS_FMT).alias("valid_from"), F.date_format("valid_to", G2.TS_FMT).alias("valid_to"),
+        (F.count(F.lit(1)).over(Window.partitionBy("port_id")) == F.max("version").over(Window.partitionBy("port_id"))).alias("id_is_own"),
+    )
+
+
+def d10_ports_as_of(m: Mart) -> DataFrame:
+    """The port dimension of ``d10_scd2_port`` as it was valid in February 2024."""
+    merged = d10_scd2_port(m).withColumn("valid_from", F.to_timestamp("valid_from", G2.TS_FMT)).withColumn("valid_to", F.to_timestamp("valid_to", G2.TS_FMT))
+    return scd.as_of(merged, _dt.datetime(2024, 2, 15)).select("port_number", "default_service", "version")
+
+
 MV_BUILDERS = {
     "mv_hourly_service_stats": G1.r5_hourly_service_stats,
     "mv_daily_traffic": G1.r6_daily_traffic,
@@ -242,33 +394,27 @@ MV_BUILDERS = {
 
 
 def r12_refresh_views(m: Mart) -> DataFrame:
-    """Recompute and write every materialised view; report rows per view.
+    """Recompute the rollups that the views read, then write every materialised view anew;
+    report rows per view.
 
     The seven refreshes are independent, so they are submitted as concurrent Spark jobs
     (driver threads); the scheduler interleaves their tasks on the executors."""
     from concurrent.futures import ThreadPoolExecutor
 
-    def refresh(item):
-        name, build = item
-        return name, sinks.write_table(build(m), _path(m, name))
-
+    G2.refresh_rollups(m)
+    m.rewrite("port_grain", R.port_grain(G2.conn(m)))
+    m.rewrite("fact_service_stats", R.service_stats(G2.port_grain(m)))
+    m.rewrite("fact_port_usage", R.port_usage(G2.port_grain(m)))
     with ThreadPoolExecutor(max_workers=4) as pool:
-        written = list(pool.map(refresh, MV_BUILDERS.items()))
-    parts = []
-    for name, table in written:
-        parts.append(table.agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name).alias("view_name"), "record_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        counts = dict(zip(MV_BUILDERS, pool.map(lambda item: m.rewrite(item[0], item[1](m)), MV_BUILDERS.items())))
+    return V.as_rows(m.spark.range(1).select(*[F.lit(n).alias(k) for k, n in counts.items()]), {k: k for k in counts}, "view_name", "record_count")
 
 
 def x1_stream_hourly_rollup(m: Mart) -> DataFrame:
-    """The streaming hourly rollup run to completion over the events files
-    (``availableNow``); result = newest value per group."""
-    if not getattr(m, "sf_dir", None):
-        raise ValueError("the streaming rollup needs the events directory")
-    sink, ckpt = _path(m, "x1_sink"), _path(m, "x1_checkpoint")
-    q = X.start(m.spark, m.sf_dir, sink, ckpt, file_glob="events.parquet")
-    q.awaitTermination()
-    return X.latest_rollup(m.spark, sink)
+    """The streaming hourly rollup run to completion over the events table
+    (``availableNow``); result = the sum of all batches' partials."""
+    if not m.sf_dir:
+        raise ValueError("the streaming rollup needs the folder of the events table")
+    sink, ckpt = m.fresh("x1_sink"), m.fresh("x1_checkpoint")  # a stream starts anew
+    X.start(m.spark, f"{m.sf_dir}/events.parquet", sink, ckpt).awaitTermination()
+    return X.rollup(m.spark, sink)

@@ -15,7 +15,8 @@ from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6,
 from flowmart.operators.facts import derived_metrics
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart
-from flowmart.plans.quantiles import exact_percentile_cont, next_above
+from flowmart.sources.fixture import PROTOCOLS
+from flowmart.plans.quantiles import above_percentile
 
 
 def _conn(m: Mart) -> DataFrame:
@@ -34,14 +35,7 @@ def p1_duration_anomalies(m: Mart) -> DataFrame:
     The percentile is exact but computed without gathering the column in one task (see
     ``flowmart.plans.quantiles``)."""
     f = m["fact_connection"]
-    threshold = exact_percentile_cont(f, "duration", 0.95, as_decimal=True)
-    # duration is decimal(10,3): "> t" is ">= the next 3-decimal value above t", compared
-    # without a cast on the column, so the bound reaches the parquet scan. No durations:
-    # no percentile, so nothing is above it.
-    if threshold is None:
-        bound = F.lit(None).cast("decimal(10,3)")
-    else:
-        bound = F.lit(next_above(threshold, 3)).cast("decimal(10,3)")
+    bound = above_percentile(f, "duration", 95)
     svc = m.dim("dim_service").select("service_id", F.col("name").alias("service_name"))
     agg = f.filter(F.col("duration") >= bound).join(svc, "service_id").groupBy("service_name").agg(
         F.count(F.lit(1)).alias("connections"), *avg_parts("duration", "avg_duration")
@@ -186,7 +180,7 @@ def k8_exclusive_ports_per_service(m: Mart) -> DataFrame:
 def k9_top5_service_summary(m: Mart) -> DataFrame:
     """Summary of the 5 most attacked services (ties by name): totals and mean duration
     by class, their 5 most used destination ports, and active hours / days / months."""
-    f = _conn(m).join(_dest_port(m), "dest_port_id")
+    f = _conn(m)
     ia = F.col("is_attack")
     stats = f.groupBy("service_name").agg(
         F.count(F.lit(1)).alias("total_connections"),
@@ -199,8 +193,12 @@ def k9_top5_service_summary(m: Mart) -> DataFrame:
         small_distinct("month").alias("active_months"),
     )
     top = stats.orderBy(F.col("attack_connections").desc(), F.col("service_name")).limit(5)
-    ports = f.join(F.broadcast(top.select("service_name")), "service_name", "left_semi").groupBy("service_name", "dest_port").agg(
-        F.count(F.lit(1)).alias("n")
+    # Port counts come from the port grain; the five services are picked when the two small
+    # sides meet, so the per-service aggregate runs once.
+    ports = (
+        G2.port_grain(m).groupBy("service_id", "port_id").agg(F.sum("n").alias("n"))
+        .join(m.dim("dim_service").select("service_id", F.col("name").alias("service_name")), "service_id")
+        .join(m.dim("dim_port").select("port_id", F.col("port_number").alias("dest_port")), "port_id")
     )
     w = Window.partitionBy("service_name").orderBy(F.col("n").desc(), F.col("dest_port"))
     top_ports = (
@@ -213,6 +211,10 @@ def k9_top5_service_summary(m: Mart) -> DataFrame:
     return avg_finish(out, ["avg_duration_normal", "avg_duration_attack"])
 
 
+#: The protocols that the connection records of the fixture have.
+PIVOT_PROTOCOLS = tuple(sorted(set(PROTOCOLS)))
+
+
 def k10_service_protocol_matrix(m: Mart) -> DataFrame:
     f = G2.named(m["fact_connection"], m, "service", "protocol")
     return f.groupBy("service_name", "protocol_name").agg(F.count(F.lit(1)).alias("connections"))
@@ -228,15 +230,10 @@ def k10_attack_service_matrix(m: Mart) -> DataFrame:
     return f.groupBy("attack_category", "service_name").agg(F.count(F.lit(1)).alias("connections"))
 
 
-def k10_service_protocol_pivot(m: Mart) -> DataFrame:
-    """Wide form of the service x protocol matrix. The pivot values are the protocols
-    that occur in the fact (a distinct over ``protocol_id``: partial-aggregated, at most
-    the protocol dimension's size), passed explicitly so Spark does not rediscover them."""
-    seen = m["fact_connection"].select("protocol_id").distinct()
-    names = m.dim("dim_protocol").join(seen, "protocol_id", "left_semi").select("name").collect()
-    protocols = sorted(r["name"] for r in names)
+def k10_service_protocol_pivot(m: Mart, protocols: tuple[str, ...] = PIVOT_PROTOCOLS) -> DataFrame:
+    """Wide form of the service x protocol matrix, one column for each name in ``protocols``."""
     f = G2.named(m["fact_connection"], m, "service", "protocol")
-    return f.groupBy("service_name").pivot("protocol_name", protocols).agg(F.count(F.lit(1))).fillna(0)
+    return f.groupBy("service_name").pivot("protocol_name", list(protocols)).agg(F.count(F.lit(1))).fillna(0)
 
 
 def k11_derived_metrics(m: Mart) -> DataFrame:

@@ -57,6 +57,9 @@ REGISTRY: dict[str, MartQuery] = {
     "r2i_daily_traffic": G2.r2i_daily_traffic,
     "r3_monthly_traffic_literal": G2.r3_monthly_traffic_literal,
     "r3i_monthly_traffic": G2.r3i_monthly_traffic,
+    "r1_hourly_window": G2.r1_hourly_window,
+    "r2_daily_window": G2.r2_daily_window,
+    "r3_monthly_window": G2.r3_monthly_window,
     "r4_aggregate_facts": G2.r4_aggregate_facts,
     "f6_service_stats": G2.f6_service_stats,
     "f7_port_usage": G2.f7_port_usage,
@@ -112,6 +115,8 @@ REGISTRY: dict[str, MartQuery] = {
     "f5_measure_rejects": O.f5_measure_rejects,
     "s1_csv_with_header": O.s1_csv_with_header,
     "s3_parse_raw_lines": O.s3_parse_raw_lines,
+    "s2_line_numbers": O.s2_line_numbers,
+    "s8_load_errors": O.s8_load_errors,
     "s7_rejected_rows": O.s7_rejected_rows,
     "s9_quality_profile": O.s9_quality_profile,
     "s11_staging_counts": O.s11_staging_counts,
@@ -119,16 +124,24 @@ REGISTRY: dict[str, MartQuery] = {
     "s13_distinct_sample": O.s13_distinct_sample,
     "s14_merge_ports": O.s14_merge_ports,
     "s17_partition_counts": O.s17_partition_counts,
-    "s18_audit_log": O.s18_audit_log,
-    "s19_latest_batch": O.s19_latest_batch,
     "s20_window_source_count": O.s20_window_source_count,
     "s21_fact_counts": O.s21_fact_counts,
     "v3_orphan_checks": O.v3_orphan_checks,
     "v5_orphan_matrix": O.v5_orphan_matrix,
     "v6_active_service_facts": O.v6_active_service_facts,
-    "v7_audit_summary": O.v7_audit_summary,
     "v8_key_violations": O.v8_key_violations,
     "v9_business_rules": O.v9_business_rules,
+    "v3_orphans_found": O.v3_orphans_found,
+    "v5_orphans_found": O.v5_orphans_found,
+    "v6_inactive_removed": O.v6_inactive_removed,
+    "v8_declared_checks": O.v8_declared_checks,
+    "v8_checks_found": O.v8_checks_found,
+    "v8_duplicates_found": O.v8_duplicates_found,
+    "v9_coherence": O.v9_coherence,
+    "v9_incoherence_found": O.v9_incoherence_found,
+    "f5_overflow_found": O.f5_overflow_found,
+    "d10_scd2_port": O.d10_scd2_port,
+    "d10_ports_as_of": O.d10_ports_as_of,
     "d10_scd2_service": O.d10_scd2_service,
     "r12_refresh_views": O.r12_refresh_views,
     "x1_stream_hourly_rollup": O.x1_stream_hourly_rollup,

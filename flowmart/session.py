@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the mart's semantics depend on (not tuning).
 REQUIRED_CONF = {
@@ -53,37 +53,25 @@ def ensure_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for materialised tables and checkpoints.
+    """The shared folder for materialised tables and checkpoints: the one that the cluster names in
+    ``spark.checkpoint.dir`` (or that was set on the context).
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared storage every
-    executor can reach). Only when the session has none (local tests, the bench) do we
-    create a scratch folder and register it, so ``DataFrame.checkpoint()`` works too.
-    """
+    Only a local session (one machine: tests, the bench) may go without; it gets a scratch
+    folder. Anywhere else the executors could not see a folder of the driver, so a missing
+    setting is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir().rstrip("/")
-    local = tempfile.mkdtemp(prefix="flowmart-ckpt-")
-    sc.setCheckpointDir(local)
+    if not conf_dir:
+        if not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="flowmart-ckpt-")
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
-
-    A single small file (one row group) is read by one task, so every operator before
-    the first shuffle would run single-threaded. Inputs with at least as many splits as
-    cores - any input at cluster scale - are returned untouched (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

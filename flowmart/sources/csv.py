@@ -12,7 +12,8 @@ Line numbers: a file may be split across many tasks, and Spark does not expose a
 offset. Each row gets ``monotonically_increasing_id`` (ordered within a task) and the
 block it was read from (``_metadata.file_block_start``); one small aggregation gives
 rows per block, a window over blocks (a few per file) turns them into offsets, and a
-broadcast join adds the offset back. Exact, and no task ever holds a whole file.
+join adds the offset back (its plan is Spark's choice: the block list grows with the data).
+Exact, and no task ever holds a whole file.
 """
 
 from __future__ import annotations
@@ -45,51 +46,44 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     w = Window.partitionBy("file_name").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("rows").over(w), F.lit(0)))
-    # One row per file block: small, broadcast.
-    numbered = raw.join(F.broadcast(blocks.select("file_name", "block_start", "offset", "first_row_id")),
-                        ["file_name", "block_start"])
+    numbered = raw.join(blocks.select("file_name", "block_start", "offset", "first_row_id"), ["file_name", "block_start"])
     line_number = F.col("offset") + (F.col("row_id") - F.col("first_row_id")) + 1
     out = numbered.select("file_name", line_number.alias("line_number"), "raw_line")
     return out.filter(~F.col("raw_line").rlike(r"^\s*$"))
 
 
-def _field(line: Column, i: int) -> Column:
-    return F.split_part(line, F.lit(","), F.lit(i + 1))
+def _fields(lines: DataFrame) -> DataFrame:
+    """The lines with their fields as an array, split once; a byte-order mark can only be on a
+    file's first line."""
+    line = F.when((F.col("line_number") == 1) & F.col("raw_line").startswith(BOM), F.substring("raw_line", 2, 1 << 30)).otherwise(F.col("raw_line"))
+    return lines.select("file_name", "line_number", "raw_line", F.split(line, ",").alias("_f"))
+
+
+def _field(i: int) -> Column:
+    return F.nullif(F.get("_f", F.lit(i)), F.lit(""))
 
 
 def parse_lines(lines: DataFrame, keep_source: bool = False) -> DataFrame:
-    """S3: split each line on ',' into the 49 staging fields.
+    """S3: each line's fields as the 49 staging fields.
 
-    A leading byte-order mark is removed; empty fields are NULL for every column (text
-    included); numbers are parsed with ``try_cast`` so a bad value is NULL, not a failed
+    A leading byte-order mark is removed; empty and missing fields are NULL for every column
+    (text included); numbers are parsed with ``try_cast`` so a bad value is NULL, not a failed
     load (``parse_errors`` lists them)."""
-    line = F.regexp_replace(F.col("raw_line"), f"^{BOM}", "")
-    cols = []
-    for i, (name, dtype) in enumerate(STAGING_FIELDS):
-        text = F.nullif(_field(line, i), F.lit(""))
-        if isinstance(dtype, T.StringType):
-            cols.append(text.alias(name))
-        else:
-            cols.append(text.try_cast(dtype).alias(name))
+    cols = [_field(i).try_cast(dtype).alias(name) for i, (name, dtype) in enumerate(STAGING_FIELDS)]
     keep = ["file_name", "line_number", "raw_line"] if keep_source else []
-    return lines.select(*keep, *cols)
+    return _fields(lines).select(*keep, *cols)
 
 
 def parse_errors(lines: DataFrame) -> DataFrame:
     """Load-error log (file_name, line_number, error_message, raw_data) for fields that
     are present but do not parse as their declared type."""
-    line = F.regexp_replace(F.col("raw_line"), f"^{BOM}", "")
-    messages = []
-    for i, (name, dtype) in enumerate(STAGING_FIELDS):
-        if isinstance(dtype, T.StringType):
-            continue
-        text = F.nullif(_field(line, i), F.lit(""))
-        bad = text.isNotNull() & text.try_cast(dtype).isNull()
-        messages.append(F.when(bad, F.lit(f"invalid {name}")))
-    msg = F.concat_ws("; ", *messages)
-    return lines.select(
-        "file_name", "line_number", msg.alias("error_message"), F.col("raw_line").alias("raw_data")
-    ).filter(F.col("error_message") != "")
+    messages = [
+        F.when(_field(i).isNotNull() & _field(i).try_cast(dtype).isNull(), F.lit(f"invalid {name}"))
+        for i, (name, dtype) in enumerate(STAGING_FIELDS)
+        if not isinstance(dtype, T.StringType)
+    ]
+    out = _fields(lines).select("file_name", "line_number", F.concat_ws("; ", *messages).alias("error_message"), F.col("raw_line").alias("raw_data"))
+    return out.filter(F.col("error_message") != "")
 
 
 def load_source_data(spark: SparkSession, path: str) -> DataFrame:
@@ -122,6 +116,6 @@ def load_all(spark: SparkSession, features_path: str, data_path: str) -> tuple[D
 
     missing = [r["name"] for r in missing_required_features(read_features(spark, features_path)).collect()]
     if missing:
-        raise ValueError(f"Missing required features in metadata: {', '.join(sorted(missing))}")
+        raise ValueError(f"the feature dictionary lacks: {', '.join(sorted(missing))}")
     staging = load_source_data(spark, data_path)
     return staging, quality_profile(staging)

@@ -1,15 +1,13 @@
 """Incremental hourly rollup of arriving connections (Structured Streaming).
 
-Source: new ``events`` parquet files in a directory, mapped to connection records with
-the same column expressions as the batch path, filtered by the staging rules. The
-query keeps per (hour window, service, protocol, attack category) counts and sums -
-everything that merges incrementally; exact distinct counts and the peak window of the
-batch rollup need the whole range and are finished in batch.
-
-State is bounded by the watermark (``event_time`` minus the allowed lateness); each
-micro-batch's updated groups are appended to a parquet table tagged with the batch id,
-and ``latest_rollup`` keeps the newest row per group. Restarting with the same
-checkpoint resumes exactly where the last committed batch ended.
+Source: ``events`` parquet files (a table folder, a single file, or a folder to which files are
+added), mapped to connection records with the same column expressions as the batch path and
+filtered by the staging rules. Event time is interleaved over months, so no watermark could
+bound lateness without losing rows. Instead the stream keeps no state at all: each micro-batch
+is aggregated to additive partials (counts and sums per hour, service, protocol, attack
+category) that replace the folder of its batch number - a retried batch overwrites itself -
+and ``rollup`` adds the partials up. The result is exact for any file layout, any arrival
+order and any number of batches; compact the sink now and then if it runs for long.
 """
 
 from __future__ import annotations
@@ -25,27 +23,31 @@ from flowmart.sources.schema import conform
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 KEYS = ["window_start", "service_name", "protocol_name", "attack_category"]
-SINK_SCHEMA = (
-    "window_start bigint, service_name string, protocol_name string, attack_category string, "
-    "total_connections bigint, normal_connections bigint, attack_connections bigint, total_bytes bigint, "
-    "total_packets bigint, duration_ms_sum bigint, batch_id bigint"
+MEASURES = ["total_connections", "normal_connections", "attack_connections", "total_bytes", "total_packets", "duration_ms_sum"]
+SINK_SCHEMA = "window_start bigint, service_name string, protocol_name string, attack_category string, " + ", ".join(
+    f"{m} bigint" for m in MEASURES
 )
 
 
-def connection_stream(spark: SparkSession, events_dir: str, file_glob: str = "events*.parquet",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
+def connection_stream(spark: SparkSession, events_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(events_dir)
+    # A file stream watches a folder: a table that is one file is that file in its folder.
+    path = spark._jvm.org.apache.hadoop.fs.Path(events_path)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        events = reader.option("pathGlobFilter", path.getName()).parquet(path.getParent().toString())
+    else:
+        events = reader.parquet(events_path)
     return valid_rows(conform(raw_connections(events)))
 
 
-def hourly_rollup(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def partials(rows: DataFrame) -> DataFrame:
+    """Additive counts and sums per hour and keys."""
     c = F.col
     attack = is_attack_category(c("attack_cat"))
-    rows = stream.filter(c("stime").isNotNull()).select(
-        F.timestamp_seconds("stime").alias("event_time"),
+    rows = rows.filter(c("stime").isNotNull()).select(
+        (c("stime") - F.pmod(c("stime"), F.lit(3600))).alias("window_start"),
         F.coalesce(c("service"), F.lit("UNKNOWN")).alias("service_name"),
         F.coalesce(c("proto"), F.lit("UNKNOWN")).alias("protocol_name"),
         F.when(attack, c("attack_cat")).otherwise(F.lit("NORMAL")).alias("attack_category"),
@@ -54,54 +56,29 @@ def hourly_rollup(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
         (c("spkts").cast("bigint") + c("dpkts").cast("bigint")).alias("packets"),
         (c("dur").try_cast("decimal(10,3)") * 1000).cast("bigint").alias("duration_ms"),
     )
-    return (
-        rows.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 hour").alias("w"), "service_name", "protocol_name", "attack_category")
-        .agg(
-            F.count(F.lit(1)).alias("total_connections"),
-            F.count(F.when(~c("is_attack"), 1)).alias("normal_connections"),
-            F.count(F.when(c("is_attack"), 1)).alias("attack_connections"),
-            F.sum("bytes").alias("total_bytes"),
-            F.sum("packets").alias("total_packets"),
-            F.sum("duration_ms").alias("duration_ms_sum"),
-        )
-        .select(F.unix_seconds(c("w.start")).alias("window_start"), "*")
-        .drop("w")
+    return rows.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("total_connections"),
+        F.count(F.when(~c("is_attack"), 1)).alias("normal_connections"),
+        F.count(F.when(c("is_attack"), 1)).alias("attack_connections"),
+        F.sum("bytes").alias("total_bytes"),
+        F.sum("packets").alias("total_packets"),
+        F.sum("duration_ms").alias("duration_ms_sum"),
     )
 
 
-def start(spark: SparkSession, events_dir: str, sink_dir: str, checkpoint_dir: str, lateness: str = "1 hour",
-          available_now: bool = True, file_glob: str = "events*.parquet") -> StreamingQuery:
-    """Start the rollup; each micro-batch appends its updated groups with the batch id."""
-    agg = hourly_rollup(connection_stream(spark, events_dir, file_glob), lateness)
+def start(spark: SparkSession, events_path: str, sink_dir: str, checkpoint_dir: str, available_now: bool = True,
+          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the rollup; batch N writes its partials to ``sink_dir/batch_id=N``."""
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(sink_dir)
+        partials(df).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
-    writer = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir).foreachBatch(write_batch)
-    if not available_now:
-        return writer.trigger(processingTime="1 minute").start()
-    # A run-to-completion needs no trailing empty batch: in update mode every changed group
-    # has been emitted with its data batch. The query copies the session conf at start,
-    # so the setting is restored right after without affecting it.
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return writer.trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(key, previous)
+    stream = connection_stream(spark, events_path, max_files_per_trigger)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(write_batch)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
 
 
-def latest_rollup(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Newest value per group (highest batch id) - one aggregation, no window."""
-    try:
-        df = spark.read.schema(SINK_SCHEMA).parquet(sink_dir)
-    except Exception as exc:  # noqa: BLE001 - no batch has produced rows yet
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        df = spark.createDataFrame([], SINK_SCHEMA)
-    measures = [c for c in df.columns if c not in KEYS and c != "batch_id"]
-    return df.groupBy(*KEYS).agg(
-        *[F.max_by(F.col(m), F.col("batch_id")).alias(m) for m in measures]
-    )
+def rollup(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The rollup of all batches so far. A sink that no batch has written yet raises."""
+    df = spark.read.schema(SINK_SCHEMA + ", batch_id bigint").parquet(sink_dir)
+    return df.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
