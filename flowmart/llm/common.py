@@ -84,3 +84,20 @@ def arrow_rows(fn: Callable[[Iterator[dict]], Iterator[dict]], schema: pa.Schema
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
     return run
+
+
+class Memo(dict):
+    """A mapping that computes what it lacks and keeps it: at most ``most`` entries (it starts anew
+    when full) with keys of at most ``longest`` characters, so its memory is bounded."""
+
+    def __init__(self, compute: Callable, most: int, longest: int):
+        super().__init__()
+        self.compute, self.most, self.longest = compute, most, longest
+
+    def __missing__(self, key):
+        value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value

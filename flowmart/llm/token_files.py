@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowmart.llm.common import arrow_rows, shuffle_partitions, table
+from flowmart.llm.common import Memo, arrow_rows, shuffle_partitions, table
 from flowmart.session import scratch_path
 
 MAGIC = b"DACS"
 RANK_BLOCK = 512
 SECTION_TOKENS = 1 << 21
 SECTION_DOCS = 20_000
-MEMO_WORDS = 500_000
-MEMO_BYTES = 64
+MEMO_WORDS = 100_000
+MEMO_PIECES = 800_000
+MEMO_LETTERS = 64
 
 
 # --- the code -------------------------------------------------------------------------
@@ -106,39 +109,54 @@ class Section:
 # --- tokens ----------------------------------------------------------------------------
 
 
+#: Texts in these characters are normalised by lower-casing alone and cut by PIECES; the words
+#: of all other texts are looked at one by one and go through the library's whole chain if need be.
+SIMPLE = re.compile("[\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+#: Fixed value: the model's own split pattern, written for those characters.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x09-\x0d\x20a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
 class WordEncoder:
     """Ids of whole texts through a ``tokenizers`` model that drops white space.
 
     White space separates tokens for good in such a model, so a text's ids are those of its
-    words in order; repeated words are looked up in a bounded memo."""
+    words in order, and a plain text's ids are those of its pieces; both are looked up in
+    bounded memos."""
 
     def __init__(self, model: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_str(model.decode())
-        if self.tok.encode("a b", add_special_tokens=False).ids != sum((self.tok.encode(w, add_special_tokens=False).ids for w in "ab"), []):
+        self.bpe = self.tok.model
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        whole = lambda t: self.tok.encode(t, add_special_tokens=False).ids
+        if whole("a b") != whole("a") + whole("b"):
             raise ValueError("this model keeps white space; words cannot be encoded apart")
-        self.memo: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.pieces = Memo(self._piece, MEMO_PIECES, MEMO_LETTERS)
+        self.words = Memo(self._word, MEMO_WORDS, MEMO_LETTERS)
+        probe = "It's A-1,Straße:\xc9t\xe9<x>don't42"
+        self.plain = b"".join(map(self.pieces.__getitem__, PIECES.findall(probe.lower()))) == array("I", whole(probe)).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = self.byte_level.pre_tokenize_str(piece)[0][0]
+        return array("I", [t.id for t in self.bpe.tokenize(piece)]).tobytes()
+
+    def _simple(self, text: str) -> bytes | None:
+        if self.plain and SIMPLE.fullmatch(text) and not any(t in text for t in self.added):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+        return None
+
+    def _word(self, word: str) -> bytes:
+        data = self._simple(word)
+        return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes() if data is None else data
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        memo, words = self.memo, text.split(" ")
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        if not new:
-            return b"".join(map(memo.__getitem__, words))
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = list(dict.fromkeys(words))
-        local = memo
-        if any(len(w) > MEMO_BYTES for w in new) or len(new) > MEMO_WORDS:
-            local = {w: memo[w] for w in words if w in memo}
-        for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-            local[w] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join(map(local.__getitem__, words))
-        if local is not memo:
-            memo.update((w, local[w]) for w in new[:MEMO_WORDS] if len(w) <= MEMO_BYTES)
-        return out
+        """The ids as unsigned 32-bit integers."""
+        data = self._simple(text)
+        return b"".join(map(self.words.__getitem__, text.split(" "))) if data is None else data
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -199,7 +217,7 @@ def write_token_files(docs: DataFrame, model_path: str, end_id: int, path: str)
     parts = shuffle_partitions(spark)
     (
         docs.select("doc_id", "text")
-        .repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+        .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
         .mapInArrow(arrow_rows(sections, FILE_SCHEMA, 1), FILE_DDL)
         .write.mode("error")
@@ -208,14 +226,26 @@ def write_token_files(docs: DataFrame, model_path: str, end_id: int, path: str)
     )
 
 
-READ_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+READ_SCHEMA = pa.schema([("shard", pa.int32()), ("section", pa.int32()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files under ``path``: where its ids start in the whole stream, how
     many there are, and the CRC-32 of those ids read back through random access."""
     files = spark.read.parquet(path)
-    # One row per section: the running total over the sections is small work.
+
+    def digests(batches: Iterator[dict]) -> Iterator[tuple]:
+        for b in batches:
+            for shard, number, doc_ids, ends, payload in zip(b["shard"].to_pylist(), b["section"].to_pylist(), b["doc_ids"], b["ends"], b["payload"]):
+                section, at = Section(payload.as_buffer()), 0
+                for doc_id, end in zip(doc_ids.as_py(), ends.as_py()):
+                    yield shard, number, doc_id, at, end - at, zlib.crc32(section.slice(at, end - at).astype("<u4"))
+                    at = end
+
+    local = files.select("shard", "section", "doc_ids", "ends", "payload").mapInArrow(
+        arrow_rows(digests, READ_SCHEMA), "shard int, section int, doc_id long, local long, n_tokens long, ids_crc32 long"
+    )
+    # One row per section: the running totals over them are small work, and only the digests meet them.
     by_shard = files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before_shard = by_shard.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("shard_start"))
     before_section = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("section")) - F.col("n_tokens")
@@ -225,17 +255,7 @@ def read_token_digests(spark: SparkSession, path: str) -> DataFrame:
         .join(before_shard, "shard")
         .select("shard", "section", (F.col("shard_start") + F.col("in_shard")).alias("section_start"))
     )
-
-    def digests(batches: Iterator[dict]) -> Iterator[tuple]:
-        for b in batches:
-            for doc_ids, ends, payload, start in zip(b["doc_ids"], b["ends"], b["payload"], b["section_start"].to_pylist()):
-                section, at = Section(payload.as_py()), 0
-                for doc_id, end in zip(doc_ids.as_py(), ends.as_py()):
-                    yield doc_id, start + at, end - at, zlib.crc32(section.slice(at, end - at).astype("<u4").tobytes())
-                    at = end
-
-    joined = files.join(starts, ["shard", "section"]).select("doc_ids", "ends", "payload", "section_start")
-    return joined.mapInArrow(arrow_rows(digests, READ_SCHEMA), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return local.join(starts, ["shard", "section"]).select("doc_id", (F.col("section_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def model_path() -> str:
