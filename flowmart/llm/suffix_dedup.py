@@ -330,10 +330,12 @@ def common_extension(hashes: PrefixHashes, i: np.ndarray, j: np.ndarray, most: i
 
 def _before(data: np.ndarray, hashes: PrefixHashes, i: np.ndarray, j: np.ndarray, ties: np.ndarray) -> np.ndarray:
     """Whether suffix i sorts before suffix j (to depth LENGTH); ``ties`` answers for equal ones."""
-    n = common_extension(hashes, i, j)
-    equal = n == LENGTH
-    n = np.minimum(n, LENGTH - 1)
-    return np.where(equal, ties, data[i + n] < data[j + n])
+    out = ties.copy()
+    differ = np.flatnonzero(hashes.at(i, LENGTH) != hashes.at(j, LENGTH))
+    i, j = i[differ], j[differ]
+    n = common_extension(hashes, i, j, LENGTH - 1)
+    out[differ] = data[i + n] < data[j + n]
+    return out
 
 
 def suffix_sort(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -433,7 +435,17 @@ def _sorted_windows(data, begin, size, place, group, docs) -> tuple[tuple[np.nda
     starts = (np.cumsum(size) - size)[which] + inner
     # only windows with the anchor at the same place can be equal
     key = group[which] * REACH + place[which] - inner
-    by = np.argsort(key, kind="stable")
+    # a window whose hash no other one of its group has is alone; it needs no sorting
+    by = np.lexsort((hashes.at(starts, LENGTH), key))
+    starts, key, which, inner = starts[by], key[by], which[by], inner[by]
+    h = hashes.at(starts, LENGTH)
+    same = (key[1:] == key[:-1]) & (h[1:] == h[:-1])
+    several = np.append(False, same) | np.append(same, False)
+    starts, key, which, inner = starts[several], key[several], which[several], inner[several]
+    if not len(starts):
+        return (which, inner), docs[which]
+    # the others, in the order of their places, are sorted by their bytes
+    by = np.lexsort((which, key))
     starts, key, which, inner = starts[by], key[by], which[by], inner[by]
     order = suffix_sort(text, hashes, starts, key)
     starts, which, inner = starts[order], which[order], inner[order]
