@@ -38,4 +38,4 @@ def above_percentile(df: DataFrame, col: str, hundredths: int) -> Column:
     a = _nth(values, low)
     b = _nth(values, low + F.when(part > 0, 1).otherwise(0))
     exact = a * 100 + part * (b - a)  # the interpolated percentile in 1e-5 seconds
-    return ((F.floor(exact / 100) + 1).cast("decimal(13,0)") / 1000).cast("decimal(10,3)")
+    return ((F.floor(exact / 100) + 1).cast("decimal(13,0)") / 1000).try_cast("decimal(10,3)")  # null: nothing fits above

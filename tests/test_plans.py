@@ -46,3 +46,35 @@ def test_small_domain_distincts_need_no_expand(mart):
     from flowmart.plans import queries_g1 as G1
 
     assert "Expand" not in _plan(G1.d4q_top_attacked_services(mart))
+
+
+def _fact_rows_read(spark, mart, build) -> int:
+    """Relations of the connection fact (known by its columns) in the optimised plan of ``build()``."""
+    leaves = build()._jdf.queryExecution().optimizedPlan().collectLeaves()
+    outputs = [leaves.apply(i).output().mkString(",") for i in range(leaves.size())]
+    return sum("source_ttl" in x or ("dest_port_id" in x and "state_id" in x) for x in outputs)
+
+
+def test_rollups_and_special_facts_scan_the_fact_once(spark, mart):
+    from flowmart.operators import rollups as R
+    from flowmart.operators import validation as V
+    from flowmart.plans import queries_g2 as G2
+    from flowmart.plans import queries_ops as O
+
+    scans = lambda build: _fact_rows_read(spark, mart, build)
+    assert scans(lambda: R.hourly_base(G2.conn(mart))) == 1
+    assert scans(lambda: R.port_grain(G2.conn(mart))) == 1
+    for derived in (G2.hourly, G2.daily_literal, G2.monthly_literal, G2.daily_declared, G2.monthly_declared, G2.service_stats, G2.port_usage):
+        assert scans(lambda f=derived: f(mart)) == 0
+    for query in (G2.qm2_attacks_by_hour, G2.qm3_attack_categories):
+        assert scans(lambda f=query: f(mart)) == 1
+    assert scans(lambda: V.orphan_counts(mart["fact_connection"], O._g2_dims(mart))) == 1
+    assert scans(lambda: G2.qd4_security_summary(mart)) == 0
+
+
+def test_hourly_rollup_has_no_expand_and_no_window(mart):
+    from flowmart.operators import rollups as R
+    from flowmart.plans import queries_g2 as G2
+
+    for df in (R.hourly_base(G2.conn(mart)), R.hourly_traffic(G2.hourly_base(mart))):
+        assert "Expand" not in _plan(df) and "Window" not in _plan(df)
