@@ -35,7 +35,7 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
 #: Vector components and the least standard deviation that each is given.
-FLOORS = {"x_length": 0.5, "x_word": 0.06, "x_symbol": 0.05, "x_repeat": 0.2}
+FLOORS = {"x_length": 1.5, "x_word": 0.06, "x_symbol": 0.05, "x_repeat": 0.2}
 #: Share of a group's rows that the estimate is fitted to, and the factor that makes the scatter
 #: of that share consistent for normal data in four dimensions.
 SUBSET = 0.75
