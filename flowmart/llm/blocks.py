@@ -19,7 +19,7 @@ from flowmart.llm.common import ship, shuffle_partitions
 from flowmart.session import scratch_path
 
 #: Rows per block (a block is what one Python task holds at a time).
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 BLOCK = "__block"
 #: A number for each row of the written table.
 ROW = "__row"

@@ -8,16 +8,16 @@ components are the groups.
 Hot groups are never expanded into all pairs:
 
 * documents with equal sets collapse into one vertex before banding;
-* a bucket first links its members to its smallest member (a star);
-* afterwards only buckets that still hold several components are looked at again: tasks
-  compare the signatures of members of different components in blocks, and put
-  forward, for each member and each other component, the best ``k`` pairs that pass the
-  signature check. ``k`` grows eightfold per round until no pair was held back, so in
-  the end every candidate pair across components was confirmed or refuted; pairs inside
-  one component can change nothing.
+* a bucket first links its members to its most central one (a star);
+* afterwards only buckets that still hold several components are looked at again, in cells
+  of bounded size: the signatures of members of different components are compared there;
+  members with a candidate get their full sets, and the cell confirms links until its
+  components are joined. A pair is tried only in the first band that it shares. So every
+  candidate pair across components is confirmed or refuted, and only links leave a cell;
+  pairs inside one component can change nothing.
 
-A pair at similarity 0.75 shares no band with probability 5e-6; the signature check lets pairs down
-to an estimate of 0.52 pass (six standard deviations).
+A pair at similarity 0.75 shares no band with probability 5e-6; the signature check lets pairs
+down to an estimate of 0.58 pass (4.4 standard deviations below, 5e-6).
 
 Edge cases: null, empty and blank texts have no shingles and stay alone; fewer words than
 five are one shingle; repeated rows collapse; a null ``doc_id`` is the largest of its group and
@@ -45,8 +45,8 @@ PERCENT = 75
 HASHES = 128
 BANDS = 32
 BAND_BYTES = HASHES // BANDS * 2
-MIN_ESTIMATE = 0.52
-CHUNK = 1024  # members of a bucket that a task compares at a time
+MIN_ESTIMATE = 0.58
+CHUNK = 512  # members of a bucket that a task compares at a time
 
 _RNG = np.random.default_rng(31337)
 _A = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,6 +83,11 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def _sets(texts: pa.ChunkedArray, at_a_time: int = 256) -> Iterator[np.ndarray]:
+    for i in range(0, len(texts), at_a_time):
+        yield from shingle_sets(texts.slice(i, at_a_time).to_pylist())
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     """16 well-mixed bits of the minimum of each universal hash over the set."""
     best = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
@@ -97,7 +102,7 @@ SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64(
 
 def _sketch(group: pa.Table) -> pa.Table:
     rows = []
-    for row, doc_id, s in zip(group[ROW].to_pylist(), group["doc_id"].to_pylist(), shingle_sets(group["text"].to_pylist())):
+    for row, doc_id, s in zip(group[ROW].to_pylist(), group["doc_id"].to_pylist(), _sets(group["text"])):
         k1, k2 = (int(_mix(s ^ np.uint64(c)).sum(dtype=np.uint64).view(np.int64)) for c in (0x51ED270B27D0A7C5, 0x2545F4914F6CDD1D))
         rows.append((row, doc_id, len(s), k1, k2, signature(s).tobytes() if len(s) else None))
     return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SKETCH)}, schema=SKETCH)
@@ -109,7 +114,7 @@ SETS_DDL = "v long, shingles binary"
 def _wanted_sets(group: pa.Table, wanted: pa.Table) -> pa.Table:
     rows = set(wanted["v"].to_pylist()) if wanted.num_rows else set()
     at = [i for i, r in enumerate(group[ROW].to_pylist()) if r in rows] if rows else []
-    sets = shingle_sets(group["text"].take(at).to_pylist()) if at else []
+    sets = _sets(group["text"].take(at)) if at else []
     return pa.table({"v": pa.array([group[ROW][i].as_py() for i in at], pa.int64()), "shingles": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())})
 
 
@@ -139,62 +144,91 @@ def _with_ends(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t")
 
 
+def full_sets(vertices: DataFrame, texts: DataFrame) -> DataFrame:
+    """(v, shingles) of the row numbers in column ``v``."""
+    wanted = vertices.select("v").distinct().withColumn(BLOCK, block_of(F.col("v")))
+    return stage(texts.select(BLOCK, ROW, "text").groupBy(BLOCK).cogroup(wanted.groupBy(BLOCK)).applyInArrow(_wanted_sets, SETS_DDL), "minhash-sets")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of row numbers whose full shingle sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct().withColumn(BLOCK, block_of(F.col("v")))
-    sets = stage(texts.select(BLOCK, ROW, "text").groupBy(BLOCK).cogroup(ends.groupBy(BLOCK)).applyInArrow(_wanted_sets, SETS_DDL), "minhash-sets")
+    sets = full_sets(pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))), texts)
     return stage(_with_ends(pairs, sets, "shingles").mapInArrow(arrow_rows(_confirm, LINK, 20_000), "a long, b long"), "minhash-links")
 
 
-CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.int64())])
-
-
-def _across(k: int):
-    """For runs of rows (key, i, j, chunk, v, component, sig) of a bucket's chunk pair: per
-    member and other component its best k similar pairs; ``more`` tells how many were held back."""
-
-    def compare(key, chunk, v, c, sig) -> Iterator[tuple]:
-        i, j = key[1], key[2]
-        left = np.flatnonzero(chunk == i)
-        right = np.flatnonzero(chunk == j)
-        for x in left.tolist():
-            others = right[c[right] != c[x]] if i != j else right[(right != x) & (c[right] != c[x])]
-            if not len(others):
-                continue
-            same = (sig[others] == sig[x]).sum(axis=1)
-            ok = same >= MIN_ESTIMATE * HASHES
-            others, same = others[ok], same[ok]
+def _runs(batches: Iterator[dict], columns: tuple[str, ...]) -> Iterator[tuple]:
+    """Sorted rows (key, i, j, ..) as ((key, i, j), columns of the run)."""
+    key, rows = None, []
+    for b in batches:
+        for ky, i, j, *rest in zip(*(b[n].to_pylist() for n in ("key", "i", "j", *columns))):
+            if (ky, i, j) != key:
+                if len(rows) > 1:
+                    yield key, list(zip(*rows))
+                key, rows = (ky, i, j), []
+            rows.append(rest)
+    if len(rows) > 1:
+        yield key, list(zip(*rows))
+
+
+class _Cell:
+    """Members of a bucket's chunk pair with their signatures."""
+
+    def __init__(self, key: tuple, band, chunk, component, sig):
+        chunk = np.array(chunk)
+        self.left, self.right, self.band = np.flatnonzero(chunk == key[1]).tolist(), np.flatnonzero(chunk == key[2]), band[0]
+        self.component = np.array(component)
+        self.sig = np.frombuffer(b"".join(sig), "<u2").reshape(len(sig), HASHES)
+        self.bands = self.sig.view("<u8").reshape(len(sig), BANDS)
+
+    def candidates(self, x: int) -> np.ndarray:
+        """Members of other components that pass the signature check with ``x`` and share no
+        earlier band with it."""
+        others = self.right[self.component[self.right] != self.component[x]]
+        others = others[(self.sig[others] == self.sig[x]).sum(axis=1) >= MIN_ESTIMATE * HASHES]
+        return others[(self.bands[others] == self.bands[x]).argmax(axis=1) == self.band] if len(others) else others
+
+
+MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("band", pa.int32()), ("chunk", pa.int64()), ("v", pa.int64()), ("component", pa.int64()), ("sig", pa.binary())])
+MEMBER_DDL = "key long, i long, j long, band int, chunk long, v long, component long, sig binary"
+
+
+def _with_candidates(batches: Iterator[dict]) -> Iterator[tuple]:
+    """The members that have a candidate in their cell."""
+    for key, (band, chunk, v, component, sig) in _runs(batches, ("band", "chunk", "v", "component", "sig")):
+        cell, keep = _Cell(key, band, chunk, component, sig), set()
+        for x in cell.left:
+            others = cell.candidates(x).tolist()
+            if others:
+                keep.update(others, [x])
+        for x in keep:
+            yield (*key, band[x], chunk[x], v[x], component[x], sig[x])
+
+
+def _link_across(batches: Iterator[dict]) -> Iterator[tuple]:
+    """Links between components, confirmed on the full sets: within a cell a pair that earlier
+    links have already joined is not looked at again."""
+    for key, (band, chunk, v, component, sig, sets) in _runs(batches, ("band", "chunk", "v", "component", "sig", "shingles")):
+        cell = _Cell(key, band, chunk, component, sig)
+        arrays = [np.frombuffer(s, "<u8") for s in sets]
+        size = np.array([len(s) for s in arrays])
+        ids = np.unique(np.concatenate(arrays), return_inverse=True)[1]
+        begin = np.cumsum(size) - size
+        mine = np.zeros(int(ids.max()) + 1, bool)
+        for x in cell.left:
+            others = cell.candidates(x)
             if not len(others):
                 continue
-            order = np.lexsort((v[others], -same, c[others]))
-            others = others[order]
-            new = np.flatnonzero(np.append(True, c[others][1:] != c[others][:-1]))
-            place = np.arange(len(others)) - np.repeat(new, np.diff(np.append(new, len(others))))
-            for y, p in zip(others.tolist(), place.tolist()):
-                if p < k:
-                    yield min(v[x], v[y]), max(v[x], v[y]), 0
-            held = int((place >= k).sum())
-            if held:
-                yield None, None, held
-
-    def run(batches: Iterator[dict]) -> Iterator[tuple]:
-        key, rows = None, []
-
-        def flush():
-            chunk, v, c, sig = zip(*rows)
-            return compare(key, np.array(chunk), np.array(v), np.array(c), np.frombuffer(b"".join(sig), "<u2").reshape(len(rows), HASHES))
-
-        for b in batches:
-            for ky, i, j, *rest in zip(*(b[n].to_pylist() for n in ("key", "i", "j", "chunk", "v", "component", "sig"))):
-                if (ky, i, j) != key:
-                    if len(rows) > 1:
-                        yield from flush()
-                    key, rows = (ky, i, j), []
-                rows.append(rest)
-        if len(rows) > 1:
-            yield from flush()
-
-    return arrow_rows(run, CROSS, 20_000)
+            own = ids[begin[x] : begin[x] + size[x]]
+            mine[own] = True
+            n = size[others]
+            first = np.cumsum(n) - n
+            both = np.add.reduceat(mine[ids[np.repeat(begin[others] - first, n) + np.arange(n.sum())]], first, dtype=np.int64)
+            mine[own] = False
+            for y in others[100 * both >= PERCENT * (size[x] + n - both)].tolist():
+                a, b = cell.component[x], cell.component[y]
+                if a != b:
+                    cell.component[cell.component == max(a, b)] = min(a, b)
+                    yield min(v[x], v[y]), max(v[x], v[y])
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -206,40 +240,38 @@ def groups(docs: DataFrame) -> DataFrame:
     same = sketches.where("n > 0").groupBy("k1", "k2", "n")
     vertices = stage(same.agg(F.min("row").alias("v"), F.min_by("sig", "row").alias("sig")), "minhash-vertices")
     band = F.posexplode(F.array(*[F.substring("sig", 1 + b * BAND_BYTES, BAND_BYTES) for b in range(BANDS)])).alias("band", "part")
-    bands = stage(vertices.select("v", band).select("v", F.xxhash64("band", "part").alias("key")), "minhash-bands")
-
-    # Stars: every bucket's members against its smallest one.
-    lead = bands.groupBy("key").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a < z").select("key", "a")
-    stars = bands.join(lead, "key").where("v <> a").select("a", F.col("v").alias("b")).distinct()
+    bands = vertices.select("v", band).select("v", "band", F.xxhash64("band", "part").alias("key"))
+    # Members of buckets with company; a vertex that meets many others in its buckets is close
+    # to the middle of its family.
+    size = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    bands = stage(bands.join(size, "key").select("v", "band", "key", "m"), "minhash-bands")
+    met = bands.groupBy("v").agg(F.sum("m").alias("met"))
+
+    # Stars: every bucket's members against its most central one.
+    lead = bands.join(met, "v").groupBy("key").agg(F.max_by("v", F.struct("met", -F.col("v"))).alias("a"))
+    stars = bands.join(lead, "key").where("v <> a").select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
     passed = stage(_with_ends(stars, vertices, "sig").mapInArrow(arrow_rows(_similar, LINK, 20_000), "a long, b long"), "minhash-stars")
-    links, tested, k = confirmed(passed, texts), passed, 1
-    while True:
-        parts = stage(components(links), "minhash-components")
-        member = bands.join(parts, "v", "left").select("key", "v", F.coalesce("component", "v").alias("component"))
-        open_ = member.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        chunks = F.ceil(F.col("m") / CHUNK).cast("long")
-        chunk = F.pmod(F.xxhash64("v"), chunks)
-        cells = (
-            member.join(open_.select("key", "m"), "key")
-            .select("key", "v", "component", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
-            .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "v", "component")
-            .join(vertices.select("v", "sig"), "v")
-        )
-        n = shuffle_partitions(spark)
-        across = cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "v").select("key", "i", "j", "chunk", "v", "component", "sig")
-        found = stage(across.mapInArrow(_across(k), "a long, b long, more long"), "minhash-across")
-        new = stage(found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "minhash-new")
-        held = found.agg(F.sum("more")).first()[0] or 0
-        if new.isEmpty():
-            if not held:
-                break
-        else:
-            links = links.unionByName(confirmed(new, texts))
-            tested = tested.unionByName(new)
-            if not held:
-                parts = stage(components(links), "minhash-components")
-                break
-        k *= 8
+    links = confirmed(passed, texts)
+    parts = stage(components(links), "minhash-components")
+
+    # Buckets that still hold several components, in cells of at most two chunks of members.
+    member = bands.join(parts, "v", "left").select("key", "band", "m", "v", F.coalesce("component", "v").alias("component"))
+    open_ = member.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("key")
+    chunks = F.ceil(F.col("m") / CHUNK).cast("long")
+    chunk = F.pmod(F.xxhash64("v"), chunks)
+    cells = (
+        member.join(open_, "key")
+        .select("key", "band", "v", "component", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
+        .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "band", "chunk", "v", "component")
+        .join(vertices.select("v", "sig"), "v")
+        .select(*MEMBER.names)
+    )
+    n = shuffle_partitions(spark)
+    grouped = lambda df: df.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "v")
+    some = stage(grouped(cells).mapInArrow(arrow_rows(_with_candidates, MEMBER, 5_000), MEMBER_DDL), "minhash-candidates")
+    with_sets = some.join(full_sets(some, texts), "v").select(*MEMBER.names, "shingles")
+    across = stage(grouped(with_sets).mapInArrow(arrow_rows(_link_across, LINK, 20_000), "a long, b long"), "minhash-across")
+    parts = stage(components(links.unionByName(across)), "minhash-components")
 
     of_row = sketches.join(vertices.select("k1", "k2", "n", "v"), ["k1", "k2", "n"], "left").join(parts, "v", "left")
     of_row = of_row.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "v", "row").alias("g"))
