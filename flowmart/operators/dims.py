@@ -289,7 +289,7 @@ def g1_dim_attack(members: DataFrame, categories: DataFrame) -> DataFrame:
         "attack_key", F.col("name").alias("category_name"), (F.col("num") == 1).alias("is_attack")
     )
     # Ordered by (category nulls first, is_attack nulls first): num 0 < 1 is false < true.
-    return pairs.join(F.broadcast(categories), "category_name", "left").select(
+    return pairs.join(categories, "category_name", "left").select(
         "attack_key", "category_key", "category_name", "is_attack"
     )
 

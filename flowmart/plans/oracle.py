@@ -772,6 +772,9 @@ oracle("s8_load_errors", """
 select concat_ws('; ', case when sport % 7 = 0 then 'invalid dur' end, case when sport % 11 = 0 then 'invalid stime' end) as error_message,
  srcip, sport, dstip, true as has_line from raw where sport % 7 = 0 or sport % 11 = 0""")
 
+oracle("e7_attack_flag_facts", """
+select 1 as attack_key, cast(null as int) as category_key, true as is_attack, count(case when label = 1 then 1 end) as connections from stg
+union all select 2, null, false, count(case when label <> 1 then 1 end) from stg""")
 oracle("s12_valid_sample", f"select {USED_COLS} from stg where {G1_VALID} order by {SAMPLE_ORDER} limit 1000")
 oracle("s13_distinct_sample", f"select * from (select distinct {USED_COLS} from stg where {G1_VALID}) order by {SAMPLE_ORDER} limit 1000")
 

@@ -137,6 +137,15 @@ def s21_fact_counts(m: Mart) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def e7_attack_flag_facts(m: Mart) -> DataFrame:
+    """The two-row attack dimension (attack / normal, no category) with the clean rows that
+    resolve to each member; rows without a label resolve to none."""
+    rows = m.stg.select((F.col("label") == 1).alias("is_attack")).groupBy("is_attack").agg(F.count(F.lit(1)).alias("connections"))
+    return D.g1_dim_attack_v2(m.spark).join(rows, "is_attack", "left").select(
+        "attack_key", "category_key", "is_attack", F.coalesce("connections", F.lit(0)).alias("connections")
+    )
+
+
 # ---- validation ----------------------------------------------------------------------------
 
 def _g2_dims(m: Mart) -> dict[str, DataFrame]:

@@ -112,6 +112,7 @@ REGISTRY: dict[str, MartQuery] = {
     "k14_protocol_safety": Q.k14_protocol_safety,
     "k15_overload_hours": Q.k15_overload_hours,
     # load, sinks, validation, versioning, streaming
+    "e7_attack_flag_facts": O.e7_attack_flag_facts,
     "f5_measure_rejects": O.f5_measure_rejects,
     "s1_csv_with_header": O.s1_csv_with_header,
     "s3_parse_raw_lines": O.s3_parse_raw_lines,
