@@ -70,7 +70,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def arrow_rows(fn: Callable[[Iterator[dict]], Iterator[dict]], schema: pa.Schema, rows: int = 2000):
     """Adapt a generator over column dictionaries to ``mapInArrow``: ``fn`` gets an iterator
     of ``{column: pyarrow array}`` per batch and yields row tuples in ``schema`` order."""
-    ship(SparkSession.getActiveSession())
+    ship(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[] for _ in schema]
