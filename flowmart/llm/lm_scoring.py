@@ -28,6 +28,7 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.llm.blocks import BLOCK, blocked
-from flowmart.llm.common import shuffle_partitions, stage, table
+from flowmart.llm.common import arrow_rows, shuffle_partitions, stage, table
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 4096
 HELD_OUT = (5, 1)  # crc32(doc_id) modulo the first is the second: not learned from
 BITS_PER_ENTRY = 8
 PROBES = 4
@@ -84,18 +85,45 @@ class Tokens:
         self.hash = np.array([*_SPECIAL, *(xxhash.xxh3_64_intdigest(w) for w in numbers)], np.uint64)
         self.order = np.argsort(self.hash, kind="stable")
 
-    def bigrams(self) -> None:
-        """Distinct (before, word) pairs in hash order, and the pair of every token."""
-        before = np.empty_like(self.token)
+        del parts, numbers
+
+    def _pairs(self) -> np.ndarray:
+        """(before, word) of every token as one number."""
+        before = np.empty(len(self.token), np.int64)
         before[1:] = self.token[:-1]
         before[self.first] = START
-        pair, of = np.unique(before.astype(np.int64) * len(self.hash) + self.token, return_inverse=True)
+        before *= len(self.hash)
+        before += self.token
+        return before
+
+    def _hashed(self, pair: np.ndarray) -> np.ndarray:
+        """The hash of distinct pairs; sets their words and returns the order by hash."""
         v, w = pair // len(self.hash), pair % len(self.hash)
         h = _mix(self.hash[v] * np.uint64(0x9E3779B97F4A7C15) + _mix(self.hash[w]))
         order = np.argsort(h, kind="stable")
+        self.pair_hash, self.before, self.word = h[order], v[order], w[order]
+        return order
+
+    def learned(self) -> np.ndarray:
+        """Distinct training bigrams in hash order; returns how often each occurs."""
+        pair, times = np.unique(self._pairs()[self.learn], return_counts=True)
+        return times[self._hashed(pair)]
+
+    def distinct(self) -> np.ndarray:
+        """All distinct bigrams in hash order; returns how often each occurs in training texts."""
+        pairs = self._pairs()
+        pair, times = np.unique(pairs, return_counts=True)
+        held, unlearned = np.unique(pairs[~self.learn], return_counts=True)
+        times[np.searchsorted(pair, held)] -= unlearned
+        return times[self._hashed(pair)]
+
+    def located(self) -> np.ndarray:
+        """All distinct bigrams in hash order; returns the place of every token's bigram there."""
+        pair, of = np.unique(self._pairs(), return_inverse=True)
+        order = self._hashed(pair)
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
-        self.pair_hash, self.before, self.word, self.pair = h[order], v[order], w[order], back[of]
+        return back[of]
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -147,9 +175,8 @@ def _send(buckets: int):
         n = np.bincount(t.token[t.learn], minlength=len(h))[t.order]
         for k, a, b in _split(_bucket(h, buckets)):
             rows.append((WORDS, k, block, h[a:b].astype("<u8").tobytes(), _zip(n[a:b].astype("<u4"))))
-        t.bigrams()
-        n = np.bincount(t.pair[t.learn], minlength=len(t.pair_hash))
-        h, n = t.pair_hash[n > 0], n[n > 0]
+        n = t.learned()
+        h = t.pair_hash
         for k, a, b in _split(_bucket(h, buckets)):
             rows.append((BIGRAMS, k, block, _low6(h[a:b]).tobytes(), _zip(n[a:b].astype("<u4"))))
         return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SENT)}, schema=SENT)
@@ -254,60 +281,52 @@ def _magnitude(c: np.ndarray) -> np.ndarray:
     return np.minimum(level(np.maximum(c, 1)), MAGNITUDES - 1) * (c > 0)
 
 
-LEVELS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("levels", pa.binary())])
-LEVELS_DDL = "block long, bucket long, levels binary"
+LEVELS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("levels", pa.binary()), ("sums", pa.binary())])
+LEVELS_DDL = "block long, bucket long, levels binary, sums binary"
 
 
-def _probe(buckets: int, shard) -> object:
-    """Levels of the block's distinct bigrams that fall into the shard's buckets."""
+def _probe(buckets: int, shard, n: int, v: int):
+    """Levels of the block's distinct bigrams that fall into the shard's buckets; and, for
+    those of training texts, the leave-one-out log likelihood of each grid weight by
+    magnitude of the first word's count (one row with no bucket)."""
 
-    def run(group: pa.Table) -> pa.Table:
-        t, block, segments = Tokens(group), group[BLOCK][0].as_py(), shard.value
-        t.bigrams()
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
-        for k, a, b in _split(_bucket(t.pair_hash, buckets)):
-            if k in segments:
+        if group.num_rows:
+            t, block, segments = Tokens(group), group[BLOCK][0].as_py(), shard.value
+            times = t.distinct()
+            c = _counts(t, answers)
+            uni = (c + 0.5) / (n + 0.5 * (v + 1))
+            sums = np.zeros((MAGNITUDES, len(GRID)))
+            for k, a, b in _split(_bucket(t.pair_hash, buckets)):
+                if k not in segments:
+                    continue
                 names = _from6(_low6(t.pair_hash[a:b]).tobytes())
-                rows.append((block, k, _zip(probe_segment(np.frombuffer(segments[k], np.uint8), names).astype(np.uint8))))
+                levels = probe_segment(np.frombuffer(segments[k], np.uint8), names)
+                rows.append((block, k, _zip(levels.astype(np.uint8)), None))
+                at = np.flatnonzero(times[a:b])
+                first, w = c[t.before[a:b][at]], uni[t.word[a:b][at]]
+                rest = np.maximum(found_count(levels[at]) - 1, 0) / np.maximum(first - 1, 1)
+                m = _magnitude(first)
+                for g, x in enumerate(GRID):
+                    sums[:, g] += np.bincount(m, times[a:b][at] * np.log10(x * rest + (1 - x) * w), MAGNITUDES)
+            rows.append((block, None, None, sums.astype("<f8").tobytes()))
         return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(LEVELS)}, schema=LEVELS)
 
     return run
 
 
-def _joined(t: Tokens, answers: pa.Table, n: int, v: int):
-    """Per distinct bigram: found count, count of its first word, unigram probability; and the
-    counts per word."""
-    t.bigrams()
-    c = _counts(t, answers)
-    by_bucket = answers.filter(answers["levels"].is_valid())
-    levels = np.concatenate(
-        [np.zeros(0, np.uint8), *(_unzip(x, np.uint8) for _, x in sorted(zip(by_bucket["bucket"].to_pylist(), by_bucket["levels"].to_pylist())))]
-    ) if by_bucket.num_rows else np.zeros(0, np.uint8)
-    found = np.zeros(len(t.pair_hash)) if not len(levels) else found_count(levels.astype(np.int64))
-    uni = (c + 0.5) / (n + 0.5 * (v + 1))
-    return found, c[t.before], uni[t.word], c, uni
+SUMS = pa.schema([("m", pa.int32()), ("g", pa.int32()), ("s", pa.float64())])
 
 
-def _weigh(n: int, v: int):
-    """Leave-one-out log likelihood of the block's training tokens for each grid weight, by
-    magnitude of the first word's count."""
-
-    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
-        sums = np.zeros((MAGNITUDES, len(GRID)))
-        if group.num_rows:
-            t = Tokens(group)
-            found, first, uni, _, _ = _joined(t, answers, n, v)
-            times = np.bincount(t.pair[t.learn], minlength=len(found))
-            at = np.flatnonzero(times)
-            found, first, uni, times = found[at], first[at], uni[at], times[at]
-            rest = np.maximum(found - 1, 0) / np.maximum(first - 1, 1)
-            m = _magnitude(first)
-            for g, b in enumerate(GRID):
-                sums[:, g] = np.bincount(m, times * np.log10(b * rest + (1 - b) * uni), MAGNITUDES)
-        mm, gg = np.nonzero(sums)
-        return pa.table({"m": pa.array(mm, pa.int32()), "g": pa.array(gg, pa.int32()), "s": pa.array(sums[mm, gg], pa.float64())})
-
-    return run
+def _grid_sums(batches):
+    """Rows (m, g, s) of the blocks' likelihood sums, added up per task."""
+    sums = np.zeros((MAGNITUDES, len(GRID)))
+    for b in batches:
+        for x in b["sums"]:
+            sums += np.frombuffer(x.as_buffer(), "<f8").reshape(sums.shape)
+    for m, g in zip(*np.nonzero(sums)):
+        yield int(m), int(g), float(sums[m, g])
 
 
 SCORE = pa.schema(
@@ -321,12 +340,17 @@ def _score(n: int, v: int, weights: list[float]):
         if not group.num_rows:
             return SCORE.empty_table()
         t = Tokens(group)
-        found, first, uni, c, uni_word = _joined(t, answers, n, v)
+        pair = t.located()
+        c = _counts(t, answers)
+        uni = (c + 0.5) / (n + 0.5 * (v + 1))
+        levels = _of_block(answers, "levels", np.uint8)
+        found = found_count(levels.astype(np.int64)) if len(levels) else np.zeros(len(t.pair_hash))
+        first = c[t.before]
         b = np.array(weights)[_magnitude(first)]
-        p = np.log10(b * np.minimum(found / np.maximum(first, 1), 1.0) + (1 - b) * uni)
+        p = np.log10(b * np.minimum(found / np.maximum(first, 1), 1.0) + (1 - b) * uni[t.word])
         add = lambda x: np.add.reduceat(x, t.first)  # noqa: E731  every document has its end token
         return pa.table(
-            [t.doc, t.held, t.size, add((c[t.token] > 0).astype(np.int64)), np.full(len(t.doc), n), add(np.log10(uni_word)[t.token]), add(p[t.pair])], schema=SCORE
+            [t.doc, t.held, t.size, add((c[t.token] > 0).astype(np.int64)), np.full(len(t.doc), n), add(np.log10(uni)[t.token]), add(p[pair])], schema=SCORE
         )
 
     return run
@@ -340,7 +364,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     sent = stage(texts.groupBy(BLOCK).applyInArrow(_send(buckets), SENT_DDL), "lm-counts", by=["kind"])
     totals = stage(sent.where(F.col("kind") == WORDS).groupBy("bucket").applyInArrow(_word_totals, TOTALS_DDL), "lm-totals")
     n, v = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    answers = totals.where(F.col("block").isNotNull()).select(F.col("block").alias(BLOCK), "bucket", "totals", F.lit(None).cast("binary").alias("levels"))
+    counts = answers = totals.where(F.col("block").isNotNull()).select(F.col("block").alias(BLOCK), "bucket", "totals", F.lit(None).cast("binary").alias("levels"))
 
     segments = stage(sent.where(F.col("kind") == BIGRAMS).groupBy("bucket").applyInArrow(_segment, SEGMENT_DDL), "lm-filter")
     shards: list[list[int]] = []
@@ -351,16 +375,23 @@ def score_documents(docs: DataFrame) -> DataFrame:
             room = SHARD_BYTES
         shards[-1].append(bucket)
         room -= size
+    likelihood: list[DataFrame] = []
     for ids in shards:
         rows = segments.where(F.col("bucket").isin(ids)).select("bucket", "segment").collect()  # at most SHARD_BYTES, or one segment
         shard = spark.sparkContext.broadcast({r["bucket"]: bytes(r["segment"]) for r in rows})
         del rows
-        levels = stage(texts.groupBy(BLOCK).applyInArrow(_probe(buckets, shard), LEVELS_DDL), "lm-levels")
+        probed = texts.groupBy(BLOCK).cogroup(counts.groupBy(BLOCK)).applyInArrow(_probe(buckets, shard, n, v), LEVELS_DDL)
+        probed = stage(probed, "lm-levels")
         shard.unpersist()
+        levels = probed.where(F.col("bucket").isNotNull())
         answers = answers.unionByName(levels.select(F.col("block").alias(BLOCK), "bucket", F.lit(None).cast("binary").alias("totals"), "levels"))
+        likelihood.append(probed.where(F.col("bucket").isNull()).select("sums"))
 
-    sums = texts.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(_weigh(n, v), "m int, g int, s double")
-    best = dict(sums.groupBy("m", "g").agg(F.sum("s").alias("s")).groupBy("m").agg(F.max_by("g", F.struct("s", -F.col("g")))).collect())  # MAGNITUDES rows at most
+    best: dict[int, int] = {}
+    if likelihood:
+        sums = reduce(DataFrame.unionByName, likelihood).mapInArrow(arrow_rows(_grid_sums, SUMS), "m int, g int, s double")
+        picked = sums.groupBy("m", "g").agg(F.sum("s").alias("s")).groupBy("m").agg(F.max_by("g", F.struct("s", -F.col("g"))))
+        best = dict(picked.collect())  # MAGNITUDES rows at most
     weights = [float(GRID[best[m]]) if m and m in best else 0.0 for m in range(MAGNITUDES)]
     return texts.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(_score(n, v, weights), SCORE_DDL)
 
