@@ -19,17 +19,20 @@ repeated rows give one result row each; a null ``doc_id`` is carried through.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmart.llm.common import arrow_rows, table
+from flowmart.llm.common import Memo, arrow_rows, table
 
 MARK = "▁"
 
 #: Entries of the per-worker word memo; it is emptied when full, so memory is bounded.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 1_000_000
+MEMO_TAILS = 200_000
+LOOK_BACK = 4
 MEMO_LETTERS = 64
 MEMO_PAIRS = 1_000_000
 
@@ -76,7 +79,13 @@ class PrefixTable:
         self.compatible: dict[int, bool] = {}
         self.right_edge: dict[int, list] = {}
         self.left_edge: dict[int, list] = {}
-        self.memo: dict[str, list[int]] = {}
+        #: Neighbouring characters that some piece holds; a word may be cut anywhere else.
+        self.neighbours = {p[k : k + 2] for p in self.rank for k in range(len(p) - 1)}
+        self.lines_apart = not any("\n" in p for p in self.rank if len(p) > 1)
+        #: Ids as bytes: of one mark followed by the word (no further marks in it), and of a text
+        #: without marks.
+        self.words = Memo(lambda word: self._by_parts(word, MARK), MEMO_WORDS, MEMO_LETTERS)
+        self.tails = Memo(lambda word: self._by_parts(word, ""), MEMO_TAILS, MEMO_LETTERS)
 
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """The two parts that merging joins last to build ``piece``; None if it ends otherwise."""
@@ -162,48 +171,46 @@ class PrefixTable:
             i -= size_of[i]
         return out[::-1]
 
-    def _run(self, n: int) -> list[int]:
+    def _by_parts(self, word: str, mark: str) -> bytes:
+        """The ids of a word, cut at line ends and before its last characters if no piece can
+        join the two sides; the parts are looked up."""
+        known = self.words if mark else self.tails
+        if self.lines_apart and "\n" in word and word != "\n":
+            head, tail = word.split("\n", 1)
+            return (known[head] if head or mark else b"") + self.tails["\n"] + (self.tails[tail] if tail else b"")
+        for k in range(1, min(LOOK_BACK, len(word) - 1) + 1):
+            if word[-k - 1 : len(word) - k + 1] not in self.neighbours:
+                return known[word[:-k]] + self.tails[word[-k:]]
+        return array("I", self.tokens(mark + word)).tobytes()
+
+    def _run(self, n: int) -> bytes:
         """Ids of ``n`` marks in a row: leftmost pairs merge first."""
-        parts = []
+        parts: list[int] = []
         for _ in range(n):
             parts.append(1)
             # the leftmost possible pair is always the newest one, and merging may cascade
             while len(parts) > 1 and parts[-2] + parts[-1] in self.runs:
                 parts[-2:] = [parts[-2] + parts[-1]]
-        return [self.ids[MARK * k] for k in parts]
-
-    def word(self, word: str) -> list[int]:
-        """Ids of one mark followed by ``word`` (no further marks in it)."""
-        ids = self.memo.get(word)
-        if ids is None:
-            ids = self.tokens(MARK + word)
-            if len(word) <= MEMO_LETTERS:
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                self.memo[word] = ids
-        return ids
+        return array("I", [self.ids[MARK * k] for k in parts]).tobytes()
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         text = text.replace(MARK, " ")
-        out: list[int] = []
         if "  " not in text and text[0] != " " and text[-1] != " ":
-            memo = self.memo
-            for w in text.split(" "):
-                out += memo.get(w) or self.word(w)
-            return out
-        marks, mark = 0, self.ids.get(MARK)
+            return array("I", b"".join(map(self.words.__getitem__, text.split(" ")))).tolist()
+        alone = array("I", [self.ids.get(MARK, 0)]).tobytes()
+        marks, out = 0, []
         for w in text.split(" "):
             marks += 1
             if w:
-                ids = self.word(w)
-                if ids[0] == mark and marks > 1:  # the last mark stayed alone: it joins the run
-                    out += self._run(marks) + ids[1:]
+                ids = self.words[w]
+                if marks > 1 and ids.startswith(alone):  # the last mark stayed alone: it joins the run
+                    out += [self._run(marks), ids[len(alone) :]]
                 else:
-                    out += self._run(marks - 1) + ids
+                    out += [self._run(marks - 1), ids]
                 marks = 0
-        return out + self._run(marks) if marks else out
+        return array("I", b"".join([*out, self._run(marks)])).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids)
