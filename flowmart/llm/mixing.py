@@ -64,20 +64,19 @@ def targets(sizes: DataFrame) -> DataFrame:
 def served(rows: DataFrame) -> DataFrame:
     """Add ``source_size``, ``target``, ``before`` (the source's words ahead of the document in one
     round) to rows of (doc_id, source, size, ...)."""
-    spark = rows.sparkSession
-    keyed = rows.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("bucket", F.substring("key", 1, 3))
-    per_bucket = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    ahead = F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n")  # at most 4,096 rows a source
-    shares = targets(per_bucket.withColumnRenamed("n", "size"))
-    starts = per_bucket.select("source", "bucket", ahead.alias("bucket_start")).alias("b")
-    starts = starts.join(shares.alias("s"), F.expr("b.source <=> s.source")).select(
-        F.col("b.source").alias("b_source"), F.col("bucket").alias("b_bucket"), "bucket_start", "source_size", "target"
-    )
-    inside = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = keyed.withColumn("inside", inside)
-    return placed.join(starts, F.expr("source <=> b_source and bucket = b_bucket")).withColumn("before", F.col("bucket_start") + F.col("inside")).drop(
-        "b_source", "b_bucket", "bucket_start", "inside", "bucket"
-    )
+    # One key without nulls for the window and the join, so that the rows are shuffled once.
+    skey = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), "source")).alias("skey")
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key")
+    keyed = rows.select("*", skey, key).withColumn("bucket", F.substring("key", 1, 3))
+    per_bucket = keyed.groupBy("skey", "source", "bucket").agg(F.sum("size").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("skey").orderBy("bucket")) - F.col("n")  # at most 4,096 rows a source
+    shares = targets(per_bucket.withColumnRenamed("n", "size")).select(skey, "source_size", "target")
+    starts = per_bucket.select("skey", "bucket", ahead.alias("bucket_start")).join(shares, "skey")
+    starts = starts.select(F.col("skey").alias("b_skey"), F.col("bucket").alias("b_bucket"), "bucket_start", "source_size", "target")
+    before = Window.partitionBy("skey", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = keyed.withColumn("inside", F.sum("size").over(before) - F.col("size"))
+    joined = placed.join(starts, (F.col("skey") == F.col("b_skey")) & (F.col("bucket") == F.col("b_bucket")))
+    return joined.withColumn("before", F.col("bucket_start") + F.col("inside")).drop("b_skey", "b_bucket", "bucket_start", "inside", "bucket", "skey")
 
 
 def part(serving: int) -> Column:
