@@ -16,7 +16,7 @@ def _nearest(edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("w")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("w")))
-    return both.join(_nearest(both), "u").where("w > u and w <> m").select(F.col("w").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(_nearest(both), "u").where("w > u and w <> m").select(F.col("w").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,17 +27,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return lower.unionByName(own).distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every child has one parent and no parent is a child (one small aggregate)."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("child"), F.lit(0).alias("parent")), F.struct(F.col("b").alias("v"), F.lit(0).alias("child"), F.lit(1).alias("parent")))).alias("e")).select("e.*")
+    seen = ends.groupBy("v").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
+    return seen.agg(F.max(F.col("c") + F.when(F.col("c") > 0, F.col("p")).otherwise(0))).first()[0] in (None, 1)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, component) for every end of the links (a, b); component is its smallest vertex.
-    Each round is staged; rounds go on until the edges stay the same, which takes a number of rounds
-    that grows with the logarithm of the component size."""
-    edges = stage(links.where("a <> b").select("a", "b").distinct(), "components")
-    before = None
-    while True:
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
-            break
-        before = mark
+    Each round is staged; rounds go on until the edges are stars around their smallest vertices,
+    which takes a number of rounds that grows with the logarithm of the component size."""
+    edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
+    while not _is_stars(edges):
         edges = stage(_small_star(_large_star(edges)), "components")
     roots = edges.select(F.col("b").alias("v"), F.col("b").alias("component"))
     return edges.select(F.col("a").alias("v"), F.col("b").alias("component")).unionByName(roots).distinct()

@@ -271,7 +271,8 @@ def groups(docs: DataFrame) -> DataFrame:
     some = stage(grouped(cells).mapInArrow(arrow_rows(_with_candidates, MEMBER, 5_000), MEMBER_DDL), "minhash-candidates")
     with_sets = some.join(full_sets(some, texts), "v").select(*MEMBER.names, "shingles")
     across = stage(grouped(with_sets).mapInArrow(arrow_rows(_link_across, LINK, 20_000), "a long, b long"), "minhash-across")
-    parts = stage(components(links.unionByName(across)), "minhash-components")
+    if not across.isEmpty():
+        parts = stage(components(links.unionByName(across)), "minhash-components")
 
     of_row = sketches.join(vertices.select("k1", "k2", "n", "v"), ["k1", "k2", "n"], "left").join(parts, "v", "left")
     of_row = of_row.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "v", "row").alias("g"))
