@@ -32,7 +32,6 @@ MARK = "▁"
 #: Entries of the per-worker word memo; it is emptied when full, so memory is bounded.
 MEMO_WORDS = 1_000_000
 MEMO_TAILS = 200_000
-LOOK_BACK = 4
 MEMO_LETTERS = 64
 MEMO_PAIRS = 1_000_000
 
@@ -81,7 +80,6 @@ class PrefixTable:
         self.left_edge: dict[int, list] = {}
         #: Neighbouring characters that some piece holds; a word may be cut anywhere else.
         self.neighbours = {p[k : k + 2] for p in self.rank for k in range(len(p) - 1)}
-        self.lines_apart = not any("\n" in p for p in self.rank if len(p) > 1)
         #: Ids as bytes: of one mark followed by the word (no further marks in it), and of a text
         #: without marks.
         self.words = Memo(lambda word: self._by_parts(word, MARK), MEMO_WORDS, MEMO_LETTERS)
@@ -172,16 +170,14 @@ class PrefixTable:
         return out[::-1]
 
     def _by_parts(self, word: str, mark: str) -> bytes:
-        """The ids of a word, cut at line ends and before its last characters if no piece can
-        join the two sides; the parts are looked up."""
-        known = self.words if mark else self.tails
-        if self.lines_apart and "\n" in word and word != "\n":
-            head, tail = word.split("\n", 1)
-            return (known[head] if head or mark else b"") + self.tails["\n"] + (self.tails[tail] if tail else b"")
-        for k in range(1, min(LOOK_BACK, len(word) - 1) + 1):
-            if word[-k - 1 : len(word) - k + 1] not in self.neighbours:
-                return known[word[:-k]] + self.tails[word[-k:]]
-        return array("I", self.tokens(mark + word)).tobytes()
+        """The ids of a word, cut in one pass wherever no piece can join the two sides (line ends
+        are such places if no longer piece holds one); the parts are looked up. Parts have no
+        cut, so their own look-up ends here at once: the depth does not grow with the word."""
+        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.neighbours]
+        if not cuts:
+            return array("I", self.tokens(mark + word)).tobytes()
+        head = (self.words if mark else self.tails)[word[: cuts[0]]]
+        return b"".join([head, *(self.tails[word[i:k]] for i, k in zip(cuts, [*cuts[1:], len(word)]))])
 
     def _run(self, n: int) -> bytes:
         """Ids of ``n`` marks in a row: leftmost pairs merge first."""

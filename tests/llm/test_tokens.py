@@ -35,6 +35,16 @@ def test_prefix_table_equals_the_library(table):
         assert table.decode(table.encode(t)) == table.sp.decode(table.sp.encode(t))
 
 
+def test_long_runs_without_spaces_equal_the_library(table):
+    rng = random.Random(9)
+    run = lambda alphabet, n=100_000: "".join(rng.choice(alphabet) for _ in range(n))
+    han, kana, thai, faces = (list(map(chr, range(*r))) for r in ((0x4E00, 0x9000), (0x3041, 0x30FF), (0xE01, 0xE3A), (0x1F600, 0x1F640)))
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [run(a) for a in (han, han + kana, thai, faces, "0123456789abcdef", base64, "\n", "\n\t", "ab\n", "日a1\n🙂")]
+    for t in [*texts, "word " + texts[0] + " word", "\n" + texts[4] + "\n"]:
+        assert table.encode(t) == table.sp.encode(t), t[:40]
+
+
 def test_sentencepiece_query_rows(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_bpe.model_path())
     want = []
