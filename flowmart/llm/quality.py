@@ -2,7 +2,9 @@
 DataFrame operations only.
 
 Each document has a vector of transformed statistics: log words, log mean word length, log
-symbols per word, share of repeated words. Per (lang, source) the location and scatter
+symbols per word, share of words equal to the one before, share of lines that repeat another.
+(Windows that occur again are the base rules' matter: clean documents have up to the 30 %
+allowed there.) Per (lang, source) the location and scatter
 are estimated by the minimum covariance determinant: from two starts (median with MAD, and
 all rows) concentration steps refit mean and covariance to the 75 % of rows that are nearest by
 Mahalanobis distance, and the start with the smaller determinant stays. Documents farther
@@ -34,15 +36,16 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
-#: Vector components and the least standard deviation that each is given.
-FLOORS = {"x_length": 1.5, "x_word": 0.06, "x_symbol": 0.05, "x_repeat": 0.2}
+#: Vector components and the least standard deviation that each is given: small enough that each
+#: alone can pass MAX_DISTANCE2 within its range.
+FLOORS = {"x_length": 0.8, "x_word": 0.06, "x_symbol": 0.05, "x_run": 0.02, "x_lines": 0.08}
 #: Share of a group's rows that the estimate is fitted to, and the factor that makes the scatter
-#: of that share consistent for normal data in four dimensions.
+#: of that share consistent for normal data in five dimensions.
 SUBSET = 0.75
-CONSISTENCY = 1.486
+CONSISTENCY = 1.412
 C_STEPS = 2
 PRIOR_ROWS = 20
-#: Squared distance beyond which a document is rejected: a chance of 4e-9 for normal data.
+#: Squared distance beyond which a document is rejected: a chance of 1.5e-8 for normal data.
 MAX_DISTANCE2 = 45.0
 
 X = list(FLOORS)
@@ -96,9 +99,11 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
-        _let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
+        _let(lines, lambda a: F.struct(F.size(a).alias("all"), (F.size(a) - F.size(F.array_distinct(a))).alias("dup"))).alias("lines"),
+        F.size(F.filter("hashes", lambda h, i: h == F.get("hashes", i - 1))).alias("n_run_words"),
         _repeat_words().cast("long").alias("n_repeat_words"),
     )
+    rows = rows.withColumn("n_dup_lines", F.col("lines.dup").cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     words = F.greatest(F.col("n_words"), F.lit(1))
     return rows.select(
@@ -107,7 +112,8 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.log1p("n_words").alias("x_length"),
         F.log1p(F.col("word_chars") / words).alias("x_word"),
         F.log1p(F.col("n_symbols") / words).alias("x_symbol"),
-        (F.col("n_repeat_words") / words).alias("x_repeat"),
+        (F.col("n_run_words") / words).alias("x_run"),
+        (F.col("n_dup_lines") / F.greatest(F.col("lines.all"), F.lit(1))).alias("x_lines"),
         F.to_json(F.struct("lang", "source")).alias("g"),
     )
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmart.llm import licenses, mixing, quality
-from tests.llm.helpers import SCHEMA, documents, empty, prose, rows
+from tests.llm.helpers import SCHEMA, VOCAB, documents, empty, prose, rows
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -125,6 +125,19 @@ def test_quality_rules(spark):
     assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == want
 
 
+def test_quality_statistics_can_each_decide(spark):
+    rng = random.Random(21)
+    data = [(i, prose(rng, rng.randint(40, 200)), "en", "a", 0) for i in range(300)]
+    runs = [(1000 + i, " ".join(w for w in rng.sample(VOCAB, 16) for _ in range(rng.randint(3, 7))), "en", "a", 0) for i in range(10)]
+    lines = [(1100 + i, "\n".join(rng.choice(VOCAB) for _ in range(150)), "en", "a", 0) for i in range(10)]
+    data += [*runs, *lines, (1200, prose(rng, 20_000), "en", "a", 0)]
+    got = {r["doc_id"]: r for r in quality.judge(documents(spark, data)).collect()}
+    assert not any(r["base_failed"] for r in got.values()), "the base rules pass all of them"
+    assert all(got[i]["kept"] for i in [*range(300), 1200]), "clean documents stay, also a very long one"
+    assert not any(got[i]["kept"] for i in range(1000, 1010)), "runs of one word go"
+    assert not any(got[i]["kept"] for i in range(1100, 1110)), "lines that repeat each other go"
+
+
 def test_quality_empty_and_uniform(spark):
     assert quality.judge(empty(spark)).count() == 0
     assert quality.keep_good(empty(spark)).count() == 0
