@@ -2,14 +2,18 @@
 
 A bigram's count c is quantised to the level 1 + floor(log2 c); the filter holds the pairs
 (bigram, 1) .. (bigram, level). A look-up probes level after level until one is missing, and
-answers 2**(level - 1), which is never above the true count but for a false positive (rate about
-2 % per probe at 8 bits an entry). The filter is partitioned: the task that sums a hash
+answers 2**(level - 1), which is never above the true count but for a false positive. A false
+hit on level 1 makes an unseen bigram a seen one, for each of the V words that may follow: the
+level has an array of its own with so many bits and probes that fewer than ``FALSE_WORDS`` words
+of the whole vocabulary are expected to hit falsely after any word. Higher levels are only
+reached by hits; a false one there (about 2 % at 8 bits an entry) doubles a count. The answer is
+bounded by the exact counts of both words. The filter is partitioned: the task that sums a hash
 bucket's counts builds that bucket's segment. Segments are broadcast in shards of at most
 ``SHARD_BYTES``, one probing pass per shard, so no broadcast outgrows its bound; a corpus
 with more n-grams takes more shards.
 
 The smoothed probability of a token w after v is
-    b * found(v, w) / c(v) + (1 - b) * P(w),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
+    b * min(found(v, w), c(v), c(w)) / c(v) + (1 - b) * P(w),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
 with exact unigram counts and an interpolation weight b per magnitude of c(v), trained by
 leave-one-out likelihood over all training tokens on a fixed grid.
 
@@ -26,6 +30,7 @@ columns are ignored.
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
 from collections import defaultdict
 from functools import reduce
@@ -40,8 +45,11 @@ from flowmart.llm.common import arrow_rows, shuffle_partitions, stage, table
 
 BLOCK_ROWS = 4096
 HELD_OUT = (5, 1)  # crc32(doc_id) modulo the first is the second: not learned from
+#: Of the levels from 2 on.
 BITS_PER_ENTRY = 8
 PROBES = 4
+#: Words of the vocabulary that may falsely be found after a word, as expected.
+FALSE_WORDS = 0.1
 SHARD_BYTES = 64 << 20
 MAX_LEVEL = 40
 #: Grid of interpolation weights and the magnitudes of c(v) that have one each.
@@ -216,32 +224,44 @@ def found_count(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.exp2(np.maximum(levels, 1) - 1.0), 0.0)
 
 
-def _slots(names: np.ndarray, at_level: int, bits: int) -> list[np.ndarray]:
+def first_probes(vocabulary: int) -> int:
+    """Probes of level 1, at 1 / log 2 bits each, that keep a false hit under
+    FALSE_WORDS / ``vocabulary``."""
+    return max(2 * PROBES, math.ceil(math.log2(max(vocabulary, 1) / FALSE_WORDS)))
+
+
+def _slots(names: np.ndarray, at_level: int, bits: int, probes: int):
     h = _mix(names + np.uint64(at_level * 0x5851F42D4C957F2D & 0xFFFFFFFFFFFFFFFF))
     step = _mix(h) | np.uint64(1)
-    return [((h + np.uint64(i) * step) % np.uint64(bits)).astype(np.int64) for i in range(PROBES)]
+    for i in range(probes):
+        yield ((h + np.uint64(i) * step) % np.uint64(bits)).astype(np.int64)
 
 
-def build_segment(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The bit array of one bucket."""
+def build_segment(names: np.ndarray, counts: np.ndarray, vocabulary: int = 1) -> np.ndarray:
+    """One bucket: the probes of level 1 and the size of its bit array (8 bytes each), that array,
+    and the array of all higher levels."""
     levels = level(counts)
-    bits = max(64, int(levels.sum()) * BITS_PER_ENTRY)
-    out = np.zeros(-(-bits // 8), np.uint8)
-    bits = len(out) * 8
+    probes = first_probes(vocabulary)
+    first = np.zeros(max(8, math.ceil(len(names) * probes / math.log(2) / 8)), np.uint8)
+    higher = np.zeros(max(8, int((levels - 1).sum()) * BITS_PER_ENTRY // 8), np.uint8)
     for j in range(1, int(levels.max(initial=0)) + 1):
-        for s in _slots(names[levels >= j], j, bits):
+        out, k = (first, probes) if j == 1 else (higher, PROBES)
+        for s in _slots(names[levels >= j], j, len(out) * 8, k):
             np.bitwise_or.at(out, s >> 3, (1 << (s & 7)).astype(np.uint8))
-    return out
+    return np.concatenate([np.array([probes, len(first)], "<i8").view(np.uint8), first, higher])
 
 
 def probe_segment(segment: np.ndarray, names: np.ndarray) -> np.ndarray:
     """The level found for each name: probe level 1, 2, .. until one is missing."""
+    probes, size = (int(x) for x in segment[:16].view("<i8"))
+    first, higher = segment[16 : 16 + size], segment[16 + size :]
     out = np.zeros(len(names), np.int64)
     alive = np.arange(len(names))
     for j in range(1, MAX_LEVEL + 1):
+        bits, k = (first, probes) if j == 1 else (higher, PROBES)
         ok = np.ones(len(alive), bool)
-        for s in _slots(names[alive], j, len(segment) * 8):
-            ok &= (segment[s >> 3] >> (s & 7) & 1).astype(bool)
+        for s in _slots(names[alive], j, len(bits) * 8, k):
+            ok &= (bits[s >> 3] >> (s & 7) & 1).astype(bool)
         alive = alive[ok]
         if not len(alive):
             break
@@ -249,13 +269,21 @@ def probe_segment(segment: np.ndarray, names: np.ndarray) -> np.ndarray:
     return out
 
 
+def bounded(found: np.ndarray, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A bigram occurs no more often than either of its words."""
+    return np.minimum(found, np.minimum(before, word))
+
+
 SEGMENT_DDL = "bucket long, size long, segment binary"
 
 
-def _segment(group: pa.Table) -> pa.Table:
-    names, total, _ = _sum([_from6(x) for x in group["hashes"].to_pylist()], [_unzip(x, "<u4") for x in group["counts"].to_pylist()])
-    s = build_segment(names, total)
-    return pa.table({"bucket": group["bucket"][:1], "size": pa.array([len(s)], pa.int64()), "segment": pa.array([s.tobytes()], pa.binary())})
+def _segment(vocabulary: int):
+    def run(group: pa.Table) -> pa.Table:
+        names, total, _ = _sum([_from6(x) for x in group["hashes"].to_pylist()], [_unzip(x, "<u4") for x in group["counts"].to_pylist()])
+        s = build_segment(names, total, vocabulary)
+        return pa.table({"bucket": group["bucket"][:1], "size": pa.array([len(s)], pa.int64()), "segment": pa.array([s.tobytes()], pa.binary())})
+
+    return run
 
 
 # --- probing, weights, scores ------------------------------------------------------------------
@@ -305,8 +333,9 @@ def _probe(buckets: int, shard, n: int, v: int):
                 levels = probe_segment(np.frombuffer(segments[k], np.uint8), names)
                 rows.append((block, k, _zip(levels.astype(np.uint8)), None))
                 at = np.flatnonzero(times[a:b])
-                first, w = c[t.before[a:b][at]], uni[t.word[a:b][at]]
-                rest = np.maximum(found_count(levels[at]) - 1, 0) / np.maximum(first - 1, 1)
+                first, word = c[t.before[a:b][at]], t.word[a:b][at]
+                w = uni[word]
+                rest = np.maximum(bounded(found_count(levels[at]), first, c[word]) - 1, 0) / np.maximum(first - 1, 1)
                 m = _magnitude(first)
                 for g, x in enumerate(GRID):
                     sums[:, g] += np.bincount(m, times[a:b][at] * np.log10(x * rest + (1 - x) * w), MAGNITUDES)
@@ -347,7 +376,7 @@ def _score(n: int, v: int, weights: list[float]):
         found = found_count(levels.astype(np.int64)) if len(levels) else np.zeros(len(t.pair_hash))
         first = c[t.before]
         b = np.array(weights)[_magnitude(first)]
-        p = np.log10(b * np.minimum(found / np.maximum(first, 1), 1.0) + (1 - b) * uni[t.word])
+        p = np.log10(b * bounded(found, first, c[t.word]) / np.maximum(first, 1) + (1 - b) * uni[t.word])
         add = lambda x: np.add.reduceat(x, t.first)  # noqa: E731  every document has its end token
         return pa.table(
             [t.doc, t.held, t.size, add((c[t.token] > 0).astype(np.int64)), np.full(len(t.doc), n), add(np.log10(uni)[t.token]), add(p[pair])], schema=SCORE
@@ -366,7 +395,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n, v = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     counts = answers = totals.where(F.col("block").isNotNull()).select(F.col("block").alias(BLOCK), "bucket", "totals", F.lit(None).cast("binary").alias("levels"))
 
-    segments = stage(sent.where(F.col("kind") == BIGRAMS).groupBy("bucket").applyInArrow(_segment, SEGMENT_DDL), "lm-filter")
+    segments = stage(sent.where(F.col("kind") == BIGRAMS).groupBy("bucket").applyInArrow(_segment(v), SEGMENT_DDL), "lm-filter")
     shards: list[list[int]] = []
     room = 0
     for bucket, size in segments.select("bucket", "size").orderBy("bucket").collect():  # one number per bucket

@@ -27,6 +27,17 @@ def test_bloom_levels():
     assert (other > 0).mean() < 0.05
 
 
+def test_false_hits_do_not_make_probability():
+    rng = np.random.default_rng(4)
+    vocabulary, stored = 300_000, 20_000
+    names = rng.integers(1, 2**48, stored, dtype=np.uint64)
+    segment = lm_scoring.build_segment(names, rng.integers(1, 50, stored), vocabulary)
+    unseen = rng.integers(1, 2**48, 10 * vocabulary, dtype=np.uint64)  # ten words with all that may follow
+    assert (lm_scoring.probe_segment(segment, unseen) > 0).sum() <= 10
+    found, before, word = (np.array(x) for x in ([8.0, 8.0, 8.0, 4.0], [9, 3, 9, 9], [0, 9, 5, 9]))
+    assert lm_scoring.bounded(found, before, word).tolist() == [0, 3, 5, 4], "no more often than either word"
+
+
 @pytest.mark.parametrize("shard_bytes", [lm_scoring.SHARD_BYTES, 64])
 def test_lm_scores(spark, monkeypatch, shard_bytes):
     monkeypatch.setattr(lm_scoring, "SHARD_BYTES", shard_bytes)
