@@ -39,7 +39,7 @@ BLOCK_TAGS = frozenset(
     "table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED_TAGS = frozenset("script style template noscript svg math iframe object canvas".split())
+DROPPED_TAGS = frozenset("script style template".split())
 #: A start of the first closes an open element of the second kind (searched up to a border).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BORDERS = frozenset("ul ol dl table select menu body".split())

@@ -133,6 +133,13 @@ def test_crf_on_held_out_pages():
     assert right / total > 0.985
 
 
+def test_formulas_and_fallback_text_reach_the_model():
+    for tag in ("math", "svg", "object", "canvas", "noscript"):
+        assert [b[0] for b in html_extraction.leaf_blocks(f"<article><p>One <{tag}>two</{tag}> three.</p></article>")] == ["One two three."], tag
+    for tag in ("script", "style", "template"):
+        assert [b[0] for b in html_extraction.leaf_blocks(f"<article><p>One <{tag}>two</{tag}> three.</p></article>")] == ["One three."], tag
+
+
 def test_extraction(spark):
     article = "<article><h1>A  title</h1><p><b>One &amp; two,\n three.<br><p>Be.</p><p>Caf&eacute; &#8364; &am</p></article>"
     page = f'<html><head><title>x</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">menu</a></li></ul></nav><!-- c --><div class="ad">Buy now this.</div>{article}<footer>&copy; here</footer></body></html>'
