@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from flowmart.llm import html_extraction, licenses, lm_scoring, minhash_dedup, mixing, quality, sentencepiece_bpe, suffix_dedup, token_files, topk
+from flowmart.llm import (
+    conversation_repair,
+    embedding_dedup,
+    filter_audit,
+    html_extraction,
+    licenses,
+    lm_scoring,
+    minhash_dedup,
+    mixing,
+    quality,
+    sentencepiece_bpe,
+    suffix_dedup,
+    token_files,
+    topk,
+)
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -16,9 +30,12 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_licenses": licenses.op10_licenses,
+    "op11_embedding_dedup": embedding_dedup.op11_embedding_dedup,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {**topk.ORACLE, **mixing.ORACLE}
+ORACLE: dict[str, str] = {**topk.ORACLE, **mixing.ORACLE, **embedding_dedup.ORACLE, **filter_audit.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
