@@ -4,16 +4,17 @@ Two vectors are linked if their cosine is at least ``COSINE``, that is if their
 R = acos(COSINE). Angles obey the triangle inequality, so pivots cut the join into cells:
 
 * Equal vectors collapse into one class before anything else.
-* Pivots are vectors of a bounded sample (a hash order, ``SAMPLE`` of them at most): first those with
-  company inside R / 4, so that a dense group gets a pivot of its own, then others up to one
-  per ``CELL`` classes. They only steer the work; the result is the same for any pivots.
-* A class lives in the cell of its nearest pivot: in its core, within R / 2 of the pivot, or its shell.
-  All members of a core are linked by the triangle inequality: they are counted and joined
-  into one component without a comparison, however many they are.
+* Pivots are vectors of a bounded sample (a hash order, ``SAMPLE`` of them at most) and only steer
+  the work; the result is the same for any. Some are dense: they have company inside R / 4, so
+  a large group of near copies gets one. The others are about one per ``CELL`` classes.
+* A class within R / 2 of its nearest dense pivot belongs to the core of it. All members of a core
+  are linked by the triangle inequality: they are counted and become one vertex without a
+  comparison, however many they are. Any other class belongs to the cell of its nearest other
+  pivot. Cores and cells are the parts of the join.
 * A class is sent to another part if that could hold a partner: not if its angle to the part's pivot
-  lies further than R outside the angles that occur there, and not if it lies further than R
-  beyond the plane between the two pivots. A class within R of a whole core is linked to
-  all of it at once.
+  lies further than R outside the angles that occur there, and not to a cell if it lies further
+  than R beyond the plane between two pivots. A class within R of a whole core is linked to all
+  of it at once.
 * Parts join independently. Natives of a part are dealt over blocks of about ``CELL``; a task holds the
   natives of one block, and what was sent to it streams past. Each ordered pair is looked at in
   exactly one place (the part in which the second one lives), so link counts add up. Links
@@ -23,7 +24,8 @@ Bounds from angles have a slack of 1e-6, far over rounding; cosines within 1e-9
 threshold are decided by correctly rounded sums, alike from both sides.
 
 A metric bound prunes only what has structure: vectors without any, in many dimensions, are all
-within reach of every cell, and an exact join then compares nearly all pairs, block by block.
+within reach of every cell (not of the tight cores), and an exact join then compares nearly all
+pairs of them, block by block.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing, nor do rows without a vec_id (their component is null and they are kept); shorter
@@ -47,7 +49,7 @@ from flowmart.llm.common import ship, shuffle_partitions, stage, table
 from flowmart.llm.components import components
 
 COSINE = 0.9
-#: Classes per block, the most vectors that are looked at to choose pivots, the most pivots.
+#: Classes per block, the most vectors that are looked at to choose pivots, the most pivots of a kind.
 CELL, SAMPLE, PIVOTS = 4096, 4096, 512
 SLACK = 1e-6
 STEP = 1024  # rows of a matrix product
@@ -78,51 +80,68 @@ def angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1.0, 1.0))
 
 
-def choose_pivots(sample: np.ndarray, wanted: int, reach: float) -> np.ndarray:
-    """Rows of ``sample`` (units): those with the most company inside reach / 4 first, no two of them
-    that close, then the others in order until there are ``wanted``."""
-    near = np.cos(reach / 4)
-    company = np.concatenate([(sample[i : i + STEP] @ sample.T >= near).sum(1) for i in range(0, len(sample), STEP)])
-    free, out = np.ones(len(sample), bool), []
+def choose_pivots(sample: np.ndarray, wanted: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """(dense, other) rows of ``sample`` (units): those with company inside reach / 4, most first, no two
+    of them that close; and ``wanted`` others, apart from all chosen ones as far as there are such."""
+    company = np.concatenate([(sample[i : i + STEP] @ sample.T >= np.cos(reach / 4)).sum(1) for i in range(0, len(sample), STEP)])
+    free, dense, other = np.ones(len(sample), bool), [], []
     for i in np.argsort(-company, kind="stable"):
-        if free[i] and len(out) < PIVOTS and (company[i] > 2 or len(out) < wanted):
-            out.append(i)
-            free &= sample @ sample[i] < near
-    return sample[out]
+        if company[i] > 2 and free[i] and len(dense) < PIVOTS:
+            dense.append(i)
+            free &= sample @ sample[i] < np.cos(reach / 4)
+    for i in [*np.flatnonzero(free), *np.flatnonzero(~free)]:
+        if len(other) < wanted and (free[i] or len(other) + free.sum() < wanted):
+            other.append(i)
+            free &= sample @ sample[i] < np.cos(reach)
+    return sample[dense], sample[other]
 
 
 class Plan:
-    """What tasks need to know: the pivots and, per part (2 * cell, plus 1 for the shell), the least and
-    greatest angle, the blocks and the weight."""
+    """What tasks need to know: the pivots and, per part (the cores of the dense pivots, then the cells
+    of the others), the least and greatest angle to the pivot, the number of blocks, the vectors
+    in it and its smallest id."""
 
-    def __init__(self, pivots: np.ndarray, width: int, cosine: float):
-        self.pivots, self.width, self.cosine = pivots, width, cosine
+    def __init__(self, dense: np.ndarray, other: np.ndarray, width: int, cosine: float):
+        self.dense, self.other, self.width, self.cosine = dense, other, width, cosine
         self.reach = math.acos(cosine)
-        self.chord = math.sqrt(2 - 2 * cosine)
-        between = 2 - 2 * np.clip(pivots @ pivots.T, -1, 1)
-        self.apart = np.sqrt(np.maximum(between, 0)) * self.chord + SLACK
-        parts = 2 * len(pivots)
+        between = np.sqrt(np.maximum(2 - 2 * other @ other.T, 0))
+        self.apart = between * math.sqrt(2 - 2 * cosine) + SLACK
+        self.cores, parts = len(dense), len(dense) + len(other)
         self.low, self.high = np.full(parts, np.inf), np.full(parts, -np.inf)
-        self.blocks, self.weight = np.zeros(parts, np.int64), np.zeros(parts, np.int64)
+        self.blocks, self.weight, self.head = (np.zeros(parts, np.int64) for _ in range(3))
 
     def home(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(part, angle to its pivot) of each vector."""
-        to = unit @ self.pivots.T
-        cell = to.argmax(1)
-        angle = angles(to[np.arange(len(to)), cell])
-        return 2 * cell + (angle > self.reach / 2 - SLACK), angle
+        rows, to = np.arange(len(unit)), unit @ self.other.T
+        part = to.argmax(1)
+        angle = angles(to[rows, part])
+        part += self.cores
+        if self.cores:
+            to = unit @ self.dense.T
+            core = to.argmax(1)
+            inner = angles(to[rows, core])
+            inside = inner <= self.reach / 2 - SLACK
+            part, angle = np.where(inside, core, part), np.where(inside, inner, angle)
+        return part, angle
 
     def reached(self, unit: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Vectors by parts: which part may hold a partner, which core is within reach as a whole."""
-        to, rows, own = unit @ self.pivots.T, np.arange(len(unit)), home >> 1
-        beyond = to[rows, own][:, None] - to > self.apart[own]
-        angle = np.repeat(angles(to), 2, axis=1)
-        may = ~np.repeat(beyond, 2, axis=1) & (self.weight > 0) & (angle - self.reach <= self.high + SLACK) & (angle + self.reach >= self.low - SLACK)
-        may[rows, home] |= home % 2 == 1
-        may[rows[home % 2 == 0], home[home % 2 == 0]] = False  # a core needs no look at itself
-        whole = may & (np.arange(2 * len(self.pivots)) % 2 == 0) & (angle + self.high <= self.reach - SLACK)
+        rows, to = np.arange(len(unit)), unit @ self.other.T
+        own = to.argmax(1)
+        near = to[rows, own][:, None] - to <= self.apart[own]
+        angle = angles(np.concatenate([unit @ self.dense.T, to], axis=1))
+        may = (self.weight > 0) & (angle - self.reach <= self.high + SLACK) & (angle + self.reach >= self.low - SLACK)
+        may[:, self.cores :] &= near
+        cell = home >= self.cores
+        may[rows[cell], home[cell]] = True
+        may[rows[~cell], home[~cell]] = False  # a core needs no look at itself
+        whole = may & (np.arange(may.shape[1]) < self.cores) & (angle + self.high <= self.reach - SLACK)
         return may & ~whole, whole
 
+    def vertex(self, part: np.ndarray, rep: np.ndarray) -> np.ndarray:
+        """What stands for a class in the components: its smallest id, or its core's."""
+        return np.where(part < self.cores, self.head[part], rep)
+
 
 def _batches(fn):
     """Adapt a function of a record batch that gives a record batch to ``mapInArrow``."""
@@ -153,7 +172,7 @@ def classes(vectors: DataFrame) -> DataFrame:
     return stage(of.withColumn("cls", F.monotonically_increasing_id()), "embedding-classes")
 
 
-#: A row has (cls, n), the links of a class to natives of a block, or (a, b), ids of a link.
+#: A row has (cls, n), the links of a class to natives of a block, or (a, b), vertices of a link.
 _FOUND = pa.schema([(n, pa.int64()) for n in ("cls", "n", "a", "b")])
 FOUND_DDL = "cls long, n long, a long, b long"
 
@@ -174,11 +193,11 @@ class _Block:
         self.parent = None
 
     def _close(self) -> None:
-        self.cls, self.rep, self.m, self.raw, self.unit = (np.concatenate(x) for x in zip(*self.rows))
+        self.cls, self.vertex, self.m, self.raw, self.unit = (np.concatenate(x) for x in zip(*self.rows))
         self.parent = np.arange(len(self.cls))
 
-    def join(self, cls: np.ndarray, rep: np.ndarray, raw: np.ndarray, unit: np.ndarray) -> Iterator[tuple]:
-        """What members (class, smallest id, vector, unit) find."""
+    def join(self, cls: np.ndarray, vertex: np.ndarray, raw: np.ndarray, unit: np.ndarray) -> Iterator[tuple]:
+        """What members (class, vertex, vector, unit) find."""
         if not self.rows:
             return
         if self.parent is None:
@@ -188,7 +207,7 @@ class _Block:
             near &= cls[at : at + STEP, None] != self.cls[None, :]
             for i in np.flatnonzero(near.any(1)).tolist():
                 to = np.flatnonzero(near[i])
-                yield int(cls[at + i]), int(self.m[to].sum()), int(rep[at + i]), int(self.rep[to[0]])
+                yield int(cls[at + i]), int(self.m[to].sum()), int(vertex[at + i]), int(self.vertex[to[0]])
                 roots = {_root(self.parent, j) for j in to.tolist()}
                 for r in roots:
                     self.parent[r] = min(roots)
@@ -198,7 +217,7 @@ class _Block:
         for i in range(len(self.parent) if self.parent is not None else 0):
             r = _root(self.parent, i)
             if r != i:
-                yield None, None, int(self.rep[i]), int(self.rep[r])
+                yield None, None, int(self.vertex[i]), int(self.vertex[r])
 
 
 def _join_parts(plan: Plan):
@@ -209,7 +228,7 @@ def _join_parts(plan: Plan):
         for b in batches:
             keys = np.stack([b["part"].to_numpy(), b["block"].to_numpy(), b["native"].to_numpy(zero_copy_only=False).astype(np.int64)])
             cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
-            cls, rep, m = (b[n].to_numpy() for n in ("cls", "rep", "m"))
+            cls, vertex, m = (b[n].to_numpy() for n in ("cls", "vertex", "m"))
             for lo, hi in zip(cuts, cuts[1:]):
                 if lo == hi:
                     continue
@@ -218,9 +237,9 @@ def _join_parts(plan: Plan):
                     key, block = now, _Block(plan)
                 raw, unit = units(b["v"].slice(lo, hi - lo), plan.width)
                 if keys[2, lo]:
-                    block.rows.append((cls[lo:hi], rep[lo:hi], m[lo:hi], raw, unit))
+                    block.rows.append((cls[lo:hi], vertex[lo:hi], m[lo:hi], raw, unit))
                 else:
-                    out += block.join(cls[lo:hi], rep[lo:hi], raw, unit)
+                    out += block.join(cls[lo:hi], vertex[lo:hi], raw, unit)
             if out:
                 yield full()
                 out = []
@@ -231,9 +250,9 @@ def _join_parts(plan: Plan):
     return run
 
 
-def links(found: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFrame]:
-    """((cls, n): the links of each class to other classes, counted in vectors; (a, b): ids whose
-    links connect what is linked) of ``classes``."""
+def links(found: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFrame, DataFrame, Plan]:
+    """(the classes with their parts, (cls, n): the links of each class to other classes, counted in
+    vectors, (a, b): vertices whose links connect what is linked, the plan) of ``classes``."""
     spark = found.sparkSession
     ship(spark)
     vector = f"v {found.schema['v'].dataType.simpleString()}"
@@ -241,8 +260,8 @@ def links(found: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFram
     width = width or 1
     # The sample's vectors on the driver: SAMPLE rows at most, whatever the input.
     sample = found.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("v").toArrow()["v"]
-    pivots = choose_pivots(units(sample, width)[1], min(PIVOTS, -(-n // CELL)), math.acos(cosine)) if n else np.zeros((1, width))
-    plan = Plan(pivots, width, cosine)
+    pivots = choose_pivots(units(sample, width)[1], min(PIVOTS, -(-n // CELL)), math.acos(cosine)) if n else (np.zeros((0, width)), np.zeros((1, width)))
+    plan = Plan(*pivots, width, cosine)
 
     def at_home(b: pa.RecordBatch) -> pa.RecordBatch:
         part, angle = plan.home(units(b["v"], plan.width)[1])
@@ -250,12 +269,13 @@ def links(found: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFram
 
     homes = stage(found.select("cls", "rep", "m", "v").mapInArrow(_batches(at_home), f"part long, angle double, cls long, rep long, m long, {vector}"), "embedding-homes")
     # One row per part: 2 * PIVOTS at most.
-    for r in homes.groupBy("part").agg(F.min("angle"), F.max("angle"), F.count("*"), F.sum("m")).collect():
-        plan.low[r[0]], plan.high[r[0]], plan.blocks[r[0]], plan.weight[r[0]] = r[1], r[2], -(-r[3] // CELL), r[4]
+    for r in homes.groupBy("part").agg(F.min("angle"), F.max("angle"), F.count("*"), F.sum("m"), F.min("rep")).collect():
+        plan.low[r[0]], plan.high[r[0]], plan.blocks[r[0]], plan.weight[r[0]], plan.head[r[0]] = r[1], r[2], -(-r[3] // CELL), r[4], r[5]
 
     def send(b: pa.RecordBatch) -> pa.RecordBatch:
         """Copies for the blocks of parts that may hold partners; block -1: a whole core within reach."""
-        may, whole = plan.reached(units(b["v"], plan.width)[1], b["part"].to_numpy())
+        home = b["part"].to_numpy()
+        may, whole = plan.reached(units(b["v"], plan.width)[1], home)
         (at, part), (own, core) = np.nonzero(may), np.nonzero(whole)
         copies = plan.blocks[part]
         block = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
@@ -263,26 +283,29 @@ def links(found: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFram
         rows = pa.array(np.concatenate([at, own]))
         v = pa.concat_arrays([b["v"].take(pa.array(at)), pa.nulls(len(own), b["v"].type)])
         to = (pa.array(np.concatenate(x), pa.int64()) for x in ([part, core], [block, np.full(len(own), -1)]))
-        return pa.record_batch([*to, b["cls"].take(rows), b["rep"].take(rows), v], names=["part", "block", "cls", "rep", "v"])
+        vertex = pa.array(plan.vertex(home, b["rep"].to_numpy()))
+        return pa.record_batch([*to, b["cls"].take(rows), vertex.take(rows), v], names=["part", "block", "cls", "vertex", "v"])
 
-    sent = stage(homes.select("part", "cls", "rep", "v").mapInArrow(_batches(send), f"part long, block long, cls long, rep long, {vector}"), "embedding-sent")
-    per_part = lambda x: F.element_at(F.array(*[F.lit(int(y)).cast("long") for y in x]), (F.col("part") + 1).cast("int"))
+    sent = stage(homes.select("part", "cls", "rep", "v").mapInArrow(_batches(send), f"part long, block long, cls long, vertex long, {vector}"), "embedding-sent")
     asked = F.broadcast(sent.where("block >= 0").select("part").distinct())  # one row per part
+    vertex = F.when(F.col("part") < plan.cores, _per_part(plan.head)).otherwise(F.col("rep"))
     natives = homes.join(asked, "part", "left_semi").select(
-        "part", F.pmod(F.xxhash64("cls"), per_part(plan.blocks)).alias("block"), F.lit(True).alias("native"), "cls", "rep", "m", "v"
+        "part", F.pmod(F.xxhash64("cls"), _per_part(plan.blocks)).alias("block"), F.lit(True).alias("native"), "cls", vertex.alias("vertex"), "m", "v"
     )
-    members = sent.where("block >= 0").select("part", "block", F.lit(False).alias("native"), "cls", "rep", F.lit(0).cast("long").alias("m"), "v")
+    members = sent.where("block >= 0").select("part", "block", F.lit(False).alias("native"), "cls", "vertex", F.lit(0).cast("long").alias("m"), "v")
     dealt = natives.unionByName(members).repartition(shuffle_partitions(spark), "part", "block").sortWithinPartitions("part", "block", F.desc("native"))
     joined = stage(dealt.mapInArrow(_join_parts(plan), FOUND_DDL), "embedding-links")
 
-    # Cores: everyone with everyone, through the smallest id; and classes with a whole core in reach.
-    core = homes.where("part % 2 = 0")
-    heads = F.broadcast(core.groupBy("part").agg(F.min("rep").alias("head")))  # one row per part
-    inside = core.select("part", "cls", "rep", (per_part(plan.weight) - F.col("m")).alias("n")).unionByName(
-        sent.where("block < 0").select("part", "cls", "rep", per_part(plan.weight).alias("n"))
-    )
-    counts = joined.where("n is not null").select("cls", "n").unionByName(inside.select("cls", "n")).groupBy("cls").agg(F.sum("n").alias("n"))
-    return counts, joined.select("a", "b").unionByName(inside.join(heads, "part").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    whole = sent.where("block < 0")
+    inside = homes.where(F.col("part") < plan.cores).select("cls", (_per_part(plan.weight) - F.col("m")).alias("n"))
+    counts = joined.where("n is not null").select("cls", "n").unionByName(inside).unionByName(whole.select("cls", _per_part(plan.weight).alias("n")))
+    edges = joined.select("a", "b").unionByName(whole.select(F.col("vertex").alias("a"), _per_part(plan.head).alias("b")))
+    return homes.withColumn("vertex", vertex), counts.groupBy("cls").agg(F.sum("n").alias("n")), edges, plan
+
+
+def _per_part(values: np.ndarray):
+    """The value of the row's part (a literal array of 2 * PIVOTS numbers at most)."""
+    return F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in values]), (F.col("part") + 1).cast("int"))
 
 
 def groups(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -290,14 +313,20 @@ def groups(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     vectors = stage(usable(rows), "embedding-vectors")
     ids = vectors.where("v is not null").distinct()
     found = classes(ids)
-    counts, edges = links(found, cosine)
+    homes, counts, edges, plan = links(found, cosine)
     # An id with several vectors is one vertex.
     several = ids.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id")
     if not several.isEmpty():
-        edges = edges.unionByName(ids.join(several, "vec_id", "left_semi").join(found, "v").select(F.col("vec_id").alias("a"), F.col("rep").alias("b")))
+        edges = edges.unionByName(ids.join(several, "vec_id", "left_semi").join(homes, "v").select(F.col("vec_id").alias("a"), F.col("vertex").alias("b")))
     parts = components(edges)
-    whole = found.join(counts, "cls", "left").join(parts.withColumnRenamed("v", "rep"), "rep", "left")
-    whole = stage(whole.select("v", "m", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c")), "embedding-results")
+    # A core is one vertex, its component a number per core (PIVOTS at most): no join on a hot vertex.
+    core = dict(parts.where(F.col("v").isin([int(x) for x in plan.head[: plan.cores]])).collect()) if plan.cores else {}
+    of_core = _per_part([core.get(int(x), x) for x in plan.head])
+    inside, outside = homes.where(F.col("part") < plan.cores), homes.where(F.col("part") >= plan.cores)
+    whole = inside.join(counts, "cls", "left").withColumn("c", of_core).select("v", "m", "n", "c").unionByName(
+        outside.join(counts, "cls", "left").join(parts.withColumnRenamed("v", "rep"), "rep", "left").select("v", "m", "n", F.coalesce("component", "rep").alias("c"))
+    )
+    whole = stage(whole.withColumn("n", F.col("m") - 1 + F.coalesce("n", F.lit(0))), "embedding-results")
     # Classes of many copies meet their rows by broadcast: at most 1,000 hold a thousandth of the rows each.
     total = max(1, vectors.count())
     hot = whole.where(F.col("m") * 1000 >= total).select("v", F.col("n").alias("hot_n"), F.col("c").alias("hot_c"))
