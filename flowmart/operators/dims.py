@@ -6,9 +6,8 @@ aggregation (partial, map-side) reduces them to distinct members. So the staging
 read once for all dimensions instead of once per dimension, and the shuffle carries only
 distinct keys per task.
 
-Surrogate keys are dense ``row_number()`` over the natural key, computed on the members
-table (whose size is bounded by the key domains: ports <= 65,536, hours by the time
-range, services / protocols / states / categories by their vocabularies). Sets that grow
+Surrogate keys are dense numbers in the order of the natural key, given by ranges of the members
+(``operators/keys.py``). Sets that grow
 with the data (the simple generation's one-row-per-second calendar, its address x port
 locations) are computed on demand, keep their natural key and are never numbered.
 """
@@ -17,12 +16,17 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
 from flowmart.functions import classify as cls
+from flowmart.operators.keys import dense_keys
 
+#: A member is one of these; the kind first.
+MEMBER_KEY = ["dim", "name", "name2", "num"]
 MEMBER_SCHEMA = "dim string, name string, name2 string, num bigint, attr string"
 
 # Member kinds (the ``dim`` column of the members table).
@@ -66,14 +70,13 @@ def dimension_members(stg: DataFrame) -> DataFrame:
         _member(M_PROTO_STATE, name=c("proto"), name2=c("state"), when=c("proto").isNotNull()),
         _member(M_ATTACK_FLAG, name=c("attack_cat"), num=label_flag),
     )
-    distinct = (
+    return (
         stg.select(F.explode(members).alias("m"))
         .filter(F.col("m").isNotNull())
         .select("m.*")
-        .groupBy("dim", "name", "name2", "num")
+        .groupBy(*MEMBER_KEY)
         .agg(F.min("attr").alias("attr"))
     )
-    return number_members(distinct)
 
 
 def _eligible() -> Column:
@@ -89,18 +92,12 @@ def _eligible() -> Column:
     )
 
 
-def number_members(distinct: DataFrame) -> DataFrame:
-    """Dense keys for every member kind in one window pass (partitioned by kind):
-    ``key_all`` numbers all members (simple generation), ``key_g2`` only the eligible
-    ones (mart generation). Each partition holds one kind's members - bounded by its
-    domain - and dimensions become plain projections of the written table."""
-    w = Window.partitionBy("dim").orderBy(
-        F.col("name").asc_nulls_first(), F.col("name2").asc_nulls_first(), F.col("num").asc_nulls_first()
-    )
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return distinct.withColumn("key_all", F.row_number().over(w).cast("int")).withColumn(
-        "key_g2", F.when(_eligible(), F.sum(F.when(_eligible(), 1).otherwise(0)).over(running)).cast("int")
-    )
+def number_members(distinct: DataFrame, after: DataFrame | None = None, stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Dense keys for every member kind (``keys.dense_keys``): ``key_all`` numbers all members (simple
+    generation), ``key_g2`` only the eligible ones (mart generation), in the order of the natural
+    key; after the last keys in ``after`` (dim, key_all, key_g2), if given. Dimensions are plain
+    projections of the written table."""
+    return dense_keys(distinct, "dim", MEMBER_KEY[1:], {"key_all": F.lit(True), "key_g2": _eligible()}, after, stage)
 
 
 def _of(members: DataFrame, kind: str) -> DataFrame:

@@ -4,10 +4,11 @@ Inputs are the written connection fact (surrogate keys, ``time_id`` = epoch of t
 and the size-checked dimensions. Calendar attributes come from ``time_id`` itself.
 
 Scale notes
-- The fact is read once for the hourly base (from which hours, days and months are finished)
-  and once for the port grain (from which the special facts are finished).
+- The fact is read once for the port grain, with all measures (the hourly base and the special
+  facts are finished from it; hours, days and months from the base), and once for the sets
+  of source ports, with its keys only.
 - Peaks are small aggregates joined back; there are no windows over the rollup.
-- Distinct ports are counted by a first aggregate on (group, port): no Expand.
+- Distinct ports are bit sets in words of 64 bits, which merge over any hours: no Expand, no explode.
 - Averages of decimal measures use exact decimal sums (order-independent), then the
   declared NUMERIC(10,3) rounding.
 """
@@ -73,30 +74,51 @@ def _calendar(df: DataFrame) -> DataFrame:
     )
 
 
-def hourly_base(conn: DataFrame) -> DataFrame:
-    """Exact additive sums per (hour, service, protocol, attack), from one scan of the fact.
+#: Ports per word of a port set.
+WORD = 64
+SOURCE, DEST = 0, 1
 
-    A group has one attack member, so it is either normal or attack traffic and needs no
-    split sums. Distinct ports: each row goes once per port kind into a first aggregate on
-    (group, kind, port), whose rows are then counted; measures ride on the first kind only."""
-    c = F.col
-    bytes_ = c("source_bytes") + c("dest_bytes")
-    packets = c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")
-    kinds = F.explode(F.array(F.struct(F.lit(0).alias("k"), c("source_port_id").alias("p")), F.struct(F.lit(1).alias("k"), c("dest_port_id").alias("p")))).alias("port")
-    rows = conn.select("time_id", *KEYS, "is_attack", "category", "duration", bytes_.alias("bytes"), packets.alias("packets"), "source_load", kinds)
-    once = lambda x: F.when(c("port.k") == 0, x)
-    ports = rows.groupBy("time_id", *KEYS, "is_attack", "category", "port").agg(
-        F.count(once(F.lit(1))).alias("n"),
-        *_avg3(once(c("duration")), "dur"),
-        *_avg3(once(c("bytes")), "byt"),
-        *_avg3(once(c("source_load")), "load"),
-        F.sum(once(c("bytes"))).alias("bytes"),
-        F.sum(once(c("packets"))).alias("packets"),
-    )
+
+def port_words(conn: DataFrame, grain: DataFrame) -> DataFrame:
+    """The exact sets of ports per (hour, service, protocol, attack) and kind (source, destination), as
+    words of 64 bits: (.., kind, word, mask), a bit per port id. Sets merge by ``bit_or`` and are counted by
+    ``bit_count``, so days, months and any window get exact distinct ports from the hours.
+
+    Words are plain longs: partial aggregation keeps 8 bytes per group and word, a group with few
+    ports has few words, and a full one has 1,024 per kind. Source ports take one scan of the
+    fact's five key columns, destination ports come from ``port_grain``."""
+    def words(df: DataFrame, port: str, kind: int) -> DataFrame:
+        bit = F.expr(f"shiftleft(1L, cast({port} % {WORD} as int))")
+        rows = df.select("time_id", *KEYS, F.lit(kind).cast("tinyint").alias("kind"), F.expr(f"{port} div {WORD}").cast("int").alias("word"), bit.alias("bit"))
+        return rows.groupBy("time_id", *KEYS, "kind", "word").agg(F.bit_or("bit").alias("mask"))
+
+    return words(conn, "source_port_id", SOURCE).unionByName(words(grain, "port_id", DEST))
+
+
+def distinct_ports(words: DataFrame, by: list[str]) -> DataFrame:
+    """(by, distinct_source_ports, distinct_dest_ports) of the union of the sets in each group of ``by``
+    (columns of ``words``, calendar columns included)."""
+    merged = _calendar(words).groupBy(*by, "kind", "word").agg(F.bit_or("mask").alias("mask"))
+    n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.bit_count("mask")).otherwise(0)).cast("bigint")
+    return merged.groupBy(*by).agg(n(SOURCE).alias("distinct_source_ports"), n(DEST).alias("distinct_dest_ports"))
+
+
+def period_ports(words: DataFrame, dim_time: DataFrame, period: str) -> DataFrame:
+    """Distinct ports per (day or month, service, protocol, attack); ``time_id`` as in the declared rollups."""
+    return distinct_ports(words, [period, *KEYS]).join(_first_hour_of(dim_time, period), period, "inner").drop(period)
+
+
+def hourly_base(grain: DataFrame, words: DataFrame) -> DataFrame:
+    """Exact additive sums per (hour, service, protocol, attack), finished from the port grain, with the
+    number of distinct ports (source and destination) from the port sets: no fact is read.
+
+    A group has one attack member, so it is either normal or attack traffic and needs no split
+    sums. Both sides are grouped on the same keys, so they meet without another shuffle."""
     sums = ["n", "dur__s", "dur__n", "byt__s", "byt__n", "load__s", "load__n", "bytes", "packets"]
-    return ports.groupBy("time_id", *KEYS, "is_attack", "category").agg(
-        *[F.sum(x).alias(x) for x in sums], F.count(F.lit(1)).alias("distinct_ports")
-    )
+    keys = ["time_id", *KEYS]
+    rows = grain.groupBy(*keys).agg(F.min("is_attack").alias("is_attack"), F.min("category").alias("category"), *[F.sum(x).alias(x) for x in sums])
+    ports = words.groupBy(*keys).agg(F.sum(F.bit_count("mask")).cast("bigint").alias("distinct_ports"))
+    return rows.join(ports, keys)
 
 
 def _split(name: str, col: Column) -> list[Column]:
@@ -217,7 +239,7 @@ def _dec3(col: Column) -> Column:
 
 def port_grain(conn: DataFrame) -> DataFrame:
     """Exact sums per (hour, service, protocol, attack, destination port), from one scan of the
-    fact: F6, F7 and QD4 are aggregates of it."""
+    fact: the hourly base, F6, F7 and QD4 are aggregates of it."""
     c = F.col
     bytes_ = c("source_bytes") + c("dest_bytes")
     packets = c("source_packets").cast("bigint") + c("dest_packets").cast("bigint")
@@ -226,6 +248,7 @@ def port_grain(conn: DataFrame) -> DataFrame:
         *_avg3(c("duration"), "dur"),
         *_avg3(bytes_, "byt"),
         *_avg3(packets, "pck"),
+        *_avg3(c("source_load"), "load"),
         F.sum(bytes_).alias("bytes"),
         F.sum(packets).alias("packets"),
     )

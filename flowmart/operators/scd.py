@@ -18,6 +18,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowmart.operators.keys import dense_keys
+
 
 def _hash(cols: list[str]) -> F.Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
@@ -65,9 +67,9 @@ def scd2_merge(current: DataFrame, snapshot: DataFrame, key: str, tracked: list[
         for c in base_cols
     ])
     if id_col is not None:
-        start = current.agg(F.max(id_col)).scalar()
-        from pyspark.sql import Window
-        created = created.withColumn(id_col, (start + F.row_number().over(Window.orderBy(key))).cast("int"))
+        last = F.coalesce(current.agg(F.max(id_col)).scalar(), F.lit(0))
+        created = dense_keys(created.drop(id_col).withColumn("_all", F.lit(0)), "_all", [key], {id_col: F.lit(True)}).drop("_all")
+        created = created.withColumn(id_col, (last + F.col(id_col)).cast(current.schema[id_col].dataType))
     return history.unionByName(kept).unionByName(closed).unionByName(opened).unionByName(created)
 
 

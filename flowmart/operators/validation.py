@@ -91,6 +91,20 @@ def key_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return out
 
 
+def assert_one_active(dims: dict[str, tuple[DataFrame, str]]) -> None:
+    """Raise unless every natural key has at most one active row: a second one would double the
+    facts that look it up."""
+    rows = None
+    for name, (df, key) in dims.items():
+        active = df.filter("is_active") if "is_active" in df.columns else df
+        keys = active.select(F.lit(f"{key} in {name}").alias("what"), F.col(key).cast("string").alias("key"))
+        rows = keys if rows is None else rows.unionByName(keys)
+    twice = rows.groupBy("what", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    bad = twice.groupBy("what").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per dimension at most
+    if bad:
+        raise ValueError("several active rows for one natural key: " + ", ".join(f"{r.n} of {r.what}" for r in sorted(bad)))
+
+
 # Declared CHECK rules: (table, rule, predicate that every row must satisfy; NULL passes).
 CHECKS = [
     ("fact_connection", "non_negative_measures", "duration >= 0 and source_bytes >= 0 and dest_bytes >= 0 and source_packets >= 0 and dest_packets >= 0"),
@@ -118,20 +132,61 @@ def check_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def rollup_mismatches(fact: DataFrame, rollup: DataFrame, period: Column, first_hour: DataFrame | None, sub: Column | None, sub_name: str | None) -> DataFrame:
-    """V9: keys at which a rollup table and a fresh count of the fact disagree (either side may
-    lack the key). ``period`` gives the rollup's time key for a fact row; with
-    ``first_hour`` (period, time_id) it is looked up there."""
-    keys = ["time_id", "service_id", "protocol_id", "attack_id"]
-    extra = [sub_name] if sub_name else []
-    rows = fact.select(period.alias("_period"), "service_id", "protocol_id", "attack_id", *([sub.alias(sub_name)] if sub_name else []))
-    fresh = rows.groupBy("_period", *keys[1:], *extra).agg(F.count(F.lit(1)).alias("n_fact"))
-    if first_hour is None:
-        fresh = fresh.withColumnRenamed("_period", "time_id")
-    else:
-        fresh = fresh.join(first_hour.toDF("_period", "time_id"), "_period")
-    rolled = rollup.select(*keys, *extra, F.col("total_connections").alias("n_rollup"))
-    return fresh.join(rolled, [*keys, *extra], "full_outer").filter(~F.coalesce(F.col("n_fact") == F.col("n_rollup"), F.lit(False)))
+KEYS = ["service_id", "protocol_id", "attack_id"]
+
+
+def fact_cells(fact: DataFrame, ports: DataFrame, max_port: int) -> DataFrame:
+    """Additive counts of the fact per (hour, service, protocol, attack), from one scan: its rows, and those
+    whose source or destination port number is out of range."""
+    numbers = lambda key, name: ports.select(F.col("port_id").alias(key), F.col("port_number").alias(name))
+    f = fact.select("time_id", "service_id", "protocol_id", "attack_id", "source_port_id", "dest_port_id")
+    f = f.join(numbers("source_port_id", "_sp"), "source_port_id", "left").join(numbers("dest_port_id", "_dp"), "dest_port_id", "left")
+    out = lambda c: F.count(F.when(~F.col(c).between(0, max_port), 1))
+    return f.groupBy("time_id", "service_id", "protocol_id", "attack_id").agg(F.count(F.lit(1)).alias("n"), out("_sp").alias("bad_source"), out("_dp").alias("bad_dest"))
+
+
+def coherence(cells: DataFrame, hourly: DataFrame, daily: DataFrame, monthly: DataFrame, dim_time: DataFrame) -> DataFrame:
+    """V9: (rule, violations): keys at which a rollup and the fact's counts disagree (either side may lack
+    the key), and rows out of range, all from ``fact_cells``.
+
+    Each cell counts for its hour, for its hour of its day and for its day of its month; rollup
+    rows stand beside them with their own totals, and one aggregate over all three levels sets
+    the two sides against each other."""
+    keys = KEYS
+    t = F.col("time_id")
+    ts = F.timestamp_seconds(t)
+    day, month = (t - F.pmod(t, F.lit(86400))), F.unix_seconds(F.date_trunc("month", ts))
+    # First hours of days and months: a row per hour of the calendar.
+    firsts = dim_time.select("time_id", F.min("time_id").over(Window.partitionBy(day)).alias("first_of_day"), F.min("time_id").over(Window.partitionBy(month)).alias("first_of_month"))
+    zero = F.lit(0).cast("bigint")
+    none = F.lit(-1)
+    levels = F.explode(F.array(
+        F.struct(F.lit("hourly").alias("level"), t.alias("at"), none.alias("sub")),
+        F.struct(F.lit("daily").alias("level"), F.col("first_of_day").alias("at"), F.hour(ts).alias("sub")),
+        F.struct(F.lit("monthly").alias("level"), F.col("first_of_month").alias("at"), F.dayofmonth(ts).alias("sub")),
+    )).alias("x")
+    counted = cells.join(firsts, "time_id", "left").select(*keys, "n", "bad_source", "bad_dest", levels).select("x.*", *keys, F.col("n").alias("n_fact"), zero.alias("n_rollup"), "bad_source", "bad_dest")
+    for level, table, sub in (("hourly", hourly, none), ("daily", daily, F.col("peak_hour")), ("monthly", monthly, F.col("peak_day"))):
+        counted = counted.unionByName(table.select(
+            F.lit(level).alias("level"), t.alias("at"), sub.cast("int").alias("sub"), *keys, zero.alias("n_fact"), F.col("total_connections").alias("n_rollup"), zero.alias("bad_source"), zero.alias("bad_dest"),
+        ))
+    sides = counted.groupBy("level", "at", "sub", *keys).agg(*[F.sum(c).alias(c) for c in ("n_fact", "n_rollup", "bad_source", "bad_dest")])
+    off = lambda level: F.count(F.when((F.col("level") == level) & (F.col("n_fact") != F.col("n_rollup")), 1))
+    rows = lambda c: F.coalesce(F.sum(F.when(F.col("level") == "hourly", F.col(c))), zero)
+    rules = {
+        "hourly_rollup_mismatch": off("hourly"), "daily_rollup_mismatch": off("daily"), "monthly_rollup_mismatch": off("monthly"),
+        "source_ports_out_of_range": rows("bad_source"), "dest_ports_out_of_range": rows("bad_dest"),
+    }
+    return as_rows(sides.agg(*[v.alias(k) for k, v in rules.items()]), {k: k for k in rules}, "rule", "violations")
+
+
+def hourly_sides(cells: DataFrame, hourly: DataFrame) -> DataFrame:
+    """(hour and keys, n_fact, n_rollup, bad_dest): the fact's counts and the hourly rollup's beside each other."""
+    zero = F.lit(0).cast("bigint")
+    both = cells.select("time_id", *KEYS, F.col("n").alias("n_fact"), zero.alias("n_rollup"), "bad_dest").unionByName(
+        hourly.select("time_id", *KEYS, zero.alias("n_fact"), F.col("total_connections").alias("n_rollup"), zero.alias("bad_dest"))
+    )
+    return both.groupBy("time_id", *KEYS).agg(*[F.sum(c).alias(c) for c in ("n_fact", "n_rollup", "bad_dest")])
 
 
 def hour_gaps(dim_time: DataFrame) -> DataFrame:

@@ -693,7 +693,7 @@ left join (
 oracle("k10_service_protocol_matrix", "select service_name, protocol_name, count(*) as connections from ft group by service_name, protocol_name")
 oracle("k10_port_service_matrix", "select dest_port, service_name, count(*) as connections from ft group by dest_port, service_name")
 oracle("k10_service_protocol_pivot", "select service_name, " + ", ".join(
-    f"count(*) filter (where protocol_name = '{p}') as {p}" for p in ("arp", "icmp", "tcp", "udp")) + " from ft group by service_name")
+    f"count(*) filter (where protocol_name = '{p}') as {p}" for p in ("arp", "icmp", "tcp", "udp")) + ", count(*) filter (where protocol_name not in ('arp', 'icmp', 'tcp', 'udp')) as other from ft group by service_name")
 oracle("k10_attack_service_matrix", "select category as attack_category, service_name, count(*) as connections from ft group by category, service_name")
 
 oracle("k11_derived_metrics", f"""
@@ -817,32 +817,43 @@ union all select 'attack_id', count(*) from ft where category not in (select cat
 
 oracle("v5_orphan_matrix", """
 select 'FACT_CONNECTION' as table_name, count(*) as total_records,
- count(case when s.name is null then 1 end) as orphaned_services, 0::bigint as orphaned_protocols
-from ft left join svc s on s.name = ft.service_name""")
+ count(case when s.name is null then 1 end) as orphaned_services, count(case when p.name is null then 1 end) as orphaned_protocols
+from ft left join svc s on s.name = ft.service_name
+left join (select distinct proto as name from stg where proto is not null union select 'UNKNOWN') p on p.name = ft.protocol_name""")
 
-oracle("v6_active_service_facts", "select count(*) as kept_rows, 0::bigint as removed_rows from ft")
+oracle("v6_active_service_facts", "select count(s.name) as kept_rows, count(*) - count(s.name) as removed_rows from ft left join svc s on s.name = ft.service_name")
 
 oracle("v8_key_violations", """
-select 'dim_time' as table_name, 'time_id' as key, 0::bigint as violations
-union all select 'dim_service', 'name', 0::bigint
-union all select 'dim_port', 'port_number', 0::bigint
-union all select 'dim_attack', 'category', 0::bigint
+select 'dim_time' as table_name, 'time_id' as key, count(*) as violations from (select 1 from dim_time group by time_id having count(*) > 1)
+union all select 'dim_service', 'name', count(*) from (select 1 from svc group by name having count(*) > 1)
+union all select 'dim_port', 'port_number', count(*) from (select 1 from prt group by port_number having count(*) > 1)
+union all select 'dim_attack', 'category', count(*) from (select 1 from att group by category having count(*) > 1)
 union all select 'fact_hourly_traffic', 'time_id,service_id,protocol_id,attack_id',
  (select count(*) from (select 1 from r1 group by time_id, service_name, protocol_name, attack_category having count(*) > 1))
 union all select 'fact_daily_traffic', 'time_id,service_id,protocol_id,attack_id',
  (select count(*) from (select 1 from r2 group by time_id, service_name, protocol_name, attack_category having count(*) > 1))
-union all select 'fact_daily_traffic_declared', 'time_id,service_id,protocol_id,attack_id', 0::bigint""")
-
-oracle("v9_business_rules", """
-select 'hour_gaps' as rule, (select count(*) from (select time_id, lead(time_id) over (order by time_id) - time_id as step from dim_time) where step > 3600) as violations
-union all select 'future_hours', (select count(*) from dim_time where datetime > now()::timestamp)
+union all select 'fact_daily_traffic_declared', 'time_id,service_id,protocol_id,attack_id', (select count(*) from (
+ select 1 from (select distinct first_id as time_id, service_name, protocol_name, category, day_start from ftp join day_first using (day_start))
+ group by time_id, service_name, protocol_name, category having count(*) > 1))""")
+
+_EXPECTED = """case when category in ('Backdoors','Shellcode','Worms') then 5 when category in ('DoS','Exploits') then 4
+ when category in ('Fuzzers','Generic') then 3 when category in ('Analysis','Reconnaissance') then 2 else 1 end"""
+for _name, _times, _hourly, _shift, _active, _severity in (
+    ("v9_business_rules", "select time_id, datetime from dim_time", "select * from r1", 0, "true", "severity"),
+    ("v9_rules_found", "select time_id, case when hour = 3 then datetime + interval 1000 years else datetime end as datetime from dim_time where hour % 4 <> 1",
+     "select * from r1 where time_id // 86400 % 2 = 0 or protocol_name <> 'udp'", 60000, "name not in ('ftp', 'ssh')",
+     "case when category in ('Worms', 'Fuzzers') then 0 else severity end"),
+):
+    oracle(_name, f"""
+select 'hour_gaps' as rule, (select count(*) from (select lead(time_id) over (order by time_id) - time_id as step from ({_times})) where step > 3600) as violations
+union all select 'future_hours', (select count(*) from ({_times}) where datetime > now()::timestamp)
 union all select 'hourly_rollup_mismatch', (select count(*) from (select time_id, service_name, protocol_name, category as attack_category, count(*) as n
-   from ft group by all) x full outer join r1 using (time_id, service_name, protocol_name, attack_category)
-   where x.n is distinct from r1.total_connections)
-union all select 'inactive_services', 0::bigint
-union all select 'ports_out_of_range', (select count(*) from ft where dest_port not between 0 and 65535)
+   from ft group by all) x full outer join ({_hourly}) r using (time_id, service_name, protocol_name, attack_category)
+   where x.n is distinct from r.total_connections)
+union all select 'inactive_services', (select count(*) from ft join (select name, {_active} as is_active from svc) s on s.name = ft.service_name where not s.is_active)
+union all select 'ports_out_of_range', (select count(*) from ft where dest_port + {_shift} not between 0 and 65535)
 union all select 'unclassified_connections', (select count(*) from ft where category is null)
-union all select 'severity_mismatch', 0::bigint""")
+union all select 'severity_mismatch', (select count(*) from att where is_attack and {_severity} <> {_EXPECTED})""")
 
 CUR = """(select name, (select min(proto) from stg where stg.service = s.name) as p_old,
  (select max(proto) from stg where stg.service = s.name) as p_new from svc s where name <> 'UNKNOWN')"""
@@ -889,7 +900,7 @@ where (dur is not null and try_cast(dur as decimal(10,3)) is null) or (sload is
 
 for _name, _bytes, _odd, _peak, _last in (
     ("v8_declared_checks", "source_bytes < 0", "false", 0, "first_seen > last_seen"),
-    ("v8_checks_found", "source_bytes % 10 = 7", "time_id % 7200 <> 0", 20, "true"),
+    ("v8_checks_found", "source_bytes % 10 = 7", "time_id // 86400 % 2 = 1", 20, "true"),
 ):
     _total = lambda t, table, a="total_connections", b="normal_connections + attack_connections", odd=_odd: (
         f"select '{t}' as table_name, 'total_is_normal_plus_attack' as rule, count(*) as violations from {table} where {a} + case when {odd} then 1 else 0 end <> {b}"
@@ -927,9 +938,9 @@ union all select 'source_ports_out_of_range', (select count(*) from ft where sou
 union all select 'dest_ports_out_of_range', (select count(*) from ft where dest_port not between 0 and 65535)""")
 
 oracle("v9_incoherence_found", """
-select 'hourly_rollup_mismatch' as rule, (select count(*) from r1 where time_id % 7200 <> 0 and protocol_name = 'udp') as violations
-union all select 'daily_rollup_mismatch', (select count(*) from r2 where time_id % 7200 <> 0 and protocol_name = 'udp')
-union all select 'monthly_rollup_mismatch', (select count(*) from r3 where time_id % 7200 <> 0 and protocol_name = 'udp')
+select 'hourly_rollup_mismatch' as rule, (select count(*) from r1 where time_id // 86400 % 2 = 1 and protocol_name = 'udp') as violations
+union all select 'daily_rollup_mismatch', (select count(*) from r2 where time_id // 86400 % 2 = 1 and protocol_name = 'udp')
+union all select 'monthly_rollup_mismatch', (select count(*) from r3 where time_id // 86400 % 2 = 1 and protocol_name = 'udp')
 union all select 'source_ports_out_of_range', (select count(*) from ft where source_port + 60000 > 65535)
 union all select 'dest_ports_out_of_range', (select count(*) from ft where dest_port + 60000 > 65535)""")
 
@@ -956,3 +967,52 @@ ORACLE["r12_refresh_views"] = " union all ".join(
         ("mv_port_security_analysis", "r11_port_security_analysis"),
     )
 )
+
+# Appended batches give the fact of one build.
+ORACLE["f4_appended_fact"] = ORACLE["f3_fact_connection"]
+ORACLE["f4_appended_simple_fact"] = ORACLE["f1_fact_connections"]
+ORACLE["f4_appended_hourly"] = ORACLE["r1_hourly_traffic"]
+ORACLE["x1_compacted_rollup"] = ORACLE["x1_stream_hourly_rollup"]
+
+_RANGES = """ranged AS (select *, case when stime >= 1705276800 and stime < 1706745600 then '2024_jan_late' when stime >= 1706745600 and stime < 1709251200 then '2024_feb'
+ when stime >= 1710028800 and stime < 1711929600 then '2024_mar_late' else 'default' end as range_name
+from (select * replace (case when sport % 13 = 0 then null else stime end as stime) from stg))"""
+
+
+def _ranged(body: str) -> str:
+    return f"select * from (with {_RANGES} {body})"
+
+
+oracle("s16_declared_partitions", _ranged("""
+select n.range_name, count(r.range_name) as record_count
+from (values ('2024_jan_late'), ('2024_feb'), ('2024_mar_late'), ('default')) n(range_name) left join ranged r using (range_name) group by n.range_name"""))
+oracle("s16_range_read", _ranged("""
+select coalesce(service, 'UNKNOWN') as service_name, count(*) as connections, cast(sum(sbytes + dbytes) as bigint) as total_bytes
+from ranged where stime >= 1707000000 and stime < 1708300000 group by 1"""))
+oracle("s16_range_read_default", _ranged("""
+select proto, count(*) as connections, min(stime) as first_stime, max(stime) as last_stime
+from ranged where stime >= 1708300000 and stime < 1710200000 group by proto"""))
+
+for _name, _table, _start in (("r2_daily_distinct_ports", "day_first", "day_start"), ("r3_monthly_distinct_ports", "month_first", "month_start")):
+    oracle(_name, f"""
+select first_id as time_id, service_name, protocol_name, category as attack_category,
+ count(distinct source_port) as distinct_source_ports, count(distinct dest_port) as distinct_dest_ports
+from ftp join {_table} using ({_start}) group by first_id, service_name, protocol_name, category""")
+oracle("r1_window_distinct_ports", f"""
+select service_name, count(distinct source_port) as distinct_source_ports, count(distinct dest_port) as distinct_dest_ports
+from ft where time_id between {WINDOW[0]} and {WINDOW[1]} group by service_name""")
+
+_SERVICE_VERSIONS = """
+, seen AS (select service as name, min(proto) as lo, max(proto) as hi from stg where service is not null group by service),
+service_versions AS (
+select name, lo as protocol, 1 as version, timestamp '2024-01-01' as valid_from, case when lo <> hi then timestamp '2024-02-01' when name <> 'ftp' then timestamp '2024-03-10' end as valid_to
+ from seen where name <> 'ssh'
+union all select name, hi, case when name = 'ssh' then 1 else 2 end, timestamp '2024-02-01', case when name <> 'ftp' then timestamp '2024-03-10' end from seen where name = 'ssh' or lo <> hi
+union all select name, lo || '/' || hi, case when name = 'ssh' or lo = hi then 2 else 3 end, timestamp '2024-03-10', null from seen where name <> 'ftp')
+"""
+oracle_ports("d10_facts_as_of", _PORT_VERSIONS + _SERVICE_VERSIONS + """
+select stime, service as service_name, s.version as service_version, s.protocol as service_protocol, dsport as dest_port,
+ p.version as port_version, p.default_service as port_service, sbytes, dbytes
+from stg left join service_versions s on s.name = service and make_timestamp(stime * 1000000) >= s.valid_from and make_timestamp(stime * 1000000) < coalesce(s.valid_to, timestamp '9999-01-01')
+left join versions p on p.port_number = dsport and make_timestamp(stime * 1000000) >= p.valid_from::timestamp and make_timestamp(stime * 1000000) < coalesce(p.valid_to::timestamp, timestamp '9999-01-01')
+where stime is not null""")

@@ -1,21 +1,23 @@
 """Mart-generation outputs: dimensions, fact, rollups, special facts, MVs and the
 analytic queries (D1-D9, F3, R1-R4, R2i, R3i, F6, F7, R8-R11, H0, QA1-QM4).
 
-Rollups and special facts are materialised once per mart (``Mart.table``) and then read
+Rollups and special facts are materialised once per mart (``DERIVED``) and then read
 like the reference reads its tables. Results expose natural keys (names), never the
 run-dependent fact ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowmart.functions import calendar as cal
 from flowmart.functions.numeric import avg_finish, avg_parts, pct
 from flowmart.operators import dims as D
 from flowmart.operators import rollups as R
-from flowmart.plans.mart import Mart
+from flowmart.plans.mart import DERIVED, Derived, Mart, Window
+from flowmart.plans.monthly import MONTH, month_of
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -26,51 +28,81 @@ def ts_str(col: Column) -> Column:
 
 # ---- materialised tables ----------------------------------------------------------------
 
-def conn(m: Mart) -> DataFrame:
-    return R.connections(m["fact_connection"], m.dim("dim_attack"))
+def conn(m: Mart, w: Window = Window()) -> DataFrame:
+    """The fact's rows of a window (its months are pruned) with attack flag and calendar columns."""
+    return R.connections(w.has(m["fact_connection"]), m.dim("dim_attack"), w.t0, w.t1)
 
 
-def _ym(df: DataFrame) -> DataFrame:
-    return df.withColumn("year_month", F.date_format(cal.to_ts(F.col("time_id")), "yyyy-MM"))
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(MONTH, month_of("time_id"))
+
+
+def _of(m: Mart, name: str, w: Window = Window()) -> DataFrame:
+    """A table by month as it should be now, the window's months of it."""
+    return w.has(m.derived(name)).drop(MONTH)
+
+
+# Sources first. Peaks (R1, R2, R3), per-service and per-port columns (F6, F7) and the views look at the
+# whole range, so those tables are finished anew from small stored sums when a month changes;
+# what belongs to a month is rewritten for that month only.
+DERIVED.update({
+    "port_grain": Derived(lambda m, w: _by_month(R.port_grain(conn(m, w))), ("fact_connection",), by_month=True, local=True, hours=True),
+    "port_words": Derived(lambda m, w: _by_month(R.port_words(conn(m, w), _of(m, "port_grain", w).filter(w.inside()))), ("fact_connection", "port_grain"), by_month=True, local=True, hours=True),
+    "hourly_base": Derived(lambda m, w: _by_month(R.hourly_base(_of(m, "port_grain", w), _of(m, "port_words", w))), ("port_grain", "port_words"), by_month=True, local=True, hours=True),
+    "fact_hourly_traffic": Derived(lambda m, w: _by_month(R.hourly_traffic(hourly_base(m))), ("hourly_base",), by_month=True),
+    "fact_daily_traffic": Derived(lambda m, w: R.daily_traffic_literal(hourly_base(m), m["dim_time"]), ("hourly_base",)),
+    "fact_monthly_traffic": Derived(lambda m, w: R.monthly_traffic_literal(hourly_base(m), m["dim_time"]), ("hourly_base",)),
+    "fact_daily_traffic_declared": Derived(lambda m, w: _by_month(R.daily_traffic(_of(m, "hourly_base", w), m["dim_time"])), ("hourly_base",), by_month=True, local=True),
+    "fact_monthly_traffic_declared": Derived(lambda m, w: _by_month(R.monthly_traffic(_of(m, "hourly_base", w), m["dim_time"])), ("hourly_base",), by_month=True, local=True),
+    "daily_ports": Derived(lambda m, w: _by_month(R.period_ports(_of(m, "port_words", w), m["dim_time"], "day_start")), ("port_words",), by_month=True, local=True),
+    "monthly_ports": Derived(lambda m, w: _by_month(R.period_ports(_of(m, "port_words", w), m["dim_time"], "month_start")), ("port_words",), by_month=True, local=True),
+    "fact_service_stats": Derived(lambda m, w: R.service_stats(port_grain(m)), ("port_grain",)),
+    "fact_port_usage": Derived(lambda m, w: R.port_usage(port_grain(m)), ("port_grain",)),
+})
 
 
 def hourly_base(m: Mart) -> DataFrame:
-    """The additive hourly sums, written by month: one scan of the fact."""
-    return m.table("hourly_base", lambda mm: _ym(R.hourly_base(conn(mm))), partition_by=["year_month"]).drop("year_month")
+    """The additive hourly sums, stored by month."""
+    return _of(m, "hourly_base")
 
 
 def port_grain(m: Mart) -> DataFrame:
-    """The sums per hour and destination port, written: one scan of the fact."""
-    return m.table("port_grain", lambda mm: R.port_grain(conn(mm)))
+    """The sums per hour and destination port, stored by month: one scan of the fact."""
+    return _of(m, "port_grain")
+
+
+def port_words(m: Mart) -> DataFrame:
+    """The port sets per hour, stored by month."""
+    return _of(m, "port_words")
 
 
 def hourly(m: Mart) -> DataFrame:
-    """R1, written partitioned by month (time-window readers prune partitions)."""
-    return m.table("fact_hourly_traffic", lambda mm: _ym(R.hourly_traffic(hourly_base(mm))), partition_by=["year_month"]).drop("year_month")
+    """R1, stored by month (time-window readers prune partitions)."""
+    return _of(m, "fact_hourly_traffic")
 
 
 def daily_literal(m: Mart) -> DataFrame:
-    return m.table("fact_daily_traffic", lambda mm: R.daily_traffic_literal(hourly_base(mm), mm["dim_time"]))
+    return m.derived("fact_daily_traffic")
 
 
 def monthly_literal(m: Mart) -> DataFrame:
-    return m.table("fact_monthly_traffic", lambda mm: R.monthly_traffic_literal(hourly_base(mm), mm["dim_time"]))
+    return m.derived("fact_monthly_traffic")
 
 
 def daily_declared(m: Mart) -> DataFrame:
-    return m.table("fact_daily_traffic_declared", lambda mm: R.daily_traffic(hourly_base(mm), mm["dim_time"]))
+    return _of(m, "fact_daily_traffic_declared")
 
 
 def monthly_declared(m: Mart) -> DataFrame:
-    return m.table("fact_monthly_traffic_declared", lambda mm: R.monthly_traffic(hourly_base(mm), mm["dim_time"]))
+    return _of(m, "fact_monthly_traffic_declared")
 
 
 def service_stats(m: Mart) -> DataFrame:
-    return m.table("fact_service_stats", lambda mm: R.service_stats(port_grain(mm)))
+    return m.derived("fact_service_stats")
 
 
 def port_usage(m: Mart) -> DataFrame:
-    return m.table("fact_port_usage", lambda mm: R.port_usage(port_grain(mm)))
+    return m.derived("fact_port_usage")
 
 
 def named(df: DataFrame, m: Mart, *which: str) -> DataFrame:
@@ -228,26 +260,27 @@ def refresh_rollups(m: Mart, t0: int | None = None, t1: int | None = None) -> li
     """Recompute the rollups for [t0, t1] from the fact, in three audited batches (HOURLY,
     DAILY, MONTHLY); returns the batch ids.
 
-    The hourly base is the stored state: the window's rows are computed anew and replace what
-    was there (only the months that the window touches are rewritten); days and months are
-    finished from it. A rerun of the same window gives the same tables."""
-    inside = F.lit(True)
-    if t0 is not None:
-        inside = inside & (F.col("time_id") >= t0)
-    if t1 is not None:
-        inside = inside & (F.col("time_id") <= t1)
+    The port grain, the port sets and the hourly base are the stored state: their rows of the
+    window are computed anew and replace what was there. Of the tables by month only the
+    months that the window touches are rewritten; the files of the others stay. Special facts
+    and views that have been built are stale afterwards and follow on their next use. A rerun of
+    the same window gives the same tables."""
+    w = Window(m.months(t0, t1), t0, t1)
+    whole_months = Window(w.months)
 
     def hourly_step(batch_id: int) -> int:
-        stored = m.table("hourly_base", lambda mm: _ym(R.hourly_base(conn(mm))), partition_by=["year_month"])
-        new = _ym(R.hourly_base(R.connections(m["fact_connection"], m.dim("dim_attack"), t0, t1)))
-        m.rewrite("hourly_base", stored.filter(~inside).unionByName(new.select(*stored.columns)), ["year_month"])
-        return m.rewrite("fact_hourly_traffic", _ym(R.hourly_traffic(hourly_base(m))), ["year_month"])
+        for name in ("port_grain", "port_words", "hourly_base"):
+            m.rebuild(name, w)
+        m.mark_stale("port_grain", w.months)
+        for name in ("port_words", "hourly_base"):  # these two are fresh
+            m.fresh_again(name)
+        return m.rebuild("fact_hourly_traffic").count()
 
     def daily_step(batch_id: int) -> int:
-        return m.rewrite("fact_daily_traffic", R.daily_traffic_literal(hourly_base(m), m["dim_time"]))
+        return m.rebuild_all(["fact_daily_traffic", "fact_daily_traffic_declared", "daily_ports"], whole_months)["fact_daily_traffic"]
 
     def monthly_step(batch_id: int) -> int:
-        return m.rewrite("fact_monthly_traffic", R.monthly_traffic_literal(hourly_base(m), m["dim_time"]))
+        return m.rebuild_all(["fact_monthly_traffic", "fact_monthly_traffic_declared", "monthly_ports"], whole_months)["fact_monthly_traffic"]
 
     return m.audit.run_all([("HOURLY", hourly_step), ("DAILY", daily_step), ("MONTHLY", monthly_step)])
 
@@ -262,11 +295,16 @@ def r4_aggregate_facts(m: Mart) -> DataFrame:
 WINDOW = (1704171600, 1709535600)
 
 
+def _window(m: Mart) -> Window:
+    t0, t1 = WINDOW
+    return Window(m.months(t0, t1), t0, t1)
+
+
 def _window_base(m: Mart) -> DataFrame:
     """The hourly base of WINDOW, computed from the fact (months outside it are not read)."""
-    t0, t1 = WINDOW
-    months = F.col("year_month").between(F.date_format(F.timestamp_seconds(F.lit(t0)), "yyyy-MM"), F.date_format(F.timestamp_seconds(F.lit(t1)), "yyyy-MM"))
-    return R.hourly_base(R.connections(m["fact_connection"].filter(months), m.dim("dim_attack"), t0, t1))
+    rows = conn(m, _window(m))
+    grain = R.port_grain(rows)
+    return R.hourly_base(grain, R.port_words(rows, grain))
 
 
 def r1_hourly_window(m: Mart) -> DataFrame:
@@ -281,6 +319,23 @@ def r3_monthly_window(m: Mart) -> DataFrame:
     return named(R.monthly_traffic_literal(_window_base(m), m["dim_time"]), m, "service", "protocol", "attack")
 
 
+def r2_daily_distinct_ports(m: Mart) -> DataFrame:
+    """Exact distinct source and destination ports per day, from the hours' port sets."""
+    return named(_of(m, "daily_ports"), m, "service", "protocol", "attack")
+
+
+def r3_monthly_distinct_ports(m: Mart) -> DataFrame:
+    """Exact distinct source and destination ports per month, from the hours' port sets."""
+    return named(_of(m, "monthly_ports"), m, "service", "protocol", "attack")
+
+
+def r1_window_distinct_ports(m: Mart) -> DataFrame:
+    """Exact distinct ports per service over WINDOW: the stored sets of its hours, merged."""
+    w = _window(m)
+    words = _of(m, "port_words", w).filter(w.inside())
+    return named(R.distinct_ports(words, ["service_id"]), m, "service")
+
+
 # ---- materialised views -------------------------------------------------------------------------
 
 def r8_hourly_service_performance(m: Mart) -> DataFrame:
@@ -341,6 +396,14 @@ def r11_port_security_analysis(m: Mart) -> DataFrame:
     return avg_finish(agg, "avg_attack_percentage")
 
 
+DERIVED.update({
+    "mv_hourly_service_performance": Derived(lambda m, w: r8_hourly_service_performance(m), ("fact_hourly_traffic",)),
+    "mv_daily_attack_patterns": Derived(lambda m, w: r9_daily_attack_patterns(m), ("fact_daily_traffic",)),
+    "mv_service_risk_profile": Derived(lambda m, w: r10_service_risk_profile(m), ("fact_service_stats",)),
+    "mv_port_security_analysis": Derived(lambda m, w: r11_port_security_analysis(m), ("fact_port_usage",)),
+})
+
+
 # ---- analytic queries ------------------------------------------------------------------------------
 
 def last_24h(m: Mart) -> DataFrame:
@@ -551,7 +614,7 @@ def qm1_top5_attack_share(m: Mart) -> DataFrame:
 
 def _share_of_total(agg: DataFrame, n: str) -> DataFrame:
     """``ROUND(100 * n / SUM(n) OVER (), 2)`` over the few aggregated rows."""
-    return agg.withColumn("percentage_of_total", pct(F.col(n), F.sum(n).over(Window.partitionBy())))
+    return agg.withColumn("percentage_of_total", pct(F.col(n), F.sum(n).over(W.partitionBy())))
 
 
 def qm2_attacks_by_hour(m: Mart) -> DataFrame:

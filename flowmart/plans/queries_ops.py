@@ -11,16 +11,21 @@ from pyspark.sql import functions as F
 
 from flowmart.functions.classify import ATTACK_SEVERITY, ATTACK_SEVERITY_DEFAULT, MAX_PORT, UNKNOWN, lookup, port_range
 from flowmart.operators import dims as D
-from flowmart.operators import rollups as R
 from flowmart.operators import quality as QL
 from flowmart.operators import scd
 from flowmart.operators import sinks
 from flowmart.operators import validation as V
 from flowmart.operators.facts import g1_valid_connections
 from flowmart.plans import queries_g1 as G1
+from flowmart.operators.sinks import RangePartitions
+from flowmart.operators.tables import write_table
+from flowmart.operators.temporal import resolve_as_of
 from flowmart.plans import queries_g2 as G2
-from flowmart.plans.mart import Mart
+from flowmart.plans.batches import BatchedMart
+from flowmart.plans.joins import sized
+from flowmart.plans.mart import DERIVED, Derived, Mart
 from flowmart.sources import csv as CSV
+from flowmart.sources.fixture import read_events
 from flowmart.sources.schema import STAGING_FIELDS
 from flowmart.streaming import hourly as X
 
@@ -146,6 +151,69 @@ def e7_attack_flag_facts(m: Mart) -> DataFrame:
     )
 
 
+#: The staging rows of the first of two batches; the second one has new hours, ports and members.
+FIRST_BATCH = "coalesce(proto <> 'icmp', true) and coalesce(stime < 1709535600, true) and coalesce(dsport % 5 <> 3, true)"
+
+
+def _two_batches(m: Mart) -> BatchedMart:
+    """A mart loaded in two batches, the second one twice; kept with ``m``."""
+    first = F.expr(FIRST_BATCH)
+    return m.companion("two_batches", lambda root: _load_batches(m, root, [("a", first), ("b", ~first), ("b", ~first)]))
+
+
+def _load_batches(m: Mart, root: str, parts: list) -> BatchedMart:
+    loaded = BatchedMart(m.spark, root)
+    for name, which in parts:
+        loaded.append(m.raw.filter(which), name)
+    return loaded
+
+
+def f4_appended_fact(m: Mart) -> DataFrame:
+    """the connection fact of two appended batches, one of them replayed: the rows of one build."""
+    return G2.f3_fact_connection(_two_batches(m))
+
+
+def f4_appended_simple_fact(m: Mart) -> DataFrame:
+    """F4 for the simple generation."""
+    return G2.f1_fact_connections(_two_batches(m))
+
+
+def f4_appended_hourly(m: Mart) -> DataFrame:
+    """The hourly rollup over the appended fact."""
+    return G2.r1_hourly_traffic(_two_batches(m))
+
+
+#: Ranges that leave gaps at both ends of the data and in the middle.
+DECLARED = RangePartitions("stime", [("2024_jan_late", 1705276800, 1706745600), ("2024_feb", 1706745600, 1709251200), ("2024_mar_late", 1710028800, 1711929600)])
+
+
+def _range_table(m: Mart) -> DataFrame:
+    """Clean staging written by declared ranges of the start time, which is missing where the source
+    port is a multiple of 13."""
+    rows = m.stg.withColumn("stime", F.when(F.coalesce(F.col("sport") % 13 != 0, F.lit(True)), F.col("stime")))
+    return DECLARED.write(rows.select(*USED), m.scratch("declared_ranges"))
+
+
+def s16_declared_partitions(m: Mart) -> DataFrame:
+    """Rows per declared partition and in the default one (outside all ranges, or without a time)."""
+    return DECLARED.counts(_range_table(m))
+
+
+def s16_range_read(m: Mart) -> DataFrame:
+    """Rows and bytes per service of an interval inside one declared range: the scan opens its
+    partition only."""
+    rows = DECLARED.between(_range_table(m), 1707000000, 1708300000)
+    return rows.groupBy(F.coalesce("service", F.lit(UNKNOWN)).alias("service_name")).agg(
+        F.count(F.lit(1)).alias("connections"), F.sum(F.col("sbytes") + F.col("dbytes")).alias("total_bytes")
+    )
+
+
+def s16_range_read_default(m: Mart) -> DataFrame:
+    """An interval that reaches beyond the declared ranges, so that the default partition is read too."""
+    rows = DECLARED.between(_range_table(m), 1708300000, 1710200000)
+    return rows.groupBy("proto").agg(F.count(F.lit(1)).alias("connections"), F.min("stime").alias("first_stime"), F.max("stime").alias("last_stime"))
+
+
 # ---- validation ----------------------------------------------------------------------------
 
 def _g2_dims(m: Mart) -> dict[str, DataFrame]:
@@ -232,9 +300,9 @@ def v8_declared_checks(m: Mart) -> DataFrame:
 
 def v8_checks_found(m: Mart) -> DataFrame:
     """The declared CHECK rules over tampered tables: bytes made negative where they end in 7, one
-    connection too many on odd hours, peaks moved by 20 hours, first use after the last."""
+    connection too many on odd days, peaks moved by 20 hours, first use after the last."""
     t = _checked_tables(m)
-    odd = F.when(F.col("time_id") % 7200 != 0, 1).otherwise(0)
+    odd = F.expr("case when time_id div 86400 % 2 = 1 then 1 else 0 end")
     more = lambda df, c: df.withColumn(c, F.col(c) + odd)
     return V.check_violations({
         "fact_connection": t["fact_connection"].withColumn("source_bytes", F.when(F.col("source_bytes") % 10 == 7, -F.col("source_bytes")).otherwise(F.col("source_bytes"))),
@@ -266,34 +334,19 @@ def v8_duplicates_found(m: Mart) -> DataFrame:
 
 def v9_coherence(m: Mart, found: bool = False) -> DataFrame:
     """V9: keys at which the hourly, daily and monthly rollups disagree with the fact, and facts
-    whose source or destination port is out of range."""
-    f = m["fact_connection"]
+    whose source or destination port is out of range.
+
+    One scan of the fact gives additive counts per hour and keys; summed to hours, days and months
+    they meet all three rollups in one aggregate."""
     hourly, daily, monthly = G2.hourly(m), G2.daily_literal(m), G2.monthly_literal(m)
     ports = m.dim("dim_port")
-    if found:  # rollups without the udp rows of odd hours, a port dimension shifted by 60,000
-        gap = (F.col("time_id") % 7200 == 0) | (F.col("protocol_id") != m["dim_protocol"].filter("name = 'udp'").agg(F.max("protocol_id")).scalar())
+    if found:  # rollups without the udp rows of odd days, a port dimension shifted by 60,000
+        udp = m["dim_protocol"].filter("name = 'udp'").agg(F.max("protocol_id")).scalar()
+        gap = F.expr("time_id div 86400 % 2 = 0") | (F.col("protocol_id") != udp)
         hourly, daily, monthly = (t.filter(gap) for t in (hourly, daily, monthly))
         ports = ports.withColumn("port_number", F.col("port_number") + 60000)
-    ts = F.timestamp_seconds("time_id")
-    day, month = F.col("time_id") - F.pmod("time_id", F.lit(86400)), F.unix_seconds(F.date_trunc("month", ts))
-    first = lambda period: m["dim_time"].groupBy(period.alias("p")).agg(F.min("time_id").alias("t"))
-    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    numbers = ports.select("port_id", "port_number")
-    ends = f.groupBy("source_port_id", "dest_port_id").agg(F.count(F.lit(1)).alias("n"))
-
-    def out_of_range(key: str):
-        bad = ends.join(numbers.withColumnRenamed("port_id", key), key).filter(~F.col("port_number").between(0, MAX_PORT))
-        return bad.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-
-    rules = {
-        "hourly_rollup_mismatch": n(V.rollup_mismatches(f, hourly, F.col("time_id"), None, None, None)),
-        "daily_rollup_mismatch": n(V.rollup_mismatches(f, daily, day, first(day), F.hour(ts), "peak_hour")),
-        "monthly_rollup_mismatch": n(V.rollup_mismatches(f, monthly, month, first(month), F.dayofmonth(ts), "peak_day")),
-        "source_ports_out_of_range": out_of_range("source_port_id"),
-        "dest_ports_out_of_range": out_of_range("dest_port_id"),
-    }
-    one = m.spark.range(1).select(*[v.alias(k) for k, v in rules.items()])
-    return V.as_rows(one, {k: k for k in rules}, "rule", "violations")
+    cells = V.fact_cells(m["fact_connection"], ports, MAX_PORT)
+    return V.coherence(cells, hourly, daily, monthly, m["dim_time"])
 
 
 def v9_incoherence_found(m: Mart) -> DataFrame:
@@ -315,38 +368,38 @@ def v8_key_violations(m: Mart) -> DataFrame:
     })
 
 
-def v9_business_rules(m: Mart) -> DataFrame:
-    """V9: written business rules as (rule, violations)."""
-    f = m["fact_connection"]
-    a = m["dim_attack"]
+def v9_business_rules(m: Mart, found: bool = False) -> DataFrame:
+    """V9: written business rules as (rule, violations); the rules over facts come from one scan."""
+    a, services, hourly, ports, times = m["dim_attack"], m["dim_service"], G2.hourly(m), m.dim("dim_port"), m["dim_time"]
+    if found:  # missing hours, inactive services, a rollup without udp rows of odd days, shifted ports, wrong severities
+        udp = m["dim_protocol"].filter("name = 'udp'").agg(F.max("protocol_id")).scalar()
+        hourly = hourly.filter(F.expr("time_id div 86400 % 2 = 0") | (F.col("protocol_id") != udp))
+        times = times.filter("hour % 4 <> 1").withColumn("datetime", F.when(F.col("hour") == 3, F.expr("datetime + interval 1000 years")).otherwise(F.col("datetime")))
+        services = services.withColumn("is_active", ~F.col("name").isin("ftp", "ssh"))
+        ports = ports.withColumn("port_number", F.col("port_number") + 60000)
+        a = a.withColumn("severity", F.when(F.col("category").isin("Worms", "Fuzzers"), 0).otherwise(F.col("severity")))
     n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    # Rollup coherence per key: the hourly table against a fresh aggregate of the fact
-    # (full outer join on the grain, both sides already aggregated).
-    keys = ["time_id", "service_id", "protocol_id", "attack_id"]
-    fresh = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_fact"))
-    rolled = G2.hourly(m).select(*keys, F.col("total_connections").alias("n_rollup"))
-    incoherent = fresh.join(rolled, keys, "full_outer").filter(
-        ~F.coalesce(F.col("n_fact") == F.col("n_rollup"), F.lit(False))
-    )
-    sport = m.dim("dim_port").select(F.col("port_id").alias("dest_port_id"), "port_number")
-    bad_ports = f.join(sport, "dest_port_id").filter(~F.col("port_number").between(0, MAX_PORT))
+    sides = V.hourly_sides(V.fact_cells(m["fact_connection"], ports, MAX_PORT), hourly)
+    inactive = services.filter(~F.col("is_active")).select("service_id", F.lit(True).alias("inactive"))
+    sides = sides.join(sized(inactive, m.sizes["dim_service"]), "service_id", "left")
+    rows = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0)).cast("bigint")
     expected_sev = lookup(F.col("category"), ATTACK_SEVERITY, ATTACK_SEVERITY_DEFAULT)
-    bad_sev = a.filter(F.col("is_attack") & (F.col("severity") != expected_sev))
-    rules = [
-        ("hour_gaps", n(V.hour_gaps(m["dim_time"]))),
-        ("future_hours", n(m["dim_time"].filter(F.col("datetime") > F.current_timestamp()))),
-        ("hourly_rollup_mismatch", n(incoherent)),
-        ("inactive_services", n(f.join(m["dim_service"].filter(~F.col("is_active")).select("service_id"), "service_id", "left_semi"))),
-        ("ports_out_of_range", n(bad_ports)),
-        ("unclassified_connections", n(f.filter(F.col("attack_id").isNull()))),
-        ("severity_mismatch", n(bad_sev)),
-    ]
-    host = m.spark.range(1)  # one row carrying the scalar subqueries over the mart tables
-    parts = [host.select(F.lit(name).alias("rule"), value.cast("bigint").alias("violations")) for name, value in rules]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rules = {
+        "hour_gaps": n(V.hour_gaps(times)),
+        "future_hours": n(times.filter(F.col("datetime") > F.current_timestamp())),
+        "hourly_rollup_mismatch": F.count(F.when(F.col("n_fact") != F.col("n_rollup"), 1)),
+        "inactive_services": rows("n_fact", F.col("inactive")),
+        "ports_out_of_range": rows("bad_dest", F.lit(True)),
+        "unclassified_connections": rows("n_fact", F.col("attack_id").isNull()),
+        "severity_mismatch": n(a.filter(F.col("is_attack") & (F.col("severity") != expected_sev))),
+    }
+    from_facts = [k for k in rules if k not in ("hour_gaps", "future_hours", "severity_mismatch")]
+    one = sides.agg(*[rules[k].alias(k) for k in from_facts]).select("*", *[v.alias(k) for k, v in rules.items() if k not in from_facts])
+    return V.as_rows(one, {k: k for k in rules}, "rule", "violations")
+
+
+def v9_rules_found(m: Mart) -> DataFrame:
+    return v9_business_rules(m, found=True)
 
 
 # ---- versioning, refresh, streaming ------------------------------------------------------------
@@ -370,15 +423,19 @@ def d10_scd2_service(m: Mart) -> DataFrame:
     )
 
 
-def d10_scd2_port(m: Mart) -> DataFrame:
-    """D10 for ports: a snapshot taken from raw staging in which each port's default service is
-    the largest one seen; ports without a row are created with the next ids."""
+def _port_history(m: Mart) -> DataFrame:
+    """The port dimension after a snapshot taken from raw staging in which each port's default service
+    is the largest one seen; ports without a row are created with the next ids."""
     ends = F.explode(F.array(*[F.struct(F.col(c).alias("port_number"), "service") for c in ("sport", "dsport")])).alias("e")
     snapshot = m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0).groupBy("port_number").agg(F.max("service").alias("s"))
     snapshot = snapshot.select("port_number", F.coalesce("s", F.lit(UNKNOWN)).alias("default_service"))
     old = m["dim_port"].filter(F.col("port_number") % 10 != 9)  # so that there are new members
-    merged = scd.scd2_merge(old, snapshot, "port_number", ["default_service"], SCD_AS_OF, id_col="port_id")
-    return merged.select(
+    return scd.scd2_merge(old, snapshot, "port_number", ["default_service"], SCD_AS_OF, id_col="port_id")
+
+
+def d10_scd2_port(m: Mart) -> DataFrame:
+    """D10 for ports (``_port_history``)."""
+    return _port_history(m).select(
         "port_number", "default_service", "version", "is_active",
         F.date_format("valid_from", G2.TS_FMT).alias("valid_from"), F.date_format("valid_to", G2.TS_FMT).alias("valid_to"),
         (F.count(F.lit(1)).over(Window.partitionBy("port_id")) == F.max("version").over(Window.partitionBy("port_id"))).alias("id_is_own"),
@@ -391,39 +448,74 @@ def d10_ports_as_of(m: Mart) -> DataFrame:
     return scd.as_of(merged, _dt.datetime(2024, 2, 15)).select("port_number", "default_service", "version")
 
 
-MV_BUILDERS = {
-    "mv_hourly_service_stats": G1.r5_hourly_service_stats,
-    "mv_daily_traffic": G1.r6_daily_traffic,
-    "mv_weekly_traffic": G1.r7_weekly_traffic,
-    "mv_hourly_service_performance": G2.r8_hourly_service_performance,
-    "mv_daily_attack_patterns": G2.r9_daily_attack_patterns,
-    "mv_service_risk_profile": G2.r10_service_risk_profile,
-    "mv_port_security_analysis": G2.r11_port_security_analysis,
-}
+DERIVED.update({
+    "mv_hourly_service_stats": Derived(lambda m, w: G1.r5_hourly_service_stats(m), ("g1_fact_connections",)),
+    "mv_daily_traffic": Derived(lambda m, w: G1.r6_daily_traffic(m), ("g1_fact_connections",)),
+    "mv_weekly_traffic": Derived(lambda m, w: G1.r7_weekly_traffic(m), ("g1_fact_connections",)),
+})
+VIEWS = ("mv_hourly_service_stats", "mv_daily_traffic", "mv_weekly_traffic", "mv_hourly_service_performance", "mv_daily_attack_patterns",
+         "mv_service_risk_profile", "mv_port_security_analysis")
 
 
 def r12_refresh_views(m: Mart) -> DataFrame:
-    """Recompute the rollups that the views read, then write every materialised view anew;
-    report rows per view.
+    """Recompute the rollups and special facts that the views read, then write every materialised
+    view anew; report rows per view.
 
     The seven refreshes are independent, so they are submitted as concurrent Spark jobs
     (driver threads); the scheduler interleaves their tasks on the executors."""
-    from concurrent.futures import ThreadPoolExecutor
-
     G2.refresh_rollups(m)
-    m.rewrite("port_grain", R.port_grain(G2.conn(m)))
-    m.rewrite("fact_service_stats", R.service_stats(G2.port_grain(m)))
-    m.rewrite("fact_port_usage", R.port_usage(G2.port_grain(m)))
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        counts = dict(zip(MV_BUILDERS, pool.map(lambda item: m.rewrite(item[0], item[1](m)), MV_BUILDERS.items())))
+    m.rebuild_all(["fact_service_stats", "fact_port_usage"])
+    counts = m.rebuild_all(list(VIEWS))
     return V.as_rows(m.spark.range(1).select(*[F.lit(n).alias(k) for k, n in counts.items()]), {k: k for k in counts}, "view_name", "record_count")
 
 
+#: The service dimension's history: when a snapshot was merged, and how its protocol follows from the
+#: smallest and largest one seen (services without one are not in the snapshot).
+HISTORY = [
+    (_dt.datetime(2024, 2, 1), "hi"),
+    (_dt.datetime(2024, 3, 10), "case when name <> 'ftp' then concat(lo, '/', hi) end"),
+]
+
+
+def _service_history(m: Mart) -> DataFrame:
+    """Up to three versions of a service; ssh is only created by the first snapshot."""
+    seen = m.stg.filter(F.col("service").isNotNull()).groupBy(F.col("service").alias("name")).agg(F.min("proto").alias("lo"), F.max("proto").alias("hi"))
+    dim = m["dim_service"].filter("name <> 'ssh'")
+    for as_of, protocol in HISTORY:
+        dim = scd.scd2_merge(dim, seen.select("name", F.expr(protocol).alias("protocol")).filter("protocol is not null"), "name", ["protocol"], as_of, id_col="service_id")
+    return dim
+
+
+def d10_facts_as_of(m: Mart) -> DataFrame:
+    """D10 + F3: every clean connection with the versions of its service and destination port that were
+    valid at its own start time; nothing where the member did not exist yet."""
+    rows = m.stg.filter(F.col("stime").isNotNull()).select("stime", "service", "dsport", "sbytes", "dbytes")
+    services, ports = (write_table(h, m.scratch(n)) for h, n in ((_service_history(m), "service_history"), (_port_history(m), "port_history")))
+    rows = resolve_as_of(rows, "stime", "service", services, "name", {"version": "service_version", "protocol": "service_protocol"})
+    rows = resolve_as_of(rows, "stime", "dsport", ports, "port_number", {"version": "port_version", "default_service": "port_service"}, width=30 * 86400)
+    return rows.select("stime", F.col("service").alias("service_name"), "service_version", "service_protocol", F.col("dsport").alias("dest_port"), "port_version", "port_service", "sbytes", "dbytes")
+
+
 def x1_stream_hourly_rollup(m: Mart) -> DataFrame:
     """The streaming hourly rollup run to completion over the events table
     (``availableNow``); result = the sum of all batches' partials."""
     if not m.sf_dir:
         raise ValueError("the streaming rollup needs the folder of the events table")
-    sink, ckpt = m.fresh("x1_sink"), m.fresh("x1_checkpoint")  # a stream starts anew
+    sink, ckpt = m.scratch("x1_sink"), m.scratch("x1_checkpoint")  # a stream starts anew
     X.start(m.spark, f"{m.sf_dir}/events.parquet", sink, ckpt).awaitTermination()
     return X.rollup(m.spark, sink)
+
+
+def x1_compacted_rollup(m: Mart) -> DataFrame:
+    """X1 over four files, one per micro-batch, compacted after the third and at the end: the same rollup
+    from one folder."""
+    if not m.sf_dir:
+        raise ValueError("the streaming rollup needs the folder of the events table")
+    files, sink, ckpt = m.scratch("x1_files"), m.scratch("x1_sink"), m.scratch("x1_checkpoint")
+    events = read_events(m.spark, m.sf_dir).withColumn("part", F.pmod("event_id", F.lit(4)))
+    for part in range(4):
+        events.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(files)
+        X.start(m.spark, files, sink, ckpt).awaitTermination()
+        if part >= 2:
+            X.compact(m.spark, sink, keep=0)
+    return X.rollup(m.spark, sink)

@@ -15,7 +15,6 @@ from flowmart.functions.numeric import avg_finish, avg_parts, mean_raw, pct, r6,
 from flowmart.operators.facts import derived_metrics
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.mart import Mart
-from flowmart.sources.fixture import PROTOCOLS
 from flowmart.plans.quantiles import above_percentile
 
 
@@ -211,8 +210,8 @@ def k9_top5_service_summary(m: Mart) -> DataFrame:
     return avg_finish(out, ["avg_duration_normal", "avg_duration_attack"])
 
 
-#: The protocols that the connection records of the fixture have.
-PIVOT_PROTOCOLS = tuple(sorted(set(PROTOCOLS)))
+#: The widest cross-tab; protocols beyond it (in name order) are counted in ``other``.
+PIVOT_MOST = 200
 
 
 def k10_service_protocol_matrix(m: Mart) -> DataFrame:
@@ -230,10 +229,21 @@ def k10_attack_service_matrix(m: Mart) -> DataFrame:
     return f.groupBy("attack_category", "service_name").agg(F.count(F.lit(1)).alias("connections"))
 
 
-def k10_service_protocol_pivot(m: Mart, protocols: tuple[str, ...] = PIVOT_PROTOCOLS) -> DataFrame:
-    """Wide form of the service x protocol matrix, one column for each name in ``protocols``."""
+def pivot_protocols(m: Mart) -> list[str]:
+    """The names of the protocol dimension without the default member: PIVOT_MOST of them at most."""
+    names = m["dim_protocol"].filter("protocol_id <> 0").select("name").orderBy("name").limit(PIVOT_MOST)
+    return [r[0] for r in names.collect()]
+
+
+def k10_service_protocol_pivot(m: Mart, protocols: list[str] | None = None) -> DataFrame:
+    """Wide form of the service x protocol matrix: one column for each of ``protocols`` (all of the
+    dimension, if not given) and ``other`` for the connections of any other or no protocol."""
+    protocols = pivot_protocols(m) if protocols is None else protocols
     f = G2.named(m["fact_connection"], m, "service", "protocol")
-    return f.groupBy("service_name").pivot("protocol_name", list(protocols)).agg(F.count(F.lit(1))).fillna(0)
+    n = lambda when: F.count(F.when(when, 1))
+    column = lambda p: f"{p}_" if p in ("other", "service_name") else p
+    named = F.col("protocol_name").isin(protocols)
+    return f.groupBy("service_name").agg(*[n(F.col("protocol_name") == p).alias(column(p)) for p in protocols], n(~named).alias("other"))
 
 
 def k11_derived_metrics(m: Mart) -> DataFrame:

@@ -60,6 +60,9 @@ REGISTRY: dict[str, MartQuery] = {
     "r1_hourly_window": G2.r1_hourly_window,
     "r2_daily_window": G2.r2_daily_window,
     "r3_monthly_window": G2.r3_monthly_window,
+    "r2_daily_distinct_ports": G2.r2_daily_distinct_ports,
+    "r3_monthly_distinct_ports": G2.r3_monthly_distinct_ports,
+    "r1_window_distinct_ports": G2.r1_window_distinct_ports,
     "r4_aggregate_facts": G2.r4_aggregate_facts,
     "f6_service_stats": G2.f6_service_stats,
     "f7_port_usage": G2.f7_port_usage,
@@ -140,12 +143,21 @@ REGISTRY: dict[str, MartQuery] = {
     "v8_duplicates_found": O.v8_duplicates_found,
     "v9_coherence": O.v9_coherence,
     "v9_incoherence_found": O.v9_incoherence_found,
+    "v9_rules_found": O.v9_rules_found,
+    "f4_appended_fact": O.f4_appended_fact,
+    "f4_appended_simple_fact": O.f4_appended_simple_fact,
+    "f4_appended_hourly": O.f4_appended_hourly,
+    "s16_declared_partitions": O.s16_declared_partitions,
+    "s16_range_read": O.s16_range_read,
+    "s16_range_read_default": O.s16_range_read_default,
+    "d10_facts_as_of": O.d10_facts_as_of,
     "f5_overflow_found": O.f5_overflow_found,
     "d10_scd2_port": O.d10_scd2_port,
     "d10_ports_as_of": O.d10_ports_as_of,
     "d10_scd2_service": O.d10_scd2_service,
     "r12_refresh_views": O.r12_refresh_views,
     "x1_stream_hourly_rollup": O.x1_stream_hourly_rollup,
+    "x1_compacted_rollup": O.x1_compacted_rollup,
 }
 
 

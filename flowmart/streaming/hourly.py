@@ -7,16 +7,24 @@ bound lateness without losing rows. Instead the stream keeps no state at all: ea
 is aggregated to additive partials (counts and sums per hour, service, protocol, attack
 category) that replace the folder of its batch number - a retried batch overwrites itself -
 and ``rollup`` adds the partials up. The result is exact for any file layout, any arrival
-order and any number of batches; compact the sink now and then if it runs for long.
+order and any number of batches.
+
+``compact`` merges the partials of finished batches into one folder. A commit names that folder and
+the last batch in it; readers take it and the batches after. The switch is atomic, a compaction
+that dies before it has changed nothing, and a retry of a merged batch writes a folder that no
+reader looks at any more.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowmart.functions.classify import is_attack_category
+from flowmart.operators import commits
 from flowmart.operators.quality import valid_rows
 from flowmart.sources.fixture import raw_connections
 from flowmart.sources.schema import conform
@@ -78,7 +86,48 @@ def start(spark: SparkSession, events_path: str, sink_dir: str, checkpoint_dir:
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
 
 
+def _batches(spark: SparkSession, sink_dir: str) -> list[int]:
+    """The numbers of the batches whose folder is complete."""
+    names = [n for n in commits.children(spark, sink_dir) if n.startswith("batch_id=")]
+    return sorted(int(n.split("=")[1]) for n in names if commits.exists(spark, f"{sink_dir}/{n}/_SUCCESS"))
+
+
+def _partials_since(spark: SparkSession, sink_dir: str, state: dict, upto: int | None = None) -> DataFrame:
+    """The merged partials and those of the batches after them (up to ``upto``)."""
+    later = [b for b in _batches(spark, sink_dir) if b > state.get("upto", -1) and (upto is None or b <= upto)]
+    folders = [f"{sink_dir}/{f}" for f in [*_merged(state), *(f"batch_id={b}" for b in later)]]
+    return spark.read.schema(SINK_SCHEMA).parquet(*(folders or [sink_dir]))
+
+
+def _merged(state: dict) -> list[str]:
+    return [state["merged"]] if state else []
+
+
+def _sums(df: DataFrame) -> DataFrame:
+    return df.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def compact(spark: SparkSession, sink_dir: str, keep: int = 1) -> int:
+    """Merge all complete batches but the last ``keep`` (the last one may still be retried while the stream
+    runs); returns the last merged batch, -1 if there is none. Their folders and the merged folder
+    before go one compaction later, so that a query that was planned on them still finds its files."""
+    log = commits.Commits(spark, f"{sink_dir}/_merged")
+    version, state = log.latest()
+    for folder in state.get("retired", []):
+        commits.remove(spark, f"{sink_dir}/{folder}")
+    done = [b for b in _batches(spark, sink_dir) if b > state.get("upto", -1)]
+    done = done[: len(done) - keep] if keep else done
+    if not done:
+        return state.get("upto", -1)
+    merged = f"merged={uuid.uuid4().hex[:12]}"
+    _sums(_partials_since(spark, sink_dir, state, done[-1])).write.parquet(f"{sink_dir}/{merged}")
+    retired = [f"batch_id={b}" for b in done] + _merged(state)
+    if not log.commit(version, {"merged": merged, "upto": done[-1], "retired": retired}):
+        commits.remove(spark, f"{sink_dir}/{merged}")  # another compaction came first
+    return log.latest()[1]["upto"]
+
+
 def rollup(spark: SparkSession, sink_dir: str) -> DataFrame:
     """The rollup of all batches so far. A sink that no batch has written yet raises."""
-    df = spark.read.schema(SINK_SCHEMA + ", batch_id bigint").parquet(sink_dir)
-    return df.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    _, state = commits.Commits(spark, f"{sink_dir}/_merged").latest()
+    return _sums(_partials_since(spark, sink_dir, state))

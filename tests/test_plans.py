@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowmart.plans.mart import get_mart
 from flowmart.plans.registry import REGISTRY
@@ -62,8 +63,9 @@ def test_rollups_and_special_facts_scan_the_fact_once(spark, mart):
     from flowmart.plans import queries_ops as O
 
     scans = lambda build: _fact_rows_read(spark, mart, build)
-    assert scans(lambda: R.hourly_base(G2.conn(mart))) == 1
     assert scans(lambda: R.port_grain(G2.conn(mart))) == 1
+    assert scans(lambda: R.port_words(G2.conn(mart), G2.port_grain(mart))) == 1
+    assert scans(lambda: R.hourly_base(G2.port_grain(mart), G2.port_words(mart))) == 0
     for derived in (G2.hourly, G2.daily_literal, G2.monthly_literal, G2.daily_declared, G2.monthly_declared, G2.service_stats, G2.port_usage):
         assert scans(lambda f=derived: f(mart)) == 0
     for query in (G2.qm2_attacks_by_hour, G2.qm3_attack_categories):
@@ -76,5 +78,44 @@ def test_hourly_rollup_has_no_expand_and_no_window(mart):
     from flowmart.operators import rollups as R
     from flowmart.plans import queries_g2 as G2
 
-    for df in (R.hourly_base(G2.conn(mart)), R.hourly_traffic(G2.hourly_base(mart))):
-        assert "Expand" not in _plan(df) and "Window" not in _plan(df)
+    conn = G2.conn(mart)
+    grain = R.port_grain(conn)
+    for df in (R.hourly_base(grain, R.port_words(conn, grain)), R.hourly_traffic(G2.hourly_base(mart)), G2.r2_daily_distinct_ports(mart)):
+        plan = _plan(df)
+        assert not [x for x in ("Expand", "Window", "Generate") if x in plan], plan
+
+
+def test_checks_over_facts_scan_the_fact_once(spark, mart):
+    from flowmart.plans import queries_ops as O
+
+    for query in (O.v9_coherence, O.v9_incoherence_found, O.v9_business_rules, O.v9_rules_found):
+        assert _fact_rows_read(spark, mart, lambda f=query: f(mart)) == 1
+
+
+def test_percentile_query_scans_the_fact_three_times(mart):
+    """The sketch, the counts and the result; subqueries that are used again do not run again."""
+    from flowmart.plans import queries_req as Q
+
+    df = Q.p1_duration_anomalies(mart)
+    df.collect()
+    lines = _plan(df).splitlines()
+    assert sum("FileScan parquet" in x and "fact_connection" in x for x in lines) <= 3 or sum("FileScan" in x for x in lines) <= 3
+
+
+def test_keys_are_numbered_without_one_task_for_all(spark):
+    """No window over all rows: only over a kind's range, and over the counts of ranges."""
+    from flowmart.operators.keys import dense_keys
+
+    df = spark.range(1000).selectExpr("id % 3 as kind", "id as k")
+    plan = _plan(dense_keys(df, "kind", ["k"], {"n": F.lit(True)}))
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and all("kind" in x.split("windowspecdefinition(")[1][:12] for x in windows), plan
+
+
+def test_range_reads_open_the_met_partitions_only(mart):
+    from flowmart.plans import queries_ops as O
+
+    plan = _plan(O.s16_range_read(mart))
+    assert "range_name" in plan.split("PartitionFilters")[1][:120]
+    assert O.DECLARED.met(1707000000, 1708300000) == ["2024_feb"]
+    assert O.DECLARED.met(1708300000, 1710200000) == ["2024_feb", "2024_mar_late", "default"]

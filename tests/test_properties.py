@@ -16,6 +16,7 @@ from flowmart.plans import queries_ops as O
 from flowmart.plans.mart import get_mart
 from flowmart.operators.sinks import Audit, insert_if_absent, latest_batch
 from flowmart.plans.mart import Mart
+from flowmart.plans import quantiles
 from flowmart.plans.quantiles import above_percentile
 from flowmart.sources.fixture import staging_raw
 from flowmart.streaming import hourly as X
@@ -69,10 +70,13 @@ def test_qd4_weighting_equals_literal_fan_out(mart):
     assert G2.qd4_security_summary(mart).first().overall_attack_percentage == brute
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_above_percentile_matches_numpy(spark, seed):
+@pytest.mark.parametrize("seed,whole", [(1, 10**6), (1, 0), (2, 0), (3, 10**6), (3, 0)])
+def test_above_percentile_matches_numpy(spark, seed, whole, monkeypatch):
     """The bound is the next thousandth above the interpolated percentile, for spread values, heavy
     ties and a mass at both ends; null without values."""
+    monkeypatch.setattr(quantiles, "WHOLE", whole)
+    if not whole:  # a coarse sketch, whose bracket is a small part of the values
+        monkeypatch.setattr(quantiles, "ACCURACY", 100)
     rng = random.Random(seed)
     pools = [lambda: rng.randrange(9_999_999_999), lambda: rng.choice((5000, 7250, rng.randrange(10**6))), lambda: rng.choice((0, 0, 9_999_999_999, 9_999_999_999, rng.randrange(300)))]
     vals = [pools[seed - 1]() for _ in range(2000 + seed)]
