@@ -73,7 +73,10 @@ class BatchedMart(Mart):
         members = self._read(MEMBERS, state)
         self._tables[MEMBERS] = members
         self._register(members)
-        del self._tables["g1_dim_time"]  # a view of the staging rows, which are not stored
+        self._show_facts(state)
+
+    def _show_facts(self, state: dict) -> None:
+        self._tables.pop("g1_dim_time", None)  # a view of the staging rows, which are not stored
         for name in FACTS:
             self._tables[name] = self._read(name, state)
             self.sizes[name] = sum(b["rows"][name] for b in state["batches"].values())
@@ -99,12 +102,12 @@ class BatchedMart(Mart):
             version, base = self.log.latest()
             state, token = base, f"load={batch}-{uuid.uuid4().hex[:8]}"
             new_members = self._new_members(rows, base, token)
-            own = self._facts(rows, base, batch, batch_id, token, new_members)
+            own, dims = self._facts(rows, base, batch, batch_id, token, new_members)
             # Commit over whatever came meanwhile, as long as nobody gave the same ids.
             while self._member_folders(state) == self._member_folders(base) and own["ordinal"] not in self._ordinals(state, batch):
                 new = self._with_batch(state, batch, token, own)
                 if self.log.commit(version, new):
-                    self._finish(state, new, batch)
+                    self._finish(state, new, batch, dims)
                     return own["rows"]["fact_connection"]
                 version, state = self.log.latest()
             for name in (MEMBERS, *FACTS):  # start over on the newer state
@@ -131,8 +134,8 @@ class BatchedMart(Mart):
         numbered = D.number_members(seen, after, stage=lambda df: write_table(df, self.scratch("members_by_range")))
         return write_table(numbered, f"{self.root}/{MEMBERS}/{token}")
 
-    def _facts(self, rows: DataFrame, state: dict, batch: str, batch_id: int, token: str, new_members: DataFrame) -> dict:
-        """Write the batch's facts with lookups over all members; (rows, schemas, ordinal)."""
+    def _facts(self, rows: DataFrame, state: dict, batch: str, batch_id: int, token: str, new_members: DataFrame) -> tuple[dict, tuple]:
+        """Write the batch's facts with lookups over all members; ((rows, schemas, ordinal), the dimensions)."""
         members = self._read(MEMBERS, state).unionByName(new_members) if state else new_members
         held = dict(self._tables), dict(self.sizes)
         try:  # lookups as in a build, over the members that will be there
@@ -146,7 +149,7 @@ class BatchedMart(Mart):
             for name, id_col in zip(FACTS, ("connection_id", "fact_key")):
                 df = write_table(_own_ids(made[name], id_col, ordinal), f"{self.root}/{name}/{token}", [MONTH])
                 out["rows"][name], out["schemas"][name] = df.count(), df.schema.jsonValue()
-            return out
+            return out, ({**self._tables, MEMBERS: members}, dict(self.sizes))
         finally:
             self._tables, self.sizes = held
 
@@ -158,11 +161,13 @@ class BatchedMart(Mart):
         retired = [f"{n}/{f}" for n in FACTS for f in before["folders"][n]]
         return {"batches": batches, "schemas": own["schemas"], "retired": retired}
 
-    def _finish(self, before: dict, after: dict, batch: str) -> None:
+    def _finish(self, before: dict, after: dict, batch: str, dims: tuple) -> None:
         for folder in before.get("retired", []):  # replaced by the commit before; no new reader uses it
             commits.remove(self.spark, f"{self.root}/{folder}")
         touched = {m for s in (before, after) for f in s.get("batches", {}).get(batch, {}).get("folders", {}).get("fact_connection", []) for m in self._months_of(f)}
-        self._show(after)
+        self._tables.update({k: v for k, v in dims[0].items() if k == MEMBERS or k.startswith(("dim_", "g1_dim_"))})
+        self.sizes.update(dims[1])
+        self._show_facts(after)
         self.mark_stale("fact_connection", sorted(touched))
         self.mark_stale("g1_fact_connections", None)
 
