@@ -30,6 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowmart.llm.blocks import BLOCK, ROW, blocked
 from flowmart.llm.common import WS, stage, table, words_of
 
 MIN_WORDS = 20
@@ -84,18 +85,18 @@ def _repeat_words() -> Column:
     return F.when(n < WINDOW, F.lit(0)).otherwise(_let(windows, count))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """Per document: the base statistics, ``base_failed`` and the vector; with the columns that
-    identify the row (doc_id, lang, source, print)."""
+def statistics(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: the base statistics, ``base_failed`` and the vector, with doc_id, lang, source and
+    the columns in ``carry``."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", "lang", "source", F.xxhash64("doc_id", "lang", "source", "text").alias("print"), text.alias("text"), words_of(F.col("text")).alias("words"))
+    rows = docs.select("doc_id", "lang", "source", *carry, text.alias("text"), words_of(F.col("text")).alias("words"))
     rows = rows.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike("[^" + WS[1:]))
     rows = rows.select(
         "doc_id",
         "lang",
         "source",
-        "print",
+        *carry,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
@@ -196,9 +197,10 @@ def estimates(stats: DataFrame) -> DataFrame:
     return fit.groupBy("g").agg(F.min_by(F.struct(*cols), F.struct("logdet", "start")).alias("e")).select("g", "e.*")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """The statistics of every document with ``distance2`` and ``kept``."""
-    stats = stage(statistics(docs), "quality-stats")
+def judge(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The statistics of every document with ``distance2`` and ``kept``; ``carry``: columns of ``docs`` that
+    go along."""
+    stats = stage(statistics(docs, carry), "quality-stats")
     best = stage(estimates(stats), "quality-estimates")
     joined = stats.join(best, "g", "left")
     joined = joined.withColumn("distance2", _distance2(joined))
@@ -206,10 +208,15 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rejected rows, all columns kept."""
-    bad = judge(docs).where(~F.col("kept")).select(F.col("print").alias("bad_print"), F.col("doc_id").alias("bad_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "lang", "source", "text").alias("print"), "doc_id")
-    return rows.join(bad, (F.col("print") == F.col("bad_print")) & F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti").select("row.*")
+    """``docs`` without the rejected rows, all columns kept.
+
+    The rows are written once, in buckets of numbered blocks. A block gets the list of its rejected
+    row numbers (a block has 2,048 rows at most), so no text is shuffled or sorted."""
+    rows = blocked(docs.select(F.struct("*").alias("row")))
+    rows = rows.select("row", *[F.col(f"row.{c}").alias(c) for c in ("doc_id", "lang", "source", "text")], F.col(BLOCK).alias("in_block"), F.col(ROW).alias("in_row"))
+    bad = judge(rows, ("in_block", "in_row")).where(~F.col("kept")).groupBy("in_block").agg(F.collect_list("in_row").alias("bad"))
+    met = rows.select("row", "in_block", "in_row").join(bad.hint("shuffle_hash"), "in_block", "left")
+    return met.where(F.col("bad").isNull() | ~F.array_contains("bad", F.col("in_row"))).select("row.*")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
