@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmart.llm.common import ship, shuffle_partitions
+from flowmart.llm.common import made, ship, shuffle_partitions
 from flowmart.session import scratch_path
 
 #: Rows per block (a block is what one Python task holds at a time).
@@ -45,4 +45,5 @@ def blocked(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
         .option("compression", "zstd")
         .saveAsTable(name)
     )
+    made(path)
     return spark.table(name)

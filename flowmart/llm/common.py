@@ -7,11 +7,13 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmart.operators.commits import remove
 from flowmart.session import scratch_path
 
 #: ASCII white space as the word rules define it: space and U+0009 to U+000D.
@@ -60,9 +62,38 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     path = scratch_path(spark, name)
     writer = df.write.mode("error")
     (writer.partitionBy(*by) if by else writer).parquet(path)
+    made(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_COLLECTORS: list[list[str]] = []
+
+
+def made(path: str) -> None:
+    """Note a folder that an operator has written for itself."""
+    for paths in _COLLECTORS:
+        paths.append(path)
+
+
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Add the folders that operators write meanwhile to ``paths``."""
+    _COLLECTORS.append(paths)
+    try:
+        yield
+    finally:
+        _COLLECTORS.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str], needed: DataFrame) -> None:
+    """Remove ``paths``, except those that ``needed`` still reads."""
+    read = needed.inputFiles()
+    for path in list(paths):
+        if not any(path in f for f in read):
+            remove(spark, path)
+            paths.remove(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
