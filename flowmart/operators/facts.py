@@ -4,6 +4,8 @@ Each dimension lookup is an equi-join against a small, size-checked dimension; t
 caller passes dimensions already wrapped by ``flowmart.plans.joins.sized`` so they are
 broadcast when their counted size allows it and shuffle-joined otherwise. The fact side
 is never shuffled for a broadcast lookup, and all lookups run in one stage.
+
+The column names of the facts are fixed values (the declared schema).
 """
 
 from __future__ import annotations
