@@ -11,7 +11,8 @@ pipeline runs at a time in an application.
 
 Edge cases: nulls in any column, empty and very long texts, repeated rows and rows without an id go
 through every stage as its operator defines; columns beyond those of ``documents`` are kept up
-to the encoding, whatever their names; an empty table gives an empty result.
+to the encoding (near-dedup and suffix dedup need the names ``__block`` and ``__row`` for
+themselves); an empty table gives an empty result.
 """
 
 from __future__ import annotations
