@@ -8,9 +8,10 @@ level has an array of its own with so many bits and probes that fewer than ``FAL
 of the whole vocabulary are expected to hit falsely after any word. Higher levels are only
 reached by hits; a false one there (about 2 % at 8 bits an entry) doubles a count. The answer is
 bounded by the exact counts of both words. The filter is partitioned: the task that sums a hash
-bucket's counts builds that bucket's segment. Segments are broadcast in shards of at most
-``SHARD_BYTES``, one probing pass per shard, so no broadcast outgrows its bound; a corpus
-with more n-grams takes more shards.
+bucket's counts builds that bucket's segments, each of at most ``SEGMENT_BYTES`` and a range of
+names. They are broadcast in shards of at most ``SHARD_BYTES``, so no broadcast outgrows its bound.
+The blocks' distinct bigrams, held-out ones too, are staged by hash bucket, and a shard probes the
+rows of its own buckets only: all shards together read the names once, and no shard reads a text.
 
 The smoothed probability of a token w after v is
     b * min(found(v, w), c(v), c(w)) / c(v) + (1 - b) * P(w),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
@@ -31,9 +32,9 @@ from __future__ import annotations
 
 import itertools
 import math
+import uuid
 import zlib
 from collections import defaultdict
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.llm.blocks import BLOCK, blocked
-from flowmart.llm.common import arrow_rows, shuffle_partitions, stage, table
+from flowmart.llm.common import arrow_rows, made, shuffle_partitions, stage, table
+from flowmart.session import scratch_path
 
 BLOCK_ROWS = 4096
 HELD_OUT = (5, 1)  # crc32(doc_id) modulo the first is the second: not learned from
@@ -51,6 +53,7 @@ PROBES = 4
 #: Words of the vocabulary that may falsely be found after a word, as expected.
 FALSE_WORDS = 0.1
 SHARD_BYTES = 64 << 20
+SEGMENT_BYTES = 16 << 20
 MAX_LEVEL = 40
 #: Grid of interpolation weights and the magnitudes of c(v) that have one each.
 GRID = np.array([0.0, 0.01, 0.03, 0.07, 0.15, 0.3, 0.5, 0.7, 0.85, 0.95])
@@ -112,11 +115,6 @@ class Tokens:
         self.pair_hash, self.before, self.word = h[order], v[order], w[order]
         return order
 
-    def learned(self) -> np.ndarray:
-        """Distinct training bigrams in hash order; returns how often each occurs."""
-        pair, times = np.unique(self._pairs()[self.learn], return_counts=True)
-        return times[self._hashed(pair)]
-
     def distinct(self) -> np.ndarray:
         """All distinct bigrams in hash order; returns how often each occurs in training texts."""
         pairs = self._pairs()
@@ -174,7 +172,7 @@ WORDS, BIGRAMS = 0, 1
 
 
 def _send(buckets: int):
-    """A block's distinct words (all, with their training counts) and training bigrams."""
+    """A block's distinct words and bigrams, each with its training count (0: only held out)."""
 
     def run(group: pa.Table) -> pa.Table:
         t, block = Tokens(group), group[BLOCK][0].as_py()
@@ -183,7 +181,7 @@ def _send(buckets: int):
         n = np.bincount(t.token[t.learn], minlength=len(h))[t.order]
         for k, a, b in _split(_bucket(h, buckets)):
             rows.append((WORDS, k, block, h[a:b].astype("<u8").tobytes(), _zip(n[a:b].astype("<u4"))))
-        n = t.learned()
+        n = t.distinct()
         h = t.pair_hash
         for k, a, b in _split(_bucket(h, buckets)):
             rows.append((BIGRAMS, k, block, _low6(h[a:b]).tobytes(), _zip(n[a:b].astype("<u4"))))
@@ -234,31 +232,31 @@ def _slots(names: np.ndarray, at_level: int, bits: int, probes: int):
     h = _mix(names + np.uint64(at_level * 0x5851F42D4C957F2D & 0xFFFFFFFFFFFFFFFF))
     step = _mix(h) | np.uint64(1)
     for i in range(probes):
-        yield ((h + np.uint64(i) * step) % np.uint64(bits)).astype(np.int64)
+        yield (((h + np.uint64(i) * step) >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)).astype(np.int64)  # bits < 2**32
 
 
-def build_segment(names: np.ndarray, counts: np.ndarray, vocabulary: int = 1) -> np.ndarray:
-    """One bucket: the probes of level 1 and the size of its bit array (8 bytes each), that array,
-    and the array of all higher levels."""
+def build_segment(names: np.ndarray, counts: np.ndarray, vocabulary: int = 1, bits: int = BITS_PER_ENTRY, probes: int = PROBES) -> np.ndarray:
+    """One range of names: the probes of level 1, the size of its bit array and the probes of all
+    higher levels (8 bytes each), that array, and the array of the higher levels."""
     levels = level(counts)
-    probes = first_probes(vocabulary)
-    first = np.zeros(max(8, math.ceil(len(names) * probes / math.log(2) / 8)), np.uint8)
-    higher = np.zeros(max(8, int((levels - 1).sum()) * BITS_PER_ENTRY // 8), np.uint8)
+    most = first_probes(vocabulary)
+    first = np.zeros(max(8, math.ceil(len(names) * most / math.log(2) / 8)), np.uint8)
+    higher = np.zeros(max(8, int((levels - 1).sum()) * bits // 8), np.uint8)
     for j in range(1, int(levels.max(initial=0)) + 1):
-        out, k = (first, probes) if j == 1 else (higher, PROBES)
+        out, k = (first, most) if j == 1 else (higher, probes)
         for s in _slots(names[levels >= j], j, len(out) * 8, k):
             np.bitwise_or.at(out, s >> 3, (1 << (s & 7)).astype(np.uint8))
-    return np.concatenate([np.array([probes, len(first)], "<i8").view(np.uint8), first, higher])
+    return np.concatenate([np.array([most, len(first), probes], "<i8").view(np.uint8), first, higher])
 
 
 def probe_segment(segment: np.ndarray, names: np.ndarray) -> np.ndarray:
     """The level found for each name: probe level 1, 2, .. until one is missing."""
-    probes, size = (int(x) for x in segment[:16].view("<i8"))
-    first, higher = segment[16 : 16 + size], segment[16 + size :]
+    most, size, probes = (int(x) for x in segment[:24].view("<i8"))
+    first, higher = segment[24 : 24 + size], segment[24 + size :]
     out = np.zeros(len(names), np.int64)
     alive = np.arange(len(names))
     for j in range(1, MAX_LEVEL + 1):
-        bits, k = (first, probes) if j == 1 else (higher, PROBES)
+        bits, k = (first, most) if j == 1 else (higher, probes)
         ok = np.ones(len(alive), bool)
         for s in _slots(names[alive], j, len(bits) * 8, k):
             ok &= (bits[s >> 3] >> (s & 7) & 1).astype(bool)
@@ -269,19 +267,35 @@ def probe_segment(segment: np.ndarray, names: np.ndarray) -> np.ndarray:
     return out
 
 
+def cut_segments(names: np.ndarray, counts: np.ndarray, vocabulary: int, bits: int, room: int) -> list[int]:
+    """Where the sorted names of a bucket are cut so that no segment takes more than ``room`` bytes
+    (but for a single name); a bucket without names has one segment without any."""
+    each = first_probes(vocabulary) / math.log(2) / 8 + (level(counts) - 1) * (bits / 8)
+    piece = (np.cumsum(each) / max(room - 48, 1)).astype(np.int64)  # header, two rounded arrays
+    return [0, *(1 + np.flatnonzero(piece[1:] != piece[:-1])), len(names)]
+
+
 def bounded(found: np.ndarray, before: np.ndarray, word: np.ndarray) -> np.ndarray:
     """A bigram occurs no more often than either of its words."""
     return np.minimum(found, np.minimum(before, word))
 
 
-SEGMENT_DDL = "bucket long, size long, segment binary"
+SEGMENT = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("size", pa.int64()), ("segment", pa.binary())])
+SEGMENT_DDL = "bucket long, low long, high long, size long, segment binary"
+
 
+def _segments(vocabulary: int, bits: int, probes: int, room: int):
+    """The segments of a bucket: each holds the names from ``low`` to ``high`` (48 bits each)."""
 
-def _segment(vocabulary: int):
     def run(group: pa.Table) -> pa.Table:
         names, total, _ = _sum([_from6(x) for x in group["hashes"].to_pylist()], [_unzip(x, "<u4") for x in group["counts"].to_pylist()])
-        s = build_segment(names, total, vocabulary)
-        return pa.table({"bucket": group["bucket"][:1], "size": pa.array([len(s)], pa.int64()), "segment": pa.array([s.tobytes()], pa.binary())})
+        names, total = names[total > 0], total[total > 0]
+        bucket, rows = group["bucket"][0].as_py(), []
+        cuts = cut_segments(names, total, vocabulary, bits, room)
+        for a, b in zip(cuts, cuts[1:]):
+            s = build_segment(names[a:b], total[a:b], vocabulary, bits, probes)
+            rows.append((bucket, int(names[a]) if a else 0, int(names[b]) - 1 if b < len(names) else (1 << 48) - 1, len(s), s.tobytes()))
+        return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SEGMENT)}, schema=SEGMENT)
 
     return run
 
@@ -290,11 +304,14 @@ def _segment(vocabulary: int):
 
 
 def _of_block(rows: pa.Table, column: str, kind: str) -> np.ndarray:
-    """A block's answers in bucket order, which is hash order."""
+    """A block's answers in bucket order, which is hash order. A bucket whose segments went with
+    several shards has an answer from each, which is 0 where it is not the name's."""
     rows = rows.filter(rows[column].is_valid())
-    order = np.argsort(rows["bucket"].to_numpy(), kind="stable")
-    parts = rows[column].to_pylist()
-    return np.concatenate([np.zeros(0, kind), *(_unzip(parts[i], kind) for i in order)])
+    parts: dict[int, np.ndarray] = {}
+    for k, x in zip(rows["bucket"].to_pylist(), rows[column].to_pylist()):
+        x = _unzip(x, kind)
+        parts[k] = parts[k] + x if k in parts else x
+    return np.concatenate([np.zeros(0, kind), *(parts[k] for k in sorted(parts))])
 
 
 def _counts(t: Tokens, answers: pa.Table) -> np.ndarray:
@@ -309,38 +326,47 @@ def _magnitude(c: np.ndarray) -> np.ndarray:
     return np.minimum(level(np.maximum(c, 1)), MAGNITUDES - 1) * (c > 0)
 
 
-LEVELS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("levels", pa.binary()), ("sums", pa.binary())])
-LEVELS_DDL = "block long, bucket long, levels binary, sums binary"
+LEVELS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("levels", pa.binary())])
+LEVELS_DDL = "block long, bucket long, levels binary"
+
 
+def _probe(shard):
+    """Levels of the staged bigrams that fall into the shard's segments."""
 
-def _probe(buckets: int, shard, n: int, v: int):
-    """Levels of the block's distinct bigrams that fall into the shard's buckets; and, for
-    those of training texts, the leave-one-out log likelihood of each grid weight by
-    magnitude of the first word's count (one row with no bucket)."""
+    def rows(batches):
+        segments = shard.value
+        for b in batches:
+            for block, bucket, hashes in zip(b["block"].to_pylist(), b["bucket"].to_pylist(), b["hashes"]):
+                names = _from6(hashes.as_py())
+                levels = np.zeros(len(names), np.uint8)
+                for low, high, segment in segments[bucket]:
+                    here = np.flatnonzero((names >= low) & (names <= high))
+                    levels[here] = probe_segment(np.frombuffer(segment, np.uint8), names[here])
+                yield block, bucket, _zip(levels)
+
+    return rows
+
+
+def _likelihood(n: int, v: int):
+    """The leave-one-out log likelihood of a block's training tokens for each grid weight, by
+    magnitude of the first word's count."""
 
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = []
-        if group.num_rows:
-            t, block, segments = Tokens(group), group[BLOCK][0].as_py(), shard.value
-            times = t.distinct()
-            c = _counts(t, answers)
-            uni = (c + 0.5) / (n + 0.5 * (v + 1))
-            sums = np.zeros((MAGNITUDES, len(GRID)))
-            for k, a, b in _split(_bucket(t.pair_hash, buckets)):
-                if k not in segments:
-                    continue
-                names = _from6(_low6(t.pair_hash[a:b]).tobytes())
-                levels = probe_segment(np.frombuffer(segments[k], np.uint8), names)
-                rows.append((block, k, _zip(levels.astype(np.uint8)), None))
-                at = np.flatnonzero(times[a:b])
-                first, word = c[t.before[a:b][at]], t.word[a:b][at]
-                w = uni[word]
-                rest = np.maximum(bounded(found_count(levels[at]), first, c[word]) - 1, 0) / np.maximum(first - 1, 1)
-                m = _magnitude(first)
-                for g, x in enumerate(GRID):
-                    sums[:, g] += np.bincount(m, times[a:b][at] * np.log10(x * rest + (1 - x) * w), MAGNITUDES)
-            rows.append((block, None, None, sums.astype("<f8").tobytes()))
-        return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(LEVELS)}, schema=LEVELS)
+        if not group.num_rows:
+            return pa.table({"sums": pa.array([], pa.binary())})
+        t = Tokens(group)
+        times = t.distinct()
+        c = _counts(t, answers)
+        at = np.flatnonzero(times)
+        times, first, word = times[at], c[t.before[at]], t.word[at]
+        levels = _of_block(answers, "levels", np.uint8)[at].astype(np.int64)
+        rest = np.maximum(bounded(found_count(levels), first, c[word]) - 1, 0) / np.maximum(first - 1, 1)
+        w = ((c + 0.5) / (n + 0.5 * (v + 1)))[word]
+        m = _magnitude(first)
+        sums = np.zeros((MAGNITUDES, len(GRID)))
+        for g, x in enumerate(GRID):
+            sums[:, g] = np.bincount(m, times * np.log10(x * rest + (1 - x) * w), MAGNITUDES)
+        return pa.table({"sums": pa.array([sums.astype("<f8").tobytes()], pa.binary())})
 
     return run
 
@@ -373,7 +399,7 @@ def _score(n: int, v: int, weights: list[float]):
         c = _counts(t, answers)
         uni = (c + 0.5) / (n + 0.5 * (v + 1))
         levels = _of_block(answers, "levels", np.uint8)
-        found = found_count(levels.astype(np.int64)) if len(levels) else np.zeros(len(t.pair_hash))
+        found = found_count(levels.astype(np.int64))
         first = c[t.before]
         b = np.array(weights)[_magnitude(first)]
         p = np.log10(b * bounded(found, first, c[t.word]) / np.maximum(first, 1) + (1 - b) * uni[t.word])
@@ -385,44 +411,74 @@ def _score(n: int, v: int, weights: list[float]):
     return run
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Train on the documents that are not held out and score all of them."""
+def _filed(sent: DataFrame, buckets: int) -> DataFrame:
+    """What the blocks sent, written once in files by bucket: sums and probes of a bucket read its
+    file only and need no further shuffle."""
+    spark = sent.sparkSession
+    path, name = scratch_path(spark, "lm-counts"), f"flowmart_lm_{uuid.uuid4().hex}"
+    writer = sent.repartition(buckets, "bucket").write.mode("error").partitionBy("kind").bucketBy(buckets, "bucket")
+    writer.option("path", path).option("compression", "zstd").saveAsTable(name)
+    made(path)
+    return spark.table(name)
+
+
+def _shards(sizes: list[tuple], most: int) -> list[list[tuple]]:
+    """Segments (bucket, low, size) in groups of at most ``most`` bytes or one segment."""
+    out: list[list[tuple]] = []
+    room = 0
+    for bucket, low, size in sizes:
+        if not out or size > room:
+            out.append([])
+            room = most
+        out[-1].append((bucket, low))
+        room -= size
+    return out
+
+
+def score_documents(docs: DataFrame, bits: int = BITS_PER_ENTRY, probes: int = PROBES) -> DataFrame:
+    """Train on the documents that are not held out and score all of them. ``bits`` and ``probes``
+    are those of the levels from 2 on."""
     spark = docs.sparkSession
     texts = blocked(docs.select("doc_id", "text"), BLOCK_ROWS)
     buckets = shuffle_partitions(spark)
-    sent = stage(texts.groupBy(BLOCK).applyInArrow(_send(buckets), SENT_DDL), "lm-counts", by=["kind"])
+    sent = _filed(texts.groupBy(BLOCK).applyInArrow(_send(buckets), SENT_DDL), buckets)
     totals = stage(sent.where(F.col("kind") == WORDS).groupBy("bucket").applyInArrow(_word_totals, TOTALS_DDL), "lm-totals")
     n, v = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    counts = answers = totals.where(F.col("block").isNotNull()).select(F.col("block").alias(BLOCK), "bucket", "totals", F.lit(None).cast("binary").alias("levels"))
 
-    segments = stage(sent.where(F.col("kind") == BIGRAMS).groupBy("bucket").applyInArrow(_segment(v), SEGMENT_DDL), "lm-filter")
-    shards: list[list[int]] = []
-    room = 0
-    for bucket, size in segments.select("bucket", "size").orderBy("bucket").collect():  # one number per bucket
-        if not shards or size > room:
-            shards.append([])
-            room = SHARD_BYTES
-        shards[-1].append(bucket)
-        room -= size
-    likelihood: list[DataFrame] = []
-    for ids in shards:
-        rows = segments.where(F.col("bucket").isin(ids)).select("bucket", "segment").collect()  # at most SHARD_BYTES, or one segment
-        shard = spark.sparkContext.broadcast({r["bucket"]: bytes(r["segment"]) for r in rows})
-        del rows
-        probed = texts.groupBy(BLOCK).cogroup(counts.groupBy(BLOCK)).applyInArrow(_probe(buckets, shard, n, v), LEVELS_DDL)
-        probed = stage(probed, "lm-levels")
+    bigrams = sent.where(F.col("kind") == BIGRAMS)
+    segments = stage(bigrams.groupBy("bucket").applyInArrow(_segments(v, bits, probes, SEGMENT_BYTES), SEGMENT_DDL), "lm-filter")
+    sizes = [tuple(r) for r in segments.select("bucket", "low", "size").orderBy("bucket", "low").collect()]  # one row per segment
+    levels_path = scratch_path(spark, "lm-levels")
+    made(levels_path)
+    spark.createDataFrame([], LEVELS_DDL).write.parquet(levels_path)
+    for ids in _shards(sizes, SHARD_BYTES):
+        (b0, low0), (b1, low1) = ids[0], ids[-1]
+        bucket, low = F.col("bucket"), F.col("low")
+        inside = bucket.between(b0, b1) & ((bucket > b0) | (low >= low0)) & ((bucket < b1) | (low <= low1))
+        held: dict[int, list] = {}
+        for r in segments.where(inside).select("bucket", "low", "high", "segment").collect():  # at most SHARD_BYTES
+            held.setdefault(r["bucket"], []).append((r["low"], r["high"], bytes(r["segment"])))
+        shard = spark.sparkContext.broadcast(held)
+        own = bigrams.where(F.col("bucket").isin(list(held))).select("block", "bucket", "hashes")
+        own.mapInArrow(arrow_rows(_probe(shard), LEVELS, 64), LEVELS_DDL).write.mode("append").parquet(levels_path)
+        del held
         shard.unpersist()
-        levels = probed.where(F.col("bucket").isNotNull())
-        answers = answers.unionByName(levels.select(F.col("block").alias(BLOCK), "bucket", F.lit(None).cast("binary").alias("totals"), "levels"))
-        likelihood.append(probed.where(F.col("bucket").isNull()).select("sums"))
+    levels = spark.read.schema(LEVELS_DDL).parquet(levels_path)
+    nothing = F.lit(None).cast("binary")
+    answers = (
+        totals.where(F.col("block").isNotNull())
+        .select(F.col("block").alias(BLOCK), "bucket", "totals", nothing.alias("levels"))
+        .unionByName(levels.select(F.col("block").alias(BLOCK), "bucket", nothing.alias("totals"), "levels"))
+    )
+    both = texts.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK))
 
     best: dict[int, int] = {}
-    if likelihood:
-        sums = reduce(DataFrame.unionByName, likelihood).mapInArrow(arrow_rows(_grid_sums, SUMS), "m int, g int, s double")
+    if sizes:
+        sums = both.applyInArrow(_likelihood(n, v), "sums binary").mapInArrow(arrow_rows(_grid_sums, SUMS), "m int, g int, s double")
         picked = sums.groupBy("m", "g").agg(F.sum("s").alias("s")).groupBy("m").agg(F.max_by("g", F.struct("s", -F.col("g"))))
         best = dict(picked.collect())  # MAGNITUDES rows at most
     weights = [float(GRID[best[m]]) if m and m in best else 0.0 for m in range(MAGNITUDES)]
-    return texts.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK)).applyInArrow(_score(n, v, weights), SCORE_DDL)
+    return both.applyInArrow(_score(n, v, weights), SCORE_DDL)
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,67 @@ def test_lm_shards_do_not_change_scores(spark, monkeypatch):
     assert one == sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 9)) for r in lm_scoring.score_documents(docs).collect())
 
 
+def brute_bigram_scores(data):
+    """Interpolated bigrams with counts rounded down to powers of two, weights by leave-one-out."""
+    held = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 5 == 1
+    docs = [(d, ["<s>", *(t or "").encode().lower().split(), None]) for d, t, *_ in data]
+    c, pairs = Counter(), Counter()
+    for d, ws in docs:
+        if not held(d):
+            c.update(ws[1:])
+            pairs.update(zip(ws, ws[1:]))
+    n, v = sum(c.values()), len(c)
+    c["<s>"] = c[None]
+    uni = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+    found = lambda a, b: min(2 ** (pairs[a, b].bit_length() - 1) if pairs[a, b] else 0, c[a], c[b])
+    sums = {}
+    for (a, b), times in pairs.items():
+        rest = max(found(a, b) - 1, 0) / max(c[a] - 1, 1)
+        for x in lm_scoring.GRID:
+            key = (c[a].bit_length(), float(x))
+            sums[key] = sums.get(key, 0.0) + times * math.log10(x * rest + (1 - x) * uni(b))
+    weight = {m: max((s, -x) for (k, x), s in sums.items() if k == m)[1] * -1 for m in {k for k, _ in sums}}
+    out = []
+    for d, ws in docs:
+        score = 0.0
+        for a, b in zip(ws, ws[1:]):
+            x = weight.get(c[a].bit_length(), 0.0) if c[a] else 0.0
+            score += math.log10(x * found(a, b) / max(c[a], 1) + (1 - x) * uni(b))
+        out.append((str(d), len(ws) - 1, round(score, 6)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("segment_bytes", [lm_scoring.SEGMENT_BYTES, 2000])
+def test_lm_scores_equal_brute_force_bigrams(spark, monkeypatch, segment_bytes):
+    monkeypatch.setattr(lm_scoring, "SEGMENT_BYTES", segment_bytes)
+    data = rows(n=100)
+    got = lm_scoring.score_documents(documents(spark, data), bits=64, probes=16).collect()  # next to no false hits
+    assert sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in got) == brute_bigram_scores(data)
+
+
+def test_lm_segments_keep_their_bound():
+    rng = np.random.default_rng(6)
+    names = np.unique(rng.integers(1, 2**48, 5000, dtype=np.uint64))
+    counts = rng.integers(1, 3000, len(names))
+    cuts = lm_scoring.cut_segments(names, counts, 10_000, 8, 4096)
+    assert cuts[0] == 0 and cuts[-1] == len(names) and all(a < b for a, b in zip(cuts, cuts[1:])) and len(cuts) > 10
+    for a, b in zip(cuts, cuts[1:]):
+        segment = lm_scoring.build_segment(names[a:b], counts[a:b], 10_000)
+        assert len(segment) <= 4096
+        assert (lm_scoring.probe_segment(segment, names[a:b]) >= lm_scoring.level(counts[a:b])).all()
+    assert lm_scoring.cut_segments(names[:0], counts[:0], 1, 8, 4096) == [0, 0]
+
+
+def test_lm_shards_read_each_name_once(spark, monkeypatch):
+    """A shard probes the staged names of its own buckets and no text."""
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 64)
+    probed = []
+    real = lm_scoring._probe
+    monkeypatch.setattr(lm_scoring, "_probe", lambda shard: probed.append(set(shard.value)) or real(shard))
+    lm_scoring.score_documents(documents(spark).select("doc_id", "text"))
+    assert len(probed) > 1 and sum(map(len, probed)) == len(set().union(*probed))
+
+
 def test_lm_empty_and_untrained(spark):
     assert lm_scoring.score_documents(empty(spark)).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
