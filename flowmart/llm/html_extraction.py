@@ -45,16 +45,21 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",),
 BORDERS = frozenset("ul ol dl table select menu body".split())
 #: Containers that set a block apart from the text around it.
 APART = frozenset(f"tag:{t}" for t in ("aside", "button", "footer", "form", "head", "header", "nav"))
+#: What the search for an element to close can meet.
+MARKS = BORDERS.union(*CLOSES.values())
 LETTERS = re.compile(r"[a-z]+")
-MAX_DEPTH = 4000
 
 
 class Leaves(HTMLParser):
-    """Collects leaf blocks: (text, characters inside links, ancestor features)."""
+    """Collects leaf blocks: (text, characters inside links, ancestor features). Open elements are
+    counted by name, so a page may nest as deep as it likes and no look-up walks the stack."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, list[str]]] = []
+        self.open: Counter[str] = Counter()
+        self.near: list[str] = []  # open elements of BLOCK_TAGS
+        self.marks: list[str] = []  # and of MARKS
         self.above: Counter[str] = Counter()
         self.hidden = 0
         self.links = 0
@@ -65,12 +70,16 @@ class Leaves(HTMLParser):
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            near = [t for t, _ in self.stack if t in BLOCK_TAGS]
-            self.blocks.append((text, self.linked, [*self.above, f"in:{near[-1] if near else '-'}"]))
+            self.blocks.append((text, self.linked, [*self.above, f"in:{self.near[-1] if self.near else '-'}"]))
         self.parts, self.linked = [], 0
 
     def _pop(self) -> None:
         tag, features = self.stack.pop()
+        self.open[tag] -= 1
+        if tag in BLOCK_TAGS:
+            self.near.pop()
+        if tag in MARKS:
+            self.marks.pop()
         for f in features:
             self.above[f] -= 1
             if not self.above[f]:
@@ -90,17 +99,16 @@ class Leaves(HTMLParser):
             self.parts.append(" ")
         if tag in BLOCK_TAGS:
             self._end_block()
-            if any(t == "p" for t, _ in self.stack) and tag not in ("html", "body"):
+            if self.open["p"] and tag not in ("html", "body"):
                 self._close("p")
         if tag in CLOSES:
-            for i in range(len(self.stack) - 1, -1, -1):
-                t = self.stack[i][0]
+            for t in reversed(self.marks):
                 if t in CLOSES[tag]:
                     self._close(t)
                     break
                 if t in BORDERS:
                     break
-        if tag in VOID_TAGS or len(self.stack) >= MAX_DEPTH:
+        if tag in VOID_TAGS:
             return
         features = [f"tag:{tag}"] if tag in BLOCK_TAGS else []
         for name, value in attrs:
@@ -113,6 +121,11 @@ class Leaves(HTMLParser):
             features.append("hidden")
         features = list(dict.fromkeys(features))
         self.stack.append((tag, features))
+        self.open[tag] += 1
+        if tag in BLOCK_TAGS:
+            self.near.append(tag)
+        if tag in MARKS:
+            self.marks.append(tag)
         self.above.update(features)
         self.hidden += "hidden" in features
         self.links += tag == "a"
@@ -125,7 +138,7 @@ class Leaves(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK_TAGS:
             self._end_block()
-        if tag not in VOID_TAGS and any(t == tag for t, _ in self.stack):
+        if self.open[tag]:
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
