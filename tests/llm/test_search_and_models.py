@@ -156,6 +156,19 @@ def test_top_k(spark, monkeypatch, spread):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(df32, 20)
 
 
+@pytest.mark.parametrize("sizes", [(1e10, 1e16), (1.0, 1e16), (1e9, 1e9), (1.0, 1e30), (1e30, 1e30), (1e150, 1e300)])
+def test_top_k_is_exact_for_large_components(spark, monkeypatch, sizes):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 20)
+    rng = random.Random(3)
+    data = [(i, [rng.choice((-1, 1)) * rng.random() * sizes[i % 3 == 0] for _ in range(6)]) for i in range(70)]
+    data += [(70 + i, data[3 * i][1]) for i in range(8)] + [(80, [sizes[1]] * 6), (81, [sizes[1], *[0.0] * 5]), (90, [1.7e308] * 6)]
+    usable = [(i, v) for i, v in data if all(math.isfinite(64 * x) for x in v)]
+    vectors = topk.integer_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    got = topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 12).collect()
+    clip = lambda x: max(-(2**63), min(2**63 - 1, x))
+    assert sorted(tuple(r) for r in got) == [(q, r, i, clip(s)) for q, r, i, s in brute_top(usable, 12)]
+
+
 def test_top_k_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     few = topk.integer_vectors(spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], schema))
@@ -201,6 +214,18 @@ def test_formulas_and_fallback_text_reach_the_model():
         assert [b[0] for b in html_extraction.leaf_blocks(f"<article><p>One <{tag}>two</{tag}> three.</p></article>")] == ["One three."], tag
 
 
+@pytest.mark.parametrize("tag", ["span", "b", "font", "div", "td"])
+def test_depth_has_no_limit(spark, tag):
+    """Menu and script after thousands of open elements stay what they are."""
+    said = "This is the first sentence of the article, which is long enough. And this is its second one, with a comma."
+    rest = f'<nav><ul><li><a href="/a">menu entry</a></li></ul></nav><script>var hidden = 1;</script><article><p>{said}</p></article><footer>&copy; here</footer>'
+    blocks = html_extraction.leaf_blocks("<html><body>" + f"<{tag}>" * 5000 + rest + "</body></html>")
+    assert [b[0] for b in blocks] == ["menu entry", said, "© here"]
+    assert ["tag:nav" in b[2] for b in blocks] == [True, False, False] and "tag:footer" in blocks[2][2]
+    page = spark.createDataFrame([(1, "u", "<html><body>" + f"<{tag}>" * 5000 + rest)], "page_id long, url string, html string")
+    assert html_extraction.extract(page).first()["text"] == said
+
+
 def test_extraction(spark):
     article = "<article><h1>A  title</h1><p><b>One &amp; two,\n three.<br><p>Be.</p><p>Caf&eacute; &#8364; &am</p></article>"
     page = f'<html><head><title>x</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">menu</a></li></ul></nav><!-- c --><div class="ad">Buy now this.</div>{article}<footer>&copy; here</footer></body></html>'
