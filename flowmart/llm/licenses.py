@@ -164,7 +164,7 @@ def scan(docs: DataFrame) -> DataFrame:
         F.array_max(places).alias("last_word"),
         joined(base_labels).alias("base_labels"),
         joined(F.concat(base_labels, own)).alias("labels"),
-        F.greatest(score, F.when(F.size(places) > 0, F.lit(MIN_SHARE)).otherwise(F.lit(0.0))).alias("score"),
+        F.least(F.lit(1.0), F.greatest(score, F.when(F.size(places) > 0, F.lit(MIN_SHARE)).otherwise(F.lit(0.0)))).alias("score"),  # sums round
     )
 
 
