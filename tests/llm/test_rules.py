@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -53,6 +55,43 @@ def test_mix_meets_its_targets(spark, sources):
     assert sorted(got, key=key) == sorted(again, key=key)
 
 
+def brute_taken(data, target, sizes):
+    """Every word by its virtual finish time, cut at the budget."""
+    queues, words = defaultdict(list), []
+    for i, (d, t, _, s, _) in enumerate(data):
+        queues[s].append((hashlib.md5(str(d).encode()).hexdigest(), d, i))
+    for s, queue in queues.items():
+        at = 0
+        for _ in range(2):
+            for _, _, i in sorted(queue):
+                for _ in WORD.findall(data[i][1] or ""):
+                    at += 1
+                    words.append((at / target[s], str(s), i))
+    taken = Counter(i for *_, i in sorted(words)[: sum(math.floor(target[s]) for s in sizes)])
+    return {d: taken[i] for i, (d, *_) in enumerate(data)}
+
+
+@pytest.mark.parametrize("sources", [2, 7])
+def test_one_cut_of_all_words_in_the_order_of_finish_times(spark, sources):
+    rng = random.Random(40 + sources)
+    lengths = (0, 1, 3, 60, 60, 900)
+    data = [(i, " ".join(["w"] * rng.choice(lengths)), "en", f"s{int(rng.random() ** 3 * sources)}", 0) for i in range(120)]
+    sizes = Counter()
+    for _, t, _, s, _ in data:
+        sizes[s] += len(WORD.findall(t))
+    sizes = {s: n for s, n in sizes.items() if n}
+    data = [r for r in data if r[3] in sizes]
+    want = brute_taken(data, brute_targets(sizes), sizes)
+    docs = documents(spark, data)
+    assert {r["doc_id"]: r["taken"] for r in mixing.shares_taken(docs).collect()} == want
+    # the ranges tell where the running total of all sources reaches the budget
+    narrow = mixing.sizes_of(docs)
+    ranges = mixing.range_totals(mixing.served(narrow, narrow)).collect()
+    assert sum(r["words"] for r in ranges) == 2 * sum(sizes.values())
+    assert sum(r["words"] for r in ranges if r["range"] <= mixing.RANGES) == ranges[0]["budget"] == sum(want.values())
+    assert max(r["range"] for r in ranges) > mixing.RANGES
+
+
 def test_mix_edge_cases(spark):
     got = mixing.shares_taken(documents(spark)).collect()
     assert len(got) == len(rows()) and all(r["taken"] == 0 for r in got if not r["size"])
