@@ -227,6 +227,69 @@ def test_licences(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def brute_labels(texts):
+    """Labels and best share per text, every template tried at every start."""
+    files = [re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(PLAIN)) for t in texts]
+    idf = {w: math.log((len(files) + 1) / (sum(w in f for f in files) + 1)) + 1 for w in licenses.VOCABULARY}
+    out = []
+    for f in files:
+        labels, best = set(), 0.0
+        for t in licenses.INDEX:
+            total = sum(idf[w] for w in t.words if w)
+            for start in range(-max(t.key), len(f)):
+                at = lambda i: f[i] if 0 <= i < len(f) else None  # noqa: E731, B023
+                if not all(at(start + k) == w for k, w in t.key.items()):
+                    continue
+                places = set()
+                for i, w in enumerate(f):
+                    near = sorted((abs(k - i + start), k) for k in range(i - start - t.drift, i - start + t.drift + 1) if 0 <= k < len(t.words) and t.words[k] == w)
+                    places |= {k for _, k in near[:1]}
+                share = sum(idf[t.words[k]] for k in places) / total
+                if share >= t.need - 1e-9:
+                    labels.add(t.label)
+                    best = max(best, share)
+        out.append((labels, best))
+    return out
+
+
+def test_licence_labels_against_every_template_at_every_start(spark):
+    assert all(set(i for i, w in enumerate(t.words) if w) > set(t.key) for t in licenses.INDEX), "no template is its key phrase alone"
+    rng = random.Random(8)
+    texts = [
+        "All rights reserved.",
+        "not under the isc license at all",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted. All rights reserved.",
+        "Licensed under CC BY-NC 4.0.",
+        "we looked at the BSD license, the Mozilla Public License and what is proprietary and confidential",
+        "",
+        None,
+    ]
+    exact = len(texts)
+    whole = [(label, text) for label, _, text in licenses.TEXTS]
+    texts += [prose(rng, 15) + "\n" + t + "\n" + prose(rng, 5) for _, t in whole]
+    altered = len(texts)
+    for _, t in whole:  # a few words changed, three put in
+        w = t.split()
+        for _ in range(len(w) // 25):
+            w[rng.randrange(len(w))] = "altered" if rng.random() < 0.3 else "Zz"
+        w[len(w) // 2 : len(w) // 2] = ["(c)", "2020", "somebody"]
+        texts.append(" ".join(w))
+    for _, t in whole:  # words in another order, and halves
+        w = t.split()
+        texts += [" ".join(w[: len(w) // 2]), " ".join(w[len(w) // 2 :]), " ".join(rng.sample(w, len(w)))]
+    texts += [" ".join(rng.choice(licenses.VOCABULARY) for _ in range(60)) for _ in range(10)]
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])).collect()}
+    for i, (labels, best) in enumerate(brute_labels(texts)):
+        r = got[i]
+        base = set(filter(None, r["base_labels"].split(",")))
+        assert set(filter(None, r["labels"].split(","))) == labels | base, texts[i]
+        assert r["score"] == pytest.approx(min(1.0, max(best, licenses.BASE_SCORE if base else 0.0))), texts[i]
+    assert [got[i]["labels"] for i in range(exact)] == ["", "", "bsd", "cc", "", "", ""]
+    for k, (label, _) in enumerate(whole):
+        assert label in got[exact + k]["labels"].split(",") and got[exact + k]["score"] == pytest.approx(1.0)
+    assert sum(whole[k][0] in got[altered + k]["labels"].split(",") for k in range(len(whole))) >= len(whole) - 2
+
+
 def test_no_python_in_native_plans(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
     for df in (mixing.shares_taken(docs), mixing.mix(docs), licenses.scan(docs), quality.judge(docs).where(F.col("kept"))):
