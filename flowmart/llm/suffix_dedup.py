@@ -4,7 +4,8 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in
 a smaller ``doc_id``. Suffixes are sorted to that depth: prefix polynomial hashes give
 the hash of any substring, a binary search on them finds the common extension of two
 suffixes, so a comparison costs log(LENGTH) hash look-ups; a merge sort with that comparison
-brings equal strings together, and equal neighbours are verified byte by byte.
+brings equal strings together, and the order of neighbours is verified byte by byte. Where two
+different strings share a hash, the strings concerned are grouped by their bytes instead.
 
 To sort only what can matter, each window of LENGTH bytes is filed under its *anchor*: its
 leftmost minimal ``GRAM``-byte substring by hash. Equal windows have equal anchors at equal
@@ -148,7 +149,7 @@ assert REACH == 31  # the doubling above covers 16 + 15 places
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)
+    return ((h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _name(h: np.ndarray) -> np.ndarray:
@@ -266,6 +267,12 @@ class Stretches:
             for out, x in zip(found, (of, place, first, last, row, whole)):
                 out.append(x[at])
         self.bucket, self.place, self.first, self.last, self.row, whole = map(np.concatenate, found)
+        self._group(texts, whole)
+        if not self._verified(texts):  # two strings share a hash: by their bytes instead
+            self._group(texts, _byte_ids(texts.data, self.first, self.last - self.first + LENGTH))
+        self.cuts = np.searchsorted(self.bucket[self.one], np.arange(buckets + 1))
+
+    def _group(self, texts: Texts, whole: np.ndarray) -> None:
         order = np.lexsort((whole, self.bucket))
         new = np.append(True, (whole[order][1:] != whole[order][:-1]) | (self.bucket[order][1:] != self.bucket[order][:-1]))[: len(order)]
         starts = np.flatnonzero(new)
@@ -273,22 +280,28 @@ class Stretches:
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
         self.docs = np.minimum.reduceat(texts.doc[self.row][order], starts) if len(order) else np.zeros(0, np.int64)
-        self.cuts = np.searchsorted(self.bucket[self.one], np.arange(buckets + 1))
 
-    def verify(self, texts: Texts) -> None:
-        """Occurrences that share a hash must have the same bytes."""
+    def _verified(self, texts: Texts) -> bool:
+        """Whether occurrences that share a hash have the same bytes."""
         one = self.one[self.which]
         more = np.flatnonzero(one != np.arange(len(one)))
         for a in range(0, len(more), 1 << 15):
             i, j = more[a : a + (1 << 15)], one[more[a : a + (1 << 15)]]
             size = self.last[i] - self.first[i] + LENGTH
-            _same(size, self.last[j] - self.first[j] + LENGTH)
-            _same(texts.data[_ranges(self.first[i], size)], texts.data[_ranges(self.first[j], size)])
+            if not _same(texts.data, self.first[i], size, self.first[j], self.last[j] - self.first[j] + LENGTH):
+                return False
+        return True
+
+
+def _same(data: np.ndarray, i: np.ndarray, i_size: np.ndarray, j: np.ndarray, j_size: np.ndarray) -> bool:
+    """Whether the strings at ``i`` are, byte by byte, those at ``j``."""
+    return np.array_equal(i_size, j_size) and np.array_equal(data[_ranges(i, i_size)], data[_ranges(j, j_size)])
 
 
-def _same(a: np.ndarray, b: np.ndarray) -> None:
-    if not np.array_equal(a, b):
-        raise ArithmeticError("two different strings share a 64-bit hash; change the hash seed")
+def _byte_ids(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each string: the same for equal bytes, and no other."""
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(data[b : b + n].tobytes(), len(seen)) for b, n in zip(begin.tolist(), size.tolist())], np.uint64)
 
 
 def _shared_of(rows: pa.Table) -> dict[int, bytes]:
@@ -302,7 +315,6 @@ def _stretches(buckets: int):
             block = group[BLOCK][0].as_py()
             texts = Texts(group)
             s = Stretches(texts, _shared_of(shared), buckets)
-            s.verify(texts)
             for k, (a, b) in enumerate(zip(s.cuts, s.cuts[1:])):
                 if a < b:
                     one = s.one[a:b]
@@ -373,6 +385,17 @@ def suffix_sort(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, grou
     return order
 
 
+def _distinct(whole: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, one, which): the order by ``gram`` and ``whole``, one of each distinct pair, and the pair
+    of each element."""
+    order = np.lexsort((whole, gram))
+    w, g = whole[order], gram[order]
+    new = np.append(True, (w[1:] != w[:-1]) | (g[1:] != g[:-1]))[: len(w)]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order, order[new], which
+
+
 def smallest_holders(data: np.ndarray, size: np.ndarray, place: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """For stretches that lie one after the other in ``data`` (``place``: the anchor inside
     each, ``docs``: a document that holds it): the smallest document that holds each of their
@@ -387,19 +410,14 @@ def smallest_holders(data: np.ndarray, size: np.ndarray, place: np.ndarray, docs
             whole[a:b] = hashes.at(at, size[a:b]) ^ size[a:b].astype(np.uint64)
             gram[a:b] = hashes.at(at + place[a:b], GRAM)
     # Equal stretches of several blocks are one; groups share the anchor's bytes.
-    order = np.lexsort((whole, gram))
-    w, g = whole[order], gram[order]
-    new = np.append(True, (w[1:] != w[:-1]) | (g[1:] != g[:-1]))[: len(w)]
-    starts = np.flatnonzero(new)
-    one = order[starts]
-    which = np.empty(len(order), np.int64)
-    which[order] = np.cumsum(new) - 1
-    least_doc = np.minimum.reduceat(docs[order], starts)
+    order, one, which = _distinct(whole, gram)
     for a in range(0, len(order), 1 << 15):
         i, j = order[a : a + (1 << 15)], one[which[order[a : a + (1 << 15)]]]
         i, j = i[i != j], j[i != j]
-        _same(size[i], size[j])
-        _same(data[_ranges(begin[i], size[i])], data[_ranges(begin[j], size[j])])
+        if not _same(data, begin[i], size[i], begin[j], size[j]):  # two strings share a hash: by their bytes instead
+            order, one, which = _distinct(_byte_ids(data, begin, size), gram)
+            break
+    least_doc = np.minimum.reduceat(docs[order], np.searchsorted(which[order], np.arange(len(one))))
 
     count = size[one] - LENGTH + 1
     offset = np.cumsum(count) - count
@@ -425,6 +443,21 @@ def smallest_holders(data: np.ndarray, size: np.ndarray, place: np.ndarray, docs
     return out[_ranges(offset[which], mine)]
 
 
+def _sorted_bytes(text: np.ndarray, starts: np.ndarray, pairs: np.ndarray, same: np.ndarray) -> bool:
+    """Whether each window of ``pairs`` is, byte by byte, equal to the one before it if ``same`` says so
+    and greater if not."""
+    span = np.arange(LENGTH)
+    for a in range(0, len(pairs), 1 << 16):
+        q = pairs[a : a + (1 << 16)]
+        x, y = text[starts[q - 1][:, None] + span], text[starts[q][:, None] + span]
+        differ = x != y
+        at = differ.argmax(axis=1)[:, None]
+        less = np.take_along_axis(x, at, 1) < np.take_along_axis(y, at, 1)
+        if not np.array_equal(np.where(same[q], ~differ.any(axis=1), less[:, 0]), np.ones(len(q), bool)):
+            return False
+    return True
+
+
 def _sorted_windows(data, begin, size, place, group, docs) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """((stretch, window), smallest document) for the windows of stretches of some groups."""
     text = data[_ranges(begin, size)]
@@ -448,14 +481,15 @@ def _sorted_windows(data, begin, size, place, group, docs) -> tuple[tuple[np.nda
     by = np.lexsort((which, key))
     starts, key, which, inner = starts[by], key[by], which[by], inner[by]
     order = suffix_sort(text, hashes, starts, key)
-    starts, which, inner = starts[order], which[order], inner[order]
     near = np.flatnonzero(key[1:] == key[:-1])
     same = np.zeros(len(starts), bool)  # equal to the one before
-    same[near + 1] = hashes.at(starts[near], LENGTH) == hashes.at(starts[near + 1], LENGTH)
-    pairs = np.flatnonzero(same)
-    for a in range(0, len(pairs), 1 << 16):  # collision verification
-        q, span = pairs[a : a + (1 << 16)], np.arange(LENGTH)
-        _same(text[starts[q][:, None] + span], text[starts[q - 1][:, None] + span])
+    same[near + 1] = hashes.at(starts[order[near]], LENGTH) == hashes.at(starts[order[near + 1]], LENGTH)
+    whole = np.bincount(order, minlength=len(order)).max() == 1
+    if not whole or not _sorted_bytes(text, starts[order], near + 1, same):  # some strings share a hash: by their bytes instead
+        ids = _byte_ids(text, starts, np.full(len(starts), LENGTH))
+        order = np.lexsort((ids, key))
+        same[1:] = (key[1:] == key[:-1]) & (ids[order[1:]] == ids[order[:-1]])
+    which, inner = which[order], inner[order]
     first = np.flatnonzero(~same)
     least = np.repeat(np.minimum.reduceat(docs[which], first), np.diff(np.append(first, len(which))))
     return (which, inner), least

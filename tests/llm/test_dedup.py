@@ -6,9 +6,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
 
 from flowmart.llm import minhash_dedup, suffix_dedup
-from flowmart.llm.blocks import blocked
+from flowmart.llm.blocks import BLOCK, blocked
 from flowmart.llm.components import components
 from tests.llm.helpers import VOCAB, documents, empty, prose, rows
 
@@ -140,6 +143,44 @@ def test_repetitive_bytes(spark):
     assert sorted(got, key=str) == sorted((r[:5] for r in brute_removed(data)), key=str)
 
 
+def digests_of_blocks(data, buckets):
+    """The passes of the operator over two blocks of rows, one after the other."""
+    cut = len(data) // 2
+    blocks = [
+        pa.table({BLOCK: pa.array([i] * len(part), pa.int64()), "doc_id": pa.array([r[0] for r in part], pa.int64()), "text": pa.array([r[1] for r in part])})
+        for i, part in enumerate((data[:cut], data[cut:]))
+    ]
+
+    def by(rows, name, fn):
+        return pa.concat_tables([fn(rows.filter(pc.equal(rows[name], v))) for v in pc.unique(rows[name]).to_pylist()])
+
+    seen = pa.concat_tables([suffix_dedup._seen(buckets)(b) for b in blocks])
+    assert max(pc.unique(seen["bucket"]).to_pylist()) >= min(buckets - 1, 66_000)
+    shared = by(seen, "bucket", suffix_dedup._shared)
+    of = lambda rows, i: rows.filter(pc.equal(rows["block"], i))
+    stretches = pa.concat_tables([suffix_dedup._stretches(buckets)(b, of(shared, i)) for i, b in enumerate(blocks)])
+    holders = by(stretches, "bucket", suffix_dedup._holders)
+    out = []
+    for i, b in enumerate(blocks):
+        s, h = of(shared, i), of(holders, i)
+        verdicts = pa.concat_tables([s.append_column("holders", pa.nulls(len(s), pa.binary())), h.append_column("names", pa.nulls(len(h), pa.binary())).select(["block", "bucket", "names", "holders"])])
+        out += [tuple(r.values()) for r in suffix_dedup._digests(buckets)(b, verdicts).to_pylist()]
+    return out
+
+
+@pytest.mark.parametrize("buckets", [8, 200_000])
+@pytest.mark.parametrize("bits", [64, 6])
+def test_hash_collisions_and_many_buckets(monkeypatch, buckets, bits):
+    at = suffix_dedup.PrefixHashes.at
+    if bits < 64:
+        monkeypatch.setattr(suffix_dedup.PrefixHashes, "at", lambda self, i, n: suffix_dedup._mixed(at(self, i, n)) >> np.uint64(64 - bits))
+    rng = random.Random(31)
+    passage = prose(rng, 60)
+    data = [r[:2] for r in rows()] + [(500 + i, prose(rng, 20) + passage[i : 200 - i] + prose(rng, 20)) for i in range(20)] + [(600, "\0" * 300), (601, "\0" * 250)]
+    rng.shuffle(data)
+    assert sorted(digests_of_blocks(data, buckets), key=str) == sorted((r[:5] for r in brute_removed(data)), key=str)
+
+
 def test_drop_repeats_keeps_rows_and_columns(spark):
     out = suffix_dedup.drop_repeats(documents(spark))
     assert out.columns == documents(spark).columns
