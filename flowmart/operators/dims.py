@@ -52,26 +52,45 @@ def _member(kind: str, name: Column | None = None, name2: Column | None = None,
     return s if when is None else F.when(when, s)
 
 
+def _facet(facet: str, num: Column, names: list[str]) -> Column:
+    """A part of a staging row that some kinds of members follow from; its other names are null."""
+    return F.struct(F.lit(facet).alias("facet"), num.cast("bigint").alias("num"),
+                    *[(F.col(n) if n in names else F.lit(None).cast("string")).alias(n) for n in _FACET_NAMES])
+
+
+_FACET_NAMES = ("service", "proto", "state", "attack_cat")
+
+
 def dimension_members(stg: DataFrame) -> DataFrame:
     """One scan of clean staging -> distinct members of every small dimension.
 
-    ``attr`` keeps the smallest companion value (first-seen attribute made deterministic).
+    A row is cut into facets (its names and label, its two ports with their service, its hour), which
+    are made distinct by hash in the scan's own stage; members are listed from distinct facets.
+    ``attr`` keeps the smallest companion value (first-seen attribute made deterministic): a
+    minimum of strings sorts its input, so it runs over distinct rows only.
     """
     c = F.col
     label_flag = F.when(c("label") == 1, F.lit(1)).when(c("label").isNotNull(), F.lit(0))
+    facets = F.array(
+        _facet("names", label_flag, list(_FACET_NAMES)),
+        _facet(M_PORT, c("sport"), ["service"]),
+        _facet(M_PORT, c("dsport"), ["service"]),
+        _facet(M_HOUR, cal.hour_start(c("stime")), []),
+    )
+    seen = stg.select(F.explode(facets).alias("f")).select("f.*").distinct()
+    names, num = c("facet") == "names", c("num")
     members = F.array(
-        _member(M_SERVICE, name=c("service"), attr=c("proto"), when=c("service").isNotNull()),
-        _member(M_PROTO, name=c("proto"), when=c("proto").isNotNull()),
-        _member(M_STATE, name=c("state"), when=c("state").isNotNull()),
-        _member(M_PORT, num=c("sport"), attr=c("service"), when=c("sport").isNotNull()),
-        _member(M_PORT, num=c("dsport"), attr=c("service"), when=c("dsport").isNotNull()),
-        _member(M_ATTACK_CAT, name=c("attack_cat"), when=c("attack_cat").isNotNull()),
-        _member(M_HOUR, num=cal.hour_start(c("stime")), when=c("stime").isNotNull()),
-        _member(M_PROTO_STATE, name=c("proto"), name2=c("state"), when=c("proto").isNotNull()),
-        _member(M_ATTACK_FLAG, name=c("attack_cat"), num=label_flag),
+        _member(M_SERVICE, name=c("service"), attr=c("proto"), when=names & c("service").isNotNull()),
+        _member(M_PROTO, name=c("proto"), when=names & c("proto").isNotNull()),
+        _member(M_STATE, name=c("state"), when=names & c("state").isNotNull()),
+        _member(M_PORT, num=num, attr=c("service"), when=(c("facet") == M_PORT) & num.isNotNull()),
+        _member(M_ATTACK_CAT, name=c("attack_cat"), when=names & c("attack_cat").isNotNull()),
+        _member(M_HOUR, num=num, when=(c("facet") == M_HOUR) & num.isNotNull()),
+        _member(M_PROTO_STATE, name=c("proto"), name2=c("state"), when=names & c("proto").isNotNull()),
+        _member(M_ATTACK_FLAG, name=c("attack_cat"), num=num, when=names),
     )
     return (
-        stg.select(F.explode(members).alias("m"))
+        seen.select(F.explode(members).alias("m"))
         .filter(F.col("m").isNotNull())
         .select("m.*")
         .groupBy(*MEMBER_KEY)

@@ -2,6 +2,8 @@
 
 Build (``Mart.build``), per generation:
 
+0. staging is written, typed: later scans read its columns, in splits of bounded size, instead of
+   deriving them for every rule and lookup again;
 1. one scan of clean staging -> ``members`` (distinct natural keys of every small
    dimension, map-side combined, numbered by ranges) -> written;
 2. one grouped count of ``members`` bounds the size of every dimension (the bound is what
@@ -253,6 +255,8 @@ class Mart:
             if self.built:
                 return self
             self.audit.fail_orphans()
+            self.raw = write_table(self.raw, f"{self.root}/staging")
+            self.stg = valid_rows(self.raw)
             self.audit.run("RAW", self._load_dimensions)
             self.audit.run("RAW", self._load_facts)
             self.built = True

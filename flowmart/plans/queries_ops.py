@@ -18,7 +18,7 @@ from flowmart.operators import validation as V
 from flowmart.operators.facts import g1_valid_connections
 from flowmart.plans import queries_g1 as G1
 from flowmart.operators.sinks import RangePartitions
-from flowmart.operators.tables import write_table
+from flowmart.operators.tables import distinct_rows, write_table
 from flowmart.operators.temporal import resolve_as_of
 from flowmart.plans import queries_g2 as G2
 from flowmart.plans.batches import BatchedMart
@@ -118,7 +118,7 @@ def s14_merge_ports(m: Mart) -> DataFrame:
     into the port dimension; existing rows win, new ports get the next ids in port order."""
     existing = m["dim_port"].select("port_id", "port_number", "range_type", "default_service")
     ends = F.explode(F.array(*[F.struct(F.col(c).alias("port_number"), "service") for c in ("sport", "dsport")])).alias("e")
-    seen = m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0)  # port 0 is the default member
+    seen = distinct_rows(m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0))  # port 0 is the default member
     new = seen.groupBy("port_number").agg(F.min("service").alias("service")).select(
         "port_number", port_range(F.col("port_number")).alias("range_type"), F.coalesce("service", F.lit(UNKNOWN)).alias("default_service")
     )
@@ -412,9 +412,8 @@ def d10_scd2_service(m: Mart) -> DataFrame:
     the largest one seen (instead of the smallest) is merged as of 2024-03-01: changed
     services get a closed version 1 and an open version 2."""
     members = m["members"].filter(F.col("dim") == D.M_SERVICE).select("name")
-    latest_proto = m.stg.filter(F.col("service").isNotNull()).groupBy(F.col("service").alias("name")).agg(
-        F.max("proto").alias("protocol")
-    )
+    pairs = distinct_rows(m.stg.filter(F.col("service").isNotNull()).select(F.col("service").alias("name"), "proto"))
+    latest_proto = pairs.groupBy("name").agg(F.max("proto").alias("protocol"))
     snapshot = members.join(latest_proto, "name")
     merged = scd.scd2_merge(m["dim_service"], snapshot, "name", ["protocol"], SCD_AS_OF)
     return merged.select(
@@ -427,7 +426,8 @@ def _port_history(m: Mart) -> DataFrame:
     """The port dimension after a snapshot taken from raw staging in which each port's default service
     is the largest one seen; ports without a row are created with the next ids."""
     ends = F.explode(F.array(*[F.struct(F.col(c).alias("port_number"), "service") for c in ("sport", "dsport")])).alias("e")
-    snapshot = m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0).groupBy("port_number").agg(F.max("service").alias("s"))
+    seen = distinct_rows(m.raw.select(ends).select("e.*").filter(F.col("port_number") != 0))
+    snapshot = seen.groupBy("port_number").agg(F.max("service").alias("s"))
     snapshot = snapshot.select("port_number", F.coalesce("s", F.lit(UNKNOWN)).alias("default_service"))
     old = m["dim_port"].filter(F.col("port_number") % 10 != 9)  # so that there are new members
     return scd.scd2_merge(old, snapshot, "port_number", ["default_service"], SCD_AS_OF, id_col="port_id")
@@ -479,7 +479,8 @@ HISTORY = [
 
 def _service_history(m: Mart) -> DataFrame:
     """Up to three versions of a service; ssh is only created by the first snapshot."""
-    seen = m.stg.filter(F.col("service").isNotNull()).groupBy(F.col("service").alias("name")).agg(F.min("proto").alias("lo"), F.max("proto").alias("hi"))
+    pairs = distinct_rows(m.stg.filter(F.col("service").isNotNull()).select(F.col("service").alias("name"), "proto"))
+    seen = pairs.groupBy("name").agg(F.min("proto").alias("lo"), F.max("proto").alias("hi"))
     dim = m["dim_service"].filter("name <> 'ssh'")
     for as_of, protocol in HISTORY:
         dim = scd.scd2_merge(dim, seen.select("name", F.expr(protocol).alias("protocol")).filter("protocol is not null"), "name", ["protocol"], as_of, id_col="service_id")

@@ -18,6 +18,8 @@ BASE_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 MONTH_SHIFT = 2678400  # 31 days in seconds
 ATTACK_CATEGORIES = ["Fuzzers", "Analysis", "Backdoors", "DoS", "Exploits", "Generic", "Reconnaissance", "Shellcode", "Worms"]
 PROTOCOLS = ["tcp", "udp", "tcp", "icmp", "arp"]
+#: Rows of one task; at most so many tasks (a shuffle into up to 200 sorts and buffers no rows).
+ROWS_PER_TASK, MAX_TASKS = 100_000, 200
 STATES = ["CON", "INT", "ACC", "CLO", "FIN", None, "REQ"]
 
 
@@ -88,6 +90,16 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly over tasks by their place in the file. A parquet file is only split
+    between row groups, so a large group would otherwise be one task's work."""
+    tasks = min(MAX_TASKS, -(-rows.count() // ROWS_PER_TASK))
+    if tasks <= 1:
+        return rows
+    return rows.withColumn("_row", F.monotonically_increasing_id()).repartition(tasks, "_row").drop("_row")
+
+
 def staging_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full 49-column staging view of the fixture (rule-breaking rows included)."""
-    return conform(raw_connections(read_events(spark, sf_dir)))
+    events = read_events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value")
+    return conform(raw_connections(spread(events)))
