@@ -9,9 +9,9 @@ of the whole vocabulary are expected to hit falsely after any word. Higher level
 reached by hits; a false one there (about 2 % at 8 bits an entry) doubles a count. The answer is
 bounded by the exact counts of both words. The filter is partitioned: the task that sums a hash
 bucket's counts builds that bucket's segments, each of at most ``SEGMENT_BYTES`` and a range of
-names. They are broadcast in shards of at most ``SHARD_BYTES``, so no broadcast outgrows its bound.
-The blocks' distinct bigrams, held-out ones too, are staged by hash bucket, and a shard probes the
-rows of its own buckets only: all shards together read the names once, and no shard reads a text.
+names. The blocks' distinct bigrams, held-out ones too, are staged by hash bucket and meet their
+bucket's segments in a task of their own, so that no segment passes the driver. A bucket whose segments
+exceed ``SHARD_BYTES`` is probed in several rounds, one shard of its segments in each.
 
 The smoothed probability of a token w after v is
     b * min(found(v, w), c(v), c(w)) / c(v) + (1 - b) * P(w),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
@@ -280,21 +280,26 @@ def bounded(found: np.ndarray, before: np.ndarray, word: np.ndarray) -> np.ndarr
     return np.minimum(found, np.minimum(before, word))
 
 
-SEGMENT = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("size", pa.int64()), ("segment", pa.binary())])
-SEGMENT_DDL = "bucket long, low long, high long, size long, segment binary"
+SEGMENT = pa.schema([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("shard", pa.int64()), ("segment", pa.binary())])
+SEGMENT_DDL = "bucket long, low long, high long, shard long, segment binary"
 
 
-def _segments(vocabulary: int, bits: int, probes: int, room: int):
-    """The segments of a bucket: each holds the names from ``low`` to ``high`` (48 bits each)."""
+def _segments(vocabulary: int, bits: int, probes: int, room: int, most: int):
+    """The segments of a bucket: each holds the names from ``low`` to ``high`` (48 bits each). A shard
+    of them takes at most ``most`` bytes or is one segment."""
 
     def run(group: pa.Table) -> pa.Table:
         names, total, _ = _sum([_from6(x) for x in group["hashes"].to_pylist()], [_unzip(x, "<u4") for x in group["counts"].to_pylist()])
         names, total = names[total > 0], total[total > 0]
         bucket, rows = group["bucket"][0].as_py(), []
         cuts = cut_segments(names, total, vocabulary, bits, room)
+        shard, left = -1, 0
         for a, b in zip(cuts, cuts[1:]):
             s = build_segment(names[a:b], total[a:b], vocabulary, bits, probes)
-            rows.append((bucket, int(names[a]) if a else 0, int(names[b]) - 1 if b < len(names) else (1 << 48) - 1, len(s), s.tobytes()))
+            if shard < 0 or len(s) > left:
+                shard, left = shard + 1, most
+            left -= len(s)
+            rows.append((bucket, int(names[a]) if a else 0, int(names[b]) - 1 if b < len(names) else (1 << 48) - 1, shard, s.tobytes()))
         return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SEGMENT)}, schema=SEGMENT)
 
     return run
@@ -304,7 +309,7 @@ def _segments(vocabulary: int, bits: int, probes: int, room: int):
 
 
 def _of_block(rows: pa.Table, column: str, kind: str) -> np.ndarray:
-    """A block's answers in bucket order, which is hash order. A bucket whose segments went with
+    """A block's answers in bucket order, which is hash order. A bucket whose segments make
     several shards has an answer from each, which is 0 where it is not the name's."""
     rows = rows.filter(rows[column].is_valid())
     parts: dict[int, np.ndarray] = {}
@@ -330,21 +335,19 @@ LEVELS = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("levels", pa
 LEVELS_DDL = "block long, bucket long, levels binary"
 
 
-def _probe(shard):
-    """Levels of the staged bigrams that fall into the shard's segments."""
-
-    def rows(batches):
-        segments = shard.value
-        for b in batches:
-            for block, bucket, hashes in zip(b["block"].to_pylist(), b["bucket"].to_pylist(), b["hashes"]):
-                names = _from6(hashes.as_py())
-                levels = np.zeros(len(names), np.uint8)
-                for low, high, segment in segments[bucket]:
-                    here = np.flatnonzero((names >= low) & (names <= high))
-                    levels[here] = probe_segment(np.frombuffer(segment, np.uint8), names[here])
-                yield block, bucket, _zip(levels)
-
-    return rows
+def _probe(sent: pa.Table, segments: pa.Table) -> pa.Table:
+    """Levels of a bucket's staged bigrams that fall into the given segments of it."""
+    rows = []
+    if segments.num_rows:
+        parts = [(low, high, np.frombuffer(x.as_buffer(), np.uint8)) for low, high, x in zip(segments["low"].to_pylist(), segments["high"].to_pylist(), segments["segment"])]
+        for block, bucket, hashes in zip(sent["block"].to_pylist(), sent["bucket"].to_pylist(), sent["hashes"]):
+            names = _from6(hashes.as_py())
+            levels = np.zeros(len(names), np.uint8)
+            for low, high, segment in parts:
+                here = np.flatnonzero((names >= low) & (names <= high))
+                levels[here] = probe_segment(segment, names[here])
+            rows.append((block, bucket, _zip(levels)))
+    return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(LEVELS)}, schema=LEVELS)
 
 
 def _likelihood(n: int, v: int):
@@ -422,19 +425,6 @@ def _filed(sent: DataFrame, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
-def _shards(sizes: list[tuple], most: int) -> list[list[tuple]]:
-    """Segments (bucket, low, size) in groups of at most ``most`` bytes or one segment."""
-    out: list[list[tuple]] = []
-    room = 0
-    for bucket, low, size in sizes:
-        if not out or size > room:
-            out.append([])
-            room = most
-        out[-1].append((bucket, low))
-        room -= size
-    return out
-
-
 def score_documents(docs: DataFrame, bits: int = BITS_PER_ENTRY, probes: int = PROBES) -> DataFrame:
     """Train on the documents that are not held out and score all of them. ``bits`` and ``probes``
     are those of the levels from 2 on."""
@@ -446,23 +436,15 @@ def score_documents(docs: DataFrame, bits: int = BITS_PER_ENTRY, probes: int = P
     n, v = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
 
     bigrams = sent.where(F.col("kind") == BIGRAMS)
-    segments = stage(bigrams.groupBy("bucket").applyInArrow(_segments(v, bits, probes, SEGMENT_BYTES), SEGMENT_DDL), "lm-filter")
-    sizes = [tuple(r) for r in segments.select("bucket", "low", "size").orderBy("bucket", "low").collect()]  # one row per segment
+    segments = stage(bigrams.groupBy("bucket").applyInArrow(_segments(v, bits, probes, SEGMENT_BYTES, SHARD_BYTES), SEGMENT_DDL), "lm-filter")
+    rounds = segments.agg(F.coalesce(F.max("shard") + 1, F.lit(0))).first()[0]
     levels_path = scratch_path(spark, "lm-levels")
     made(levels_path)
     spark.createDataFrame([], LEVELS_DDL).write.parquet(levels_path)
-    for ids in _shards(sizes, SHARD_BYTES):
-        (b0, low0), (b1, low1) = ids[0], ids[-1]
-        bucket, low = F.col("bucket"), F.col("low")
-        inside = bucket.between(b0, b1) & ((bucket > b0) | (low >= low0)) & ((bucket < b1) | (low <= low1))
-        held: dict[int, list] = {}
-        for r in segments.where(inside).select("bucket", "low", "high", "segment").collect():  # at most SHARD_BYTES
-            held.setdefault(r["bucket"], []).append((r["low"], r["high"], bytes(r["segment"])))
-        shard = spark.sparkContext.broadcast(held)
-        own = bigrams.where(F.col("bucket").isin(list(held))).select("block", "bucket", "hashes")
-        own.mapInArrow(arrow_rows(_probe(shard), LEVELS, 64), LEVELS_DDL).write.mode("append").parquet(levels_path)
-        del held
-        shard.unpersist()
+    own = bigrams.select("block", "bucket", "hashes")
+    for shard in range(rounds):
+        part = segments.where(F.col("shard") == shard).select("bucket", "low", "high", "segment")
+        own.groupBy("bucket").cogroup(part.groupBy("bucket")).applyInArrow(_probe, LEVELS_DDL).write.mode("append").parquet(levels_path)
     levels = spark.read.schema(LEVELS_DDL).parquet(levels_path)
     nothing = F.lit(None).cast("binary")
     answers = (
@@ -473,7 +455,7 @@ def score_documents(docs: DataFrame, bits: int = BITS_PER_ENTRY, probes: int = P
     both = texts.groupBy(BLOCK).cogroup(answers.groupBy(BLOCK))
 
     best: dict[int, int] = {}
-    if sizes:
+    if rounds:
         sums = both.applyInArrow(_likelihood(n, v), "sums binary").mapInArrow(arrow_rows(_grid_sums, SUMS), "m int, g int, s double")
         picked = sums.groupBy("m", "g").agg(F.sum("s").alias("s")).groupBy("m").agg(F.max_by("g", F.struct("s", -F.col("g"))))
         best = dict(picked.collect())  # MAGNITUDES rows at most

@@ -61,6 +61,16 @@ def test_lm_shards_do_not_change_scores(spark, monkeypatch):
     assert one == sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 9)) for r in lm_scoring.score_documents(docs).collect())
 
 
+def test_lm_filter_does_not_pass_the_driver(spark, monkeypatch):
+    """Segments of a few bytes, each a shard of its own: the same scores, and no broadcast of the filter."""
+    docs = documents(spark, rows(n=120)).select("doc_id", "text")
+    one = sorted((str(r["doc_id"]), r["n_tokens"], r["score"] < 0) for r in lm_scoring.score_documents(docs).collect())
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 64)
+    monkeypatch.setattr(lm_scoring, "SEGMENT_BYTES", 2048)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *a: pytest.fail("the filter is broadcast"))
+    assert one == sorted((str(r["doc_id"]), r["n_tokens"], r["score"] < 0) for r in lm_scoring.score_documents(docs).collect())
+
+
 def brute_bigram_scores(data):
     """Interpolated bigrams with counts rounded down to powers of two, weights by leave-one-out."""
     held = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 5 == 1
